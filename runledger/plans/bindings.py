@@ -43,3 +43,20 @@ def review_issues(spark: SparkSession, sf: str) -> DataFrame:
     return lb.join(docs, "doc_id").select(F.col("source").alias("run_id"),
                                           F.col("doc_id").alias("review_issue_number"),
                                           sev.alias("issue_severity"))
+
+
+NL = "\n"
+
+
+def wrapped_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Model-style output around ``events.props``: fenced (tagged and bare), prose, list,
+    and an unclosed bracket, one shape per event type."""
+    ev = table(spark, sf, "events")
+    p = F.col("props")
+    text = (F.when(F.col("event_type") == "view",
+                   F.concat(F.lit("Results:\n```json\n"), p, F.lit("\n```\nDone.")))
+             .when(F.col("event_type") == "click", F.concat(F.lit("```\n"), p, F.lit("\n```")))
+             .when(F.col("event_type") == "signup", F.concat(F.lit("list: ["), p, F.lit("] end")))
+             .when(F.col("event_type") == "purchase", F.concat(F.lit("The answer is "), p, F.lit(" as requested.")))
+             .otherwise(F.concat(F.lit("oops [ "), p)))
+    return ev.select("event_id", "event_type", text.alias("text"))

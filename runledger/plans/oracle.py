@@ -14,3 +14,74 @@ REVIEW_ISSUES = """SELECT d.source AS run_id, l.doc_id AS review_issue_number,
     CASE WHEN l.toxic = 1 THEN 'blocker' WHEN l.quality = 0 THEN 'tech_debt' ELSE 'skippable' END
       AS issue_severity
     FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+# ------------------------------------------------------------------ SQL helpers
+# Generators of DuckDB expressions that repeat the Column functions rule by rule.
+NL = "chr(10)"
+SUFFIX = "... (truncated)"
+
+
+def q(s: str) -> str:
+    """SQL string literal (newlines through chr(10))."""
+    parts = s.split("\n")
+    lits = ["'" + p.replace("'", "''") + "'" for p in parts]
+    return ("(" + f" || {NL} || ".join(lits) + ")") if len(parts) > 1 else lits[0]
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def last_pos(x: str, ch: str) -> str:
+    return (f"(CASE WHEN strpos({x}, '{ch}') > 0 THEN length(regexp_extract({x}, '(?s)^(.*)\\{ch}', 1)) + 1 "
+            f"ELSE 0 END)")
+
+
+def truncate(x: str, max_length: int = 500, suffix: str = SUFFIX) -> str:
+    cut = max(max_length - len(suffix), 0)
+
+    def win(ch_sql: str, ch_re: str, width: int) -> str:
+        start = max(cut - width, 0)
+        w = f"substring({x}, {start + 1}, {cut - start})"
+        return (f"(CASE WHEN strpos({w}, {ch_sql}) > 0 THEN {start} + "
+                f"length(regexp_extract({w}, '(?s)^(.*){ch_re}', 1)) ELSE -1 END)")
+
+    nl, sp = win(NL, "\\n", 50), win("' '", " ", 20)
+    s = q(suffix)
+    return (f"(CASE WHEN length({x}) <= {max_length} THEN {x} "
+            f"WHEN {nl} > 0 THEN substring({x}, 1, {nl}) || {s} "
+            f"WHEN {sp} > 0 THEN substring({x}, 1, {sp}) || {s} "
+            f"ELSE substring({x}, 1, {cut}) || {s} END)")
+
+
+def head_tail(x: str, max_length: int = 8000) -> str:
+    half = max_length // 2
+    marker = q("\n\n[... CONTEXT SUMMARIZED FOR LENGTH ...]\n\n")
+    return (f"(CASE WHEN length({x}) <= {max_length} THEN {x} ELSE substring({x}, 1, {half}) || {marker} || "
+            f"substring({x}, length({x}) - {half} + 1, {half}) END)")
+
+
+FENCE = "'(?s)```(?:json)?\\s*\\n(.*?)\\n```'"
+
+
+def extract_json_ctes(src: str, text_col: str, keep: str) -> str:
+    """Two CTE bodies computing FN-01 as column ``json_text`` (body -> cut)."""
+    return f"""fj_body AS (SELECT {keep}, CASE WHEN regexp_matches({text_col}, {FENCE})
+        THEN {strip(f"regexp_extract({text_col}, {FENCE}, 1)")} ELSE {strip(text_col)} END AS body FROM {src}),
+    fj_pos AS (SELECT *, strpos(body, '[') AS a0, {last_pos('body', ']')} AS a1,
+        strpos(body, '{{') AS o0, {last_pos('body', '}')} AS o1 FROM fj_body),
+    fj AS (SELECT {keep}, CASE WHEN starts_with(body, '[') OR starts_with(body, '{{') THEN body
+        WHEN a0 > 0 AND (o0 = 0 OR a0 < o0) AND a1 > 0 THEN substring(body, a0, a1 - a0 + 1)
+        WHEN a0 > 0 AND (o0 = 0 OR a0 < o0) THEN body
+        WHEN o0 > 0 AND o1 > 0 THEN substring(body, o0, o1 - o0 + 1)
+        ELSE body END AS json_text FROM fj_pos)"""
+
+
+# Wrapped model output built from events (shared by FN-01, FN-02, FN-09 style queries).
+WRAPPED_EVENTS = f"""SELECT event_id, event_type, CASE event_type
+    WHEN 'view' THEN 'Results:' || {NL} || '```json' || {NL} || props || {NL} || '```' || {NL} || 'Done.'
+    WHEN 'click' THEN '```' || {NL} || props || {NL} || '```'
+    WHEN 'signup' THEN 'list: [' || props || '] end'
+    WHEN 'purchase' THEN 'The answer is ' || props || ' as requested.'
+    ELSE 'oops [ ' || props END AS text FROM events"""
