@@ -60,3 +60,62 @@ def wrapped_events(spark: SparkSession, sf: str) -> DataFrame:
              .when(F.col("event_type") == "purchase", F.concat(F.lit("The answer is "), p, F.lit(" as requested.")))
              .otherwise(F.concat(F.lit("oops [ "), p)))
     return ev.select("event_id", "event_type", text.alias("text"))
+
+
+def config_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Four config layers keyed REGION_n / NATION_n from region, nation and customer."""
+    r, n, c = (table(spark, sf, t) for t in ("region", "nation", "customer"))
+    lay = lambda df, layer, prio, key, value, seq: df.select(
+        F.lit(layer).alias("layer"), F.lit(prio).alias("priority"), key.alias("key"),
+        value.cast("string").alias("value"), seq.cast("long").alias("seq"))
+    return (lay(r, "ports", 0, F.concat(F.lit("REGION_"), F.col("r_regionkey").cast("string")), F.col("r_name"), F.col("r_regionkey"))
+            .unionByName(lay(n, "local", 1, F.concat(F.lit("NATION_"), F.col("n_nationkey").cast("string")),
+                             F.col("n_regionkey"), F.col("n_nationkey")))
+            .unionByName(lay(n, "base", 2, F.concat(F.lit("REGION_"), F.col("n_regionkey").cast("string")),
+                             F.col("n_name"), F.col("n_nationkey")))
+            .unionByName(lay(c, "environment", 3, F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")),
+                             F.col("c_name"), F.col("c_custkey"))))
+
+
+def config_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Per customer (run) a config with typed JSON values, one row per key (stack, one scan)."""
+    c = table(spark, sf, "customer")
+    s = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    ck = F.col("c_custkey").cast("string")
+    nk = F.col("c_nationkey").cast("string")
+    seg = F.lower("c_mktsegment")
+    entries = [
+        ("API_URL", F.when(F.col("c_mktsegment") == "MACHINERY", s('"https://api', ck, '.example.com"'))
+                     .otherwise(s('"ftp://files', ck, '"'))),
+        ("DB_PORT", F.when(F.col("c_nationkey") % 2 == 0, s('"', (F.col("c_nationkey") + 5000).cast("string"), '"'))
+                     .otherwise(s('"54x', nk, '"'))),
+        ("MAX_CONN", nk),
+        ("RATIO", F.col("c_acctbal").cast("string")),
+        ("DEBUG", F.when(F.col("c_acctbal") > 0, "true").otherwise("false")),
+        ("ADMIN_EMAIL", F.when(F.col("c_mktsegment") == "BUILDING", s('"admin@', seg, '"'))
+                         .otherwise(s('"ops@', seg, '.example.com"'))),
+        ("SECRET_TOKEN", s('"', F.col("c_name"), '"')),
+        ("TIMEOUT", F.when(F.col("c_custkey") % 3 == 0, F.lit('"30"')).otherwise(F.lit("30"))),
+    ]
+    kv = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value_json")) for k, v in entries])
+    return c.select(F.col("c_custkey").alias("run_id"), F.inline(kv))
+
+
+def config_schema(spark: SparkSession) -> DataFrame:
+    """Declared schema rows (configuration metadata, not data)."""
+    rows = [("API_URL", "string", "^https?://", True), ("DB_PORT", "string", "^[0-9]+$", True),
+            ("MAX_CONN", "integer", None, True), ("RATIO", "number", None, False),
+            ("DEBUG", "boolean", None, True), ("ADMIN_EMAIL", "string", "^[^@]+@[^@]+\\.[^@]+$", True),
+            ("TIMEOUT", "integer", None, False), ("REGION", "string", None, True)]
+    return spark.createDataFrame(rows, "key string, type string, pattern string, required boolean")
+
+
+def part_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Config-style keys from part names with one of ten suffixes chosen by size."""
+    p = table(spark, sf, "part")
+    suffixes = F.array(*[F.lit(x) for x in ("URL", "PORT", "SECRET", "PASSWORD", "API_KEY", "TOKEN",
+                                            "CREDENTIAL", "DB_HOST", "S3_BUCKET", "DEBUG")])
+    key = F.concat(F.upper(F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))), F.lit("_"),
+                   F.element_at(suffixes, (F.col("p_size") % 10 + 1).cast("int")))
+    return p.select("p_partkey", key.alias("key"), F.col("p_retailprice").cast("string").alias("value"),
+                    "p_brand", "p_type", "p_size", "p_name")

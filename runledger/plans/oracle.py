@@ -85,3 +85,49 @@ WRAPPED_EVENTS = f"""SELECT event_id, event_type, CASE event_type
     WHEN 'signup' THEN 'list: [' || props || '] end'
     WHEN 'purchase' THEN 'The answer is ' || props || ' as requested.'
     ELSE 'oops [ ' || props END AS text FROM events"""
+
+
+CONFIG_LAYERS = """SELECT 'ports' AS layer, 0 AS priority, 'REGION_' || r_regionkey AS key, r_name AS value,
+    CAST(r_regionkey AS BIGINT) AS seq FROM region
+  UNION ALL SELECT 'local', 1, 'NATION_' || n_nationkey, CAST(n_regionkey AS VARCHAR), n_nationkey FROM nation
+  UNION ALL SELECT 'base', 2, 'REGION_' || n_regionkey, n_name, n_nationkey FROM nation
+  UNION ALL SELECT 'environment', 3, 'NATION_' || c_nationkey, c_name, c_custkey FROM customer"""
+
+CONFIG_VALUES = """SELECT c_custkey AS run_id, 'API_URL' AS key, CASE WHEN c_mktsegment = 'MACHINERY'
+    THEN '"https://api' || c_custkey || '.example.com"' ELSE '"ftp://files' || c_custkey || '"' END AS value_json FROM customer
+  UNION ALL SELECT c_custkey, 'DB_PORT', CASE WHEN c_nationkey % 2 = 0 THEN '"' || (c_nationkey + 5000) || '"'
+    ELSE '"54x' || c_nationkey || '"' END FROM customer
+  UNION ALL SELECT c_custkey, 'MAX_CONN', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT c_custkey, 'RATIO', CAST(c_acctbal AS VARCHAR) FROM customer
+  UNION ALL SELECT c_custkey, 'DEBUG', CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END FROM customer
+  UNION ALL SELECT c_custkey, 'ADMIN_EMAIL', CASE WHEN c_mktsegment = 'BUILDING' THEN '"admin@' || lower(c_mktsegment) || '"'
+    ELSE '"ops@' || lower(c_mktsegment) || '.example.com"' END FROM customer
+  UNION ALL SELECT c_custkey, 'SECRET_TOKEN', '"' || c_name || '"' FROM customer
+  UNION ALL SELECT c_custkey, 'TIMEOUT', CASE WHEN c_custkey % 3 = 0 THEN '"30"' ELSE '30' END FROM customer"""
+
+CONFIG_SCHEMA = """SELECT * FROM (VALUES ('API_URL', 'string', '^https?://', true), ('DB_PORT', 'string', '^[0-9]+$', true),
+  ('MAX_CONN', 'integer', NULL, true), ('RATIO', 'number', NULL, false), ('DEBUG', 'boolean', NULL, true),
+  ('ADMIN_EMAIL', 'string', '^[^@]+@[^@]+\\.[^@]+$', true), ('TIMEOUT', 'integer', NULL, false),
+  ('REGION', 'string', NULL, true)) AS s(key, type, pattern, required)"""
+
+
+def json_type(v: str) -> str:
+    return (f"(CASE WHEN {v} IN ('true', 'false') THEN 'bool' WHEN regexp_full_match({v}, '-?[0-9]+') THEN 'int' "
+            f"WHEN regexp_full_match({v}, '-?[0-9]+(\\.[0-9]+)?([eE][-+]?[0-9]+)?') THEN 'float' "
+            f"WHEN starts_with({v}, '\"') THEN 'str' WHEN {v} = 'null' THEN 'NoneType' "
+            f"WHEN starts_with({v}, '[') THEN 'list' WHEN starts_with({v}, '{{') THEN 'dict' END)")
+
+
+def truthy(v: str) -> str:
+    t = json_type(v)
+    return (f"NOT (({t} = 'bool' AND {v} = 'false') OR ({t} IN ('int', 'float') AND TRY_CAST({v} AS DOUBLE) = 0) "
+            f"OR ({t} = 'str' AND {v} = '\"\"') OR {t} = 'NoneType' OR {v} IN ('[]', '{{}}'))")
+
+
+PART_KEYS = """SELECT p_partkey, upper(replace(p_name, ' ', '_')) || '_' ||
+    ['URL', 'PORT', 'SECRET', 'PASSWORD', 'API_KEY', 'TOKEN', 'CREDENTIAL', 'DB_HOST', 'S3_BUCKET', 'DEBUG'][p_size % 10 + 1]
+    AS key, CAST(p_retailprice AS VARCHAR) AS value, p_brand, p_type, p_size, p_name FROM part"""
+
+
+def contains_any(x: str, words) -> str:
+    return "(" + " OR ".join(f"contains(lower({x}), '{w}')" for w in words) + ")"

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # runtime, skew-join splitting handles hot keys, UTC keeps date arithmetic stable.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
