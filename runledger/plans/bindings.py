@@ -119,3 +119,32 @@ def part_keys(spark: SparkSession, sf: str) -> DataFrame:
                    F.element_at(suffixes, (F.col("p_size") % 10 + 1).cast("int")))
     return p.select("p_partkey", key.alias("key"), F.col("p_retailprice").cast("string").alias("value"),
                     "p_brand", "p_type", "p_size", "p_name")
+
+
+def event_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Run-log style messages from events: run = user, seq = event_id, views are user turns."""
+    ev = table(spark, sf, "events")
+    return ev.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"),
+                     F.when(F.col("event_type") == "view", "user").otherwise("assistant").alias("type"),
+                     F.concat(F.col("event_type"), F.lit(" event: "), F.col("props")).alias("text"))
+
+
+# Phase names standing in for order priorities.
+PRIORITY_PHASE = {"1-URGENT": "discovery", "2-HIGH": "scoping", "3-MEDIUM": "planning",
+                  "4-NOT SPECIFIED": "development", "5-LOW": "deploy"}
+
+
+def phase_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Phase records: run = customer, phase from priority, completed = F, failed = P."""
+    o = table(spark, sf, "orders")
+    m = F.create_map(*[F.lit(x) for kv in PRIORITY_PHASE.items() for x in kv])
+    return o.select(F.col("o_custkey").alias("run_id"), m[F.col("o_orderpriority")].alias("phase"),
+                    (F.col("o_orderstatus") == "F").alias("completed"), (F.col("o_orderstatus") == "P").alias("failed"))
+
+
+def run_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Run ids: base-36 order key (6 digits), a dash, status and a priority letter."""
+    o = table(spark, sf, "orders")
+    rid = F.concat(F.lpad(F.lower(F.conv(F.col("o_orderkey").cast("string"), 10, 36)), 6, "0"), F.lit("-"),
+                   F.col("o_orderstatus"), F.lower(F.substring("o_orderpriority", 3, 1)))
+    return o.select("o_orderkey", rid.alias("run_id"))

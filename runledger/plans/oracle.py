@@ -131,3 +131,24 @@ PART_KEYS = """SELECT p_partkey, upper(replace(p_name, ' ', '_')) || '_' ||
 
 def contains_any(x: str, words) -> str:
     return "(" + " OR ".join(f"contains(lower({x}), '{w}')" for w in words) + ")"
+
+
+EVENT_MESSAGES = """SELECT user_id AS run_id, event_id AS seq,
+    CASE WHEN event_type = 'view' THEN 'user' ELSE 'assistant' END AS type,
+    event_type || ' event: ' || props AS text FROM events"""
+
+PHASE_ROWS = """SELECT o_custkey AS run_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'discovery'
+    WHEN '2-HIGH' THEN 'scoping' WHEN '3-MEDIUM' THEN 'planning' WHEN '4-NOT SPECIFIED' THEN 'development'
+    WHEN '5-LOW' THEN 'deploy' END AS phase, o_orderstatus = 'F' AS completed, o_orderstatus = 'P' AS failed
+    FROM orders"""
+
+B36 = "'0123456789abcdefghijklmnopqrstuvwxyz'"
+RUN_IDS = f"""SELECT o_orderkey, array_to_string([substr({B36}, CAST((o_orderkey // CAST(pow(36, 5 - i) AS BIGINT)) % 36 AS INT) + 1, 1)
+    FOR i IN range(6)], '') || '-' || o_orderstatus || lower(substr(o_orderpriority, 3, 1)) AS run_id FROM orders"""
+
+
+def base36_bucket(x: str, n: int = 15) -> str:
+    s = f"regexp_replace(substr({x}, 1, 8), '[^0-9A-Za-z]', '', 'g')"
+    val = (f"CAST(list_sum([(strpos({B36}, lower(substr({s}, i, 1))) - 1) * CAST(pow(36, length({s}) - i) AS BIGINT) "
+           f"FOR i IN range(1, length({s}) + 1)]) AS BIGINT)")
+    return f"CAST({val} % {n} AS INT)"
