@@ -148,3 +148,23 @@ def run_ids(spark: SparkSession, sf: str) -> DataFrame:
     rid = F.concat(F.lpad(F.lower(F.conv(F.col("o_orderkey").cast("string"), 10, 36)), 6, "0"), F.lit("-"),
                    F.col("o_orderstatus"), F.lower(F.substring("o_orderpriority", 3, 1)))
     return o.select("o_orderkey", rid.alias("run_id"))
+
+
+def part_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Dependency tree over parts: node = p_partkey depends on p_partkey div 2 (root 0)."""
+    p = table(spark, sf, "part")
+    return p.filter(F.col("p_partkey") > 0).select(
+        F.lit("parts").alias("graph_id"), F.col("p_partkey").alias("node"),
+        F.expr("p_partkey div 2").alias("depends_on"))
+
+
+def part_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(F.lit("parts").alias("graph_id"), F.col("p_partkey").alias("node"))
+
+
+def graph_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Spec documents per node: doc_id is the node number."""
+    d = table(spark, sf, "documents")
+    return d.select(F.lit("parts").alias("graph_id"), F.col("doc_id").alias("node"),
+                    F.concat(F.lit("Document "), F.col("doc_id").cast("string"), F.lit(" ("), F.col("lang"), F.lit(")"))
+                    .alias("title"), "text")

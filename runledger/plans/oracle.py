@@ -152,3 +152,8 @@ def base36_bucket(x: str, n: int = 15) -> str:
     val = (f"CAST(list_sum([(strpos({B36}, lower(substr({s}, i, 1))) - 1) * CAST(pow(36, length({s}) - i) AS BIGINT) "
            f"FOR i IN range(1, length({s}) + 1)]) AS BIGINT)")
     return f"CAST({val} % {n} AS INT)"
+
+
+PART_EDGES = "SELECT p_partkey AS node, p_partkey // 2 AS prereq FROM part WHERE p_partkey > 0"
+PART_CLOSURE = f"""e AS ({PART_EDGES}),
+c(node, prereq) AS (SELECT node, prereq FROM e UNION SELECT c.node, e.prereq FROM c JOIN e ON c.prereq = e.node)"""
