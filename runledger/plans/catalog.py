@@ -1211,3 +1211,248 @@ def q_top_files_per_context(spark, sf):
     pri = F.when(F.col("p_type") == "ECONOMY", 1).when(F.col("p_type") == "STANDARD", 2).otherwise(3)
     return Q.top_k_per_group(p, ["p_brand"], [pri, F.col("p_name"), F.col("p_partkey")], 10).select(
         "p_brand", "p_partkey", "p_name", "rank")
+
+
+# ------------------------------------------------------------- state, outcomes, rendering, filters
+from runledger.functions import render as RD  # noqa: E402
+from runledger.functions import state as ST  # noqa: E402
+from runledger.operators import filters as FL  # noqa: E402
+
+_WF_TEXT_SQL = f"""'Here is the result:' || {O.NL} || '```json' || {O.NL} || '{{"adw_slash_command": "/' ||
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'adw_plan_iso' WHEN '2-HIGH' THEN 'adw_sdlc_ZTE_iso' WHEN '3-MEDIUM' THEN 'adw_build_iso'
+  WHEN '4-NOT SPECIFIED' THEN 'adw_deploy_iso' ELSE '' END || '", "adw_id": "r' || o_orderkey || '"' ||
+  CASE WHEN o_totalprice > 200000 THEN ', "model_set": "heavy"' ELSE '' END || '}}' || {O.NL} || '```'"""
+
+
+def _wf_text():
+    pri = F.col("o_orderpriority")
+    cmd = (F.when(pri == "1-URGENT", "adw_plan_iso").when(pri == "2-HIGH", "adw_sdlc_ZTE_iso")
+            .when(pri == "3-MEDIUM", "adw_build_iso").when(pri == "4-NOT SPECIFIED", "adw_deploy_iso").otherwise(""))
+    return F.concat(F.lit('Here is the result:\n```json\n{"adw_slash_command": "/'), cmd, F.lit('", "adw_id": "r'),
+                    F.col("o_orderkey").cast("string"), F.lit('"'),
+                    F.when(F.col("o_totalprice") > 200000, F.lit(', "model_set": "heavy"')).otherwise(F.lit("")),
+                    F.lit("}\n```"))
+
+
+_ALLOWED_SQL = ", ".join(f"'{w}'" for w in ST.WORKFLOWS)
+
+
+@register("extract_workflow", f"""WITH src AS (SELECT o_orderkey, {_WF_TEXT_SQL} AS text FROM orders),
+{O.extract_json_ctes('src', 'text', 'o_orderkey')},
+c AS (SELECT o_orderkey, json_text, replace(coalesce(json_extract_string(json_text, '$.adw_slash_command'), ''), '/', '') AS cmd FROM fj)
+SELECT o_orderkey, CASE WHEN cmd IN ({_ALLOWED_SQL}) THEN cmd END AS workflow_command,
+  CASE WHEN cmd IN ({_ALLOWED_SQL}) THEN json_extract_string(json_text, '$.adw_id') END AS run_id,
+  CASE WHEN cmd IN ({_ALLOWED_SQL}) THEN coalesce(json_extract_string(json_text, '$.model_set'), 'base') ELSE 'base' END AS model_set
+FROM c""")
+def q_extract_workflow(spark, sf):
+    """FN-09: workflow, run id and model set from classifier output, allow-listed."""
+    o = table(spark, sf, "orders")
+    w = ST.extract_workflow(_wf_text())
+    return o.select("o_orderkey", w.workflow_command.alias("workflow_command"), w.run_id.alias("run_id"),
+                    w.model_set.alias("model_set"))
+
+
+_STATE_SQL = """'{"run": ' || props || ', "phase": "' || event_type || '", "value": ' || value || '}'"""
+
+
+@register("state_get_path", f"""WITH s AS (SELECT event_id, event_type, {_STATE_SQL} AS state FROM events)
+SELECT event_id, json_extract_string(state, '$.run.k') AS k, coalesce(json_extract_string(state, '$.phase.x'), 'none') AS bad_path,
+  coalesce(json_extract_string(state, '$.missing'), 'none') AS missing, event_type AS phase FROM s""")
+def q_state_get_path(spark, sf):
+    """FN-14: dotted paths in state documents: nested key, path through a non-object,
+    missing key (both default), and a core attribute by exact name."""
+    ev = table(spark, sf, "events")
+    state = F.concat(F.lit('{"run": '), F.col("props"), F.lit(', "phase": "'), F.col("event_type"), F.lit('", "value": '),
+                     F.col("value").cast("string"), F.lit("}"))
+    core = {"phase": F.col("event_type")}
+    return ev.select("event_id", ST.get_path(state, "run.k").alias("k"),
+                     ST.get_path(state, "phase.x", "none").alias("bad_path"),
+                     ST.get_path(state, "missing", "none").alias("missing"),
+                     ST.get_path(state, "phase", core=core).alias("phase"))
+
+
+@register("allowlist_attrs", """WITH m AS (SELECT c_custkey, c_name AS name, c_mktsegment AS segment,
+    CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS VARCHAR) END AS balance FROM customer)
+SELECT c_custkey, array_to_string(list_sort(list_filter(['name=' || name, 'segment=' || segment, 'balance=' || balance,
+  'market=' || segment], lambda x: x IS NOT NULL)), ';') AS attrs FROM m""")
+def q_allowlist_attrs(spark, sf):
+    """FN-15: customer attributes: allow-list (name, segment, balance), nulls dropped,
+    segment also copied as market."""
+    c = table(spark, sf, "customer")
+    m = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"),
+                     F.lit("nation"), F.col("c_nationkey").cast("string"),
+                     F.lit("balance"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("string")))
+    kept = ST.allowlist_map(m, ["name", "segment", "balance"], {"segment": "market"})
+    return c.select("c_custkey", F.array_join(F.array_sort(F.transform(F.map_entries(kept),
+                                                                       lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+                    .alias("attrs"))
+
+
+_RESULT_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date, ts, event_id,
+  CASE WHEN event_type = 'error' AND value > 40 THEN 'error_during_execution' ELSE 'success' END AS subtype,
+  event_type = 'error' AS is_error, repeat(props || ' ', CAST(floor(value) * 4 AS INT) + 1) AS result
+  FROM events WHERE event_type <> 'view'"""
+
+
+def _results(spark, sf):
+    ev = B.attempt_events(spark, sf).join(table(spark, sf, "events").select("event_id", "props"), "event_id")
+    return ev.filter(F.col("event_type") != "view").select(
+        "user_id", "run_date", "ts", "event_id",
+        F.when((F.col("event_type") == "error") & (F.col("value") > 40), "error_during_execution").otherwise("success")
+        .alias("subtype"), (F.col("event_type") == "error").alias("is_error"),
+        F.repeat(F.concat(F.col("props"), F.lit(" ")), (F.floor("value") * 4).cast("int") + 1).alias("result"))
+
+
+_OUTCOME_SQL = f"""WITH r AS ({_RESULT_SQL}),
+l AS (SELECT user_id, run_date, max((ts, event_id)) AS k, arg_max(subtype, (ts, event_id)) AS subtype,
+      arg_max(is_error, (ts, event_id)) AS is_error, arg_max(result, (ts, event_id)) AS result FROM r GROUP BY ALL),
+runs AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS run_date FROM events),
+o AS (SELECT runs.user_id, runs.run_date, l.k IS NOT NULL AS has, l.subtype, coalesce(l.is_error, false) AS err,
+      coalesce(l.result, '') AS txt FROM runs LEFT JOIN l ON l.user_id = runs.user_id AND l.run_date = runs.run_date)
+SELECT user_id, run_date,
+  CASE WHEN NOT has THEN 'No result message found in Claude Code output'
+       WHEN subtype = 'error_during_execution' THEN 'Error during execution: Agent encountered an error and did not return a result'
+       WHEN err AND length(txt) > 1000 THEN {O.truncate('txt', 800)} ELSE txt END AS output,
+  CASE WHEN NOT has OR subtype = 'error_during_execution' THEN false ELSE NOT err END AS success,
+  CASE WHEN has AND subtype = 'error_during_execution' THEN 'error_during_execution' ELSE 'none' END AS retry_code FROM o"""
+
+
+@register("classify_outcome", _OUTCOME_SQL)
+def q_classify_outcome(spark, sf):
+    """FN-21: outcome and retry code per user/day run from its last result event."""
+    runs_ = B.attempt_events(spark, sf)
+    return ST.classify_outcome(runs_, _results(spark, sf), ["user_id", "run_date"], ["ts", "event_id"])
+
+
+@register("retryable_outcomes", f"""SELECT * FROM ({_OUTCOME_SQL}) WHERE NOT success AND retry_code <> 'none'
+  AND retry_code IN ('claude_code_error', 'timeout_error', 'execution_error', 'error_during_execution')""")
+def q_retryable_outcomes(spark, sf):
+    """FL-06: runs whose outcome allows another attempt."""
+    return FL.retryable(q_classify_outcome(spark, sf))
+
+
+@register("failed_labels", """SELECT doc_id, quality, toxic FROM labels WHERE NOT (quality = 1)""")
+def q_failed_labels(spark, sf):
+    """FL-01: failed results (quality check not passed)."""
+    lb = table(spark, sf, "labels").withColumn("passed", F.col("quality") == 1)
+    return FL.failed(lb).drop("passed")
+
+
+@register("passed_labels", """SELECT doc_id, quality, toxic FROM labels WHERE quality = 1""")
+def q_passed_labels(spark, sf):
+    """FL-01: passed results."""
+    lb = table(spark, sf, "labels").withColumn("passed", F.col("quality") == 1)
+    return FL.passed(lb).drop("passed")
+
+
+@register("blocker_issues", f"""SELECT * FROM ({O.REVIEW_ISSUES}) WHERE issue_severity = 'blocker'""")
+def q_blocker_issues(spark, sf):
+    """FL-02: review findings that block."""
+    return FL.blockers(B.review_issues(spark, sf))
+
+
+_PATH_SQL = """CASE WHEN contains(url, '/en/') THEN 'specs/' WHEN contains(url, '/fr/') THEN 'specs/patch/' ELSE 'docs/' END
+  || page_id || CASE WHEN contains(url, '#') THEN '.txt' ELSE '.md' END"""
+
+
+@register("spec_paths", f"""SELECT page_id, path, contains(path, 'specs/patch/') AS is_patch FROM
+  (SELECT page_id, {_PATH_SQL} AS path FROM pages) WHERE starts_with(path, 'specs/') AND ends_with(path, '.md')""")
+def q_spec_paths(spark, sf):
+    """FL-05: spec documents among paths derived from page URLs."""
+    p = table(spark, sf, "pages")
+    u = F.col("url")
+    path = F.concat(F.when(u.contains("/en/"), "specs/").when(u.contains("/fr/"), "specs/patch/").otherwise("docs/"),
+                    F.col("page_id").cast("string"), F.when(u.contains("#"), ".txt").otherwise(".md"))
+    return FL.spec_paths(p.select("page_id", path.alias("path")))
+
+
+@register("render_vars", """SELECT o_orderkey, 'Order ' || o_orderkey || ' for customer ' || o_custkey || ' is ' || o_orderstatus
+  || ' ({{ missing }})' AS text FROM orders""")
+def q_render_vars(spark, sf):
+    """FN-22: ``{{ var }}`` placeholders filled from a per-row map; unknown ones stay."""
+    o = table(spark, sf, "orders")
+    tpl = F.lit("Order {{ id }} for customer {{ customer }} is {{ status }} ({{ missing }})")
+    vars_ = F.create_map(F.lit("id"), F.col("o_orderkey").cast("string"), F.lit("customer"), F.col("o_custkey").cast("string"),
+                         F.lit("status"), F.col("o_orderstatus"))
+    return o.select("o_orderkey", RD.render_vars(tpl, vars_).alias("text"))
+
+
+@register("render_plans", f"""WITH s AS (SELECT 'ORD-' || o_orderkey AS id, 'Ship order ' || o_orderkey AS title,
+    year(o_orderdate) AS sprint, o_orderpriority AS priority, round(o_totalprice / 1000, 1) AS estimated_hours,
+    'As customer ' || o_custkey || ' I want my order' AS user_story,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'Status ' || o_orderstatus END AS description,
+    CASE WHEN o_orderstatus = 'O' AND o_orderkey > 0 THEN 'ORD-' || (o_orderkey - 1) ELSE 'None' END AS deps FROM orders),
+c AS (SELECT 'ORD-' || l_orderkey AS id, string_agg('- [ ] Ship ' || l_quantity || ' of part ' || l_partkey, {O.NL}
+      ORDER BY l_linenumber, 'Ship ' || l_quantity || ' of part ' || l_partkey) AS cl FROM lineitem GROUP BY 1)
+SELECT s.id, 'plans/' || lower(s.id) || '_plan.md' AS plan_file,
+  '# Implementation Plan: ' || title || {O.NL} || {O.NL} || '**Story ID:** ' || s.id || {O.NL} || '**ADW ID:** batch'
+  || {O.NL} || '**Sprint:** ' || coalesce(CAST(sprint AS VARCHAR), 'TBD') || {O.NL} || '**Priority:** ' || coalesce(priority, 'P1')
+  || {O.NL} || '**Estimated Hours:** ' || coalesce(CAST(estimated_hours AS VARCHAR), 'TBD') || {O.NL} || {O.NL} || '## User Story'
+  || {O.NL} || coalesce(user_story, 'N/A') || {O.NL} || {O.NL} || '## Description' || {O.NL} || coalesce(description, 'N/A')
+  || {O.NL} || {O.NL} || '## Dependencies' || {O.NL} || deps || {O.NL} || {O.NL} || '## Acceptance Criteria' || {O.NL}
+  || coalesce(c.cl, '') || {O.NL} AS plan FROM s LEFT JOIN c ON c.id = s.id""")
+def q_render_plans(spark, sf):
+    """FN-22: implementation plan per order with its lines as the acceptance checklist."""
+    o = table(spark, sf, "orders")
+    sid = F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))
+    stories = o.select(sid.alias("id"), F.concat(F.lit("Ship order "), F.col("o_orderkey").cast("string")).alias("title"),
+                       F.year("o_orderdate").alias("sprint"), F.col("o_orderpriority").alias("priority"),
+                       F.round(F.col("o_totalprice") / 1000, 1).alias("estimated_hours"),
+                       F.concat(F.lit("As customer "), F.col("o_custkey").cast("string"), F.lit(" I want my order")).alias("user_story"),
+                       F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("Status "), F.col("o_orderstatus"))).alias("description"),
+                       F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") > 0),
+                              F.array(F.concat(F.lit("ORD-"), (F.col("o_orderkey") - 1).cast("string"))))
+                       .otherwise(F.array().cast("array<string>")).alias("dependencies"))
+    li = table(spark, sf, "lineitem")
+    crit = F.concat(F.lit("Ship "), F.col("l_quantity").cast("string"), F.lit(" of part "), F.col("l_partkey").cast("string"))
+    criteria = li.select(F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("id"),
+                         F.struct(F.col("l_linenumber"), crit).alias("position"), crit.alias("criterion"))
+    return RD.render_plan(stories, criteria, "batch")
+
+
+_ENV_SQL = f"""WITH c AS ({O.CONFIG_VALUES}), s AS ({O.CONFIG_SCHEMA}),
+v AS (SELECT c.run_id, c.key, 'Configuration value for ' || s.key AS description,
+  CASE WHEN {O.contains_any('c.key', _SENS['generic'])} THEN 'your-secret-value-here'
+       WHEN {O.json_type('c.value_json')} = 'str' THEN json_extract_string('[' || c.value_json || ']', '$[0]')
+       WHEN {O.json_type('c.value_json')} = 'bool' THEN upper(substr(c.value_json, 1, 1)) || substr(c.value_json, 2)
+       ELSE c.value_json END AS val,
+  {_CAT_SQL.replace('key', 'c.key')} AS category FROM c LEFT JOIN s ON s.key = c.key),
+r AS (SELECT *, CASE category {" ".join(f"WHEN '{n}' THEN {i + 1}" for i, n in enumerate(RD.CATEGORY_ORDER))} END AS rank FROM v),
+b AS (SELECT run_id, category, rank, string_agg(CASE WHEN length(description) > 0 THEN '# ' || description || {O.NL} ELSE '' END
+      || key || '=' || coalesce(val, '') || {O.NL}, {O.NL} ORDER BY key) AS lines FROM r GROUP BY ALL),
+t AS (SELECT run_id, string_agg('# ' || category || {O.NL} || {O.NL} || lines || {O.NL}, '' ORDER BY rank) AS body FROM b GROUP BY run_id)
+SELECT run_id, regexp_replace('# Auto-generated environment configuration template' || {O.NL} || '# ADW ID: ' || run_id || {O.NL}
+  || '# Environment: dev' || {O.NL} || {O.NL} || body, '\\n$', '') AS template FROM t"""
+
+
+@register("render_env_template", _ENV_SQL)
+def q_render_env_template(spark, sf):
+    """FN-22: ``.env.example`` per customer config, grouped by category, secrets masked."""
+    desc = B.config_schema(spark).select("key", F.concat(F.lit("Configuration value for "), F.col("key")).alias("description"))
+    return RD.render_env_template(B.config_values(spark, sf), ["run_id"], desc)
+
+
+_REPORT_ROWS_SQL = f"""SELECT user_id, CAST(ts AS DATE) AS run_date, event_id, event_type AS test_name, value >= 1 AS passed,
+  '### ' || event_type || {O.NL} || {O.NL} || '```json' || {O.NL} || '{{' || {O.NL} || '  "test_name": ' || to_json(event_type)
+  || ',' || {O.NL} || '  "passed": ' || CASE WHEN value >= 1 THEN 'true' ELSE 'false' END || ',' || {O.NL}
+  || '  "execution_command": ' || to_json('pytest -k ' || event_type) || ',' || {O.NL}
+  || '  "test_purpose": ' || to_json('check ' || event_type) || ',' || {O.NL} || '  "error": '
+  || CASE WHEN value >= 1 THEN 'null' ELSE to_json('value ' || value) END || {O.NL} || '}}' || {O.NL} || '```' || {O.NL} || {O.NL}
+  AS block FROM events"""
+
+
+@register("test_report", f"""WITH t AS ({_REPORT_ROWS_SQL}),
+a AS (SELECT user_id, run_date, coalesce(string_agg(CASE WHEN NOT passed THEN block END, '' ORDER BY event_id), '') AS f,
+  coalesce(string_agg(CASE WHEN passed THEN block END, '' ORDER BY event_id), '') AS p,
+  count_if(passed) AS np, count_if(NOT passed) AS nf, count(*) AS n FROM t GROUP BY ALL)
+SELECT user_id, run_date, CASE WHEN nf > 0 THEN {O.NL} || '## ❌ Failed Tests' || {O.NL} || {O.NL} || f ELSE '' END
+  || CASE WHEN np > 0 THEN '## ✅ Passed Tests' || {O.NL} || {O.NL} || p ELSE '' END || '## Summary' || {O.NL} || '- **Passed**: ' || np
+  || {O.NL} || '- **Failed**: ' || nf || {O.NL} || '- **Total**: ' || n AS report FROM a""")
+def q_test_report(spark, sf):
+    """FN-23: Markdown test report per user/day run (failed, passed, summary)."""
+    t = B.test_results(spark, sf).join(table(spark, sf, "events").select("event_id", "value"), "event_id")
+    t = t.select("user_id", "run_date", "event_id", "test_name", "passed",
+                 F.concat(F.lit("pytest -k "), F.col("test_name")).alias("execution_command"),
+                 F.concat(F.lit("check "), F.col("test_name")).alias("test_purpose"),
+                 F.when(~F.col("passed"), F.concat(F.lit("value "), F.col("value").cast("string"))).alias("error"))
+    return RD.test_report(t, ["user_id", "run_date"], "event_id")
