@@ -1456,3 +1456,231 @@ def q_test_report(spark, sf):
                  F.concat(F.lit("check "), F.col("test_name")).alias("test_purpose"),
                  F.when(~F.col("passed"), F.concat(F.lit("value "), F.col("value").cast("string"))).alias("error"))
     return RD.test_report(t, ["user_id", "run_date"], "event_id")
+
+
+# ---------------------------------------------------------------- sources and sinks (SRC-*, U-07)
+# Each query writes files derived from the driver tables to a fresh folder under the
+# shared checkpoint folder, then reads them back with the source operator.
+from runledger.operators import reconcile as _R  # noqa: E402,F811
+from runledger.sources import config_files as SC  # noqa: E402
+from runledger.sources import documents as SD  # noqa: E402
+from runledger.sources import logs as SL  # noqa: E402
+
+
+def _run_log_lines(spark, sf):
+    ev = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k")
+    et = F.col("event_type")
+    res = F.to_json(F.struct(F.lit("result").alias("type"), F.lit("success").alias("subtype"),
+                             (et == "error").alias("is_error"), (F.col("value") * 1000).cast("bigint").alias("duration_ms"),
+                             F.concat(et, F.lit(" "), k).alias("result"),
+                             F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("session_id")))
+    asst = F.to_json(F.struct(F.lit("assistant").alias("type"), F.struct(F.array(F.struct(
+        F.concat(F.lit("viewed "), k).alias("text"))).alias("content")).alias("message")))
+    line = (F.when(et == "view", asst).when((et == "error") & (F.col("value") > 300), F.lit("not json {")).otherwise(res))
+    return ev.select("user_id", "ts", "event_id", line.alias("value"))
+
+
+def _write_run_logs(spark, sf):
+    path = SL.scratch_path(spark, "run-logs")
+    (_run_log_lines(spark, sf).repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+        .select("user_id", "value").write.partitionBy("user_id").text(path))
+    return path
+
+
+def _user_of_file():
+    return F.regexp_extract("file", r"user_id=(\d+)/", 1).cast("bigint")
+_LOG_EVENTS_SQL = """SELECT user_id, event_type, value, json_extract_string(props, '$.k') AS k,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS line_no,
+  count(*) OVER (PARTITION BY user_id) AS n_messages,
+  bool_or(event_type = 'error' AND value > 300) OVER (PARTITION BY user_id) AS voided FROM events"""
+
+
+@register("run_log_results", f"""WITH e AS ({_LOG_EVENTS_SQL})
+SELECT user_id, any_value(n_messages) AS n_messages, max(line_no) AS line_no, arg_max(event_type || ' ' || k, line_no) AS result,
+  arg_max(event_type = 'error', line_no) AS is_error, arg_max(CAST(value * 1000 AS BIGINT), line_no) AS duration_ms
+FROM e WHERE NOT voided AND event_type <> 'view' GROUP BY user_id""")
+def q_run_log_results(spark, sf):
+    """SRC-01 (strict): JSONL run logs written per user, read back; a file with one bad
+    line is void; the result message is the file's last result line."""
+    path = _write_run_logs(spark, sf)
+    msgs = SL.read_run_log(spark, path, "strict")
+    n = msgs.groupBy("file").agg(F.count(F.lit(1)).alias("n_messages"))
+    r = SL.result_messages(msgs).join(n, "file")
+    return r.select(_user_of_file().alias("user_id"), "n_messages", F.col("line_no").cast("bigint").alias("line_no"),
+                    "result", "is_error", "duration_ms")
+
+
+@register("run_log_permissive", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
+  FROM events GROUP BY user_id""")
+def q_run_log_permissive(spark, sf):
+    """SRC-01 (permissive): every line kept, bad ones flagged."""
+    path = _write_run_logs(spark, sf)
+    msgs = SL.read_run_log(spark, path, "permissive")
+    return msgs.groupBy(_user_of_file().alias("user_id")).agg(F.count(F.lit(1)).alias("n_lines"),
+                                                            F.count_if("corrupt").alias("n_corrupt"))
+
+
+@register("json_array_export", """SELECT conv_id, count(*) AS n_messages, min(turn) AS first_turn, max(turn) AS last_turn
+  FROM conversations GROUP BY conv_id""")
+def q_json_array_export(spark, sf):
+    """SRC-02: each conversation's messages written as one JSON array file, read back."""
+    path = SL.scratch_path(spark, "json-arrays")
+    cv = table(spark, sf, "conversations")
+    msg = F.to_json(F.struct("turn", "role", "text"))
+    SL.write_json_array(cv.withColumn("msg", msg), ["conv_id"], "turn", "msg", path)
+    back = SL.file_lines(spark, path).select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"),
+                                             F.from_json("line", "array<struct<turn: bigint, role: string, text: string>>").alias("a"))
+    return back.select("conv_id", F.size("a").cast("bigint").alias("n_messages"),
+                       F.col("a")[0]["turn"].alias("first_turn"), F.element_at("a", -1)["turn"].alias("last_turn"))
+
+
+_LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END"
+
+
+@register("exec_log", f"""SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, {_LEVEL} AS level,
+  event_type || ' by ' || user_id || ' value ' || value AS message FROM events
+  UNION ALL SELECT NULL, NULL, '  detail: ' || props FROM events WHERE event_type = 'error'""")
+def q_exec_log(spark, sf):
+    """SRC-03: execution log lines (timestamp - LEVEL - message, plus continuation
+    lines) written from events and parsed back."""
+    ev = table(spark, sf, "events")
+    lvl = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING").otherwise("INFO")
+    msg = F.concat(F.col("event_type"), F.lit(" by "), F.col("user_id").cast("string"), F.lit(" value "),
+                   F.col("value").cast("string"))
+    head = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" - "), lvl, F.lit(" - "), msg)
+    lines = ev.select(F.when(F.col("event_type") == "error", F.concat(head, F.lit("\n  detail: "), F.col("props")))
+                      .otherwise(head).alias("value"))
+    path = SL.scratch_path(spark, "exec-log")
+    lines.write.text(path)
+    back = SL.read_exec_log(spark, path)
+    return back.select("ts", "level", "message")
+
+
+_KV_LINE_SQL = """CASE p_size % 10 WHEN 0 THEN '# comment ' || p_name WHEN 1 THEN '' WHEN 2 THEN p_name
+  WHEN 3 THEN key || '=' || value || '=x' ELSE key || ' = ' || value END"""
+
+
+@register("kv_roundtrip", f"""WITH k AS ({O.PART_KEYS}), l AS (SELECT p_brand, p_partkey, {_KV_LINE_SQL} AS line FROM k),
+kv AS (SELECT p_brand, p_partkey, trim(substr(line, 1, strpos(line, '=') - 1)) AS key, trim(substr(line, strpos(line, '=') + 1)) AS value
+  FROM l WHERE strpos(line, '=') > 0 AND NOT starts_with(line, '#'))
+SELECT p_brand AS brand, key, arg_max(value, p_partkey) AS value FROM kv GROUP BY 1, 2""")
+def q_kv_roundtrip(spark, sf):
+    """SRC-05 then SRC-04: one .env file per brand (comments, blanks, lines without '=',
+    'A=b=c', spaced pairs, repeated keys) written and read back; later duplicate wins."""
+    k = B.part_keys(spark, sf)
+    sz = F.col("p_size") % 10
+    key = (F.when(sz == 0, F.concat(F.lit("# comment "), F.col("p_name"))).when(sz == 1, F.lit(""))
+            .when(sz == 2, F.col("p_name")).when(sz == 3, F.col("key")).otherwise(F.concat(F.col("key"), F.lit(" "))))
+    val = (F.when(sz.isin(0, 1, 2), F.lit(None).cast("string")).when(sz == 3, F.concat(F.col("value"), F.lit("=x")))
+            .otherwise(F.concat(F.lit(" "), F.col("value"))))
+    path = SL.scratch_path(spark, "kv")
+    SC.write_kv(k.select("p_brand", "p_partkey", key.alias("key"), val.alias("value")), path, ["p_brand"],
+                order_col="p_partkey")
+    back = SC.read_kv(spark, path)
+    return back.select(F.url_decode(F.url_decode(F.regexp_extract("file", r"p_brand=([^/]+)/", 1))).alias("brand"), "key", "value")
+
+
+_NATION_DOC_SQL = """SELECT n.n_nationkey AS run_id, n.n_name, n.n_regionkey, count(c.c_custkey) AS n_customers
+  FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2, 3"""
+
+
+def _nation_docs(spark, sf):
+    n = table(spark, sf, "nation")
+    c = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_customers"))
+    return n.join(c, "n_nationkey", "left").select(F.col("n_nationkey").alias("run_id"), "n_name", "n_regionkey",
+                                                   F.coalesce("n_customers", F.lit(0)).alias("n_customers"))
+
+
+_CFG_DOCS_SQL = f"""WITH n AS ({_NATION_DOC_SQL}),
+kv AS (SELECT run_id, 'nation' AS key, to_json(n_name) AS value_json, 'base' AS layer FROM n
+  UNION ALL SELECT run_id, 'region', CAST(n_regionkey AS VARCHAR), 'base' FROM n
+  UNION ALL SELECT run_id, 'debug', 'false', 'base' FROM n
+  UNION ALL SELECT run_id, 'limits', '{{"max":10}}', 'base' FROM n
+  UNION ALL SELECT run_id, 'debug', 'true', 'dev' FROM n WHERE n_regionkey <> 0
+  UNION ALL SELECT run_id, 'customers', CAST(n_customers AS VARCHAR), 'dev' FROM n WHERE n_regionkey <> 0)
+SELECT run_id, key, arg_max(value_json, CASE layer WHEN 'dev' THEN 1 ELSE 0 END) AS value,
+  arg_max(layer, CASE layer WHEN 'dev' THEN 1 ELSE 0 END) AS layer FROM kv GROUP BY 1, 2"""
+
+
+def _config_docs_query(fmt):
+    def q(spark, sf):
+        d = _nation_docs(spark, sf)
+        if fmt == "json":
+            base = F.concat(F.lit('{"nation": '), F.to_json(F.array("n_name")).substr(F.lit(2), F.length(F.to_json(F.array("n_name"))) - 2),
+                            F.lit(', "region": '), F.col("n_regionkey").cast("string"),
+                            F.lit(', "debug": false, "limits": {"max": 10}}'))
+            env = F.when(F.col("n_regionkey") != 0, F.concat(F.lit('{"debug": true, "customers": '),
+                                                             F.col("n_customers").cast("string"), F.lit("}"))).otherwise(F.lit(""))
+        else:
+            base = F.concat(F.lit("nation: "), F.col("n_name"), F.lit("\nregion: "), F.col("n_regionkey").cast("string"),
+                            F.lit("\ndebug: false\nlimits:\n  max: 10\n"))
+            env = F.when(F.col("n_regionkey") != 0, F.concat(F.lit("debug: true\ncustomers: "),
+                                                             F.col("n_customers").cast("string"), F.lit("\n"))).otherwise(F.lit(""))
+        files = d.select("run_id", F.lit("base").alias("layer"), base.alias("value")).unionByName(
+            d.select("run_id", F.lit("dev").alias("layer"), env.alias("value")))
+        path = SL.scratch_path(spark, f"config-{fmt}")
+        files.write.partitionBy("run_id", "layer").text(path)
+        docs = SC.read_config_docs(spark, path, fmt)
+        docs = docs.select(F.regexp_extract("file", r"run_id=(\d+)/", 1).cast("int").alias("run_id"),
+                           F.regexp_extract("file", r"layer=([a-z]+)/", 1).alias("layer"), "key",
+                           F.regexp_replace("value_json", r"\s", "").alias("value_json"))
+        return SC.layered(docs, {"base": 0, "dev": 1}).select("run_id", "key", "value", "layer")
+    q.__doc__ = f"SRC-06 ({fmt}): base then environment config files per run, top-level keys, env wins."
+    return q
+
+
+register("config_docs_json", _CFG_DOCS_SQL)(_config_docs_query("json"))
+register("config_docs_yaml", _CFG_DOCS_SQL)(_config_docs_query("yaml"))
+
+
+@register("params_under_prefix", f"""WITH k AS ({O.PART_KEYS}), p AS (SELECT '/sdaw/run/dev/' || replace(key, '_', '/') AS name, value FROM k)
+SELECT name, value, replace(replace(name, '/sdaw/run/dev/RED/', ''), '/', '_') AS key FROM p
+  WHERE starts_with(name, '/sdaw/run/dev/RED/')""")
+def q_params_under_prefix(spark, sf):
+    """SRC-07: parameters under a prefix (all pages), keys rebuilt from the paths."""
+    k = B.part_keys(spark, sf)
+    p = k.select(C.key_to_path(F.col("key"), "/sdaw/run/dev").alias("name"), "value")
+    return SC.params_under(p, "/sdaw/run/dev/RED")
+
+
+@register("params_to_write", f"""WITH k AS ({O.PART_KEYS})
+SELECT DISTINCT '/sdaw/run/dev/' || replace(key, '_', '/') AS name, value,
+  CASE WHEN {O.contains_any('key', _SENS['parameter'])} THEN 'SecureString' ELSE 'String' END AS type FROM k
+  WHERE '/sdaw/run/dev/' || replace(key, '_', '/') NOT IN (SELECT '/sdaw/run/dev/' || replace(key, '_', '/') FROM k WHERE p_size < 10)""")
+def q_params_to_write(spark, sf):
+    """SRC-08: parameters to write without overwrite: names that exist are skipped."""
+    k = B.part_keys(spark, sf)
+    existing = SC.to_params(k.filter(F.col("p_size") < 10), "/sdaw/run/dev")
+    return SC.to_params(k, "/sdaw/run/dev", existing, overwrite=False).distinct()
+
+
+@register("state_roundtrip", """SELECT 'r' || o_orderkey AS adw_id, CAST(o_orderkey AS VARCHAR) AS issue_number,
+  CASE WHEN o_orderstatus = 'O' THEN 'feat-issue-' || o_orderkey END AS branch_name,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'heavy' ELSE 'base' END AS model_set,
+  CASE o_orderstatus WHEN 'F' THEN 'deploy' WHEN 'O' THEN 'build' ELSE 'plan' END AS current_phase,
+  CAST(CAST(trunc(o_totalprice) AS BIGINT) % 5 AS VARCHAR) AS planning_attempts, 'none' AS bad_path, 'none' AS plan_file FROM orders""")
+def q_state_roundtrip(spark, sf):
+    """SRC-10 then SRC-09: state snapshots (null core fields dropped, extended keys
+    overlaid, extended wins on a clash) written as JSON lines and read back."""
+    o = table(spark, sf, "orders")
+    core = F.struct(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("adw_id"),
+                    F.col("o_orderkey").cast("string").alias("issue_number"),
+                    F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("feat-issue-"), F.col("o_orderkey").cast("string")))
+                    .alias("branch_name"),
+                    F.lit(None).cast("string").alias("plan_file"), F.lit("base").alias("model_set"))
+    ext = F.struct(F.when(F.col("o_orderstatus") == "F", "deploy").when(F.col("o_orderstatus") == "O", "build")
+                   .otherwise("plan").alias("current_phase"),
+                   F.struct((F.col("o_totalprice").cast("bigint") % 5).alias("attempts"), F.lit(True).alias("completed"))
+                   .alias("planning"),
+                   F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("heavy")).alias("model_set"))
+    path = SL.scratch_path(spark, "state")
+    o.select(SD.to_state_json(core, ext).alias("value")).write.text(path)
+    st = SD.read_state(spark, path, per_file=False)
+    # a clash: extended model_set wins when present; core value otherwise
+    return st.select("adw_id", "issue_number", "branch_name",
+                     F.coalesce(F.get_json_object(F.col("extended")["model_set"], "$"), F.col("model_set")).alias("model_set"),
+                     SD.state_get("current_phase").alias("current_phase"),
+                     SD.state_get("planning.attempts").alias("planning_attempts"),
+                     SD.state_get("current_phase.x", "none").alias("bad_path"),
+                     SD.state_get("plan_file", "none").alias("plan_file"))
