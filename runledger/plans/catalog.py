@@ -1684,3 +1684,121 @@ def q_state_roundtrip(spark, sf):
                      SD.state_get("planning.attempts").alias("planning_attempts"),
                      SD.state_get("current_phase.x", "none").alias("bad_path"),
                      SD.state_get("plan_file", "none").alias("plan_file"))
+
+
+def _iso(ts_col):
+    return F.date_format(ts_col, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+@register("issue_comments", """SELECT conv_id AS number, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS pos,
+  'c' || conv_id || '-' || turn AS comment_id, role || '-' || conv_id AS author, text AS body,
+  TIMESTAMP '2024-01-01 00:00:00' + to_minutes(turn) AS created_at FROM conversations""")
+def q_issue_comments(spark, sf):
+    """SRC-11: issue documents (camelCase, nested author and comments) built per
+    conversation, written as JSON lines, read back and exploded to comments."""
+    cv = table(spark, sf, "conversations")
+    created = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, turn, 0)")
+    comment = F.struct(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
+                       F.struct(F.concat(F.col("role"), F.lit("-"), F.col("conv_id").cast("string")).alias("login"),
+                                (F.col("role") == "assistant").alias("is_bot")).alias("author"),
+                       F.col("text").alias("body"), _iso(created).alias("createdAt"))
+    docs = cv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", comment.alias("c")))).alias("cs")).select(
+        F.to_json(F.struct(F.col("conv_id").alias("number"), F.concat(F.lit("Conversation "), F.col("conv_id").cast("string")).alias("title"),
+                           F.lit("").alias("body"), F.lit("open").alias("state"),
+                           F.struct(F.lit("owner").alias("login")).alias("author"),
+                           F.transform("cs", lambda x: x["c"]).alias("comments"),
+                           F.lit("2024-01-01T00:00:00Z").alias("createdAt"), F.lit("2024-01-02T00:00:00Z").alias("updatedAt"),
+                           F.lit("https://example.com/issues").alias("url"))).alias("value"))
+    path = SL.scratch_path(spark, "issues")
+    docs.write.text(path)
+    issues = SD.read_issues(spark, path, per_file=False)
+    out = SD.issue_comments(issues).withColumn("created_at", F.to_timestamp_ntz(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")))
+    return out.select(F.col("number").cast("bigint").alias("number"), "pos", "comment_id", "author", "body", "created_at")
+
+
+@register("open_issues", """SELECT o_orderkey AS number, 'Order ' || o_orderkey AS title, o_orderdate AS created_at FROM orders
+  WHERE o_orderstatus = 'O' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1000""")
+def q_open_issues(spark, sf):
+    """SRC-12: open issues (status O), newest first, the 1000-item listing limit."""
+    o = table(spark, sf, "orders")
+    issues = o.select(F.col("o_orderkey").alias("number"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"),
+                      F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("state"),
+                      F.col("o_orderdate").alias("created_at"))
+    return SD.open_issues(issues, 1000, ["number", "title", "created_at"])
+
+
+@register("prompt_store", """WITH p AS (SELECT conv_id, CASE WHEN turn < 4 THEN 'planner' ELSE 'builder' END AS agent, turn,
+    CASE WHEN role <> 'assistant' THEN '/' || role || ' ' || text ELSE text END AS prompt, role FROM conversations WHERE role <> 'assistant')
+SELECT conv_id, agent, role AS command, arg_max(prompt, turn) AS prompt FROM p GROUP BY 1, 2, 3""")
+def q_prompt_store(spark, sf):
+    """SRC-13: prompts starting with /command stored per run/agent/command (last wins),
+    read back from the partitioned folders."""
+    cv = table(spark, sf, "conversations")
+    prompt = F.when(F.col("role") != "assistant", F.concat(F.lit("/"), F.col("role"), F.lit(" "), F.col("text"))).otherwise(F.col("text"))
+    df = cv.select("conv_id", F.when(F.col("turn") < 4, "planner").otherwise("builder").alias("agent"), "turn", prompt.alias("prompt"))
+    path = SL.scratch_path(spark, "prompts")
+    SL.write_prompts(df, "conv_id", "agent", "prompt", "turn", path)
+    back = SL.read_docs(spark, path)
+    part = lambda k: F.regexp_extract("file", k + r"=([^/]+)/", 1)
+    return back.select(part("conv_id").cast("bigint").alias("conv_id"), part("agent").alias("agent"),
+                       part("command").alias("command"), F.regexp_replace("text", r"\n\z", "").alias("prompt"))
+
+
+@register("stack_listing", """SELECT s_name AS stack_name,
+  coalesce(CASE WHEN s_acctbal >= 1000 THEN 'deployed' WHEN s_acctbal < 0 THEN 'failed' END, 'unknown') AS status,
+  'region-' || s_nationkey AS region, CAST(s_suppkey AS VARCHAR) AS acct FROM supplier""")
+def q_stack_listing(spark, sf):
+    """SRC-14: stack listings (JSON arrays per nation and key block) read back; a
+    stack without a status reads as unknown."""
+    s = table(spark, sf, "supplier")
+    st = F.struct(F.col("s_name").alias("stack_name"),
+                  F.when(F.col("s_acctbal") >= 1000, "deployed").when(F.col("s_acctbal") < 0, "failed").alias("status"),
+                  F.concat(F.lit("region-"), F.col("s_nationkey").cast("string")).alias("region"),
+                  F.create_map(F.lit("acct"), F.col("s_suppkey").cast("string")).alias("outputs"))
+    docs = s.groupBy("s_nationkey", F.expr("s_suppkey div 1000").alias("blk")).agg(
+        F.to_json(F.collect_list(st)).alias("value"))
+    path = SL.scratch_path(spark, "stacks")
+    docs.select("value").write.text(path)
+    stacks = SD.read_stacks(spark, path, per_file=False)
+    return stacks.select("stack_name", "status", "region", F.col("outputs")["acct"].alias("acct"))
+
+
+@register("explode_stories", """SELECT o.o_orderkey, CAST(row_number() OVER (PARTITION BY o.o_orderkey
+    ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice) - 1 AS INT) AS pos,
+  l.l_linenumber AS line, l.l_partkey AS part, l.l_quantity AS qty FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+def q_explode_stories(spark, sf):
+    """SRC-15: per order a JSON document with a nested list of its lines, exploded back
+    with positions (orders without lines keep one empty row)."""
+    li = table(spark, sf, "lineitem")
+    items = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(
+        F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
+                 F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price")))).alias("stories"))
+    o = table(spark, sf, "orders").select("o_orderkey").join(items, "o_orderkey", "left")
+    docs = o.select("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("order"), "stories")).alias("doc"))
+    ex = SD.explode_list(docs, "doc", "$.stories", "struct<line: int, part: bigint, qty: double>", keep=["o_orderkey"])
+    return ex.select("o_orderkey", "pos", "line", "part", "qty")
+
+
+@register("read_documents", """SELECT l.doc_id, CASE WHEN d.lang <> 'fr' THEN d.text || chr(10) ELSE '' END AS text
+  FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id""")
+def q_read_documents(spark, sf):
+    """SRC-16: whole documents read back by name for every labelled document; documents
+    never written (French ones) read as empty text."""
+    d = table(spark, sf, "documents")
+    path = SL.scratch_path(spark, "docs")
+    d.filter(F.col("lang") != "fr").select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"), "text") \
+        .write.partitionBy("name").text(path)
+    wanted = table(spark, sf, "labels").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"))
+    got = SL.read_docs(spark, path).select(F.regexp_extract("file", r"name=([^/]+)/", 1).alias("name"), "text")
+    return wanted.join(got, "name", "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
+@register("append_history", f"""SELECT * FROM ({O.TEST_RESULTS})""")
+def q_append_history(spark, sf):
+    """U-07: results appended to a run-history table in two batches, read back whole."""
+    t = B.test_results(spark, sf)
+    path = SL.scratch_path(spark, "history")
+    _R.append_results(t.filter(F.col("test_name").isin("view", "click")), path)
+    _R.append_results(t.filter(~F.col("test_name").isin("view", "click")), path)
+    return spark.read.parquet(path)
