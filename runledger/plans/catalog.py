@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.operators import runs
+from runledger.operators.runs import latest
 from runledger.plans import bindings as B
 from runledger.plans import oracle as O
 
@@ -1802,3 +1803,101 @@ def q_append_history(spark, sf):
     _R.append_results(t.filter(F.col("test_name").isin("view", "click")), path)
     _R.append_results(t.filter(~F.col("test_name").isin("view", "click")), path)
     return spark.read.parquet(path)
+
+
+# -------------------------------------------------------------------- streaming (ST-*)
+from runledger.streaming import streams as SS  # noqa: E402
+
+# Stream tests replay the events table as 8 files in arbitrary order, one per trigger;
+# the watermark is wide enough that no row is late (the data spans 30 days).
+_STREAM_DELAY = "40 days"
+
+
+def _event_stream(spark, sf):
+    ev = table(spark, sf, "events")
+    path = SL.scratch_path(spark, "event-stream")
+    ev.repartition(8).write.parquet(path)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@register("stream_run_log", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
+  FROM events GROUP BY user_id""")
+def q_stream_run_log(spark, sf):
+    """ST-01: run logs picked up as files land (availableNow), permissive, counted per file."""
+    path = _write_run_logs(spark, sf)
+    out = SL.scratch_path(spark, "st01")
+    s = SS.stream_run_log(spark, path, "permissive").select("file", "line_no", "type", "voided")
+    corrupt = F.col("type").isNull()
+    SS.run_available_now(s, out, "append", "st01")
+    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(corrupt).alias("n_corrupt"))
+
+
+@register("stream_run_log_strict", """SELECT user_id, count(*) AS n_lines FROM events GROUP BY user_id
+  HAVING NOT bool_or(event_type = 'error' AND value > 300)""")
+def q_stream_run_log_strict(spark, sf):
+    """ST-01 (strict): files with a bad line yield nothing."""
+    path = _write_run_logs(spark, sf)
+    out = SL.scratch_path(spark, "st01s")
+    SS.run_available_now(SS.stream_run_log(spark, path, "strict").select("file", "line_no"), out, "append", "st01s")
+    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("assemble_answers", """SELECT conv_id, string_agg(text, '' ORDER BY turn) AS answer, count(*) AS n_chunks
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id""")
+def q_assemble_answers(spark, sf):
+    """ST-02: streamed answer chunks (assistant turns) concatenated in order."""
+    cv = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    return SS.assemble_stream(cv, ["conv_id"], "turn", "text")
+
+
+@register("stream_attempts", ORACLE["attempt_history"])
+def q_stream_attempts(spark, sf):
+    """ST-03: attempt state machine on the event stream (out-of-order files); equals W-05."""
+    out = SL.scratch_path(spark, "st03")
+    SS.run_available_now(SS.stream_attempts(_event_stream(spark, sf), delay=_STREAM_DELAY), out, "update", "st03")
+    return SS.read_versions(spark, out, ["user_id", "run_date"],
+                            ["attempts", "failed_attempts", "final_status", "stop_reason"])
+
+
+@register("stream_latest_state", ORACLE["latest_state"])
+def q_stream_latest_state(spark, sf):
+    """ST-04: latest state per user upserted batch by batch; equals W-07."""
+    out = SL.scratch_path(spark, "st04")
+    s = _event_stream(spark, sf).withColumnRenamed("event_type", "current_phase")
+    SS.run_available_now(s, out, "append", "st04",
+                         SS.latest_batch(["user_id"], ["ts", "event_id"], ["current_phase", "value"]))
+    return latest(spark.read.parquet(out), "user_id", ["ts", "event_id"], ["current_phase", "value"])
+
+
+@register("stream_quota", ORACLE["daily_quota"])
+def q_stream_quota(spark, sf):
+    """ST-05: daily quota on the stream (window + watermark); equals W-08."""
+    lim = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"),
+                                              F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("int"))
+                                              .otherwise(F.lit(3)).alias("lim"))
+    out = SL.scratch_path(spark, "st05")
+    SS.run_available_now(SS.stream_quota(_event_stream(spark, sf), lim, delay=_STREAM_DELAY), out, "update", "st05")
+    return SS.read_versions(spark, out, ["user_id", "run_date"], ["n_requests", "n_allowed", "n_rejected"])
+
+
+@register("stream_alarms", """SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n_failed,
+  'medium' AS severity FROM events WHERE event_type = 'error' GROUP BY 1, 2 HAVING count(*) >= 2""")
+def q_stream_alarms(spark, sf):
+    """ST-06: at least 2 failed attempts by one user within an hour raises an alarm."""
+    out = SL.scratch_path(spark, "st06")
+    SS.run_available_now(SS.stream_alarms(_event_stream(spark, sf), 2, "1 hour", delay=_STREAM_DELAY), out, "update", "st06")
+    v = SS.read_versions(spark, out, ["user_id", "window_start"], ["n_failed", "severity"])
+    return v.select("user_id", "window_start", "n_failed", "severity")
+
+
+@register("stream_rate_alarms", """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n,
+  round(avg(CAST(event_type = 'error' AS DOUBLE)), 6) AS error_rate, quantile_disc(value * 10, 0.99) AS p99_ms,
+  count(*) >= 20 AND avg(CAST(event_type = 'error' AS DOUBLE)) > 0.05 AS error_alarm,
+  count(*) >= 20 AND quantile_disc(value * 10, 0.99) > 3000.0 AS latency_alarm FROM events GROUP BY 1""")
+def q_stream_rate_alarms(spark, sf):
+    """ST-07: daily error share and p99 latency alarms (window widened for sparse data)."""
+    out = SL.scratch_path(spark, "st07")
+    SS.run_available_now(SS.stream_rate_alarms(_event_stream(spark, sf), "1 day", 20, delay=_STREAM_DELAY), out, "update", "st07")
+    v = SS.read_versions(spark, out, ["window_start"], ["n", "error_rate", "p99_ms", "error_alarm", "latency_alarm"])
+    return v.select("window_start", "n", "error_rate", "p99_ms", "error_alarm", "latency_alarm")
