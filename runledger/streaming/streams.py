@@ -9,6 +9,8 @@ version per key. Checkpoints live under the shared checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
+from itertools import groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -95,35 +97,59 @@ def assemble_stream(chunks: DataFrame, key_cols: Sequence[str], seq_col: str, te
 
 ATTEMPT_OUT = ("user_id long, run_date date, attempts long, failed_attempts long, final_status string, "
                "stop_reason string")
-ATTEMPT_STATE = "rows array<struct<ts: long, event_id: long, failed: boolean>>"
+ATTEMPT_STATE = "rows array<struct<day: long, ts: long, event_id: long, failed: boolean>>"
+EPOCH_DATE = date(1970, 1, 1)
+
+
+def _summarise(rows: list, max_attempts: int) -> tuple:
+    """W-05 on one day's rows, ordered, at most ``max_attempts`` of them."""
+    n = failed = 0
+    final, reason = None, "incomplete"
+    for i, (_, _, _, f) in enumerate(rows, start=1):
+        n, failed, final = i, failed + int(f), ("failed" if f else "passed")
+        if not f:
+            reason = "passed"
+            break
+        if i == max_attempts:
+            reason = "max_attempts"
+            break
+    return n, failed, final, reason
 
 
 def _attempt_fn(max_attempts: int, grace_ms: int):
+    day_ms = 24 * 3600 * 1000
+    day_us = day_ms * 1000
+
     def fn(key, batches, state):
         if state.hasTimedOut:
             state.remove()
             return
-        kept = list(state.get[0]) if state.exists else []
-        kept = [(int(r["ts"]), int(r["event_id"]), bool(r["failed"])) if isinstance(r, dict) else
-                (int(r[0]), int(r[1]), bool(r[2])) for r in kept]
+        kept = [tuple(r) for r in state.get[0]] if state.exists else []
+        touched = set()
         for pdf in batches:
-            ts = pd.to_datetime(pdf["ts"]).astype("int64") // 1000
-            kept.extend(zip(ts.tolist(), pdf["event_id"].astype("int64").tolist(), pdf["failed"].astype(bool).tolist()))
-            kept = sorted(set(kept))[:max_attempts]  # only the first k attempts can matter
-        n, failed, final, reason = 0, 0, None, None
-        for i, (_, _, f) in enumerate(kept, start=1):
-            n, failed, final = i, failed + int(f), ("failed" if f else "passed")
-            if not f:
-                reason = "passed"
-                break
-            if i == max_attempts:
-                reason = "max_attempts"
-                break
-        state.update(([{"ts": a, "event_id": b, "failed": c} for a, b, c in kept],))
-        day_end_ms = (pd.Timestamp(key[1]) + pd.Timedelta(days=1)).value // 1_000_000
-        state.setTimeoutTimestamp(max(day_end_ms + grace_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([{"user_id": key[0], "run_date": key[1], "attempts": n, "failed_attempts": failed,
-                             "final_status": final, "stop_reason": reason or "incomplete"}])
+            ts = (pd.to_datetime(pdf["ts"]).astype("int64") // 1000).tolist()
+            new = [(t // day_us, t, e, bool(f)) for t, e, f in
+                   zip(ts, pdf["event_id"].astype("int64").tolist(), pdf["failed"].tolist())]
+            touched.update(r[0] for r in new)
+            merged, kept = sorted(set(kept + new)), []
+            for _, grp in groupby(merged, key=lambda r: r[0]):
+                kept.extend(islice(grp, max_attempts))  # only the first k attempts can matter
+        # days whose end is more than ``grace`` behind the watermark are final: evict them
+        wm = state.getCurrentWatermarkMs()
+        kept = [r for r in kept if (r[0] + 1) * day_ms + grace_ms > wm]
+        if not kept:
+            state.remove()
+            return
+        state.update(([(int(d), int(t), int(e), bool(f)) for d, t, e, f in kept],))
+        state.setTimeoutTimestamp(max((max(r[0] for r in kept) + 1) * day_ms + grace_ms, wm + 1))
+        out = {c: [] for c in ("user_id", "run_date", "attempts", "failed_attempts", "final_status", "stop_reason")}
+        for day, grp in groupby(kept, key=lambda r: r[0]):
+            if day not in touched:
+                continue
+            n, failed, final, reason = _summarise(list(grp), max_attempts)
+            for c, v in zip(out, (key[0], EPOCH_DATE + timedelta(days=int(day)), n, failed, final, reason)):
+                out[c].append(v)
+        yield pd.DataFrame(out)
     return fn
 
 
@@ -131,14 +157,14 @@ def stream_attempts(events: DataFrame, max_attempts: int = MAX_ATTEMPTS["unit"],
                     grace_ms: int = 24 * 3600 * 1000) -> DataFrame:
     """ST-03: the W-05 attempt state machine per (user, day) run on a stream.
 
-    State per run keeps only the ``max_attempts`` earliest rows, so the answer equals
-    the batch operator whatever the arrival order and state stays bounded; a run's
-    state is dropped one day after its day ends (event-time timeout).
+    Grouped by user (one Python call per user and batch, days handled vectorised).
+    State keeps only the ``max_attempts`` earliest rows of each open day, so the answer
+    equals the batch operator whatever the arrival order and state stays bounded; a
+    day is evicted once the watermark passes its end plus ``grace_ms``.
     """
     ev = (events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay)
-                .select("user_id", F.to_date("ts").alias("run_date"), "ts", "event_time", "event_id",
-                        (F.col("event_type") == "error").alias("failed")))
-    return ev.groupBy("user_id", "run_date").applyInPandasWithState(
+                .select("user_id", "ts", "event_time", "event_id", (F.col("event_type") == "error").alias("failed")))
+    return ev.groupBy("user_id").applyInPandasWithState(
         _attempt_fn(max_attempts, grace_ms), ATTEMPT_OUT, ATTEMPT_STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
