@@ -126,3 +126,21 @@ def test_report(results: DataFrame, run_cols: Sequence[str], order_col: str) ->
         F.lit("\n- **Failed**: "), F.col("_nf").cast("string"),
         F.lit("\n- **Total**: "), F.col("_n").cast("string"))
     return agg.select(*run_cols, F.when(F.col("_n") == 0, F.lit(NO_RESULTS)).otherwise(text).alias("report"))
+
+
+def review_report(issues: DataFrame, run_cols: Sequence[str], order_col: str,
+                  severities: Sequence[str] = ("blocker", "tech_debt", "skippable")) -> DataFrame:
+    """FN-23 (review): per run, one section per severity present (most severe first)
+    listing its findings, then a summary line with the counts."""
+    run_cols = list(run_cols)
+    line = F.concat(F.lit("- #"), F.col("review_issue_number").cast("string"), F.lit(": "), F.col("issue_description"))
+    aggs = []
+    for s in severities:
+        aggs.append(ordered_join(F.when(F.col("issue_severity") == s, F.concat(line, F.lit("\n"))).otherwise(F.lit("")),
+                                 F.col(order_col)).alias(f"_l_{s}"))
+        aggs.append(F.count_if(F.col("issue_severity") == s).alias(f"_n_{s}"))
+    agg = issues.groupBy(*run_cols).agg(*aggs)
+    parts = [F.when(F.col(f"_n_{s}") > 0, F.concat(F.lit(f"## {s} ("), F.col(f"_n_{s}").cast("string"), F.lit(")\n"),
+                                                   F.col(f"_l_{s}"), F.lit("\n"))).otherwise(F.lit("")) for s in severities]
+    summary = F.concat_ws(", ", *[F.concat(F.lit(f"{s}: "), F.col(f"_n_{s}").cast("string")) for s in severities])
+    return agg.select(*run_cols, F.concat(*parts, F.lit("Summary: "), summary).alias("report"))

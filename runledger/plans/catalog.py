@@ -1901,3 +1901,80 @@ def q_stream_rate_alarms(spark, sf):
     SS.run_available_now(SS.stream_rate_alarms(_event_stream(spark, sf), "1 day", 20, delay=_STREAM_DELAY), out, "update", "st07")
     v = SS.read_versions(spark, out, ["window_start"], ["n", "error_rate", "p99_ms", "error_alarm", "latency_alarm"])
     return v.select("window_start", "n", "error_rate", "p99_ms", "error_alarm", "latency_alarm")
+
+
+# ---------------------------------------------------------------- rule variants
+@register("attempt_history_full", f"""WITH a AS (SELECT user_id, CAST(ts AS DATE) AS run_date, ts, event_id,
+    event_type = 'error' AS failed, value > 300 AS run_error, value >= 20 AS resolved FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id, run_date ORDER BY ts, event_id) AS attempt FROM a),
+s AS (SELECT *, CASE WHEN run_error THEN 'run_error' WHEN NOT failed THEN 'passed' WHEN attempt = 4 THEN 'max_attempts'
+      WHEN NOT resolved THEN 'no_resolution' END AS stop_reason FROM n WHERE attempt <= 4),
+c AS (SELECT *, min(CASE WHEN stop_reason IS NOT NULL THEN attempt END) OVER (PARTITION BY user_id, run_date) AS cut FROM s)
+SELECT user_id, run_date, count(*) AS attempts, count_if(failed) AS failed_attempts,
+       arg_max(CASE WHEN failed THEN 'failed' ELSE 'passed' END, attempt) AS final_status,
+       coalesce(arg_max(stop_reason, attempt), 'incomplete') AS stop_reason
+FROM c WHERE attempt <= coalesce(cut, 4) GROUP BY user_id, run_date""")
+def q_attempt_history_full(spark, sf):
+    """W-05 with all four stop rules: run error (value > 300), passed, max attempts,
+    no resolution (value < 20 after a failure)."""
+    ev = B.attempt_events(spark, sf).withColumn("run_error", F.col("value") > 300) \
+          .withColumn("resolved", F.col("value") >= 20)
+    return runs.attempts(ev, ["user_id", "run_date"], ["ts", "event_id"], "failed", 4, "run_error", "resolved")
+
+
+@register("budget_context", f"""SELECT doc_id, n_chars // 1000 AS distance,
+  CASE WHEN n_chars // 1000 > 5 THEN {O.head_tail('text', 2000)} ELSE text END AS smart,
+  {O.head_tail('text', 3000)} AS summarized, length(text) AS full_length FROM documents""")
+def q_budget_context(spark, sf):
+    """FN-06: the three context modes; distance stands in as thousands of characters."""
+    d = table(spark, sf, "documents").withColumn("distance", F.expr("n_chars div 1000"))
+    return d.select("doc_id", "distance", T.budget_text("text", "distance", "smart").alias("smart"),
+                    T.budget_text("text", "distance", "summarized").alias("summarized"),
+                    F.length(T.budget_text("text", "distance", "full")).alias("full_length"))
+
+
+@register("ensure_bot_tag", """SELECT conv_id, turn, CASE WHEN starts_with(t, '[ADW-AGENTS]') THEN t ELSE '[ADW-AGENTS] ' || t END AS comment
+  FROM (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN '[ADW-AGENTS] ' || text ELSE text END AS t FROM conversations)""")
+def q_ensure_bot_tag(spark, sf):
+    """FN-19: comments get the bot tag only when they do not already start with it."""
+    cv = table(spark, sf, "conversations")
+    t = F.when(F.col("role") == "assistant", F.concat(F.lit("[ADW-AGENTS] "), F.col("text"))).otherwise(F.col("text"))
+    return cv.select("conv_id", "turn", T.ensure_tag(t).alias("comment"))
+
+
+@register("review_report", f"""WITH r AS (SELECT ri.*, 'document ' || ri.review_issue_number AS issue_description FROM ({O.REVIEW_ISSUES}) ri),
+a AS (SELECT run_id, {", ".join(f"coalesce(string_agg(CASE WHEN issue_severity = '{s}' THEN '- #' || review_issue_number || ': ' || issue_description || {O.NL} END, '' ORDER BY review_issue_number), '') AS l_{s}, count_if(issue_severity = '{s}') AS n_{s}" for s in ("blocker", "tech_debt", "skippable"))} FROM r GROUP BY run_id)
+SELECT run_id, {" || ".join(f"CASE WHEN n_{s} > 0 THEN '## {s} (' || n_{s} || ')' || {O.NL} || l_{s} || {O.NL} ELSE '' END" for s in ("blocker", "tech_debt", "skippable"))}
+  || 'Summary: blocker: ' || n_blocker || ', tech_debt: ' || n_tech_debt || ', skippable: ' || n_skippable AS report FROM a""")
+def q_review_report(spark, sf):
+    """FN-23 (review kind): findings grouped by severity per run, with a summary."""
+    r = B.review_issues(spark, sf).withColumn("issue_description",
+                                             F.concat(F.lit("document "), F.col("review_issue_number").cast("string")))
+    return RD.review_report(r, ["run_id"], "review_issue_number")
+
+
+_OUTPUT_SQL = """CASE WHEN event_type = 'error' THEN 'the tests crashed' ELSE '```json' || chr(10) || '[{"test_name": "a", "passed": '
+  || CASE WHEN value >= 1 THEN 'true' ELSE 'false' END || '}, {"test_name": "b", "passed": ' || CASE WHEN value >= 50 THEN 'true' ELSE 'false' END
+  || '}]' || chr(10) || '```' END"""
+
+
+@register("test_counts_from_output", f"""WITH o AS (SELECT event_id, {_OUTPUT_SQL} AS text, event_type, value FROM events)
+SELECT event_id, CASE WHEN event_type = 'error' THEN 0 ELSE CAST(value >= 1 AS INT) + CAST(value >= 50 AS INT) END AS passed,
+  CASE WHEN event_type = 'error' THEN 0 ELSE 2 - CAST(value >= 1 AS INT) - CAST(value >= 50 AS INT) END AS failed,
+  CASE WHEN event_type = 'error' THEN 0 ELSE 2 END AS total, event_type <> 'error' AS parse_ok,
+  CASE WHEN event_type = 'error' THEN 'unknown' WHEN value < 50 THEN 'failed' ELSE 'passed' END AS status FROM o""")
+def q_test_counts_from_output(spark, sf):
+    """FN-02 + A-01: test results parsed from each run's output; unparseable output
+    counts 0/0/0 as in the source but reports parse_ok = false and status unknown."""
+    ev = table(spark, sf, "events")
+    item = lambda name, cond: F.concat(F.lit('{"test_name": "' + name + '", "passed": '),
+                                       F.when(cond, F.lit("true")).otherwise(F.lit("false")), F.lit("}"))
+    text = F.when(F.col("event_type") == "error", F.lit("the tests crashed")).otherwise(
+        F.concat(F.lit("```json\n["), item("a", F.col("value") >= 1), F.lit(", "), item("b", F.col("value") >= 50), F.lit("]\n```")))
+    p = T.parse_typed(text, "array<struct<test_name:string,passed:boolean>>")
+    rows = ev.select("event_id", p.alias("p")).select("event_id", F.col("p.error").isNull().alias("parse_ok"),
+                                                       F.explode_outer("p.value").alias("t"))
+    rows = rows.select("event_id", "parse_ok", F.col("t.passed").alias("passed"))
+    out = runs.test_counts(rows, ["event_id"], "passed", "parse_ok")
+    return out.select("event_id", F.col("passed").cast("int").alias("passed"), F.col("failed").cast("int").alias("failed"),
+                      F.col("total").cast("int").alias("total"), "parse_ok", "status")
