@@ -39,13 +39,15 @@ def fk_violations(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]])
     """J-16: one row per declared foreign key with its violation count.
 
     Each check is (name, child, child_col, parent, parent_col); null child keys do not
-    violate. Each count is a left-anti join followed by a global count.
+    violate. Child keys are counted first (map-side combine, so a hot key is one row
+    before any shuffle), then anti-joined with the parent keys and summed.
     """
     out = None
     for name, child, ccol, parent, pcol in checks:
-        bad = (child.select(F.col(ccol).alias("_k")).filter(F.col("_k").isNotNull())
-                    .join(parent.select(F.col(pcol).alias("_k")), "_k", "left_anti"))
-        row = bad.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("fk"), "n_violations")
+        keys = (child.select(F.col(ccol).alias("_k")).filter(F.col("_k").isNotNull())
+                     .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
+        bad = keys.join(parent.select(F.col(pcol).alias("_k")), "_k", "left_anti")
+        row = bad.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_violations")).select(F.lit(name).alias("fk"), "n_violations")
         out = row if out is None else out.unionByName(row)
     return out
 

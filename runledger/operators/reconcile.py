@@ -54,7 +54,8 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
 
 
 def routing_rules(spark) -> DataFrame:
-    return spark.createDataFrame(list(ROUTING_RULES), "command string, model_set string, model string")
+    from runledger.session import constant_table
+    return constant_table(spark, ROUTING_RULES, "command string, model_set string, model string")
 
 
 def route(df: DataFrame, rules: DataFrame, command_col: str = "command", set_col: str = "model_set",

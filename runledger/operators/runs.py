@@ -288,3 +288,25 @@ def bucket_load(df: DataFrame, bucket_col: str = "bucket") -> DataFrame:
     """A-19: ids per slot and the collisions that follow (ids beyond the first)."""
     return df.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("n_ids")) \
              .withColumn("collisions", F.col("n_ids") - 1)
+
+
+def ordered_positions(df: DataFrame, key_cols: Sequence[str] | str, order_cols: Sequence[str],
+                      n_partitions: int | None = None, position_col: str = "position") -> DataFrame:
+    """W-04 at scale: 1-based position of each row inside its key, in ``order_cols`` order
+    (a total order), without putting a hot key in one task.
+
+    Rows are range-partitioned on (key, order) so a hot key spans many partitions and
+    sorted inside them; a row's position is its offset inside its partition plus the
+    number of rows of the same key in earlier partitions. That second part comes from a
+    small table of (partition, key) counts (one row per key per partition it touches).
+    """
+    keys = _cols(key_cols)
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n, *keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
+           .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    counts = s.groupBy("_pid", *keys).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    return (s.join(offsets, ["_pid", *keys])
+             .withColumn(position_col, F.col("_mid") - F.col("_first") + 1 + F.col("_before"))
+             .drop("_pid", "_mid", "_first", "_before"))

@@ -107,7 +107,8 @@ def config_schema(spark: SparkSession) -> DataFrame:
             ("MAX_CONN", "integer", None, True), ("RATIO", "number", None, False),
             ("DEBUG", "boolean", None, True), ("ADMIN_EMAIL", "string", "^[^@]+@[^@]+\\.[^@]+$", True),
             ("TIMEOUT", "integer", None, False), ("REGION", "string", None, True)]
-    return spark.createDataFrame(rows, "key string, type string, pattern string, required boolean")
+    from runledger.session import constant_table
+    return constant_table(spark, rows, "key string, type string, pattern string, required boolean")
 
 
 def part_keys(spark: SparkSession, sf: str) -> DataFrame:

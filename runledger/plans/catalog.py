@@ -476,10 +476,9 @@ def q_latest_mention(spark, sf):
   row_number() OVER (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id) AS position FROM events""")
 def q_ordered_comments(spark, sf):
     """W-04: position of each event in its user's thread, missing timestamps first."""
-    from pyspark.sql import Window
-    ev = table(spark, sf, "events")
-    w = Window.partitionBy("user_id").orderBy(F.col("ts").asc_nulls_first(), "event_id")
-    return ev.select("user_id", "event_id", F.row_number().over(w).alias("position"))
+    ev = table(spark, sf, "events").select("user_id", "event_id", "ts")
+    return runs.ordered_positions(ev, "user_id", [F.col("ts").asc_nulls_first(), F.col("event_id")]) \
+               .select("user_id", "event_id", F.col("position").cast("bigint").alias("position"))
 
 
 _BACKOFF_SQL = """WITH r AS (SELECT user_id, CAST(ts AS DATE) AS run_date, count(*) AS attempts FROM events GROUP BY ALL),
@@ -1051,7 +1050,8 @@ def _measured(spark, sf):
 for _env in ("staging", "production"):
     def _mkg(env):
         def q(spark, sf):
-            t = spark.createDataFrame(_GATES, "metric string, op string, target double, required boolean, "
+            from runledger.session import constant_table
+            t = constant_table(spark, _GATES, "metric string, op string, target double, required boolean, "
                                               "critical boolean, production_only boolean")
             return Q.evaluate_gates(_measured(spark, sf), t, ["run_id"], env)
         q.__doc__ = f"A-10: gate evaluation per customer run in {env}."

@@ -64,3 +64,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def constant_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small constant table as a SQL ``VALUES`` relation (a LocalRelation with exact
+    size statistics, so Catalyst broadcasts it by size on its own)."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    names = [n for n, _ in fields]
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+    return df.select(*[df[n].cast(t).alias(n) for n, t in fields])
