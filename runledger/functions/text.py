@@ -17,6 +17,9 @@ SUMMARY_MARKER = "\n\n[... CONTEXT SUMMARIZED FOR LENGTH ...]\n\n"
 BOT_TAG = "[ADW-AGENTS]"
 ISSUE_COMMANDS = ("/chore", "/bug", "/feature")
 FENCE_PATTERN = r"(?s)```(?:json)?\s*\n(.*?)\n```"
+# Prefixes of agent error and output texts.
+ERROR_PREFIX = "Claude Code error: "
+OUTPUT_PREFIX = "Claude Code output: "
 
 
 def _c(col) -> Column:
@@ -199,7 +202,7 @@ def error_text(structured, stdout, stderr, exit_code, max_length: int = 800) ->
     s, o, e = _c(structured), _c(stdout), _c(stderr)
     has_o = F.coalesce(F.length(o) > 0, F.lit(False))
     has_e = F.coalesce(F.length(e) > 0, F.lit(False))
-    p = F.lit("Claude Code error: ")
+    p = F.lit(ERROR_PREFIX)
     msg = (F.when(F.coalesce(F.length(s) > 0, F.lit(False)), F.concat(p, s))
             .when(has_o & ~has_e, F.concat(p, o))
             .when(has_e & ~has_o, F.concat(p, e))

@@ -456,7 +456,7 @@ FROM h GROUP BY run_id""")
 def q_tail_output(spark, sf):
     """W-02 (no-result variant): newest non-empty assistant text among the last five."""
     return runs.tail_error(B.event_messages(spark, sf), "run_id", "seq", n=5, require_words=False,
-                           prefix="Claude Code output: ")
+                           prefix=T.OUTPUT_PREFIX)
 
 
 @register("latest_mention", """WITH c AS (SELECT conv_id, turn,
