@@ -20,11 +20,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT: cast every call."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + key + _bigint_counts(sql[j + len(key):k - 1]) + ") AS BIGINT)")
+        i = k
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _bigint_counts(sql)
         return fn
     return deco
 
@@ -73,7 +89,7 @@ _E2E_SQL = f"""'{{"test_name": "' || event_type || '", "status": "' ||
 {O.extract_json_ctes('base', 'text', 'event_id')},
 p AS (SELECT event_id, json_text, json_valid(json_text) AS ok FROM fj)
 SELECT event_id,
-  CASE WHEN ok THEN json_array_length(json_text) END AS n_items,
+  CASE WHEN ok THEN CAST(json_array_length(json_text) AS INTEGER) END AS n_items,
   CASE WHEN NOT ok THEN 'Failed to parse JSON. Text was: ' || substring(json_text, 1, 200) || '...'
        WHEN json_extract_string(json_text, '$[0].status') NOT IN ('passed', 'failed')
        THEN 'Invalid status. Text was: ' || substring(json_text, 1, 200) || '...' END AS error
@@ -251,7 +267,7 @@ def q_error_text(spark, sf):
 
 
 @register("minimal_payload", """SELECT o_orderkey,
-  to_json(struct_pack(number := o_orderkey, title := o_orderpriority, body := o_orderstatus)) AS payload FROM orders""")
+  CAST(to_json(struct_pack(number := o_orderkey, title := o_orderpriority, body := o_orderstatus)) AS VARCHAR) AS payload FROM orders""")
 def q_minimal_payload(spark, sf):
     """FN-24: number, title and body as compact JSON."""
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("number"),
@@ -1007,7 +1023,7 @@ def q_rate_metrics(spark, sf):
 
 
 @register("latency_gate", """SELECT event_type, quantile_disc(value * 10, 0.95) AS p95,
-  CASE WHEN event_type = 'purchase' THEN 100.0 ELSE 500.0 END AS target,
+  CAST(CASE WHEN event_type = 'purchase' THEN 100.0 ELSE 500.0 END AS DOUBLE) AS target,
   quantile_disc(value * 10, 0.95) <= CASE WHEN event_type = 'purchase' THEN 100.0 ELSE 500.0 END AS passed
   FROM events GROUP BY event_type""")
 def q_latency_gate(spark, sf):
@@ -1137,14 +1153,14 @@ def q_domain_violations(spark, sf):
     return Q.domain_violations(c, "customer", cr).unionByName(Q.domain_violations(p, "part", pr))
 
 
-@register("secret_scan", f"""SELECT doc_id, len(regexp_extract_all(text, '{Q.SECRET_PATTERN}')) AS n_hits FROM documents
+@register("secret_scan", f"""SELECT doc_id, CAST(len(regexp_extract_all(text, '{Q.SECRET_PATTERN}')) AS INTEGER) AS n_hits FROM documents
   WHERE len(regexp_extract_all(text, '{Q.SECRET_PATTERN}')) > 0""")
 def q_secret_scan(spark, sf):
     """A-18: documents with hard-coded secrets (the target is zero)."""
     return Q.secret_scan(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@register("retention_orders", """SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') AS age_days,
+@register("retention_orders", """SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') AS INTEGER) AS age_days,
   CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') > 365 THEN 'expire'
        WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') > 90 THEN 'cold' ELSE 'keep' END AS retention
   FROM orders""")
@@ -1154,7 +1170,7 @@ def q_retention_orders(spark, sf):
     return Q.retention(o, "o_orderdate", "data", "1999-01-01").drop("o_orderdate")
 
 
-@register("retention_logs", """SELECT event_id, date_diff('day', CAST(ts AS DATE), DATE '2024-02-01') AS age_days,
+@register("retention_logs", """SELECT event_id, CAST(date_diff('day', CAST(ts AS DATE), DATE '2024-02-01') AS INTEGER) AS age_days,
   CASE WHEN date_diff('day', CAST(ts AS DATE), DATE '2024-02-01') > 30 THEN 'expire' ELSE 'keep' END AS retention FROM events""")
 def q_retention_logs(spark, sf):
     """A-20: log retention (30 days) of events as of 2024-02-01."""
@@ -1165,7 +1181,7 @@ def q_retention_logs(spark, sf):
 @register("rotation_overdue", """WITH l AS (SELECT o_custkey, max(o_orderdate) AS last_rotated FROM orders GROUP BY 1),
 k AS (SELECT c.c_custkey, CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'db_credentials' WHEN 'BUILDING' THEN 'api_keys'
   ELSE 'jwt_secret' END AS kind, l.last_rotated FROM customer c LEFT JOIN l ON l.o_custkey = c.c_custkey)
-SELECT c_custkey, kind, last_rotated, date_diff('day', CAST(last_rotated AS DATE), DATE '1999-01-01') AS days_since,
+SELECT c_custkey, kind, last_rotated, CAST(date_diff('day', CAST(last_rotated AS DATE), DATE '1999-01-01') AS INTEGER) AS days_since,
   CASE kind WHEN 'db_credentials' THEN 30 WHEN 'api_keys' THEN 90 END AS period_days,
   coalesce(date_diff('day', CAST(last_rotated AS DATE), DATE '1999-01-01') >
     CASE kind WHEN 'db_credentials' THEN 30 WHEN 'api_keys' THEN 90 END, false) AS overdue FROM k""")
@@ -1180,7 +1196,7 @@ def q_rotation_overdue(spark, sf):
 
 
 @register("sprint_load", """SELECT strftime(l_shipdate, '%Y-%m') AS sprint,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS points, 18000.0 AS velocity,
+  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS points, CAST(18000.0 AS DOUBLE) AS velocity,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) > 18000.0 AS overloaded FROM lineitem GROUP BY 1""")
 def q_sprint_load(spark, sf):
     """A-22: shipped quantity per month (sprint) against a velocity of 18000."""
@@ -1203,7 +1219,7 @@ def q_daily_quota(spark, sf):
         F.col("n_rejected").cast("bigint").alias("n_rejected"))
 
 
-@register("top_files_per_context", """SELECT p_brand, p_partkey, p_name, rank FROM (SELECT p_brand, p_partkey, p_name,
+@register("top_files_per_context", """SELECT p_brand, p_partkey, p_name, CAST(rank AS INTEGER) AS rank FROM (SELECT p_brand, p_partkey, p_name,
   row_number() OVER (PARTITION BY p_brand ORDER BY CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'STANDARD' THEN 2 ELSE 3 END,
     p_name, p_partkey) AS rank FROM part) WHERE rank <= 10""")
 def q_top_files_per_context(spark, sf):
@@ -1594,7 +1610,7 @@ def _nation_docs(spark, sf):
 
 
 _CFG_DOCS_SQL = f"""WITH n AS ({_NATION_DOC_SQL}),
-kv AS (SELECT run_id, 'nation' AS key, to_json(n_name) AS value_json, 'base' AS layer FROM n
+kv AS (SELECT run_id, 'nation' AS key, CAST(to_json(n_name) AS VARCHAR) AS value_json, 'base' AS layer FROM n
   UNION ALL SELECT run_id, 'region', CAST(n_regionkey AS VARCHAR), 'base' FROM n
   UNION ALL SELECT run_id, 'debug', 'false', 'base' FROM n
   UNION ALL SELECT run_id, 'limits', '{{"max":10}}', 'base' FROM n
@@ -1924,7 +1940,7 @@ def q_attempt_history_full(spark, sf):
 
 @register("budget_context", f"""SELECT doc_id, n_chars // 1000 AS distance,
   CASE WHEN n_chars // 1000 > 5 THEN {O.head_tail('text', 2000)} ELSE text END AS smart,
-  {O.head_tail('text', 3000)} AS summarized, length(text) AS full_length FROM documents""")
+  {O.head_tail('text', 3000)} AS summarized, CAST(length(text) AS INTEGER) AS full_length FROM documents""")
 def q_budget_context(spark, sf):
     """FN-06: the three context modes; distance stands in as thousands of characters."""
     d = table(spark, sf, "documents").withColumn("distance", F.expr("n_chars div 1000"))
