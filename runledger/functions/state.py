@@ -58,7 +58,8 @@ def allowlist_map(m, keys: Sequence[str], aliases: Mapping[str, str] | None = No
     kept = F.map_filter(_c(m), lambda k, v: F.array_contains(allowed, k) & v.isNotNull())
     for src, dst in (aliases or {}).items():
         extra = F.map_filter(kept, lambda k, v: k == F.lit(src))
-        kept = F.map_concat(kept, F.transform_keys(extra, lambda k, v: F.lit(dst)))
+        base = F.map_filter(kept, lambda k, v: k != F.lit(dst))  # the alias replaces an existing key
+        kept = F.map_concat(base, F.transform_keys(extra, lambda k, v: F.lit(dst)))
     return kept
 
 

@@ -1729,7 +1729,7 @@ def q_issue_comments(spark, sf):
     path = SL.scratch_path(spark, "issues")
     docs.write.text(path)
     issues = SD.read_issues(spark, path, per_file=False)
-    out = SD.issue_comments(issues).withColumn("created_at", F.to_timestamp_ntz(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")))
+    out = SD.issue_comments(issues)
     return out.select(F.col("number").cast("bigint").alias("number"), "pos", "comment_id", "author", "body", "created_at")
 
 

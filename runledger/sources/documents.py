@@ -34,8 +34,10 @@ def to_state_json(core: Column, extended: Column | None = None) -> Column:
     if extended is None:
         return F.to_json(core)
     core_map = F.from_json(F.to_json(core), "map<string,variant>")
-    ext = F.from_json(F.to_json(extended), "map<string,variant>")
-    return F.to_json(F.map_concat(core_map, F.coalesce(ext, F.create_map().cast("map<string,variant>"))))
+    ext = F.coalesce(F.from_json(F.to_json(extended), "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    # drop clashing core keys first, so no map-key dedup policy is needed
+    core_only = F.map_filter(core_map, lambda k, v: ~F.array_contains(F.map_keys(ext), k))
+    return F.to_json(F.map_concat(core_only, ext))
 
 
 def _docs(spark: SparkSession, path: str, per_file: bool) -> DataFrame:
@@ -74,16 +76,21 @@ def read_issues(spark: SparkSession, path: str, per_file: bool = True) -> DataFr
     camelCase fields renamed, timestamps parsed."""
     raw = _docs(spark, path, per_file)
     i = raw.select(F.from_json("value", ISSUE_SCHEMA).alias("i")).select("i.*")
-    ts = lambda c: F.try_to_timestamp(F.col(c))
-    return (i.withColumn("created_at", ts("createdAt")).withColumn("updated_at", ts("updatedAt"))
-             .withColumn("closed_at", ts("closedAt"))
+    return (i.withColumn("created_at", utc_wallclock(F.col("createdAt")))
+             .withColumn("updated_at", utc_wallclock(F.col("updatedAt")))
+             .withColumn("closed_at", utc_wallclock(F.col("closedAt")))
              .withColumn("comments", F.transform("comments", lambda c: F.struct(
                  c["id"].alias("id"), c["author"].alias("author"), c["body"].alias("body"),
-                 F.try_to_timestamp(c["createdAt"]).alias("created_at"),
-                 F.try_to_timestamp(c["updatedAt"]).alias("updated_at"))))
+                 utc_wallclock(c["createdAt"]).alias("created_at"), utc_wallclock(c["updatedAt"]).alias("updated_at"))))
              .drop("createdAt", "updatedAt", "closedAt"))
 
 
+def utc_wallclock(iso: Column) -> Column:
+    """ISO-8601 UTC text (``...Z``) as a timestamp without time zone in UTC wall-clock
+    time, so results do not depend on the session time zone; bad text gives null."""
+    return F.regexp_replace(iso, "Z$", "").try_cast("timestamp_ntz")
+
+
 def issue_comments(issues: DataFrame) -> DataFrame:
     """SRC-11: one row per comment (issues without comments keep one null row)."""
     return issues.select("number", F.posexplode_outer("comments").alias("pos", "c")).select(
