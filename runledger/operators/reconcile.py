@@ -128,19 +128,19 @@ def match_branches(branches: DataFrame, issues: DataFrame, branch_col: str = "br
 
 
 def first_of(keys: DataFrame, sources: Sequence[DataFrame], key: str, value_col: str = "path") -> DataFrame:
-    """J-12: fallback chain; the first source with a value wins, ties by the smallest value."""
-    out = keys
-    picks = []
+    """J-12: fallback chain; the first source with a value wins, ties by the smallest value.
+
+    All sources are unioned with their rank and reduced by one ``min(struct(rank,
+    value))`` per key (one shuffle, partial aggregation), then joined to the keys.
+    """
+    ranked = None
     for i, s in enumerate(sources):
-        m = s.groupBy(key).agg(F.min(value_col).alias(f"_v{i}"))
-        out = out.join(m, key, "left")
-        picks.append((i, F.col(f"_v{i}")))
-    value = F.coalesce(*[c for _, c in picks])
-    src = None
-    for i, c in picks:
-        src = F.when(c.isNotNull(), F.lit(i)) if src is None else src.when(c.isNotNull(), F.lit(i))
-    return out.select(*keys.columns, value.alias(value_col), src.alias("source")) \
-              .drop(*[f"_v{i}" for i, _ in picks])
+        r = s.select(key, F.struct(F.lit(i).alias("source"), F.col(value_col).alias("v")).alias("_p")) \
+             .filter(F.col(value_col).isNotNull())
+        ranked = r if ranked is None else ranked.unionByName(r)
+    best = ranked.groupBy(key).agg(F.min("_p").alias("_b"))
+    return keys.join(best, key, "left").select(*keys.columns, F.col("_b.v").alias(value_col),
+                                               F.col("_b.source").alias("source"))
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str] | str) -> DataFrame:

@@ -1312,9 +1312,9 @@ _RESULT_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date, ts, event_id,
 
 
 def _results(spark, sf):
-    ev = B.attempt_events(spark, sf).join(table(spark, sf, "events").select("event_id", "props"), "event_id")
+    ev = table(spark, sf, "events")
     return ev.filter(F.col("event_type") != "view").select(
-        "user_id", "run_date", "ts", "event_id",
+        "user_id", F.to_date("ts").alias("run_date"), "ts", "event_id",
         F.when((F.col("event_type") == "error") & (F.col("value") > 40), "error_during_execution").otherwise("success")
         .alias("subtype"), (F.col("event_type") == "error").alias("is_error"),
         F.repeat(F.concat(F.col("props"), F.lit(" ")), (F.floor("value") * 4).cast("int") + 1).alias("result"))
@@ -1467,7 +1467,9 @@ SELECT user_id, run_date, CASE WHEN nf > 0 THEN {O.NL} || '## ❌ Failed Tests'
   || {O.NL} || '- **Failed**: ' || nf || {O.NL} || '- **Total**: ' || n AS report FROM a""")
 def q_test_report(spark, sf):
     """FN-23: Markdown test report per user/day run (failed, passed, summary)."""
-    t = B.test_results(spark, sf).join(table(spark, sf, "events").select("event_id", "value"), "event_id")
+    ev = table(spark, sf, "events")
+    t = ev.select("user_id", F.to_date("ts").alias("run_date"), "event_id", F.col("event_type").alias("test_name"),
+                  (F.col("value") >= 1).alias("passed"), "value")
     t = t.select("user_id", "run_date", "event_id", "test_name", "passed",
                  F.concat(F.lit("pytest -k "), F.col("test_name")).alias("execution_command"),
                  F.concat(F.lit("check "), F.col("test_name")).alias("test_purpose"),
