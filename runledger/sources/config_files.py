@@ -18,7 +18,12 @@ except ImportError:  # pragma: no cover
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-04: ``.env`` files: trimmed lines, blanks and ``#`` lines dropped, split on the
     first ``=`` (both sides trimmed), lines without ``=`` dropped; the later duplicate
-    in a file wins. Returns (file, key, value, line_no)."""
+    in a file wins. Returns (file, key, value, line_no).
+
+    Spark's file index skips hidden names (leading ``.`` or ``_``), explicit paths
+    included, so fleet ``.env`` files must be stored under visible names (for example
+    ``<run>/dotenv``) to be read here.
+    """
     lines = file_lines(spark, path).withColumn("line", F.trim("line"))
     kv = (lines.filter(~F.col("line").startswith("#") & F.col("line").contains("="))
                .select("file", "line_no", F.split("line", "=", 2).alias("p"))

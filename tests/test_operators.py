@@ -158,3 +158,10 @@ def test_authorise_order_of_checks(spark):
     assert (1, "/api/v1/admin/x/y", "User lacks required role: admin") in got
     assert (4, "/api/v1/tasks/10", "User lacks required role: user") in got  # admins still need the role group
     assert (1, "/api/v1/users", "User lacks required role: manager") in got
+
+
+def test_forest_levels_with_cycle_and_missing(spark):
+    g = {2: [1], 3: [2], 4: [3], 6: [5], 5: [6], 7: [6], 8: [99]}  # chain, 2-cycle with a tail, missing
+    nodes = spark.createDataFrame([("g", n) for n in range(1, 9)], "graph_id string, node long")
+    lv = {r.node: r.level for r in G.dag_levels(nodes, _edges(spark, g), ["graph_id"]).collect()}
+    assert lv == {1: 1, 2: 2, 3: 3, 4: 4, 5: None, 6: None, 7: None, 8: None}
