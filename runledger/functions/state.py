@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.functions.text import extract_json, truncate_text
+from runledger.functions.text import error_text, extract_json, truncate_text
 from runledger.operators.runs import latest
 
 # Workflow commands accepted from the classifier.
@@ -18,6 +18,8 @@ WORKFLOWS = ("adw_plan_iso", "adw_patch_iso", "adw_build_iso", "adw_test_iso", "
 # Outcome texts and retry codes.
 NO_RESULT = "No result message found in Claude Code output"
 EXEC_ERROR = "Error during execution: Agent encountered an error and did not return a result"
+TIMEOUT_TEXT = "Error: Claude Code command timed out after 5 minutes"
+EXCEPTION_PREFIX = "Error executing Claude Code: "
 RETRY_CODES = ("claude_code_error", "timeout_error", "execution_error", "error_during_execution", "none")
 
 
@@ -64,15 +66,23 @@ def allowlist_map(m, keys: Sequence[str], aliases: Mapping[str, str] | None = No
 
 
 def classify_outcome(runs: DataFrame, results: DataFrame, run_cols: Sequence[str], seq_cols: Sequence[str],
-                     subtype_col: str = "subtype", error_col: str = "is_error", text_col: str = "result") -> DataFrame:
-    """FN-21: outcome and retry code from each run's last result message.
-
-    No result: failure, code ``none``. ``error_during_execution``: retryable failure.
-    Otherwise success is ``not is_error``; error texts over 1000 characters are cut to 800.
+                     subtype_col: str = "subtype", error_col: str = "is_error", text_col: str = "result",
+                     exit_col: str | None = None, stdout_col: str | None = None, stderr_col: str | None = None,
+                     failure_col: str | None = None, failure_text_col: str | None = None) -> DataFrame:
+    """FN-21: outcome and retry code from each run's process status and last result.
+
+    ``runs`` may carry the process status: ``failure_col`` ('timeout' or 'exception',
+    with ``failure_text_col``), ``exit_col``, ``stdout_col`` and ``stderr_col``.
+    Checked in order: timeout -> ``timeout_error``; exception -> ``execution_error``;
+    non-zero exit -> ``claude_code_error`` with FN-20's error text (an error result's
+    text first); no result -> failure, code ``none``; ``error_during_execution`` ->
+    retryable failure; otherwise success is ``not is_error`` and error texts over 1000
+    characters are cut to 800.
     """
     run_cols = list(run_cols)
+    extra = [c for c in (exit_col, stdout_col, stderr_col, failure_col, failure_text_col) if c]
     last = latest(results, run_cols, list(seq_cols), [subtype_col, error_col, text_col])
-    j = runs.select(*run_cols).distinct().join(last, run_cols, "left")
+    j = runs.select(*run_cols, *extra).dropDuplicates(run_cols).join(last, run_cols, "left")
     has = F.col(seq_cols[0]).isNotNull()
     during = has & (F.col(subtype_col) == "error_during_execution")
     err = F.coalesce(F.col(error_col), F.lit(False))
@@ -83,4 +93,19 @@ def classify_outcome(runs: DataFrame, results: DataFrame, run_cols: Sequence[str
                .otherwise(text))
     success = F.when(~has | during, F.lit(False)).otherwise(~err)
     code = F.when(during, F.lit("error_during_execution")).otherwise(F.lit("none"))
+    if exit_col:
+        bad_exit = F.coalesce(F.col(exit_col) != 0, F.lit(False))
+        structured = F.when(has & err, F.coalesce(F.col(text_col), F.lit("Unknown error")))
+        out_t = F.col(stdout_col) if stdout_col else F.lit(None).cast("string")
+        err_t = F.col(stderr_col) if stderr_col else F.lit(None).cast("string")
+        output = F.when(bad_exit, error_text(structured, out_t, err_t, F.col(exit_col))).otherwise(output)
+        success = F.when(bad_exit, F.lit(False)).otherwise(success)
+        code = F.when(bad_exit, F.lit("claude_code_error")).otherwise(code)
+    if failure_col:
+        msg = F.coalesce(F.col(failure_text_col), F.lit("")) if failure_text_col else F.lit("")
+        output = (F.when(F.col(failure_col) == "timeout", F.lit(TIMEOUT_TEXT))
+                   .when(F.col(failure_col) == "exception", F.concat(F.lit(EXCEPTION_PREFIX), msg)).otherwise(output))
+        success = F.when(F.col(failure_col).isin("timeout", "exception"), F.lit(False)).otherwise(success)
+        code = (F.when(F.col(failure_col) == "timeout", F.lit("timeout_error"))
+                 .when(F.col(failure_col) == "exception", F.lit("execution_error")).otherwise(code))
     return j.select(*run_cols, output.alias("output"), success.alias("success"), code.alias("retry_code"))

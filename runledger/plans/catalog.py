@@ -1996,3 +1996,56 @@ def q_test_counts_from_output(spark, sf):
     out = runs.test_counts(rows, ["event_id"], "passed", "parse_ok")
     return out.select("event_id", F.col("passed").cast("int").alias("passed"), F.col("failed").cast("int").alias("failed"),
                       F.col("total").cast("int").alias("total"), "parse_ok", "status")
+
+
+_PROC_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date,
+  CASE WHEN max(value) > 450 THEN 'timeout' WHEN max(value) > 420 THEN 'exception' END AS failure,
+  'worker lost at ' || CAST(max(event_id) AS VARCHAR) AS failure_text,
+  CASE WHEN max(value) > 350 THEN CAST(floor(max(value)) AS INT) % 7 + 1 ELSE 0 END AS exit_code,
+  CASE WHEN count(*) > 6 THEN 'last line ' || count(*) END AS stdout,
+  CASE WHEN min(value) < 0.5 THEN 'warning: low value' END AS stderr FROM events GROUP BY ALL"""
+
+
+def _processes(spark, sf):
+    ev = table(spark, sf, "events")
+    return ev.groupBy("user_id", F.to_date("ts").alias("run_date")).agg(
+        F.when(F.max("value") > 450, "timeout").when(F.max("value") > 420, "exception").alias("failure"),
+        F.concat(F.lit("worker lost at "), F.max("event_id").cast("string")).alias("failure_text"),
+        F.when(F.max("value") > 350, F.pmod(F.floor(F.max("value")).cast("int"), F.lit(7)) + 1).otherwise(F.lit(0))
+        .alias("exit_code"),
+        F.when(F.count(F.lit(1)) > 6, F.concat(F.lit("last line "), F.count(F.lit(1)).cast("string"))).alias("stdout"),
+        F.when(F.min("value") < 0.5, F.lit("warning: low value")).alias("stderr"))
+
+
+@register("classify_process_outcome", f"""WITH r AS ({_RESULT_SQL}),
+l AS (SELECT user_id, run_date, max((ts, event_id)) AS k, arg_max(subtype, (ts, event_id)) AS subtype,
+      arg_max(is_error, (ts, event_id)) AS is_error, arg_max(result, (ts, event_id)) AS result FROM r GROUP BY ALL),
+p AS ({_PROC_SQL}),
+o AS (SELECT p.*, l.k IS NOT NULL AS has, l.subtype, coalesce(l.is_error, false) AS err, coalesce(l.result, '') AS txt,
+      CASE WHEN l.k IS NOT NULL AND l.is_error THEN coalesce(l.result, 'Unknown error') END AS structured
+      FROM p LEFT JOIN l ON l.user_id = p.user_id AND l.run_date = p.run_date),
+m AS (SELECT *, CASE
+  WHEN length(structured) > 0 THEN 'Claude Code error: ' || structured
+  WHEN coalesce(length(stdout) > 0, false) AND NOT coalesce(length(stderr) > 0, false) THEN 'Claude Code error: ' || stdout
+  WHEN coalesce(length(stderr) > 0, false) AND NOT coalesce(length(stdout) > 0, false) THEN 'Claude Code error: ' || stderr
+  WHEN coalesce(length(stdout) > 0, false) AND coalesce(length(stderr) > 0, false)
+    THEN 'Claude Code error: ' || stderr || {O.NL} || 'Stdout: ' || stdout
+  ELSE 'Claude Code error: Command failed with exit code ' || exit_code END AS emsg FROM o)
+SELECT user_id, run_date,
+  CASE WHEN failure = 'timeout' THEN 'Error: Claude Code command timed out after 5 minutes'
+       WHEN failure = 'exception' THEN 'Error executing Claude Code: ' || coalesce(failure_text, '')
+       WHEN exit_code <> 0 THEN {O.truncate('emsg', 800)}
+       WHEN NOT has THEN 'No result message found in Claude Code output'
+       WHEN subtype = 'error_during_execution' THEN 'Error during execution: Agent encountered an error and did not return a result'
+       WHEN err AND length(txt) > 1000 THEN {O.truncate('txt', 800)} ELSE txt END AS output,
+  CASE WHEN failure IN ('timeout', 'exception') OR exit_code <> 0 OR NOT has OR subtype = 'error_during_execution' THEN false
+       ELSE NOT err END AS success,
+  CASE WHEN failure = 'timeout' THEN 'timeout_error' WHEN failure = 'exception' THEN 'execution_error'
+       WHEN exit_code <> 0 THEN 'claude_code_error'
+       WHEN has AND subtype = 'error_during_execution' THEN 'error_during_execution' ELSE 'none' END AS retry_code FROM m""")
+def q_classify_process_outcome(spark, sf):
+    """FN-21 with process status per run: timeouts, launcher exceptions and non-zero
+    exits (FN-20 error text) before the result-based rules."""
+    return ST.classify_outcome(_processes(spark, sf), _results(spark, sf), ["user_id", "run_date"], ["ts", "event_id"],
+                               exit_col="exit_code", stdout_col="stdout", stderr_col="stderr",
+                               failure_col="failure", failure_text_col="failure_text")
