@@ -1999,9 +1999,9 @@ def q_test_counts_from_output(spark, sf):
 
 
 _PROC_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date,
-  CASE WHEN max(value) > 450 THEN 'timeout' WHEN max(value) > 420 THEN 'exception' END AS failure,
+  CASE WHEN max(value) > 300 THEN 'timeout' WHEN max(value) > 250 THEN 'exception' END AS failure,
   'worker lost at ' || CAST(max(event_id) AS VARCHAR) AS failure_text,
-  CASE WHEN max(value) > 350 THEN CAST(floor(max(value)) AS INT) % 7 + 1 ELSE 0 END AS exit_code,
+  CASE WHEN max(value) > 150 THEN CAST(floor(max(value)) AS INT) % 7 + 1 ELSE 0 END AS exit_code,
   CASE WHEN count(*) > 6 THEN 'last line ' || count(*) END AS stdout,
   CASE WHEN min(value) < 0.5 THEN 'warning: low value' END AS stderr FROM events GROUP BY ALL"""
 
@@ -2009,9 +2009,9 @@ _PROC_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date,
 def _processes(spark, sf):
     ev = table(spark, sf, "events")
     return ev.groupBy("user_id", F.to_date("ts").alias("run_date")).agg(
-        F.when(F.max("value") > 450, "timeout").when(F.max("value") > 420, "exception").alias("failure"),
+        F.when(F.max("value") > 300, "timeout").when(F.max("value") > 250, "exception").alias("failure"),
         F.concat(F.lit("worker lost at "), F.max("event_id").cast("string")).alias("failure_text"),
-        F.when(F.max("value") > 350, F.pmod(F.floor(F.max("value")).cast("int"), F.lit(7)) + 1).otherwise(F.lit(0))
+        F.when(F.max("value") > 150, F.pmod(F.floor(F.max("value")).cast("int"), F.lit(7)) + 1).otherwise(F.lit(0))
         .alias("exit_code"),
         F.when(F.count(F.lit(1)) > 6, F.concat(F.lit("last line "), F.count(F.lit(1)).cast("string"))).alias("stdout"),
         F.when(F.min("value") < 0.5, F.lit("warning: low value")).alias("stderr"))
