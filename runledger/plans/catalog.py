@@ -1,2051 +1,21 @@
-"""Registered queries (one per operator of the survey) and their DuckDB oracles.
+"""All registered queries (one per operator of the survey) and their DuckDB oracles.
 
-Every query reads the driver tables under ``sf`` (or data Spark derives from them) in
-full: no id subsets, no row caps except where the limit is the operator itself.
+Importing this module imports every family module, which registers its queries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from runledger.operators import runs
-from runledger.operators.runs import latest
-from runledger.plans import bindings as B
-from runledger.plans import oracle as O
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def _bigint_counts(sql: str) -> str:
-    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT: cast every call."""
-    out, i, key = [], 0, "count_if("
-    while True:
-        j = sql.find(key, i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        depth, k = 1, j + len(key)
-        while depth:
-            depth += {"(": 1, ")": -1}.get(sql[k], 0)
-            k += 1
-        out.append(sql[i:j] + "CAST(" + key + _bigint_counts(sql[j + len(key):k - 1]) + ") AS BIGINT)")
-        i = k
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = _bigint_counts(sql)
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------- runs (W-*, A-*)
-
-@register("attempt_history", f"""
-WITH a AS ({O.ATTEMPT_EVENTS}),
-n AS (SELECT *, row_number() OVER (PARTITION BY user_id, run_date ORDER BY ts, event_id) AS attempt FROM a),
-s AS (SELECT *, CASE WHEN NOT failed THEN 'passed' WHEN attempt = 4 THEN 'max_attempts' END AS stop_reason
-      FROM n WHERE attempt <= 4),
-c AS (SELECT *, min(CASE WHEN stop_reason IS NOT NULL THEN attempt END)
-        OVER (PARTITION BY user_id, run_date) AS cut FROM s)
-SELECT user_id, run_date, count(*) AS attempts, count_if(failed) AS failed_attempts,
-       arg_max(CASE WHEN failed THEN 'failed' ELSE 'passed' END, attempt) AS final_status,
-       coalesce(arg_max(stop_reason, attempt), 'incomplete') AS stop_reason
-FROM c WHERE attempt <= coalesce(cut, 4) GROUP BY user_id, run_date""")
-def q_attempt_history(spark, sf):
-    """W-05 + A-01 flagship: attempts per user/day, cut at the first stop."""
-    ev = B.attempt_events(spark, sf)
-    return runs.attempts(ev, ["user_id", "run_date"], ["ts", "event_id"], "failed",
-                         runs.MAX_ATTEMPTS["unit"])
-
-
-# ------------------------------------------------------------- text and JSON (FN-*)
-from runledger.functions import text as T  # noqa: E402
-from runledger.plans.tables import table  # noqa: E402
-
-
-@register("extract_json", f"""WITH src AS ({O.WRAPPED_EVENTS}),
-{O.extract_json_ctes('src', 'text', 'event_id')}
-SELECT event_id, json_text FROM fj""")
-def q_extract_json(spark, sf):
-    """FN-01 over model-style text wrapped around every ``events.props``."""
-    w = B.wrapped_events(spark, sf)
-    return w.select("event_id", T.extract_json("text").alias("json_text"))
-
-
-_E2E_SQL = f"""'{{"test_name": "' || event_type || '", "status": "' ||
-    CASE WHEN value >= 10 THEN 'passed' WHEN value >= 1 THEN 'failed' ELSE 'skipped' END || '"}}'"""
-
-
-@register("parse_test_results", f"""WITH base AS (SELECT event_id, event_type,
-    CASE WHEN event_type = 'error' THEN '[{{"test_name": "' || event_type || '", "status": '
-         ELSE '```json' || {O.NL} || '[' || {_E2E_SQL} || ']' || {O.NL} || '```' END AS text FROM events),
-{O.extract_json_ctes('base', 'text', 'event_id')},
-p AS (SELECT event_id, json_text, json_valid(json_text) AS ok FROM fj)
-SELECT event_id,
-  CASE WHEN ok THEN CAST(json_array_length(json_text) AS INTEGER) END AS n_items,
-  CASE WHEN NOT ok THEN 'Failed to parse JSON. Text was: ' || substring(json_text, 1, 200) || '...'
-       WHEN json_extract_string(json_text, '$[0].status') NOT IN ('passed', 'failed')
-       THEN 'Invalid status. Text was: ' || substring(json_text, 1, 200) || '...' END AS error
-FROM p""")
-def q_parse_test_results(spark, sf):
-    """FN-02: typed parse of E2E results (status domain passed/failed) inside fences."""
-    ev = table(spark, sf, "events")
-    status = (F.when(F.col("value") >= 10, "passed").when(F.col("value") >= 1, "failed").otherwise("skipped"))
-    item = F.concat(F.lit('{"test_name": "'), F.col("event_type"), F.lit('", "status": "'), status, F.lit('"}'))
-    text = F.when(F.col("event_type") == "error",
-                  F.concat(F.lit('[{"test_name": "'), F.col("event_type"), F.lit('", "status": '))) \
-            .otherwise(F.concat(F.lit("```json\n["), item, F.lit("]\n```")))
-    parsed = T.parse_typed(text, "array<struct<test_name:string,status:string>>",
-                           {"status": ("passed", "failed")})
-    return ev.select("event_id", parsed.alias("p")).select(
-        "event_id", F.when(F.col("p.value").isNotNull(), F.size("p.value")).alias("n_items"),
-        F.col("p.error").alias("error"))
-
-
-@register("truncate_text", f"""SELECT doc_id, {O.truncate('text', 500)} AS short_text FROM documents""")
-def q_truncate_text(spark, sf):
-    """FN-03 on every document (default 500 characters with suffix)."""
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", T.truncate_text("text", 500).alias("short_text"))
-
-
-@register("truncate_text_short", f"""SELECT doc_id, {O.truncate('text', 60)} AS short_text FROM documents""")
-def q_truncate_text_short(spark, sf):
-    """FN-03 with a 60-character limit: the break windows reach the text start (clamped)."""
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", T.truncate_text("text", 60).alias("short_text"))
-
-
-_BLOB_SQL = f"""CASE role
-  WHEN 'user' THEN '{{"type":"assistant","message":{{"content":[{{"text":' || to_json(text) || '}}]}}}}'
-       || {O.NL} || '{{"type":"result","result":""}}'
-  WHEN 'assistant' THEN '{{"type":"assistant","message":{{"content":[{{"text":"draft"}}]}}}}'
-       || {O.NL} || '{{"type":"result","result":' || to_json(text) || '}}'
-  ELSE '{{"type":"assistant","message":{{"content":[]}}}}' || {O.NL}
-       || '{{"type":"result","subtype":"error_during_execution"}}' END"""
-
-
-@register("summarise_jsonl", f"""WITH b AS (SELECT conv_id, turn, {_BLOB_SQL} AS blob FROM conversations),
-l AS (SELECT conv_id, turn, blob, string_split({O.strip('blob')}, {O.NL}) AS lines FROM b),
-f AS (SELECT conv_id, turn, blob, len(lines) AS n, list_filter(list_transform(lines, lambda x:
-      CASE WHEN json_extract_string(x, '$.type') = 'result' THEN json_extract_string(x, '$.result')
-           WHEN json_extract_string(x, '$.type') = 'assistant'
-           THEN json_extract_string(x, '$.message.content[0].text') END), lambda y: length(y) > 0) AS found
-      FROM l),
-g AS (SELECT conv_id, turn, n, CASE WHEN len(found) > 0 THEN found[-1] END AS pick FROM f)
-SELECT conv_id, turn, CASE WHEN pick IS NOT NULL THEN {O.truncate('pick', 500)}
-  ELSE '[JSONL output with ' || n || ' messages]' || {O.q(O.SUFFIX)} END AS display_text FROM g""")
-def q_summarise_jsonl(spark, sf):
-    """FN-04: a two-line run log per conversation turn, summarised for display."""
-    cv = table(spark, sf, "conversations")
-    asst = lambda t: F.to_json(F.struct(F.lit("assistant").alias("type"),
-                                        F.struct(F.array(F.struct(t.alias("text"))).alias("content")).alias("message")))
-    res = lambda t: F.to_json(F.struct(F.lit("result").alias("type"), t.alias("result")))
-    empty_asst = F.lit('{"type":"assistant","message":{"content":[]}}')
-    err = F.lit('{"type":"result","subtype":"error_during_execution"}')
-    blob = (F.when(F.col("role") == "user", F.concat(asst(F.col("text")), F.lit("\n"), res(F.lit(""))))
-             .when(F.col("role") == "assistant", F.concat(asst(F.lit("draft")), F.lit("\n"), res(F.col("text"))))
-             .otherwise(F.concat(empty_asst, F.lit("\n"), err)))
-    return cv.select("conv_id", "turn", T.summarise_jsonl(blob).alias("display_text"))
-
-
-@register("head_tail", f"""SELECT doc_id, {O.head_tail('text', 8000)} AS context FROM documents""")
-def q_head_tail(spark, sf):
-    """FN-05 on every document at the default 8000 characters."""
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", T.head_tail("text", 8000).alias("context"))
-
-
-@register("command_of", """SELECT conv_id, turn,
-  CASE WHEN role <> 'assistant' THEN role END AS command FROM conversations""")
-def q_command_of(spark, sf):
-    """FN-07: slash command at the start of a prompt (assistant turns carry none)."""
-    cv = table(spark, sf, "conversations")
-    prompt = F.when(F.col("role") != "assistant", F.concat(F.lit("/"), F.col("role"), F.lit(" "), F.col("text"))) \
-              .otherwise(F.col("text"))
-    return cv.select("conv_id", "turn", T.command_of(prompt).alias("command"))
-
-
-_LABEL_TEXT_SQL = """'  I think this is ' || CASE o_orderpriority WHEN '1-URGENT' THEN '/bug'
-   WHEN '2-HIGH' THEN '/feature' WHEN '3-MEDIUM' THEN '/chore' WHEN '4-NOT SPECIFIED' THEN '0'
-   ELSE 'unsure' END || ' (priority ' || o_orderpriority || ') '"""
-
-
-@register("classify_label", f"""WITH t AS (SELECT o_orderkey, {_LABEL_TEXT_SQL} AS raw FROM orders),
-m AS (SELECT o_orderkey, raw, regexp_extract({O.strip('raw')}, '(/chore|/bug|/feature|0)', 1) AS m,
-      {O.strip('raw')} AS out FROM t),
-c AS (SELECT o_orderkey, raw, CASE WHEN m <> '' THEN m ELSE out END AS cmd FROM m)
-SELECT o_orderkey, CASE WHEN cmd IN ('/chore', '/bug', '/feature') THEN cmd END AS label,
-  CASE WHEN cmd = '0' THEN 'No command selected: ' || raw
-       WHEN cmd NOT IN ('/chore', '/bug', '/feature') THEN 'Invalid command selected: ' || raw END AS error
-FROM c""")
-def q_classify_label(spark, sf):
-    """FN-08: issue class from free text built from ``o_orderpriority``."""
-    o = table(spark, sf, "orders")
-    pick = (F.when(F.col("o_orderpriority") == "1-URGENT", "/bug").when(F.col("o_orderpriority") == "2-HIGH", "/feature")
-             .when(F.col("o_orderpriority") == "3-MEDIUM", "/chore")
-             .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "0").otherwise("unsure"))
-    raw = F.concat(F.lit("  I think this is "), pick, F.lit(" (priority "), F.col("o_orderpriority"), F.lit(") "))
-    c = T.classify_label(raw)
-    return o.select("o_orderkey", c.label.alias("label"), c.error.alias("error"))
-
-
-@register("repo_path", """SELECT page_id,
-  replace(replace(url, regexp_extract(url, '^(https?://[^/]+/)', 1), ''), '.git', '') AS repo FROM pages""")
-def q_repo_path(spark, sf):
-    """FN-17: owner/repo style path from page URLs (host prefix and ``.git`` removed)."""
-    p = table(spark, sf, "pages")
-    host = F.regexp_extract("url", r"^(https?://[^/]+/)", 1)
-    return p.select("page_id", T.repo_path("url", host).alias("repo"))
-
-
-_BRANCH_SQL = """CASE WHEN o_orderstatus = 'O' THEN '* ' ELSE '' END ||
-  CASE WHEN o_orderpriority = '1-URGENT' THEN 'remotes/origin/' ELSE '' END ||
-  'feat-issue-' || o_orderkey || '-adw-' || lower(o_orderstatus) || o_custkey || '-' ||
-  lower(replace(o_orderpriority, ' ', '-'))"""
-
-
-@register("parse_branch", f"""WITH b AS (SELECT o_orderkey,
-  replace(replace({_BRANCH_SQL}, '* ', ''), 'remotes/origin/', '') AS branch FROM orders)
-SELECT o_orderkey, branch, CAST(NULLIF(regexp_extract(branch, 'issue-(\\d+)', 1), '') AS BIGINT) AS issue_number,
-  NULLIF(regexp_extract(branch, '-adw-([^-]+)-', 1), '') AS run_id FROM b""")
-def q_parse_branch(spark, sf):
-    """FN-18: branch listing lines (current marker, remote prefix) parsed to ids."""
-    o = table(spark, sf, "orders")
-    raw = F.concat(F.when(F.col("o_orderstatus") == "O", "* ").otherwise(""),
-                   F.when(F.col("o_orderpriority") == "1-URGENT", "remotes/origin/").otherwise(""),
-                   F.lit("feat-issue-"), F.col("o_orderkey").cast("string"), F.lit("-adw-"),
-                   F.lower("o_orderstatus"), F.col("o_custkey").cast("string"), F.lit("-"),
-                   F.lower(F.replace(F.col("o_orderpriority"), F.lit(" "), F.lit("-"))))
-    p = T.parse_branch(raw)
-    return o.select("o_orderkey", p.branch.alias("branch"), p.issue_number.alias("issue_number"),
-                    p.run_id.alias("run_id"))
-
-
-@register("tag_message", """SELECT conv_id, turn,
-  '[ADW-AGENTS] ' || concat_ws('_', CAST(conv_id AS VARCHAR), role,
-     CASE WHEN role = 'assistant' THEN 's' || turn END) || ': ' || text AS tagged FROM conversations""")
-def q_tag_message(spark, sf):
-    """FN-19: bot-tagged comment text; the session part only for assistant turns."""
-    cv = table(spark, sf, "conversations")
-    sess = F.when(F.col("role") == "assistant", F.concat(F.lit("s"), F.col("turn").cast("string")))
-    return cv.select("conv_id", "turn", T.tag_message(F.col("conv_id").cast("string"), "role", "text", sess)
-                     .alias("tagged"))
-
-
-_ERR_PARTS_SQL = """CASE WHEN event_type = 'error' THEN props END AS structured,
-  CASE WHEN value > 25 THEN 'partial output ' || event_id END AS stdout,
-  CASE WHEN value < 10 THEN 'stack trace ' || repeat('x', CAST(floor(value * 100) AS INT)) END AS stderr,
-  CAST(floor(value) AS INT) % 3 AS exit_code"""
-
-
-@register("error_text", f"""WITH e AS (SELECT event_id, {_ERR_PARTS_SQL} FROM events),
-m AS (SELECT event_id, CASE
-  WHEN length(structured) > 0 THEN 'Claude Code error: ' || structured
-  WHEN coalesce(length(stdout) > 0, false) AND NOT coalesce(length(stderr) > 0, false) THEN 'Claude Code error: ' || stdout
-  WHEN coalesce(length(stderr) > 0, false) AND NOT coalesce(length(stdout) > 0, false) THEN 'Claude Code error: ' || stderr
-  WHEN coalesce(length(stdout) > 0, false) AND coalesce(length(stderr) > 0, false)
-    THEN 'Claude Code error: ' || stderr || {O.NL} || 'Stdout: ' || stdout
-  ELSE 'Claude Code error: Command failed with exit code ' || exit_code END AS msg FROM e)
-SELECT event_id, {O.truncate('msg', 800)} AS error_text FROM m""")
-def q_error_text(spark, sf):
-    """FN-20: error text precedence over parts derived from each event, cut at 800."""
-    ev = table(spark, sf, "events")
-    structured = F.when(F.col("event_type") == "error", F.col("props"))
-    stdout = F.when(F.col("value") > 25, F.concat(F.lit("partial output "), F.col("event_id").cast("string")))
-    stderr = F.when(F.col("value") < 10, F.concat(F.lit("stack trace "),
-                                                  F.repeat(F.lit("x"), (F.col("value") * 100).cast("int"))))
-    code = F.pmod((F.col("value")).cast("int"), F.lit(3))
-    return ev.select("event_id", T.error_text(structured, stdout, stderr, code).alias("error_text"))
-
-
-@register("minimal_payload", """SELECT o_orderkey,
-  CAST(to_json(struct_pack(number := o_orderkey, title := o_orderpriority, body := o_orderstatus)) AS VARCHAR) AS payload FROM orders""")
-def q_minimal_payload(spark, sf):
-    """FN-24: number, title and body as compact JSON."""
-    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("number"),
-                                         F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("body"))
-    return o.select("o_orderkey", T.minimal_payload(o, ["number", "title", "body"]).alias("payload"))
-
-
-@register("chunk_text", """SELECT doc_id, CAST(g.i AS INT) AS chunk_no, substring(text, CAST(g.i * 5000 + 1 AS INT), 5000) AS chunk
-FROM documents, LATERAL (SELECT unnest(range(0, CAST(ceil(length(text) / 5000.0) AS BIGINT))) AS i) g""")
-def q_chunk_text(spark, sf):
-    """FN-26: 5000-character chunks of every document."""
-    d = table(spark, sf, "documents")
-    return T.chunk_text(d, "text", 5000, 0.0, keep=["doc_id"])
-
-
-@register("chunk_text_overlap", """WITH s AS (SELECT doc_id, text, unnest(range(0, length(text), 410)) AS st
-  FROM documents WHERE length(text) > 0)
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY st) - 1 AS INT) AS chunk_no,
-  substring(text, CAST(st + 1 AS INT), 512) AS chunk FROM s""")
-def q_chunk_text_overlap(spark, sf):
-    """FN-26: 512-character chunks with 20% overlap (step 410)."""
-    d = table(spark, sf, "documents")
-    return T.chunk_text(d, "text", 512, 0.2, keep=["doc_id"])
-
-
-# ------------------------------------------------------------------- config (U-01, J-03, A-15, U-06, FN-10..16, 25)
-from runledger.functions import config as C  # noqa: E402
-from runledger.operators import config as CFG  # noqa: E402
-
-
-@register("config_overlay", f"""WITH l AS ({O.CONFIG_LAYERS})
-SELECT key, arg_max(priority, (priority, seq)) AS priority, arg_max(seq, (priority, seq)) AS seq,
-  arg_max(value, (priority, seq)) AS value, arg_max(layer, (priority, seq)) AS layer FROM l GROUP BY key""")
-def q_config_overlay(spark, sf):
-    """U-01: five-layer style overlay, later layer and later line win."""
-    return CFG.overlay(B.config_layers(spark, sf))
-
-
-_SENS = {k: v for k, v in C.SENSITIVE_WORDS.items()}
-_CAT_SQL = "CASE " + " ".join(f"WHEN {O.contains_any('key', ws)} THEN '{name}'" for name, ws in C.CATEGORIES) \
-    + f" ELSE '{C.OTHER_CATEGORY}' END"
-
-
-@register("config_key_report", f"""WITH k AS ({O.PART_KEYS})
-SELECT p_partkey, key, {O.contains_any('key', _SENS['generic'])} AS sensitive,
-  {O.contains_any('key', _SENS['parameter'])} AS sensitive_param,
-  {O.contains_any('key', _SENS['display'])} AS sensitive_display,
-  CASE WHEN {O.contains_any('key', _SENS['generic'])} THEN 'your-secret-value-here' ELSE value END AS template_value,
-  CASE WHEN {O.contains_any('key', _SENS['display'])} THEN '***HIDDEN***' ELSE value END AS display_value,
-  {_CAT_SQL} AS category,
-  '/sdaw/run/dev/' || replace(key, '_', '/') AS param_name,
-  CASE WHEN {O.contains_any('key', _SENS['parameter'])} THEN 'SecureString' ELSE 'String' END AS param_type
-FROM k""")
-def q_config_key_report(spark, sf):
-    """FN-10/11/12/16 and SRC-08 typing: sensitivity under the three lists, masks,
-    category, parameter path and type for config keys built from part names."""
-    k = B.part_keys(spark, sf)
-    return k.select("p_partkey", "key",
-                    C.is_sensitive("key", "generic").alias("sensitive"),
-                    C.is_sensitive("key", "parameter").alias("sensitive_param"),
-                    C.is_sensitive("key", "display").alias("sensitive_display"),
-                    C.mask_value("key", "value", "template").alias("template_value"),
-                    C.mask_value("key", "value", "display").alias("display_value"),
-                    C.categorise("key").alias("category"),
-                    C.key_to_path("key", "/sdaw/run/dev").alias("param_name"),
-                    C.param_type("key").alias("param_type"))
-
-
-_VAL_SQL = f"""WITH c AS ({O.CONFIG_VALUES}), s AS ({O.CONFIG_SCHEMA}),
-j AS (SELECT c.run_id, c.key, c.value_json, s.type, s.pattern, {O.json_type('c.value_json')} AS t,
-      CASE WHEN {O.json_type('c.value_json')} = 'str' THEN json_extract_string('[' || c.value_json || ']', '$[0]') END AS sv
-      FROM c JOIN s ON c.key = s.key),
-e AS (SELECT run_id, key, CASE
-    WHEN type = 'string' AND t <> 'str' THEN key || ': Expected string, got ' || t
-    WHEN type = 'integer' AND t NOT IN ('int', 'bool') THEN key || ': Expected integer, got ' || t
-    WHEN type = 'number' AND t NOT IN ('int', 'float', 'bool') THEN key || ': Expected number, got ' || t
-    WHEN type = 'boolean' AND t <> 'bool' THEN key || ': Expected boolean, got ' || t END AS error FROM j
-  UNION ALL SELECT run_id, key, key || ': Does not match pattern ' || pattern FROM j
-    WHERE pattern IS NOT NULL AND t = 'str' AND NOT regexp_matches(sv, '^(?:' || pattern || ')')),
-r AS (SELECT DISTINCT c.run_id, s.key FROM (SELECT DISTINCT run_id FROM c) c, s WHERE s.required),
-m AS (SELECT r.run_id, r.key, 'Missing required field: ' || r.key AS error FROM r
-  WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.run_id = r.run_id AND c.key = r.key AND {O.truthy('c.value_json')}))
-SELECT run_id, key, error FROM e WHERE error IS NOT NULL UNION ALL SELECT * FROM m"""
-
-
-@register("config_validate", _VAL_SQL)
-def q_config_validate(spark, sf):
-    """J-03: required / type / pattern violations of per-customer configs."""
-    return CFG.validate(B.config_values(spark, sf), B.config_schema(spark))
-
-
-@register("config_infer_schema", f"""WITH c AS ({O.CONFIG_VALUES}),
-v AS (SELECT key, CASE {O.json_type('value_json')} WHEN 'bool' THEN 'boolean' WHEN 'int' THEN 'integer'
-      WHEN 'float' THEN 'number' ELSE 'string' END AS t,
-      CASE WHEN {O.json_type('value_json')} = 'str' THEN CASE WHEN contains(lower(key), 'port') THEN '^[0-9]+$'
-        WHEN contains(lower(key), 'url') THEN '^https?://' WHEN contains(lower(key), 'email') THEN '^[^@]+@[^@]+\\.[^@]+$' END
-      END AS p,
-      NOT {O.contains_any('key', _SENS['generic'])} AND {O.truthy('value_json')} AS req FROM c),
-a AS (SELECT key, list_distinct(list(t)) AS ts, max(p) AS pattern, bool_and(req) AS required FROM v GROUP BY key),
-b AS (SELECT key, CASE WHEN len(ts) = 1 THEN ts[1]
-      WHEN len(list_filter(ts, lambda x: x NOT IN ('integer', 'number'))) = 0 THEN 'number' ELSE 'string' END AS type,
-      pattern, required FROM a)
-SELECT key, type, CASE WHEN type = 'string' THEN pattern END AS pattern,
-  'Configuration value for ' || key AS description, required FROM b""")
-def q_config_infer_schema(spark, sf):
-    """A-15: schema inferred per key over all customer configs."""
-    return CFG.infer_schema(B.config_values(spark, sf))
-
-
-_SYNC_LOCAL = "SELECT 'PART_' || p_partkey AS key, p_name AS value FROM part"
-_SYNC_CLOUD = ("SELECT 'PART_' || p_partkey AS key, CASE WHEN p_size > 40 THEN p_type ELSE p_name END AS value "
-               "FROM part WHERE p_size > 10")
-
-
-def _sync_frames(spark, sf):
-    p = table(spark, sf, "part")
-    local = p.select(F.concat(F.lit("PART_"), F.col("p_partkey").cast("string")).alias("key"),
-                     F.col("p_name").alias("value"))
-    cloud = p.filter(F.col("p_size") > 10).select(
-        F.concat(F.lit("PART_"), F.col("p_partkey").cast("string")).alias("key"),
-        F.when(F.col("p_size") > 40, F.col("p_type")).otherwise(F.col("p_name")).alias("value"))
-    return local, cloud
-
-
-for _dir, _gone in (("local_to_cloud", "untouched"), ("cloud_to_local", "delete")):
-    _src, _dst = (_SYNC_LOCAL, _SYNC_CLOUD) if _dir == "local_to_cloud" else (_SYNC_CLOUD, _SYNC_LOCAL)
-
-    def _mk(direction):
-        def q(spark, sf):
-            local, cloud = _sync_frames(spark, sf)
-            return CFG.sync_plan(local, cloud, direction).groupBy("action").agg(F.count(F.lit(1)).alias("n_keys"))
-        q.__doc__ = f"U-06: sync plan {direction}, counted per action."
-        return q
-
-    register(f"config_sync_{_dir}", f"""WITH s AS ({_src}), d AS ({_dst}),
-j AS (SELECT coalesce(s.key, d.key) AS key, s.value AS sv, d.value AS dv FROM s FULL OUTER JOIN d ON s.key = d.key)
-SELECT CASE WHEN sv IS NULL AND dv IS NOT NULL THEN '{_gone}' WHEN dv IS NULL THEN 'insert'
-  WHEN sv = dv THEN 'same' ELSE 'update' END AS action, count(*) AS n_keys FROM j GROUP BY 1""")(_mk(_dir))
-
-
-@register("config_only_keys", f"""WITH k AS ({O.PART_KEYS})
-SELECT key, value FROM k WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)""")
-def q_config_only_keys(spark, sf):
-    """FL-04: keep the keys of parts ever ordered in quantities above 45 (semi join)."""
-    k = B.part_keys(spark, sf)
-    wanted = table(spark, sf, "lineitem").filter(F.col("l_quantity") > 45).select(F.col("l_partkey").alias("p_partkey"))
-    return CFG.only_keys(k, wanted, "p_partkey").select("key", "value")
-
-
-_FILL_SPEC = {"service": "lambda", "memory_mb": 128, "timeout_s": 30,
-              "scaling": {"min": 1, "max": 10, "enabled": False}}
-
-
-@register("fill_defaults", """WITH r AS (SELECT p_partkey, '{"service": "' || lower(p_type) || '"' ||
-    CASE WHEN p_size > 25 THEN ', "memory_mb": ' || (p_size * 64) ELSE '' END ||
-    CASE WHEN p_size % 2 = 0 THEN ', "scaling": {"max": ' || p_size || '}' ELSE '' END || '}' AS req FROM part)
-SELECT p_partkey, coalesce(json_extract_string(req, '$.service'), 'lambda') AS service,
-  coalesce(TRY_CAST(json_extract_string(req, '$.memory_mb') AS BIGINT), 128) AS memory_mb,
-  coalesce(TRY_CAST(json_extract_string(req, '$.timeout_s') AS BIGINT), 30) AS timeout_s,
-  coalesce(TRY_CAST(json_extract_string(req, '$.scaling.min') AS BIGINT), 1) AS scaling_min,
-  coalesce(TRY_CAST(json_extract_string(req, '$.scaling.max') AS BIGINT), 10) AS scaling_max,
-  coalesce(TRY_CAST(json_extract_string(req, '$.scaling.enabled') AS BOOLEAN), false) AS scaling_enabled FROM r""")
-def q_fill_defaults(spark, sf):
-    """FN-25: nested service config from sparse JSON requests built from part rows."""
-    p = table(spark, sf, "part")
-    req = F.concat(F.lit('{"service": "'), F.lower("p_type"), F.lit('"'),
-                   F.when(F.col("p_size") > 25, F.concat(F.lit(', "memory_mb": '), (F.col("p_size") * 64).cast("string")))
-                    .otherwise(F.lit("")),
-                   F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(', "scaling": {"max": '), F.col("p_size").cast("string"), F.lit("}")))
-                    .otherwise(F.lit("")), F.lit("}"))
-    s = CFG.fill_defaults(req, _FILL_SPEC).alias("cfg")
-    return p.select("p_partkey", s).select("p_partkey", F.col("cfg.service").alias("service"),
-                                           F.col("cfg.memory_mb").alias("memory_mb"), F.col("cfg.timeout_s").alias("timeout_s"),
-                                           F.col("cfg.scaling.min").alias("scaling_min"), F.col("cfg.scaling.max").alias("scaling_max"),
-                                           F.col("cfg.scaling.enabled").alias("scaling_enabled"))
-
-
-# ------------------------------------------------------------------- runs (W-01..09, A-01..07, A-19, FN-13)
-
-@register("last_result", f"""WITH m AS ({O.MESSAGES})
-SELECT run_id, max(seq) AS seq, arg_max(result, seq) AS result FROM m WHERE type = 'result' GROUP BY run_id""")
-def q_last_result(spark, sf):
-    """W-01: last result message per run (last assistant turn per conversation)."""
-    return runs.last_result(B.messages(spark, sf), "run_id", "seq")
-
-
-@register("tail_error", f"""WITH m AS ({O.EVENT_MESSAGES}),
-t AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY seq DESC) AS rn FROM m QUALIFY rn <= 5),
-h AS (SELECT * FROM t WHERE type = 'assistant' AND length(text) > 0
-      AND (contains(lower(text), 'error') OR contains(lower(text), 'failed')))
-SELECT run_id, max(seq) AS seq, arg_max(substring(text, 1, 500), seq) AS error_text FROM h GROUP BY run_id""")
-def q_tail_error(spark, sf):
-    """W-02: newest error-looking assistant text among each run's last five messages."""
-    return runs.tail_error(B.event_messages(spark, sf), "run_id", "seq", n=5)
-
-
-@register("tail_output", f"""WITH m AS ({O.EVENT_MESSAGES}),
-t AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY seq DESC) AS rn FROM m QUALIFY rn <= 5),
-h AS (SELECT * FROM t WHERE type = 'assistant' AND length(text) > 0)
-SELECT run_id, max(seq) AS seq, arg_max('Claude Code output: ' || substring(text, 1, 500), seq) AS error_text
-FROM h GROUP BY run_id""")
-def q_tail_output(spark, sf):
-    """W-02 (no-result variant): newest non-empty assistant text among the last five."""
-    return runs.tail_error(B.event_messages(spark, sf), "run_id", "seq", n=5, require_words=False,
-                           prefix=T.OUTPUT_PREFIX)
-
-
-@register("latest_mention", """WITH c AS (SELECT conv_id, turn,
-    CASE WHEN role = 'assistant' THEN '[ADW-AGENTS] ' || text ELSE text END AS body FROM conversations),
-h AS (SELECT * FROM c WHERE NOT contains(body, '[ADW-AGENTS]') AND contains(body, 'de'))
-SELECT conv_id, max(turn) AS turn, arg_max(body, turn) AS body FROM h GROUP BY conv_id""")
-def q_latest_mention(spark, sf):
-    """W-03 + FL-03: newest non-bot comment containing a keyword, per conversation."""
-    from runledger.operators import filters as FL
-    cv = table(spark, sf, "conversations")
-    c = cv.select("conv_id", "turn", F.when(F.col("role") == "assistant", F.concat(F.lit("[ADW-AGENTS] "), F.col("text")))
-                  .otherwise(F.col("text")).alias("body"))
-    return runs.latest(FL.human_mentions(c, "de", "body"), "conv_id", ["turn"], ["body"])
-
-
-@register("ordered_comments", """SELECT user_id, event_id,
-  row_number() OVER (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id) AS position FROM events""")
-def q_ordered_comments(spark, sf):
-    """W-04: position of each event in its user's thread, missing timestamps first."""
-    ev = table(spark, sf, "events").select("user_id", "event_id", "ts")
-    return runs.ordered_positions(ev, "user_id", [F.col("ts").asc_nulls_first(), F.col("event_id")]) \
-               .select("user_id", "event_id", F.col("position").cast("bigint").alias("position"))
-
-
-_BACKOFF_SQL = """WITH r AS (SELECT user_id, CAST(ts AS DATE) AS run_date, count(*) AS attempts FROM events GROUP BY ALL),
-x AS (SELECT *, attempts - 1 AS retries FROM r)
-SELECT user_id, run_date, attempts, retries,
-  CASE WHEN retries <= 0 THEN 0 WHEN retries <= 3 THEN [1, 3, 5][retries] ELSE 5 + 2 * (retries - 3) END AS last_delay_s,
-  CASE WHEN retries <= 0 THEN 0 WHEN retries <= 3 THEN [1, 4, 9][retries]
-       ELSE 9 + (retries - 3) * 5 + (retries - 3) * (retries - 2) END AS total_wait_s FROM x"""
-
-
-@register("retry_backoff", _BACKOFF_SQL)
-def q_retry_backoff(spark, sf):
-    """W-06: delays 1, 3, 5 then +2 each; total wait per user/day run (closed form)."""
-    ev = B.attempt_events(spark, sf)
-    r = ev.groupBy("user_id", "run_date").agg(F.count(F.lit(1)).alias("attempts"))
-    return runs.backoff(r).select("user_id", "run_date", "attempts", F.col("retries").cast("bigint").alias("retries"),
-                                  F.col("last_delay_s").cast("bigint").alias("last_delay_s"),
-                                  F.col("total_wait_s").cast("bigint").alias("total_wait_s"))
-
-
-@register("latest_state", """SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
-  arg_max(event_type, (ts, event_id)) AS current_phase, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id""")
-def q_latest_state(spark, sf):
-    """W-07: latest state per user (last writer wins by ts, event_id)."""
-    ev = table(spark, sf, "events").withColumnRenamed("event_type", "current_phase")
-    return runs.latest(ev, "user_id", ["ts", "event_id"], ["current_phase", "value"])
-
-
-@register("top_orders", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-  ORDER BY o_totalprice DESC, o_orderkey LIMIT 1000""")
-def q_top_orders(spark, sf):
-    """W-09: first 1000 orders by price (the limit is the operator), total order."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return runs.top_k(o, 1000, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
-
-
-@register("test_counts", f"""WITH t AS ({O.TEST_RESULTS})
-SELECT user_id, run_date, count_if(passed) AS passed, count_if(NOT passed) AS failed, count(passed) AS total,
-  bool_and(passed IS NOT NULL) AS parse_ok,
-  CASE WHEN NOT bool_and(passed IS NOT NULL) OR count(passed) = 0 THEN 'unknown'
-       WHEN count_if(NOT passed) > 0 THEN 'failed' ELSE 'passed' END AS status FROM t GROUP BY ALL""")
-def q_test_counts(spark, sf):
-    """A-01: passed / failed / total per run with parse flag and status."""
-    return runs.test_counts(B.test_results(spark, sf), ["user_id", "run_date"])
-
-
-@register("severity_counts", f"""WITH r AS ({O.REVIEW_ISSUES})
-SELECT run_id, count_if(issue_severity = 'blocker') AS n_blocker, count_if(issue_severity = 'tech_debt') AS n_tech_debt,
-  count_if(issue_severity = 'skippable') AS n_skippable,
-  count_if(issue_severity NOT IN ('blocker', 'tech_debt', 'skippable')) AS n_out_of_domain, count(*) AS n_issues
-FROM r GROUP BY run_id""")
-def q_severity_counts(spark, sf):
-    """A-02: review findings per severity, per run (document source)."""
-    return runs.severity_counts(B.review_issues(spark, sf), "run_id")
-
-
-@register("suite_summary", f"""WITH t AS ({O.TEST_RESULTS}),
-u AS (SELECT *, CASE WHEN test_name IN ('view', 'click', 'signup') THEN 'unit' ELSE 'e2e' END AS suite FROM t),
-a AS (SELECT user_id, run_date, count_if(suite = 'unit' AND passed) AS unit_passed, count_if(suite = 'e2e' AND passed) AS e2e_passed,
-  count_if(suite = 'unit' AND NOT passed) AS unit_failed, count_if(suite = 'e2e' AND NOT passed) AS e2e_failed FROM u GROUP BY ALL)
-SELECT *, unit_failed + e2e_failed AS total_failures,
-  CASE WHEN unit_failed + e2e_failed > 0 THEN 'failed' ELSE 'passed' END AS overall_status FROM a""")
-def q_suite_summary(spark, sf):
-    """A-03 + U-05: unit and E2E suites unioned, one overall status per run."""
-    t = B.test_results(spark, sf)
-    unit = t.filter(F.col("test_name").isin("view", "click", "signup"))
-    e2e = t.filter(~F.col("test_name").isin("view", "click", "signup"))
-    return runs.suite_summary(unit, e2e, ["user_id", "run_date"])
-
-
-@register("stack_health", """SELECT s_nationkey, count(*) AS n_items, count_if(s_acctbal < 0) AS n_unhealthy,
-  coalesce(bool_and(s_acctbal >= 0) AND count(*) > 0, false) AS all_healthy FROM supplier GROUP BY s_nationkey""")
-def q_stack_health(spark, sf):
-    """A-04: all-healthy flag per nation of suppliers (healthy = non-negative balance)."""
-    s = table(spark, sf, "supplier").withColumn("ok", F.col("s_acctbal") >= 0)
-    return runs.health(s, "s_nationkey", "ok")
-
-
-@register("stack_health_messages", """SELECT s_nationkey, s_name || ': balance ' || CAST(s_acctbal AS DECIMAL(18,2)) AS message
-  FROM supplier WHERE s_acctbal < 0""")
-def q_stack_health_messages(spark, sf):
-    """A-04: one message row per unhealthy supplier."""
-    s = table(spark, sf, "supplier").withColumn("ok", F.col("s_acctbal") >= 0)
-    msg = F.concat(F.col("s_name"), F.lit(": balance "), F.col("s_acctbal").cast("decimal(18,2)").cast("string"))
-    return runs.health_messages(s, "s_nationkey", "ok", msg)
-
-
-@register("resolution_counts", """WITH i AS (SELECT user_id, CAST(ts AS DATE) AS iteration,
-    count_if(event_type <> 'error') AS resolved, count_if(event_type = 'error') AS unresolved FROM events GROUP BY ALL),
-s AS (SELECT *, coalesce(max(CAST(resolved = 0 AS INT)) OVER (PARTITION BY user_id ORDER BY iteration
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM i)
-SELECT user_id, iteration, resolved, unresolved, resolved = 0 AS stop_here FROM s WHERE s = 0""")
-def q_resolution_counts(spark, sf):
-    """A-05: resolved / unresolved per daily iteration, up to the first day resolving nothing."""
-    ev = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("iteration"),
-                                           (F.col("event_type") != "error").alias("resolved"))
-    return runs.resolution_counts(ev, "user_id", "iteration", "resolved")
-
-
-_PHASES = list(B.PRIORITY_PHASE.values())
-
-
-@register("phase_matrix", f"""WITH p AS ({O.PHASE_ROWS})
-SELECT run_id, {", ".join(f"max(CASE WHEN phase = '{x}' THEN completed END) AS phase_{x}" for x in _PHASES)},
-  count_if(completed) AS n_completed, count_if(failed) AS n_failed FROM p GROUP BY run_id""")
-def q_phase_matrix(spark, sf):
-    """A-06: phase completion matrix and counters per run (customer)."""
-    return runs.phase_matrix(B.phase_rows(spark, sf), "run_id", "phase", "completed", _PHASES, "failed")
-
-
-@register("run_kpis", """SELECT user_id, count(*) AS n_runs, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_cost,
-  round(avg(value), 4) AS avg_duration, quantile_disc(value, 0.95) AS p95_duration,
-  round(avg(CAST(event_type = 'error' AS DOUBLE)), 6) AS error_rate FROM events GROUP BY user_id""")
-def q_run_kpis(spark, sf):
-    """A-07: cost, duration (avg, p95) and error rate per user."""
-    ev = table(spark, sf, "events").withColumn("is_error", F.col("event_type") == "error")
-    return runs.run_kpis(ev, "user_id", "value", "value", "is_error")
-
-
-@register("run_ports", f"""WITH r AS ({O.RUN_IDS})
-SELECT o_orderkey, run_id, {O.base36_bucket('run_id')} AS bucket, 9100 + {O.base36_bucket('run_id')} AS backend_port,
-  9200 + {O.base36_bucket('run_id')} AS frontend_port FROM r""")
-def q_run_ports(spark, sf):
-    """FN-13: stable slot (base 36 of the first 8 alphanumerics, mod 15) and ports."""
-    r = B.run_ids(spark, sf)
-    b, f = runs.ports(F.col("run_id"))
-    return r.select("o_orderkey", "run_id", runs.stable_bucket(F.col("run_id")).alias("bucket"), b, f)
-
-
-@register("bucket_load", f"""WITH r AS ({O.RUN_IDS}), b AS (SELECT {O.base36_bucket('run_id')} AS bucket FROM r)
-SELECT bucket, count(*) AS n_ids, count(*) - 1 AS collisions FROM b GROUP BY bucket""")
-def q_bucket_load(spark, sf):
-    """A-19: ids per slot and collisions."""
-    r = B.run_ids(spark, sf).select(runs.stable_bucket(F.col("run_id")).alias("bucket"))
-    return runs.bucket_load(r)
-
-
-# ------------------------------------------------------------ joins, reconcile, upsert (J-*, U-*)
-from runledger.operators import graph as G  # noqa: E402
-from runledger.operators import reconcile as R  # noqa: E402
-
-_ROUTE_VALUES = ", ".join(f"('{c}', '{s}', '{m}')" for c, s, m in R.ROUTING_RULES)
-_ROUTE_INPUT_SQL = """SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN '/implement' WHEN '2-HIGH' THEN '/test'
-    WHEN '3-MEDIUM' THEN '/review' WHEN '4-NOT SPECIFIED' THEN '/document' ELSE '/deploy' END AS command,
-    CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_totalprice > 300000 THEN 'heavy'
-         WHEN o_totalprice < 20000 THEN 'turbo' ELSE 'base' END AS model_set FROM orders"""
-
-
-@register("route_model", f"""WITH i AS ({_ROUTE_INPUT_SQL}),
-r AS (SELECT * FROM (VALUES {_ROUTE_VALUES}) AS t(command, model_set, model))
-SELECT i.o_orderkey, i.command, i.model_set, coalesce(r1.model, r2.model, 'sonnet') AS model FROM i
-LEFT JOIN r r1 ON i.command = r1.command AND coalesce(i.model_set, 'base') = r1.model_set
-LEFT JOIN r r2 ON i.command = r2.command AND r2.model_set = 'base'""")
-def q_route_model(spark, sf):
-    """J-01: model per request from the routing table, base fallback, then default."""
-    o = table(spark, sf, "orders")
-    cmd = (F.when(F.col("o_orderpriority") == "1-URGENT", "/implement").when(F.col("o_orderpriority") == "2-HIGH", "/test")
-            .when(F.col("o_orderpriority") == "3-MEDIUM", "/review")
-            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "/document").otherwise("/deploy"))
-    ms = (F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).when(F.col("o_totalprice") > 300000, "heavy")
-           .when(F.col("o_totalprice") < 20000, "turbo").otherwise("base"))
-    req = o.select("o_orderkey", cmd.alias("command"), ms.alias("model_set"))
-    return R.route(req, R.routing_rules(spark))
-
-
-@register("missing_customers", """SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN
-  (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')""")
-def q_missing_customers(spark, sf):
-    """J-02: required (all customers) minus present (with an urgent finished order)."""
-    c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    present = (table(spark, sf, "orders").filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
-               .select(F.col("o_custkey").alias("c_custkey")))
-    return R.missing(c, present, "c_custkey")
-
-
-_OBSERVED_SQL = """SELECT DISTINCT l_suppkey AS s_suppkey FROM lineitem
-  WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1996-01-08'"""
-
-
-def _observed_stacks(spark, sf):
-    li = table(spark, sf, "lineitem")
-    return (li.filter((F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
-                      & (F.col("l_shipdate") < F.lit("1996-01-08").cast("timestamp_ntz")))
-              .select(F.col("l_suppkey").alias("s_suppkey")).distinct())
-
-
-@register("reconcile_stacks", f"""WITH o AS ({_OBSERVED_SQL}),
-obs AS (SELECT s.s_suppkey, CASE WHEN s.s_acctbal > 0 THEN 'deployed' ELSE 'failed' END AS status
-        FROM supplier s JOIN o ON s.s_suppkey = o.s_suppkey)
-SELECT s.s_suppkey, obs.status, CASE WHEN obs.status IS NULL THEN 'not_found'
-  WHEN obs.status <> 'deployed' THEN 'wrong_status' ELSE 'ok' END AS result
-FROM supplier s LEFT JOIN obs ON s.s_suppkey = obs.s_suppkey""")
-def q_reconcile_stacks(spark, sf):
-    """J-04: expected stacks (all suppliers) vs observed (shipping in the first week of 1996)."""
-    s = table(spark, sf, "supplier")
-    expected = s.select("s_suppkey", F.lit("deployed").alias("expected_status"))
-    observed = (s.join(_observed_stacks(spark, sf), "s_suppkey")
-                 .select("s_suppkey", F.when(F.col("s_acctbal") > 0, "deployed").otherwise("failed").alias("status")))
-    return R.reconcile(expected, observed, "s_suppkey").select("s_suppkey", "status", "result")
-
-
-@register("reconcile_three_way", """WITH c AS (SELECT c_custkey, c_acctbal >= 0 AS in_a FROM customer),
-b AS (SELECT DISTINCT o_custkey AS c_custkey FROM orders),
-g AS (SELECT DISTINCT o.o_custkey AS c_custkey FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-      WHERE l.l_returnflag = 'R')
-SELECT c.c_custkey, CASE WHEN NOT in_a THEN 'No worktree_path in state'
-    WHEN b.c_custkey IS NULL THEN 'Worktree directory not found: trees/' || c.c_custkey
-    WHEN g.c_custkey IS NULL THEN 'Worktree not registered with git' END AS error,
-  CASE WHEN NOT in_a OR b.c_custkey IS NULL OR g.c_custkey IS NULL THEN false ELSE true END AS valid
-FROM c LEFT JOIN b ON c.c_custkey = b.c_custkey LEFT JOIN g ON c.c_custkey = g.c_custkey""")
-def q_reconcile_three_way(spark, sf):
-    """J-05: state (non-negative balance), filesystem (has orders), registry (a returned line)."""
-    c = table(spark, sf, "customer").select("c_custkey", (F.col("c_acctbal") >= 0).alias("in_a"))
-    o = table(spark, sf, "orders")
-    b = o.select(F.col("o_custkey").alias("c_custkey"))
-    li = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
-    g = o.join(li, "o_orderkey", "left_semi").select(F.col("o_custkey").alias("c_custkey"))
-    reasons = (F.lit("No worktree_path in state"),
-               F.concat(F.lit("Worktree directory not found: trees/"), F.col("c_custkey").cast("string")),
-               F.lit("Worktree not registered with git"))
-    return R.reconcile3(c, b, g, "c_custkey", reasons)
-
-
-@register("lookup_first", """SELECT n.n_nationkey AS nationkey, n.n_name, f.c_custkey, f.c_name FROM nation n LEFT JOIN
-  (SELECT c_nationkey, min(c_custkey) AS c_custkey, arg_min(c_name, c_custkey) AS c_name FROM customer GROUP BY 1) f
-  ON f.c_nationkey = n.n_nationkey""")
-def q_lookup_first(spark, sf):
-    """J-06: first customer (source order = key) of each nation."""
-    req = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nationkey"), "n_name")
-    items = table(spark, sf, "customer").select(F.col("c_nationkey").alias("nationkey"), "c_custkey", "c_name")
-    return R.lookup_first(req, items, "nationkey", "c_custkey", ["c_name"])
-
-
-@register("match_branches", """WITH b AS (SELECT l_orderkey AS number,
-    'feat-issue-' || l_orderkey || '-adw-' || l_linenumber || '-' || lower(l_returnflag) AS branch FROM lineitem)
-SELECT o.o_orderkey AS number, o.o_orderstatus AS state, m.branch FROM orders o
-LEFT JOIN (SELECT number, min(branch) AS branch FROM b GROUP BY number) m ON m.number = o.o_orderkey""")
-def q_match_branches(spark, sf):
-    """J-11: branch per issue by the -issue-N- substring (parsed, equi join)."""
-    li = table(spark, sf, "lineitem")
-    br = li.select(F.concat(F.lit("feat-issue-"), F.col("l_orderkey").cast("string"), F.lit("-adw-"),
-                            F.col("l_linenumber").cast("string"), F.lit("-"), F.lower("l_returnflag")).alias("branch"))
-    issues = table(spark, sf, "orders").select(F.col("o_orderkey").alias("number"), F.col("o_orderstatus").alias("state"))
-    return R.match_branches(br, issues)
-
-
-@register("first_of", """WITH s0 AS (SELECT o_custkey AS c_custkey, min('specs/state-' || o_orderkey || '.md') AS v
-    FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-s1 AS (SELECT o_custkey AS c_custkey, min('specs/branch-' || o_orderkey || '.md') AS v FROM orders
-    WHERE o_orderstatus = 'O' GROUP BY 1),
-s2 AS (SELECT o_custkey AS c_custkey, min('specs/issue-' || o_orderkey || '.md') AS v FROM orders GROUP BY 1)
-SELECT c.c_custkey, coalesce(s0.v, s1.v, s2.v) AS path,
-  CASE WHEN s0.v IS NOT NULL THEN 0 WHEN s1.v IS NOT NULL THEN 1 WHEN s2.v IS NOT NULL THEN 2 END AS source
-FROM customer c LEFT JOIN s0 ON s0.c_custkey = c.c_custkey LEFT JOIN s1 ON s1.c_custkey = c.c_custkey
-LEFT JOIN s2 ON s2.c_custkey = c.c_custkey""")
-def q_first_of(spark, sf):
-    """J-12: plan file from state, else branch, else pattern; ties by the smallest path."""
-    o = table(spark, sf, "orders")
-    p = lambda prefix: F.concat(F.lit(prefix), F.col("o_orderkey").cast("string"), F.lit(".md")).alias("path")
-    s0 = o.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"), p("specs/state-"))
-    s1 = o.filter(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("c_custkey"), p("specs/branch-"))
-    s2 = o.select(F.col("o_custkey").alias("c_custkey"), p("specs/issue-"))
-    keys = table(spark, sf, "customer").select("c_custkey")
-    return R.first_of(keys, [s0, s1, s2], "c_custkey")
-
-
-_UPSERT_SQL = """WITH t AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier),
-s AS (SELECT s_suppkey, s_name || ' (fixed)' AS s_name, s_nationkey, 0.0 AS s_acctbal FROM supplier WHERE s_acctbal < 0
-      UNION ALL SELECT -(n_nationkey + 1), 'Supplier#new-' || n_name, n_nationkey, 0.0 FROM nation)
-SELECT * FROM s UNION ALL SELECT * FROM t WHERE s_suppkey NOT IN (SELECT s_suppkey FROM s)"""
-
-
-@register("upsert_suppliers", _UPSERT_SQL)
-def q_upsert_suppliers(spark, sf):
-    """U-02: whole-record upsert of corrected and new supplier records."""
-    t = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    fixed = t.filter(F.col("s_acctbal") < 0).select("s_suppkey", F.concat("s_name", F.lit(" (fixed)")).alias("s_name"),
-                                                      "s_nationkey", F.lit(0.0).alias("s_acctbal"))
-    n = table(spark, sf, "nation")
-    new = n.select((-(F.col("n_nationkey") + 1)).cast("long").alias("s_suppkey"),
-                   F.concat(F.lit("Supplier#new-"), F.col("n_name")).alias("s_name"),
-                   F.col("n_nationkey").alias("s_nationkey"), F.lit(0.0).alias("s_acctbal"))
-    return R.upsert(t, fixed.unionByName(new), "s_suppkey")
-
-
-@register("upsert_stack_columns", f"""WITH t AS (SELECT s_name AS stack_name,
-    CASE WHEN s_acctbal >= 0 THEN 'deployed' ELSE 'failed' END AS status, 'region-' || s_nationkey AS region,
-    'acct=' || s_suppkey AS outputs, 'nation=' || s_nationkey AS parameters FROM supplier),
-o AS ({_OBSERVED_SQL}),
-s AS (SELECT s.s_name AS stack_name, 'deployed' AS status, 'shipped=' || s.s_suppkey AS outputs
-      FROM supplier s JOIN o ON s.s_suppkey = o.s_suppkey
-      UNION ALL SELECT 'Stack#' || n_name, 'pending', 'new' FROM nation)
-SELECT coalesce(t.stack_name, s.stack_name) AS stack_name,
-  CASE WHEN s.stack_name IS NOT NULL THEN s.status ELSE t.status END AS status, t.region,
-  CASE WHEN s.stack_name IS NOT NULL THEN s.outputs ELSE t.outputs END AS outputs, t.parameters
-FROM t FULL OUTER JOIN s ON t.stack_name = s.stack_name""")
-def q_upsert_stack_columns(spark, sf):
-    """U-03: status and outputs replaced from observed stacks, region and parameters kept."""
-    sup = table(spark, sf, "supplier")
-    t = sup.select(F.col("s_name").alias("stack_name"),
-                   F.when(F.col("s_acctbal") >= 0, "deployed").otherwise("failed").alias("status"),
-                   F.concat(F.lit("region-"), F.col("s_nationkey").cast("string")).alias("region"),
-                   F.concat(F.lit("acct="), F.col("s_suppkey").cast("string")).alias("outputs"),
-                   F.concat(F.lit("nation="), F.col("s_nationkey").cast("string")).alias("parameters"))
-    obs = sup.join(_observed_stacks(spark, sf), "s_suppkey").select(
-        F.col("s_name").alias("stack_name"), F.lit("deployed").alias("status"),
-        F.concat(F.lit("shipped="), F.col("s_suppkey").cast("string")).alias("outputs"))
-    new = table(spark, sf, "nation").select(F.concat(F.lit("Stack#"), F.col("n_name")).alias("stack_name"),
-                                            F.lit("pending").alias("status"), F.lit("new").alias("outputs"))
-    return R.upsert_cols(t, obs.unionByName(new), "stack_name", ["status", "outputs"])
-
-
-@register("merge_attrs", """WITH e AS (SELECT user_id, ts, event_id, 'k' AS k, json_extract_string(props, '$.k') AS v FROM events
-  UNION ALL SELECT user_id, ts, event_id, event_type, CAST(value AS VARCHAR) FROM events),
-l AS (SELECT user_id, k, arg_max(v, (ts, event_id)) AS v FROM e GROUP BY user_id, k)
-SELECT user_id, string_agg(k || '=' || v, ';' ORDER BY k || '=' || v) AS attrs FROM l GROUP BY user_id""")
-def q_merge_attrs(spark, sf):
-    """U-04: per user, attribute maps merged in event order (later value wins per key)."""
-    ev = table(spark, sf, "events")
-    m = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"), F.col("event_type"), F.col("value").cast("string"))
-    df = ev.select("user_id", "ts", "event_id", m.alias("attrs"))
-    out = R.merge_attrs(df, ["user_id"], ["ts", "event_id"], "attrs")
-    return out.select("user_id", F.array_join(F.array_sort(F.transform(F.map_entries("attrs"),
-                                                                       lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
-                      .alias("attrs"))
-
-
-@register("union_suites", f"""WITH t AS ({O.TEST_RESULTS})
-SELECT user_id, run_date, event_id, test_name, passed, 'unit' AS suite, NULL::VARCHAR AS status, NULL::VARCHAR AS test_path
-FROM t WHERE test_name IN ('view', 'click', 'signup')
-UNION ALL SELECT user_id, run_date, event_id, test_name, passed, 'e2e',
-  CASE WHEN passed THEN 'passed' ELSE 'failed' END, 'e2e/' || test_name FROM t WHERE test_name NOT IN ('view', 'click', 'signup')""")
-def q_union_suites(spark, sf):
-    """U-05: unit and E2E results in one frame, E2E-only columns null for unit rows."""
-    t = B.test_results(spark, sf)
-    unit = t.filter(F.col("test_name").isin("view", "click", "signup"))
-    e2e = t.filter(~F.col("test_name").isin("view", "click", "signup")).withColumn(
-        "status", F.when(F.col("passed"), "passed").otherwise("failed")).withColumn(
-        "test_path", F.concat(F.lit("e2e/"), F.col("test_name")))
-    return R.union_suites(unit, e2e)
-
-
-# ------------------------------------------------------------------ graph (J-07..10)
-
-@register("prereq_closure", f"""WITH RECURSIVE {O.PART_CLOSURE}
-SELECT 'parts' AS graph_id, node, prereq FROM c""")
-def q_prereq_closure(spark, sf):
-    """J-07: transitive prerequisites over the part tree (semi-naive, checkpointed rounds)."""
-    return G.closure(B.part_edges(spark, sf), ["graph_id"])
-
-
-@register("blocked_nodes", """WITH e AS (SELECT p_partkey AS node, p_partkey // 2 AS dep FROM part WHERE p_partkey > 0),
-d AS (SELECT DISTINCT l_partkey AS node FROM lineitem),
-f AS (SELECT node, min(dep) AS blocking_prereq FROM e WHERE dep NOT IN (SELECT node FROM d) GROUP BY node)
-SELECT 'parts' AS graph_id, p.p_partkey AS node, f.blocking_prereq,
-  CASE WHEN f.blocking_prereq IS NOT NULL THEN 'Prerequisite file ' || f.blocking_prereq || ' not found. Generate it first.' END
-    AS message FROM part p LEFT JOIN f ON f.node = p.p_partkey""")
-def q_blocked_nodes(spark, sf):
-    """J-08: first direct prerequisite not done (done = parts that were ever ordered)."""
-    done = table(spark, sf, "lineitem").select(F.lit("parts").alias("graph_id"), F.col("l_partkey").alias("node"))
-    return G.blocked(B.part_nodes(spark, sf), B.part_edges(spark, sf), done, ["graph_id"])
-
-
-@register("dag_levels", f"""WITH RECURSIVE e AS ({O.PART_EDGES}), n AS (SELECT p_partkey AS node FROM part),
-p(node, lvl) AS (SELECT node, 1 FROM n WHERE node NOT IN (SELECT node FROM e)
-  UNION ALL SELECT e.node, p.lvl + 1 FROM p JOIN e ON e.prereq = p.node)
-SELECT 'parts' AS graph_id, n.node, max(p.lvl) AS level,
-  CASE WHEN max(p.lvl) IS NULL THEN 'cycle or missing prerequisite' END AS reason
-FROM n LEFT JOIN p ON p.node = n.node GROUP BY n.node""")
-def q_dag_levels(spark, sf):
-    """J-10: generation waves of the part tree (frontier iteration, checkpointed)."""
-    return G.dag_levels(B.part_nodes(spark, sf), B.part_edges(spark, sf), ["graph_id"])
-
-
-@register("assemble_context", f"""WITH RECURSIVE {O.PART_CLOSURE},
-s AS (SELECT c.node, c.prereq, {O.NL} || {O.NL} || '# Document ' || d.doc_id || ' (' || d.lang || ') (File ' || c.prereq || ')'
-      || {O.NL} || {O.NL} || CASE WHEN c.node - c.prereq > 5 THEN {O.head_tail('d.text', 2000)} ELSE d.text END AS section
-      FROM c JOIN documents d ON d.doc_id = c.prereq WHERE c.prereq <> 1),
-b AS (SELECT node, string_agg(section, '' ORDER BY prereq) AS body, count(*) AS n_docs FROM s GROUP BY node)
-SELECT 'parts' AS graph_id, p.p_partkey AS node, coalesce(b.n_docs, 0) AS n_docs,
-  '# Project Context' || {O.NL} || {O.NL} || 'No project file provided.' || {O.NL} || {O.NL} || '# Discovery Brief (File 1)'
-  || {O.NL} || {O.NL} || coalesce((SELECT text FROM documents WHERE doc_id = 1), '') || {O.NL} || coalesce(b.body, '') AS context
-FROM part p LEFT JOIN b ON b.node = p.p_partkey""")
-def q_assemble_context(spark, sf):
-    """J-09: per node, the project text, the brief and each prerequisite document in
-    order, older ones summarised (smart mode)."""
-    cl = G.closure(B.part_edges(spark, sf), ["graph_id"])
-    return G.assemble_context(B.part_nodes(spark, sf), cl, B.graph_docs(spark, sf), ["graph_id"], "smart")
-
-
-# ---------------------------------------------------------- security and quality (J-13..16, A-08..22, W-08, W-10)
-from runledger.operators import quality as Q  # noqa: E402
-from runledger.operators import security as S  # noqa: E402
-
-_REQ_SQL = """SELECT event_id, user_id,
-  CASE event_type WHEN 'view' THEN 'GET' WHEN 'click' THEN 'PUT' WHEN 'purchase' THEN 'POST'
-       WHEN 'signup' THEN 'DELETE' ELSE 'GET' END AS method,
-  CASE event_type WHEN 'view' THEN '/api/v1/tasks' WHEN 'click' THEN '/api/v1/tasks/' || json_extract_string(props, '$.k')
-       WHEN 'purchase' THEN '/api/v1/users' WHEN 'signup' THEN '/api/v1/users/' || user_id
-       ELSE '/api/v1/admin/metrics/' || json_extract_string(props, '$.k') END AS endpoint,
-  CASE WHEN event_type = 'click' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) * 150 + user_id % 7 END AS resource_id
-  FROM events"""
-
-
-def _requests(spark, sf):
-    ev = table(spark, sf, "events")
-    k = F.get_json_object("props", "$.k")
-    et = F.col("event_type")
-    method = (F.when(et == "view", "GET").when(et == "click", "PUT").when(et == "purchase", "POST")
-               .when(et == "signup", "DELETE").otherwise("GET"))
-    endpoint = (F.when(et == "view", F.lit("/api/v1/tasks")).when(et == "click", F.concat(F.lit("/api/v1/tasks/"), k))
-                 .when(et == "purchase", F.lit("/api/v1/users"))
-                 .when(et == "signup", F.concat(F.lit("/api/v1/users/"), F.col("user_id").cast("string")))
-                 .otherwise(F.concat(F.lit("/api/v1/admin/metrics/"), k)))
-    rid = F.when(et == "click", k.cast("bigint") * 150 + F.col("user_id") % 7)
-    return ev.select("event_id", "user_id", method.alias("method"), endpoint.alias("endpoint"), rid.alias("resource_id"))
-
-
-_MEMBERS_SQL = """SELECT c_custkey AS user_id, 'user' AS role FROM customer
-  UNION ALL SELECT c_custkey, 'manager' FROM customer WHERE c_mktsegment = 'MACHINERY'
-  UNION ALL SELECT c_custkey, 'admin' FROM customer WHERE c_mktsegment = 'AUTOMOBILE'"""
-
-
-def _members(spark, sf):
-    c = table(spark, sf, "customer")
-    return (c.select(F.col("c_custkey").alias("user_id"), F.lit("user").alias("role"))
-             .unionByName(c.filter(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_custkey").alias("user_id"), F.lit("manager").alias("role")))
-             .unionByName(c.filter(F.col("c_mktsegment") == "AUTOMOBILE").select(F.col("c_custkey").alias("user_id"), F.lit("admin").alias("role"))))
-
-
-def _policy_sql(ep: str, m: str) -> str:
-    norm = f"regexp_replace({ep}, '/[0-9]+(/|$)', '/{{id}}\\1', 'g')"
-    parts = [f"WHEN {norm} = '{e}' AND {m} = '{mt}' THEN '{r}'" for e, mt, r in S.ENDPOINT_POLICY if not e.endswith("/*")]
-    parts += [f"WHEN starts_with({norm}, '{e[:-1]}')" + (f" AND {m} = '{mt}'" if mt != "ALL" else "") + f" THEN '{r}'"
-              for e, mt, r in sorted([x for x in S.ENDPOINT_POLICY if x[0].endswith("/*")], key=lambda x: -len(x[0]))]
-    return "CASE " + " ".join(parts) + " END"
-
-
-@register("authorise_requests", f"""WITH r AS (SELECT *, {_policy_sql('endpoint', 'method')} AS required_role FROM ({_REQ_SQL})),
-m AS ({_MEMBERS_SQL}),
-j AS (SELECT r.*, EXISTS (SELECT 1 FROM m WHERE m.user_id = r.user_id AND m.role = r.required_role) AS has,
-  EXISTS (SELECT 1 FROM m WHERE m.user_id = r.user_id AND m.role = 'admin') AS adm,
-  o.o_orderkey AS rid, o.o_custkey AS owner FROM r LEFT JOIN orders o ON o.o_orderkey = r.resource_id),
-d AS (SELECT *, CASE WHEN NOT has THEN 'User lacks required role: ' || coalesce(required_role, 'None')
-  WHEN resource_id IS NOT NULL AND rid IS NULL THEN 'Resource not found'
-  WHEN resource_id IS NOT NULL AND adm THEN 'Admin override'
-  WHEN resource_id IS NOT NULL AND owner <> user_id THEN 'User does not own this resource' ELSE 'Authorized' END AS reason FROM j)
-SELECT event_id, user_id, method, endpoint, resource_id, required_role,
-  reason IN ('Admin override', 'Authorized') AS authorized, reason FROM d""")
-def q_authorise_requests(spark, sf):
-    """J-13: decision per request (events) from roles (customer segments) and resources (orders)."""
-    res = table(spark, sf, "orders").select(F.col("o_orderkey").alias("resource_id"), F.col("o_custkey").alias("owner_id"))
-    return S.authorise(_requests(spark, sf), _members(spark, sf), res)
-
-
-@register("rls_manager_view", """WITH t AS (SELECT m.c_custkey AS member_id FROM customer m
-    JOIN customer mgr ON mgr.c_custkey = 7 AND m.c_nationkey = mgr.c_nationkey)
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey = 7 OR o_custkey IN (SELECT member_id FROM t)""")
-def q_rls_manager_view(spark, sf):
-    """J-14: orders visible to manager 7 (own and team = customers of the same nation)."""
-    c = table(spark, sf, "customer")
-    teams = c.alias("m").join(c.alias("g"), F.col("m.c_nationkey") == F.col("g.c_nationkey")).select(
-        F.col("g.c_custkey").alias("manager_id"), F.col("m.c_custkey").alias("member_id"))
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return S.rls(o, "o_custkey", 7, "manager", teams.filter(F.col("manager_id") == 7))
-
-
-@register("rls_user_view", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey = 7""")
-def q_rls_user_view(spark, sf):
-    """J-14: orders visible to plain user 7 (own rows only)."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return S.rls(o, "o_custkey", 7, "user")
-
-
-@register("cls_customer_view", """SELECT c_custkey, c_nationkey, c_mktsegment,
-  CASE WHEN c_custkey = 7 THEN lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
-  CASE WHEN c_custkey = 7 THEN '+' || c_nationkey || '-' || c_custkey END AS phone_number,
-  CASE WHEN c_custkey = 7 THEN c_acctbal END AS payment_info FROM customer""")
-def q_cls_customer_view(spark, sf):
-    """J-15: customer records as user 7 sees them: hash dropped, others' PII hidden."""
-    c = table(spark, sf, "customer")
-    df = c.select("c_custkey", "c_nationkey", "c_mktsegment",
-                  F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-                  F.concat(F.lit("+"), F.col("c_nationkey").cast("string"), F.lit("-"), F.col("c_custkey").cast("string"))
-                  .alias("phone_number"),
-                  F.col("c_acctbal").alias("payment_info"), F.sha2(F.col("c_name"), 256).alias("password_hash"))
-    return S.cls(df, 7, "user", "c_custkey", ["email", "phone_number", "payment_info"], ["password_hash"])
-
-
-_FK = [("orders.o_custkey -> customer", "orders", "o_custkey", "customer", "c_custkey", None),
-       ("lineitem.l_orderkey -> orders", "lineitem", "l_orderkey", "orders", "o_orderkey", None),
-       ("lineitem.l_partkey -> part", "lineitem", "l_partkey", "part", "p_partkey", None),
-       ("lineitem.l_suppkey -> supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey", None),
-       ("customer.c_nationkey -> nation", "customer", "c_nationkey", "nation", "n_nationkey", None),
-       ("supplier.s_nationkey -> nation", "supplier", "s_nationkey", "nation", "n_nationkey", None),
-       ("nation.n_regionkey -> region", "nation", "n_regionkey", "region", "r_regionkey", None),
-       ("labels.doc_id -> documents", "labels", "doc_id", "documents", "doc_id", None),
-       ("orders.o_custkey -> customer[BUILDING]", "orders", "o_custkey", "customer", "c_custkey", "c_mktsegment = 'BUILDING'")]
-
-
-@register("fk_violations", " UNION ALL ".join(
-    f"SELECT '{n}' AS fk, count(*) AS n_violations FROM {ch} WHERE {cc} IS NOT NULL AND {cc} NOT IN "
-    f"(SELECT {pc} FROM {pa}{' WHERE ' + w if w else ''})" for n, ch, cc, pa, pc, w in _FK))
-def q_fk_violations(spark, sf):
-    """J-16: declared foreign keys with violation counts, plus one deliberate break
-    (orders against the customers of one segment)."""
-    checks = []
-    for n, ch, cc, pa, pc, w in _FK:
-        parent = table(spark, sf, pa)
-        if w:
-            parent = parent.filter(F.expr(w))
-        checks.append((n, table(spark, sf, ch), cc, parent, pc))
-    return Q.fk_violations(checks)
-
-
-@register("rate_metrics", """SELECT o_orderpriority, count(*) AS n,
-  round(avg(CAST(o_orderstatus IN ('F', 'O') AS DOUBLE)), 6) AS success_rate,
-  round(avg(CAST(o_orderstatus = 'P' AS DOUBLE)), 6) AS rollback_rate,
-  round(avg(CAST(o_orderstatus IN ('F', 'O') AS DOUBLE)), 6) >= 0.95 AS meets_success,
-  round(avg(CAST(o_orderstatus = 'P' AS DOUBLE)), 6) <= 0.10 AS meets_rollback FROM orders GROUP BY 1""")
-def q_rate_metrics(spark, sf):
-    """A-08: deployment success (F or O) and rollback (P) rates per priority vs targets."""
-    o = table(spark, sf, "orders").select("o_orderpriority", F.col("o_orderstatus").isin("F", "O").alias("ok"),
-                                          (F.col("o_orderstatus") == "P").alias("rb"))
-    return Q.rate_metrics(o, ["o_orderpriority"], "ok", "rb")
-
-
-@register("latency_gate", """SELECT event_type, quantile_disc(value * 10, 0.95) AS p95,
-  CAST(CASE WHEN event_type = 'purchase' THEN 100.0 ELSE 500.0 END AS DOUBLE) AS target,
-  quantile_disc(value * 10, 0.95) <= CASE WHEN event_type = 'purchase' THEN 100.0 ELSE 500.0 END AS passed
-  FROM events GROUP BY event_type""")
-def q_latency_gate(spark, sf):
-    """A-09: p95 latency (value x 10 ms) per event type; purchases are DB calls (100 ms),
-    the rest API calls (500 ms)."""
-    ev = table(spark, sf, "events").select("event_type", (F.col("value") * 10).alias("latency_ms"))
-    target = F.when(F.col("event_type") == "purchase", F.lit(Q.P95_TARGET_MS["db"])).otherwise(F.lit(Q.P95_TARGET_MS["api"]))
-    return Q.latency_gate(ev, ["event_type"], "latency_ms", target)
-
-
-_GATES = [("orders", ">=", 5.0, True, False, False), ("avg_price", "<=", 200000.0, False, True, False),
-          ("urgent_share", "<=", 0.3, True, False, True), ("open_orders", ">=", 1.0, False, False, False)]
-_MEASURED_SQL = """SELECT o_custkey AS run_id, 'orders' AS metric, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1
-  UNION ALL SELECT o_custkey, 'avg_price', avg(o_totalprice) FROM orders GROUP BY 1
-  UNION ALL SELECT o_custkey, 'urgent_share', avg(CAST(o_orderpriority = '1-URGENT' AS DOUBLE)) FROM orders GROUP BY 1
-  UNION ALL SELECT o_custkey, 'open_orders', CAST(count_if(o_orderstatus = 'O') AS DOUBLE) FROM orders GROUP BY 1"""
-
-
-def _gate_sql(env: str) -> str:
-    vals = ", ".join(f"('{m}', '{op}', {t}, {str(r).lower()}, {str(c).lower()}, {str(p).lower()})" for m, op, t, r, c, p in _GATES)
-    return f"""WITH m AS ({_MEASURED_SQL}), t AS (SELECT * FROM (VALUES {vals}) AS t(metric, op, target, required, critical, production_only)),
-g AS (SELECT m.run_id, t.required OR t.critical AS counts, CASE t.op WHEN '>=' THEN m.value >= t.target
-  WHEN '<=' THEN m.value <= t.target WHEN '>' THEN m.value > t.target WHEN '<' THEN m.value < t.target
-  WHEN '==' THEN m.value = t.target END AS ok FROM m JOIN t ON m.metric = t.metric
-  WHERE NOT t.production_only OR {str(env == 'production').lower()})
-SELECT run_id, count(*) AS n_gates, count_if(NOT ok) AS n_failed,
-  coalesce(bool_and(CASE WHEN counts THEN ok END), true) AS passed FROM g GROUP BY run_id"""
-
-
-def _measured(spark, sf):
-    o = table(spark, sf, "orders")
-    per = o.groupBy(F.col("o_custkey").alias("run_id")).agg(
-        F.count(F.lit(1)).cast("double").alias("orders"), F.avg("o_totalprice").alias("avg_price"),
-        F.avg((F.col("o_orderpriority") == "1-URGENT").cast("double")).alias("urgent_share"),
-        F.count_if(F.col("o_orderstatus") == "O").cast("double").alias("open_orders"))
-    return per.select("run_id", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
-                                                   for m in ("orders", "avg_price", "urgent_share", "open_orders")])))
-
-
-for _env in ("staging", "production"):
-    def _mkg(env):
-        def q(spark, sf):
-            from runledger.session import constant_table
-            t = constant_table(spark, _GATES, "metric string, op string, target double, required boolean, "
-                                              "critical boolean, production_only boolean")
-            return Q.evaluate_gates(_measured(spark, sf), t, ["run_id"], env)
-        q.__doc__ = f"A-10: gate evaluation per customer run in {env}."
-        return q
-    register(f"evaluate_gates_{_env}", _gate_sql(_env))(_mkg(_env))
-
-
-@register("cost_rollup", """WITH u AS (SELECT l_partkey, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem GROUP BY 1),
-j AS (SELECT p.p_type, p.p_brand, u.q * CAST(p.p_retailprice AS DECIMAL(18,2)) AS c FROM u JOIN part p ON p.p_partkey = u.l_partkey),
-a AS (SELECT p_type, p_brand, sum(c) AS m FROM j GROUP BY 1, 2)
-SELECT p_type, p_brand, CAST(m AS DOUBLE) AS monthly, CAST(m * 0.50 AS DOUBLE) AS monthly_low, CAST(m * 1.00 AS DOUBLE) AS monthly_medium,
-  CAST(m * 1.70 AS DOUBLE) AS monthly_high, CAST(m * 12 AS DOUBLE) AS annual FROM a""")
-def q_cost_rollup(spark, sf):
-    """A-11: quantity x unit price per service (type) and category (brand), scenarios, annual."""
-    return Q.cost_rollup(table(spark, sf, "lineitem"), table(spark, sf, "part").withColumnRenamed("p_partkey", "l_partkey"),
-                         "l_partkey", "l_quantity", "p_retailprice", ["p_type", "p_brand"])
-
-
-@register("estimate_variance", """WITH a AS (SELECT l_orderkey AS o_orderkey,
-    CAST(sum(CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DECIMAL(18,2))) AS DOUBLE) AS actual FROM lineitem GROUP BY 1),
-v AS (SELECT o.o_orderkey, round(CASE WHEN o.o_totalprice <> 0 THEN abs(a.actual - o.o_totalprice) / abs(o.o_totalprice) END, 6) AS variance
-  FROM orders o LEFT JOIN a ON a.o_orderkey = o.o_orderkey)
-SELECT o_orderkey, variance, variance <= 0.15 AS within_15, variance <= 0.2 AS within_20, variance <= 0.3 AS within_30 FROM v""")
-def q_estimate_variance(spark, sf):
-    """A-12: order total (estimate) vs sum of its line charges (actual)."""
-    li = table(spark, sf, "lineitem")
-    charge = (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).cast("decimal(18,2)")
-    act = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(charge).cast("double").alias("actual"))
-    est = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return Q.variance(est, act, "o_orderkey", "o_totalprice", "actual")
-
-
-@register("turnaround", """SELECT user_id, CAST(ts AS DATE) AS run_date,
-  CAST(floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000) AS BIGINT) AS minutes, count(*) AS iterations,
-  floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000) <= 1440 AS within_review,
-  floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000) <= 20 AS within_deploy, count(*) <= 3 AS within_iterations
-  FROM events GROUP BY ALL""")
-def q_turnaround(spark, sf):
-    """A-13: duration and iterations per user/day run against the stated limits."""
-    ev = B.attempt_events(spark, sf)
-    return Q.turnaround(ev, ["user_id", "run_date"], "ts").withColumn("minutes", F.col("minutes").cast("bigint"))
-
-
-@register("adoption", """SELECT (SELECT count(DISTINCT user_id) FROM events) AS active_users,
-  (SELECT count(*) FROM customer) AS base_users,
-  round((SELECT count(DISTINCT user_id) FROM events) / (SELECT count(*) FROM customer), 6) AS adoption_rate""")
-def q_adoption(spark, sf):
-    """A-14: distinct active users over the customer base."""
-    return Q.adoption(table(spark, sf, "events"), "user_id", table(spark, sf, "customer"))
-
-
-@register("unique_violations", """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
-  GROUP BY 1, 2 HAVING count(*) > 1""")
-def q_unique_violations(spark, sf):
-    """A-16: (l_orderkey, l_linenumber) pairs that are not unique."""
-    return Q.unique_violations(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
-
-
-_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD")
-
-
-@register("domain_violations", f"""SELECT 'customer' AS entity, * FROM (
-  SELECT 'c_name' AS field, 'required' AS rule, count_if(c_name IS NULL OR length(c_name) = 0) AS n_violations FROM customer
-  UNION ALL SELECT 'c_name', 'max_length 18', count_if(length(c_name) > 18) FROM customer
-  UNION ALL SELECT 'c_acctbal', 'min_value 0', count_if(c_acctbal < 0) FROM customer
-  UNION ALL SELECT 'c_mktsegment', 'enum', count_if(c_mktsegment NOT IN ({", ".join(f"'{x}'" for x in _SEGMENTS)})) FROM customer)
-UNION ALL SELECT 'part', * FROM (
-  SELECT 'p_size' AS field, 'min_value 1' AS rule, count_if(p_size < 1) AS n_violations FROM part
-  UNION ALL SELECT 'p_size', 'max_value 45', count_if(p_size > 45) FROM part
-  UNION ALL SELECT 'p_name', 'validation', count_if(NOT regexp_matches(p_name, '^[a-z]+ [a-z]+$')) FROM part
-  UNION ALL SELECT 'p_brand', 'validation', count_if(NOT regexp_matches(p_brand, '^Brand#[0-9]{{1,2}}$')) FROM part)""")
-def q_domain_violations(spark, sf):
-    """A-17: field constraints (required, max length, min/max value, pattern, enum), one pass per entity."""
-    c, p = table(spark, sf, "customer"), table(spark, sf, "part")
-    cr = [("c_name", "required", Q.required(F.col("c_name"))),
-          ("c_name", "max_length 18", Q.max_length(F.col("c_name"), 18)),
-          ("c_acctbal", "min_value 0", Q.min_value(F.col("c_acctbal"), 0)),
-          ("c_mktsegment", "enum", Q.enum(F.col("c_mktsegment"), _SEGMENTS))]
-    pr = [("p_size", "min_value 1", Q.min_value(F.col("p_size"), 1)),
-          ("p_size", "max_value 45", Q.max_value(F.col("p_size"), 45)),
-          ("p_name", "validation", Q.matches(F.col("p_name"), "^[a-z]+ [a-z]+$")),
-          ("p_brand", "validation", Q.matches(F.col("p_brand"), "^Brand#[0-9]{1,2}$"))]
-    return Q.domain_violations(c, "customer", cr).unionByName(Q.domain_violations(p, "part", pr))
-
-
-@register("secret_scan", f"""SELECT doc_id, CAST(len(regexp_extract_all(text, '{Q.SECRET_PATTERN}')) AS INTEGER) AS n_hits FROM documents
-  WHERE len(regexp_extract_all(text, '{Q.SECRET_PATTERN}')) > 0""")
-def q_secret_scan(spark, sf):
-    """A-18: documents with hard-coded secrets (the target is zero)."""
-    return Q.secret_scan(table(spark, sf, "documents"), "doc_id", "text")
-
-
-@register("retention_orders", """SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') AS INTEGER) AS age_days,
-  CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') > 365 THEN 'expire'
-       WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') > 90 THEN 'cold' ELSE 'keep' END AS retention
-  FROM orders""")
-def q_retention_orders(spark, sf):
-    """A-20: data retention classes of orders as of 1999-01-01."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return Q.retention(o, "o_orderdate", "data", "1999-01-01").drop("o_orderdate")
-
-
-@register("retention_logs", """SELECT event_id, CAST(date_diff('day', CAST(ts AS DATE), DATE '2024-02-01') AS INTEGER) AS age_days,
-  CASE WHEN date_diff('day', CAST(ts AS DATE), DATE '2024-02-01') > 30 THEN 'expire' ELSE 'keep' END AS retention FROM events""")
-def q_retention_logs(spark, sf):
-    """A-20: log retention (30 days) of events as of 2024-02-01."""
-    ev = table(spark, sf, "events").select("event_id", "ts")
-    return Q.retention(ev, "ts", "logs", "2024-02-01").drop("ts")
-
-
-@register("rotation_overdue", """WITH l AS (SELECT o_custkey, max(o_orderdate) AS last_rotated FROM orders GROUP BY 1),
-k AS (SELECT c.c_custkey, CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'db_credentials' WHEN 'BUILDING' THEN 'api_keys'
-  ELSE 'jwt_secret' END AS kind, l.last_rotated FROM customer c LEFT JOIN l ON l.o_custkey = c.c_custkey)
-SELECT c_custkey, kind, last_rotated, CAST(date_diff('day', CAST(last_rotated AS DATE), DATE '1999-01-01') AS INTEGER) AS days_since,
-  CASE kind WHEN 'db_credentials' THEN 30 WHEN 'api_keys' THEN 90 END AS period_days,
-  coalesce(date_diff('day', CAST(last_rotated AS DATE), DATE '1999-01-01') >
-    CASE kind WHEN 'db_credentials' THEN 30 WHEN 'api_keys' THEN 90 END, false) AS overdue FROM k""")
-def q_rotation_overdue(spark, sf):
-    """A-21: secrets overdue for rotation; the last order stands for the last rotation."""
-    last = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").alias("last_rotated"))
-    c = table(spark, sf, "customer")
-    kind = (F.when(F.col("c_mktsegment") == "AUTOMOBILE", "db_credentials")
-             .when(F.col("c_mktsegment") == "BUILDING", "api_keys").otherwise("jwt_secret"))
-    df = c.select("c_custkey", kind.alias("kind")).join(last, "c_custkey", "left")
-    return Q.overdue(df, "kind", "last_rotated", "1999-01-01")
-
-
-@register("sprint_load", """SELECT strftime(l_shipdate, '%Y-%m') AS sprint,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS points, CAST(18000.0 AS DOUBLE) AS velocity,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) > 18000.0 AS overloaded FROM lineitem GROUP BY 1""")
-def q_sprint_load(spark, sf):
-    """A-22: shipped quantity per month (sprint) against a velocity of 18000."""
-    li = table(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("sprint"), "l_quantity")
-    return Q.sprint_load(li, "sprint", "l_quantity", 18000)
-
-
-@register("daily_quota", """WITH e AS (SELECT e.user_id, CAST(e.ts AS DATE) AS run_date,
-    CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 3 END AS lim FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id)
-SELECT user_id, run_date, count(*) AS n_requests, CASE WHEN max(lim) IS NULL THEN count(*) ELSE least(count(*), max(lim)) END AS n_allowed,
-  count(*) - CASE WHEN max(lim) IS NULL THEN count(*) ELSE least(count(*), max(lim)) END AS n_rejected FROM e GROUP BY ALL""")
-def q_daily_quota(spark, sf):
-    """W-08: 3 requests per user/day (scaled-down free tier); admins unlimited."""
-    ev = B.attempt_events(spark, sf)
-    lim = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"),
-                                              F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("int"))
-                                              .otherwise(F.lit(3)).alias("lim"))
-    return Q.quota(ev.join(lim, "user_id", "left"), ["user_id", "run_date"], "lim").select(
-        "user_id", "run_date", "n_requests", F.col("n_allowed").cast("bigint").alias("n_allowed"),
-        F.col("n_rejected").cast("bigint").alias("n_rejected"))
-
-
-@register("top_files_per_context", """SELECT p_brand, p_partkey, p_name, CAST(rank AS INTEGER) AS rank FROM (SELECT p_brand, p_partkey, p_name,
-  row_number() OVER (PARTITION BY p_brand ORDER BY CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'STANDARD' THEN 2 ELSE 3 END,
-    p_name, p_partkey) AS rank FROM part) WHERE rank <= 10""")
-def q_top_files_per_context(spark, sf):
-    """W-10: ten files per context (brand) by priority (type), then name."""
-    p = table(spark, sf, "part")
-    pri = F.when(F.col("p_type") == "ECONOMY", 1).when(F.col("p_type") == "STANDARD", 2).otherwise(3)
-    return Q.top_k_per_group(p, ["p_brand"], [pri, F.col("p_name"), F.col("p_partkey")], 10).select(
-        "p_brand", "p_partkey", "p_name", "rank")
-
-
-# ------------------------------------------------------------- state, outcomes, rendering, filters
-from runledger.functions import render as RD  # noqa: E402
-from runledger.functions import state as ST  # noqa: E402
-from runledger.operators import filters as FL  # noqa: E402
-
-_WF_TEXT_SQL = f"""'Here is the result:' || {O.NL} || '```json' || {O.NL} || '{{"adw_slash_command": "/' ||
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'adw_plan_iso' WHEN '2-HIGH' THEN 'adw_sdlc_ZTE_iso' WHEN '3-MEDIUM' THEN 'adw_build_iso'
-  WHEN '4-NOT SPECIFIED' THEN 'adw_deploy_iso' ELSE '' END || '", "adw_id": "r' || o_orderkey || '"' ||
-  CASE WHEN o_totalprice > 200000 THEN ', "model_set": "heavy"' ELSE '' END || '}}' || {O.NL} || '```'"""
-
-
-def _wf_text():
-    pri = F.col("o_orderpriority")
-    cmd = (F.when(pri == "1-URGENT", "adw_plan_iso").when(pri == "2-HIGH", "adw_sdlc_ZTE_iso")
-            .when(pri == "3-MEDIUM", "adw_build_iso").when(pri == "4-NOT SPECIFIED", "adw_deploy_iso").otherwise(""))
-    return F.concat(F.lit('Here is the result:\n```json\n{"adw_slash_command": "/'), cmd, F.lit('", "adw_id": "r'),
-                    F.col("o_orderkey").cast("string"), F.lit('"'),
-                    F.when(F.col("o_totalprice") > 200000, F.lit(', "model_set": "heavy"')).otherwise(F.lit("")),
-                    F.lit("}\n```"))
-
-
-_ALLOWED_SQL = ", ".join(f"'{w}'" for w in ST.WORKFLOWS)
-
-
-@register("extract_workflow", f"""WITH src AS (SELECT o_orderkey, {_WF_TEXT_SQL} AS text FROM orders),
-{O.extract_json_ctes('src', 'text', 'o_orderkey')},
-c AS (SELECT o_orderkey, json_text, replace(coalesce(json_extract_string(json_text, '$.adw_slash_command'), ''), '/', '') AS cmd FROM fj)
-SELECT o_orderkey, CASE WHEN cmd IN ({_ALLOWED_SQL}) THEN cmd END AS workflow_command,
-  CASE WHEN cmd IN ({_ALLOWED_SQL}) THEN json_extract_string(json_text, '$.adw_id') END AS run_id,
-  CASE WHEN cmd IN ({_ALLOWED_SQL}) THEN coalesce(json_extract_string(json_text, '$.model_set'), 'base') ELSE 'base' END AS model_set
-FROM c""")
-def q_extract_workflow(spark, sf):
-    """FN-09: workflow, run id and model set from classifier output, allow-listed."""
-    o = table(spark, sf, "orders")
-    w = ST.extract_workflow(_wf_text())
-    return o.select("o_orderkey", w.workflow_command.alias("workflow_command"), w.run_id.alias("run_id"),
-                    w.model_set.alias("model_set"))
-
-
-_STATE_SQL = """'{"run": ' || props || ', "phase": "' || event_type || '", "value": ' || value || '}'"""
-
-
-@register("state_get_path", f"""WITH s AS (SELECT event_id, event_type, {_STATE_SQL} AS state FROM events)
-SELECT event_id, json_extract_string(state, '$.run.k') AS k, coalesce(json_extract_string(state, '$.phase.x'), 'none') AS bad_path,
-  coalesce(json_extract_string(state, '$.missing'), 'none') AS missing, event_type AS phase FROM s""")
-def q_state_get_path(spark, sf):
-    """FN-14: dotted paths in state documents: nested key, path through a non-object,
-    missing key (both default), and a core attribute by exact name."""
-    ev = table(spark, sf, "events")
-    state = F.concat(F.lit('{"run": '), F.col("props"), F.lit(', "phase": "'), F.col("event_type"), F.lit('", "value": '),
-                     F.col("value").cast("string"), F.lit("}"))
-    core = {"phase": F.col("event_type")}
-    return ev.select("event_id", ST.get_path(state, "run.k").alias("k"),
-                     ST.get_path(state, "phase.x", "none").alias("bad_path"),
-                     ST.get_path(state, "missing", "none").alias("missing"),
-                     ST.get_path(state, "phase", core=core).alias("phase"))
-
-
-@register("allowlist_attrs", """WITH m AS (SELECT c_custkey, c_name AS name, c_mktsegment AS segment,
-    CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS VARCHAR) END AS balance FROM customer)
-SELECT c_custkey, array_to_string(list_sort(list_filter(['name=' || name, 'segment=' || segment, 'balance=' || balance,
-  'market=' || segment], lambda x: x IS NOT NULL)), ';') AS attrs FROM m""")
-def q_allowlist_attrs(spark, sf):
-    """FN-15: customer attributes: allow-list (name, segment, balance), nulls dropped,
-    segment also copied as market."""
-    c = table(spark, sf, "customer")
-    m = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"),
-                     F.lit("nation"), F.col("c_nationkey").cast("string"),
-                     F.lit("balance"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("string")))
-    kept = ST.allowlist_map(m, ["name", "segment", "balance"], {"segment": "market"})
-    return c.select("c_custkey", F.array_join(F.array_sort(F.transform(F.map_entries(kept),
-                                                                       lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
-                    .alias("attrs"))
-
-
-_RESULT_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date, ts, event_id,
-  CASE WHEN event_type = 'error' AND value > 40 THEN 'error_during_execution' ELSE 'success' END AS subtype,
-  event_type = 'error' AS is_error, repeat(props || ' ', CAST(floor(value) * 4 AS INT) + 1) AS result
-  FROM events WHERE event_type <> 'view'"""
-
-
-def _results(spark, sf):
-    ev = table(spark, sf, "events")
-    return ev.filter(F.col("event_type") != "view").select(
-        "user_id", F.to_date("ts").alias("run_date"), "ts", "event_id",
-        F.when((F.col("event_type") == "error") & (F.col("value") > 40), "error_during_execution").otherwise("success")
-        .alias("subtype"), (F.col("event_type") == "error").alias("is_error"),
-        F.repeat(F.concat(F.col("props"), F.lit(" ")), (F.floor("value") * 4).cast("int") + 1).alias("result"))
-
-
-_OUTCOME_SQL = f"""WITH r AS ({_RESULT_SQL}),
-l AS (SELECT user_id, run_date, max((ts, event_id)) AS k, arg_max(subtype, (ts, event_id)) AS subtype,
-      arg_max(is_error, (ts, event_id)) AS is_error, arg_max(result, (ts, event_id)) AS result FROM r GROUP BY ALL),
-runs AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS run_date FROM events),
-o AS (SELECT runs.user_id, runs.run_date, l.k IS NOT NULL AS has, l.subtype, coalesce(l.is_error, false) AS err,
-      coalesce(l.result, '') AS txt FROM runs LEFT JOIN l ON l.user_id = runs.user_id AND l.run_date = runs.run_date)
-SELECT user_id, run_date,
-  CASE WHEN NOT has THEN 'No result message found in Claude Code output'
-       WHEN subtype = 'error_during_execution' THEN 'Error during execution: Agent encountered an error and did not return a result'
-       WHEN err AND length(txt) > 1000 THEN {O.truncate('txt', 800)} ELSE txt END AS output,
-  CASE WHEN NOT has OR subtype = 'error_during_execution' THEN false ELSE NOT err END AS success,
-  CASE WHEN has AND subtype = 'error_during_execution' THEN 'error_during_execution' ELSE 'none' END AS retry_code FROM o"""
-
-
-@register("classify_outcome", _OUTCOME_SQL)
-def q_classify_outcome(spark, sf):
-    """FN-21: outcome and retry code per user/day run from its last result event."""
-    runs_ = B.attempt_events(spark, sf)
-    return ST.classify_outcome(runs_, _results(spark, sf), ["user_id", "run_date"], ["ts", "event_id"])
-
-
-@register("retryable_outcomes", f"""SELECT * FROM ({_OUTCOME_SQL}) WHERE NOT success AND retry_code <> 'none'
-  AND retry_code IN ('claude_code_error', 'timeout_error', 'execution_error', 'error_during_execution')""")
-def q_retryable_outcomes(spark, sf):
-    """FL-06: runs whose outcome allows another attempt."""
-    return FL.retryable(q_classify_outcome(spark, sf))
-
-
-@register("failed_labels", """SELECT doc_id, quality, toxic FROM labels WHERE NOT (quality = 1)""")
-def q_failed_labels(spark, sf):
-    """FL-01: failed results (quality check not passed)."""
-    lb = table(spark, sf, "labels").withColumn("passed", F.col("quality") == 1)
-    return FL.failed(lb).drop("passed")
-
-
-@register("passed_labels", """SELECT doc_id, quality, toxic FROM labels WHERE quality = 1""")
-def q_passed_labels(spark, sf):
-    """FL-01: passed results."""
-    lb = table(spark, sf, "labels").withColumn("passed", F.col("quality") == 1)
-    return FL.passed(lb).drop("passed")
-
-
-@register("blocker_issues", f"""SELECT * FROM ({O.REVIEW_ISSUES}) WHERE issue_severity = 'blocker'""")
-def q_blocker_issues(spark, sf):
-    """FL-02: review findings that block."""
-    return FL.blockers(B.review_issues(spark, sf))
-
-
-_PATH_SQL = """CASE WHEN contains(url, '/en/') THEN 'specs/' WHEN contains(url, '/fr/') THEN 'specs/patch/' ELSE 'docs/' END
-  || page_id || CASE WHEN contains(url, '#') THEN '.txt' ELSE '.md' END"""
-
-
-@register("spec_paths", f"""SELECT page_id, path, contains(path, 'specs/patch/') AS is_patch FROM
-  (SELECT page_id, {_PATH_SQL} AS path FROM pages) WHERE starts_with(path, 'specs/') AND ends_with(path, '.md')""")
-def q_spec_paths(spark, sf):
-    """FL-05: spec documents among paths derived from page URLs."""
-    p = table(spark, sf, "pages")
-    u = F.col("url")
-    path = F.concat(F.when(u.contains("/en/"), "specs/").when(u.contains("/fr/"), "specs/patch/").otherwise("docs/"),
-                    F.col("page_id").cast("string"), F.when(u.contains("#"), ".txt").otherwise(".md"))
-    return FL.spec_paths(p.select("page_id", path.alias("path")))
-
-
-@register("render_vars", """SELECT o_orderkey, 'Order ' || o_orderkey || ' for customer ' || o_custkey || ' is ' || o_orderstatus
-  || ' ({{ missing }})' AS text FROM orders""")
-def q_render_vars(spark, sf):
-    """FN-22: ``{{ var }}`` placeholders filled from a per-row map; unknown ones stay."""
-    o = table(spark, sf, "orders")
-    tpl = F.lit("Order {{ id }} for customer {{ customer }} is {{ status }} ({{ missing }})")
-    vars_ = F.create_map(F.lit("id"), F.col("o_orderkey").cast("string"), F.lit("customer"), F.col("o_custkey").cast("string"),
-                         F.lit("status"), F.col("o_orderstatus"))
-    return o.select("o_orderkey", RD.render_vars(tpl, vars_).alias("text"))
-
-
-@register("render_plans", f"""WITH s AS (SELECT 'ORD-' || o_orderkey AS id, 'Ship order ' || o_orderkey AS title,
-    year(o_orderdate) AS sprint, o_orderpriority AS priority, round(o_totalprice / 1000, 1) AS estimated_hours,
-    'As customer ' || o_custkey || ' I want my order' AS user_story,
-    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'Status ' || o_orderstatus END AS description,
-    CASE WHEN o_orderstatus = 'O' AND o_orderkey > 0 THEN 'ORD-' || (o_orderkey - 1) ELSE 'None' END AS deps FROM orders),
-c AS (SELECT 'ORD-' || l_orderkey AS id, string_agg('- [ ] Ship ' || l_quantity || ' of part ' || l_partkey, {O.NL}
-      ORDER BY l_linenumber, 'Ship ' || l_quantity || ' of part ' || l_partkey) AS cl FROM lineitem GROUP BY 1)
-SELECT s.id, 'plans/' || lower(s.id) || '_plan.md' AS plan_file,
-  '# Implementation Plan: ' || title || {O.NL} || {O.NL} || '**Story ID:** ' || s.id || {O.NL} || '**ADW ID:** batch'
-  || {O.NL} || '**Sprint:** ' || coalesce(CAST(sprint AS VARCHAR), 'TBD') || {O.NL} || '**Priority:** ' || coalesce(priority, 'P1')
-  || {O.NL} || '**Estimated Hours:** ' || coalesce(CAST(estimated_hours AS VARCHAR), 'TBD') || {O.NL} || {O.NL} || '## User Story'
-  || {O.NL} || coalesce(user_story, 'N/A') || {O.NL} || {O.NL} || '## Description' || {O.NL} || coalesce(description, 'N/A')
-  || {O.NL} || {O.NL} || '## Dependencies' || {O.NL} || deps || {O.NL} || {O.NL} || '## Acceptance Criteria' || {O.NL}
-  || coalesce(c.cl, '') || {O.NL} AS plan FROM s LEFT JOIN c ON c.id = s.id""")
-def q_render_plans(spark, sf):
-    """FN-22: implementation plan per order with its lines as the acceptance checklist."""
-    o = table(spark, sf, "orders")
-    sid = F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))
-    stories = o.select(sid.alias("id"), F.concat(F.lit("Ship order "), F.col("o_orderkey").cast("string")).alias("title"),
-                       F.year("o_orderdate").alias("sprint"), F.col("o_orderpriority").alias("priority"),
-                       F.round(F.col("o_totalprice") / 1000, 1).alias("estimated_hours"),
-                       F.concat(F.lit("As customer "), F.col("o_custkey").cast("string"), F.lit(" I want my order")).alias("user_story"),
-                       F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("Status "), F.col("o_orderstatus"))).alias("description"),
-                       F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") > 0),
-                              F.array(F.concat(F.lit("ORD-"), (F.col("o_orderkey") - 1).cast("string"))))
-                       .otherwise(F.array().cast("array<string>")).alias("dependencies"))
-    li = table(spark, sf, "lineitem")
-    crit = F.concat(F.lit("Ship "), F.col("l_quantity").cast("string"), F.lit(" of part "), F.col("l_partkey").cast("string"))
-    criteria = li.select(F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("id"),
-                         F.struct(F.col("l_linenumber"), crit).alias("position"), crit.alias("criterion"))
-    return RD.render_plan(stories, criteria, "batch")
-
-
-_ENV_SQL = f"""WITH c AS ({O.CONFIG_VALUES}), s AS ({O.CONFIG_SCHEMA}),
-v AS (SELECT c.run_id, c.key, 'Configuration value for ' || s.key AS description,
-  CASE WHEN {O.contains_any('c.key', _SENS['generic'])} THEN 'your-secret-value-here'
-       WHEN {O.json_type('c.value_json')} = 'str' THEN json_extract_string('[' || c.value_json || ']', '$[0]')
-       WHEN {O.json_type('c.value_json')} = 'bool' THEN upper(substr(c.value_json, 1, 1)) || substr(c.value_json, 2)
-       ELSE c.value_json END AS val,
-  {_CAT_SQL.replace('key', 'c.key')} AS category FROM c LEFT JOIN s ON s.key = c.key),
-r AS (SELECT *, CASE category {" ".join(f"WHEN '{n}' THEN {i + 1}" for i, n in enumerate(RD.CATEGORY_ORDER))} END AS rank FROM v),
-b AS (SELECT run_id, category, rank, string_agg(CASE WHEN length(description) > 0 THEN '# ' || description || {O.NL} ELSE '' END
-      || key || '=' || coalesce(val, '') || {O.NL}, {O.NL} ORDER BY key) AS lines FROM r GROUP BY ALL),
-t AS (SELECT run_id, string_agg('# ' || category || {O.NL} || {O.NL} || lines || {O.NL}, '' ORDER BY rank) AS body FROM b GROUP BY run_id)
-SELECT run_id, regexp_replace('# Auto-generated environment configuration template' || {O.NL} || '# ADW ID: ' || run_id || {O.NL}
-  || '# Environment: dev' || {O.NL} || {O.NL} || body, '\\n$', '') AS template FROM t"""
-
-
-@register("render_env_template", _ENV_SQL)
-def q_render_env_template(spark, sf):
-    """FN-22: ``.env.example`` per customer config, grouped by category, secrets masked."""
-    desc = B.config_schema(spark).select("key", F.concat(F.lit("Configuration value for "), F.col("key")).alias("description"))
-    return RD.render_env_template(B.config_values(spark, sf), ["run_id"], desc)
-
-
-_REPORT_ROWS_SQL = f"""SELECT user_id, CAST(ts AS DATE) AS run_date, event_id, event_type AS test_name, value >= 1 AS passed,
-  '### ' || event_type || {O.NL} || {O.NL} || '```json' || {O.NL} || '{{' || {O.NL} || '  "test_name": ' || to_json(event_type)
-  || ',' || {O.NL} || '  "passed": ' || CASE WHEN value >= 1 THEN 'true' ELSE 'false' END || ',' || {O.NL}
-  || '  "execution_command": ' || to_json('pytest -k ' || event_type) || ',' || {O.NL}
-  || '  "test_purpose": ' || to_json('check ' || event_type) || ',' || {O.NL} || '  "error": '
-  || CASE WHEN value >= 1 THEN 'null' ELSE to_json('value ' || value) END || {O.NL} || '}}' || {O.NL} || '```' || {O.NL} || {O.NL}
-  AS block FROM events"""
-
-
-@register("test_report", f"""WITH t AS ({_REPORT_ROWS_SQL}),
-a AS (SELECT user_id, run_date, coalesce(string_agg(CASE WHEN NOT passed THEN block END, '' ORDER BY event_id), '') AS f,
-  coalesce(string_agg(CASE WHEN passed THEN block END, '' ORDER BY event_id), '') AS p,
-  count_if(passed) AS np, count_if(NOT passed) AS nf, count(*) AS n FROM t GROUP BY ALL)
-SELECT user_id, run_date, CASE WHEN nf > 0 THEN {O.NL} || '## ❌ Failed Tests' || {O.NL} || {O.NL} || f ELSE '' END
-  || CASE WHEN np > 0 THEN '## ✅ Passed Tests' || {O.NL} || {O.NL} || p ELSE '' END || '## Summary' || {O.NL} || '- **Passed**: ' || np
-  || {O.NL} || '- **Failed**: ' || nf || {O.NL} || '- **Total**: ' || n AS report FROM a""")
-def q_test_report(spark, sf):
-    """FN-23: Markdown test report per user/day run (failed, passed, summary)."""
-    ev = table(spark, sf, "events")
-    t = ev.select("user_id", F.to_date("ts").alias("run_date"), "event_id", F.col("event_type").alias("test_name"),
-                  (F.col("value") >= 1).alias("passed"), "value")
-    t = t.select("user_id", "run_date", "event_id", "test_name", "passed",
-                 F.concat(F.lit("pytest -k "), F.col("test_name")).alias("execution_command"),
-                 F.concat(F.lit("check "), F.col("test_name")).alias("test_purpose"),
-                 F.when(~F.col("passed"), F.concat(F.lit("value "), F.col("value").cast("string"))).alias("error"))
-    return RD.test_report(t, ["user_id", "run_date"], "event_id")
-
-
-# ---------------------------------------------------------------- sources and sinks (SRC-*, U-07)
-# Each query writes files derived from the driver tables to a fresh folder under the
-# shared checkpoint folder, then reads them back with the source operator.
-from runledger.operators import reconcile as _R  # noqa: E402,F811
-from runledger.sources import config_files as SC  # noqa: E402
-from runledger.sources import documents as SD  # noqa: E402
-from runledger.sources import logs as SL  # noqa: E402
-
-
-def _run_log_lines(spark, sf):
-    ev = table(spark, sf, "events")
-    k = F.get_json_object("props", "$.k")
-    et = F.col("event_type")
-    res = F.to_json(F.struct(F.lit("result").alias("type"), F.lit("success").alias("subtype"),
-                             (et == "error").alias("is_error"), (F.col("value") * 1000).cast("bigint").alias("duration_ms"),
-                             F.concat(et, F.lit(" "), k).alias("result"),
-                             F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("session_id")))
-    asst = F.to_json(F.struct(F.lit("assistant").alias("type"), F.struct(F.array(F.struct(
-        F.concat(F.lit("viewed "), k).alias("text"))).alias("content")).alias("message")))
-    line = (F.when(et == "view", asst).when((et == "error") & (F.col("value") > 300), F.lit("not json {")).otherwise(res))
-    return ev.select("user_id", "ts", "event_id", line.alias("value"))
-
-
-def _write_run_logs(spark, sf):
-    path = SL.scratch_path(spark, "run-logs")
-    (_run_log_lines(spark, sf).repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
-        .select("user_id", "value").write.partitionBy("user_id").text(path))
-    return path
-
-
-def _user_of_file():
-    return F.regexp_extract("file", r"user_id=(\d+)/", 1).cast("bigint")
-_LOG_EVENTS_SQL = """SELECT user_id, event_type, value, json_extract_string(props, '$.k') AS k,
-  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS line_no,
-  count(*) OVER (PARTITION BY user_id) AS n_messages,
-  bool_or(event_type = 'error' AND value > 300) OVER (PARTITION BY user_id) AS voided FROM events"""
-
-
-@register("run_log_results", f"""WITH e AS ({_LOG_EVENTS_SQL})
-SELECT user_id, any_value(n_messages) AS n_messages, max(line_no) AS line_no, arg_max(event_type || ' ' || k, line_no) AS result,
-  arg_max(event_type = 'error', line_no) AS is_error, arg_max(CAST(value * 1000 AS BIGINT), line_no) AS duration_ms
-FROM e WHERE NOT voided AND event_type <> 'view' GROUP BY user_id""")
-def q_run_log_results(spark, sf):
-    """SRC-01 (strict): JSONL run logs written per user, read back; a file with one bad
-    line is void; the result message is the file's last result line."""
-    path = _write_run_logs(spark, sf)
-    msgs = SL.read_run_log(spark, path, "strict")
-    n = msgs.groupBy("file").agg(F.count(F.lit(1)).alias("n_messages"))
-    r = SL.result_messages(msgs).join(n, "file")
-    return r.select(_user_of_file().alias("user_id"), "n_messages", F.col("line_no").cast("bigint").alias("line_no"),
-                    "result", "is_error", "duration_ms")
-
-
-@register("run_log_permissive", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
-  FROM events GROUP BY user_id""")
-def q_run_log_permissive(spark, sf):
-    """SRC-01 (permissive): every line kept, bad ones flagged."""
-    path = _write_run_logs(spark, sf)
-    msgs = SL.read_run_log(spark, path, "permissive")
-    return msgs.groupBy(_user_of_file().alias("user_id")).agg(F.count(F.lit(1)).alias("n_lines"),
-                                                            F.count_if("corrupt").alias("n_corrupt"))
-
-
-@register("json_array_export", """SELECT conv_id, count(*) AS n_messages, min(turn) AS first_turn, max(turn) AS last_turn
-  FROM conversations GROUP BY conv_id""")
-def q_json_array_export(spark, sf):
-    """SRC-02: each conversation's messages written as one JSON array file, read back."""
-    path = SL.scratch_path(spark, "json-arrays")
-    cv = table(spark, sf, "conversations")
-    msg = F.to_json(F.struct("turn", "role", "text"))
-    SL.write_json_array(cv.withColumn("msg", msg), ["conv_id"], "turn", "msg", path)
-    back = SL.file_lines(spark, path).select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"),
-                                             F.from_json("line", "array<struct<turn: bigint, role: string, text: string>>").alias("a"))
-    return back.select("conv_id", F.size("a").cast("bigint").alias("n_messages"),
-                       F.col("a")[0]["turn"].alias("first_turn"), F.element_at("a", -1)["turn"].alias("last_turn"))
-
-
-_LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END"
-
-
-@register("exec_log", f"""SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, {_LEVEL} AS level,
-  event_type || ' by ' || user_id || ' value ' || value AS message FROM events
-  UNION ALL SELECT NULL, NULL, '  detail: ' || props FROM events WHERE event_type = 'error'""")
-def q_exec_log(spark, sf):
-    """SRC-03: execution log lines (timestamp - LEVEL - message, plus continuation
-    lines) written from events and parsed back."""
-    ev = table(spark, sf, "events")
-    lvl = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING").otherwise("INFO")
-    msg = F.concat(F.col("event_type"), F.lit(" by "), F.col("user_id").cast("string"), F.lit(" value "),
-                   F.col("value").cast("string"))
-    head = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" - "), lvl, F.lit(" - "), msg)
-    lines = ev.select(F.when(F.col("event_type") == "error", F.concat(head, F.lit("\n  detail: "), F.col("props")))
-                      .otherwise(head).alias("value"))
-    path = SL.scratch_path(spark, "exec-log")
-    lines.write.text(path)
-    back = SL.read_exec_log(spark, path)
-    return back.select("ts", "level", "message")
-
-
-_KV_LINE_SQL = """CASE p_size % 10 WHEN 0 THEN '# comment ' || p_name WHEN 1 THEN '' WHEN 2 THEN p_name
-  WHEN 3 THEN key || '=' || value || '=x' ELSE key || ' = ' || value END"""
-
-
-@register("kv_roundtrip", f"""WITH k AS ({O.PART_KEYS}), l AS (SELECT p_brand, p_partkey, {_KV_LINE_SQL} AS line FROM k),
-kv AS (SELECT p_brand, p_partkey, trim(substr(line, 1, strpos(line, '=') - 1)) AS key, trim(substr(line, strpos(line, '=') + 1)) AS value
-  FROM l WHERE strpos(line, '=') > 0 AND NOT starts_with(line, '#'))
-SELECT p_brand AS brand, key, arg_max(value, p_partkey) AS value FROM kv GROUP BY 1, 2""")
-def q_kv_roundtrip(spark, sf):
-    """SRC-05 then SRC-04: one .env file per brand (comments, blanks, lines without '=',
-    'A=b=c', spaced pairs, repeated keys) written and read back; later duplicate wins."""
-    k = B.part_keys(spark, sf)
-    sz = F.col("p_size") % 10
-    key = (F.when(sz == 0, F.concat(F.lit("# comment "), F.col("p_name"))).when(sz == 1, F.lit(""))
-            .when(sz == 2, F.col("p_name")).when(sz == 3, F.col("key")).otherwise(F.concat(F.col("key"), F.lit(" "))))
-    val = (F.when(sz.isin(0, 1, 2), F.lit(None).cast("string")).when(sz == 3, F.concat(F.col("value"), F.lit("=x")))
-            .otherwise(F.concat(F.lit(" "), F.col("value"))))
-    path = SL.scratch_path(spark, "kv")
-    SC.write_kv(k.select("p_brand", "p_partkey", key.alias("key"), val.alias("value")), path, ["p_brand"],
-                order_col="p_partkey")
-    back = SC.read_kv(spark, path)
-    return back.select(F.url_decode(F.url_decode(F.regexp_extract("file", r"p_brand=([^/]+)/", 1))).alias("brand"), "key", "value")
-
-
-_NATION_DOC_SQL = """SELECT n.n_nationkey AS run_id, n.n_name, n.n_regionkey, count(c.c_custkey) AS n_customers
-  FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2, 3"""
-
-
-def _nation_docs(spark, sf):
-    n = table(spark, sf, "nation")
-    c = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_customers"))
-    return n.join(c, "n_nationkey", "left").select(F.col("n_nationkey").alias("run_id"), "n_name", "n_regionkey",
-                                                   F.coalesce("n_customers", F.lit(0)).alias("n_customers"))
-
-
-_CFG_DOCS_SQL = f"""WITH n AS ({_NATION_DOC_SQL}),
-kv AS (SELECT run_id, 'nation' AS key, CAST(to_json(n_name) AS VARCHAR) AS value_json, 'base' AS layer FROM n
-  UNION ALL SELECT run_id, 'region', CAST(n_regionkey AS VARCHAR), 'base' FROM n
-  UNION ALL SELECT run_id, 'debug', 'false', 'base' FROM n
-  UNION ALL SELECT run_id, 'limits', '{{"max":10}}', 'base' FROM n
-  UNION ALL SELECT run_id, 'debug', 'true', 'dev' FROM n WHERE n_regionkey <> 0
-  UNION ALL SELECT run_id, 'customers', CAST(n_customers AS VARCHAR), 'dev' FROM n WHERE n_regionkey <> 0)
-SELECT run_id, key, arg_max(value_json, CASE layer WHEN 'dev' THEN 1 ELSE 0 END) AS value,
-  arg_max(layer, CASE layer WHEN 'dev' THEN 1 ELSE 0 END) AS layer FROM kv GROUP BY 1, 2"""
-
-
-def _config_docs_query(fmt):
-    def q(spark, sf):
-        d = _nation_docs(spark, sf)
-        if fmt == "json":
-            base = F.concat(F.lit('{"nation": '), F.to_json(F.array("n_name")).substr(F.lit(2), F.length(F.to_json(F.array("n_name"))) - 2),
-                            F.lit(', "region": '), F.col("n_regionkey").cast("string"),
-                            F.lit(', "debug": false, "limits": {"max": 10}}'))
-            env = F.when(F.col("n_regionkey") != 0, F.concat(F.lit('{"debug": true, "customers": '),
-                                                             F.col("n_customers").cast("string"), F.lit("}"))).otherwise(F.lit(""))
-        else:
-            base = F.concat(F.lit("nation: "), F.col("n_name"), F.lit("\nregion: "), F.col("n_regionkey").cast("string"),
-                            F.lit("\ndebug: false\nlimits:\n  max: 10\n"))
-            env = F.when(F.col("n_regionkey") != 0, F.concat(F.lit("debug: true\ncustomers: "),
-                                                             F.col("n_customers").cast("string"), F.lit("\n"))).otherwise(F.lit(""))
-        files = d.select("run_id", F.lit("base").alias("layer"), base.alias("value")).unionByName(
-            d.select("run_id", F.lit("dev").alias("layer"), env.alias("value")))
-        path = SL.scratch_path(spark, f"config-{fmt}")
-        files.write.partitionBy("run_id", "layer").text(path)
-        docs = SC.read_config_docs(spark, path, fmt)
-        docs = docs.select(F.regexp_extract("file", r"run_id=(\d+)/", 1).cast("int").alias("run_id"),
-                           F.regexp_extract("file", r"layer=([a-z]+)/", 1).alias("layer"), "key",
-                           F.regexp_replace("value_json", r"\s", "").alias("value_json"))
-        return SC.layered(docs, {"base": 0, "dev": 1}).select("run_id", "key", "value", "layer")
-    q.__doc__ = f"SRC-06 ({fmt}): base then environment config files per run, top-level keys, env wins."
-    return q
-
-
-register("config_docs_json", _CFG_DOCS_SQL)(_config_docs_query("json"))
-register("config_docs_yaml", _CFG_DOCS_SQL)(_config_docs_query("yaml"))
-
-
-@register("params_under_prefix", f"""WITH k AS ({O.PART_KEYS}), p AS (SELECT '/sdaw/run/dev/' || replace(key, '_', '/') AS name, value FROM k)
-SELECT name, value, replace(replace(name, '/sdaw/run/dev/RED/', ''), '/', '_') AS key FROM p
-  WHERE starts_with(name, '/sdaw/run/dev/RED/')""")
-def q_params_under_prefix(spark, sf):
-    """SRC-07: parameters under a prefix (all pages), keys rebuilt from the paths."""
-    k = B.part_keys(spark, sf)
-    p = k.select(C.key_to_path(F.col("key"), "/sdaw/run/dev").alias("name"), "value")
-    return SC.params_under(p, "/sdaw/run/dev/RED")
-
-
-@register("params_to_write", f"""WITH k AS ({O.PART_KEYS})
-SELECT DISTINCT '/sdaw/run/dev/' || replace(key, '_', '/') AS name, value,
-  CASE WHEN {O.contains_any('key', _SENS['parameter'])} THEN 'SecureString' ELSE 'String' END AS type FROM k
-  WHERE '/sdaw/run/dev/' || replace(key, '_', '/') NOT IN (SELECT '/sdaw/run/dev/' || replace(key, '_', '/') FROM k WHERE p_size < 10)""")
-def q_params_to_write(spark, sf):
-    """SRC-08: parameters to write without overwrite: names that exist are skipped."""
-    k = B.part_keys(spark, sf)
-    existing = SC.to_params(k.filter(F.col("p_size") < 10), "/sdaw/run/dev")
-    return SC.to_params(k, "/sdaw/run/dev", existing, overwrite=False).distinct()
-
-
-@register("state_roundtrip", """SELECT 'r' || o_orderkey AS adw_id, CAST(o_orderkey AS VARCHAR) AS issue_number,
-  CASE WHEN o_orderstatus = 'O' THEN 'feat-issue-' || o_orderkey END AS branch_name,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN 'heavy' ELSE 'base' END AS model_set,
-  CASE o_orderstatus WHEN 'F' THEN 'deploy' WHEN 'O' THEN 'build' ELSE 'plan' END AS current_phase,
-  CAST(CAST(trunc(o_totalprice) AS BIGINT) % 5 AS VARCHAR) AS planning_attempts, 'none' AS bad_path, 'none' AS plan_file FROM orders""")
-def q_state_roundtrip(spark, sf):
-    """SRC-10 then SRC-09: state snapshots (null core fields dropped, extended keys
-    overlaid, extended wins on a clash) written as JSON lines and read back."""
-    o = table(spark, sf, "orders")
-    core = F.struct(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("adw_id"),
-                    F.col("o_orderkey").cast("string").alias("issue_number"),
-                    F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("feat-issue-"), F.col("o_orderkey").cast("string")))
-                    .alias("branch_name"),
-                    F.lit(None).cast("string").alias("plan_file"), F.lit("base").alias("model_set"))
-    ext = F.struct(F.when(F.col("o_orderstatus") == "F", "deploy").when(F.col("o_orderstatus") == "O", "build")
-                   .otherwise("plan").alias("current_phase"),
-                   F.struct((F.col("o_totalprice").cast("bigint") % 5).alias("attempts"), F.lit(True).alias("completed"))
-                   .alias("planning"),
-                   F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("heavy")).alias("model_set"))
-    path = SL.scratch_path(spark, "state")
-    o.select(SD.to_state_json(core, ext).alias("value")).write.text(path)
-    st = SD.read_state(spark, path, per_file=False)
-    # a clash: extended model_set wins when present; core value otherwise
-    return st.select("adw_id", "issue_number", "branch_name",
-                     F.coalesce(F.get_json_object(F.col("extended")["model_set"], "$"), F.col("model_set")).alias("model_set"),
-                     SD.state_get("current_phase").alias("current_phase"),
-                     SD.state_get("planning.attempts").alias("planning_attempts"),
-                     SD.state_get("current_phase.x", "none").alias("bad_path"),
-                     SD.state_get("plan_file", "none").alias("plan_file"))
-
-
-def _iso(ts_col):
-    return F.date_format(ts_col, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
-@register("issue_comments", """SELECT conv_id AS number, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS pos,
-  'c' || conv_id || '-' || turn AS comment_id, role || '-' || conv_id AS author, text AS body,
-  TIMESTAMP '2024-01-01 00:00:00' + to_minutes(turn) AS created_at FROM conversations""")
-def q_issue_comments(spark, sf):
-    """SRC-11: issue documents (camelCase, nested author and comments) built per
-    conversation, written as JSON lines, read back and exploded to comments."""
-    cv = table(spark, sf, "conversations")
-    created = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, turn, 0)")
-    comment = F.struct(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
-                       F.struct(F.concat(F.col("role"), F.lit("-"), F.col("conv_id").cast("string")).alias("login"),
-                                (F.col("role") == "assistant").alias("is_bot")).alias("author"),
-                       F.col("text").alias("body"), _iso(created).alias("createdAt"))
-    docs = cv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", comment.alias("c")))).alias("cs")).select(
-        F.to_json(F.struct(F.col("conv_id").alias("number"), F.concat(F.lit("Conversation "), F.col("conv_id").cast("string")).alias("title"),
-                           F.lit("").alias("body"), F.lit("open").alias("state"),
-                           F.struct(F.lit("owner").alias("login")).alias("author"),
-                           F.transform("cs", lambda x: x["c"]).alias("comments"),
-                           F.lit("2024-01-01T00:00:00Z").alias("createdAt"), F.lit("2024-01-02T00:00:00Z").alias("updatedAt"),
-                           F.lit("https://example.com/issues").alias("url"))).alias("value"))
-    path = SL.scratch_path(spark, "issues")
-    docs.write.text(path)
-    issues = SD.read_issues(spark, path, per_file=False)
-    out = SD.issue_comments(issues)
-    return out.select(F.col("number").cast("bigint").alias("number"), "pos", "comment_id", "author", "body", "created_at")
-
-
-@register("open_issues", """SELECT o_orderkey AS number, 'Order ' || o_orderkey AS title, o_orderdate AS created_at FROM orders
-  WHERE o_orderstatus = 'O' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1000""")
-def q_open_issues(spark, sf):
-    """SRC-12: open issues (status O), newest first, the 1000-item listing limit."""
-    o = table(spark, sf, "orders")
-    issues = o.select(F.col("o_orderkey").alias("number"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"),
-                      F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("state"),
-                      F.col("o_orderdate").alias("created_at"))
-    return SD.open_issues(issues, 1000, ["number", "title", "created_at"])
-
-
-@register("prompt_store", """WITH p AS (SELECT conv_id, CASE WHEN turn < 4 THEN 'planner' ELSE 'builder' END AS agent, turn,
-    CASE WHEN role <> 'assistant' THEN '/' || role || ' ' || text ELSE text END AS prompt, role FROM conversations WHERE role <> 'assistant')
-SELECT conv_id, agent, role AS command, arg_max(prompt, turn) AS prompt FROM p GROUP BY 1, 2, 3""")
-def q_prompt_store(spark, sf):
-    """SRC-13: prompts starting with /command stored per run/agent/command (last wins),
-    read back from the partitioned folders."""
-    cv = table(spark, sf, "conversations")
-    prompt = F.when(F.col("role") != "assistant", F.concat(F.lit("/"), F.col("role"), F.lit(" "), F.col("text"))).otherwise(F.col("text"))
-    df = cv.select("conv_id", F.when(F.col("turn") < 4, "planner").otherwise("builder").alias("agent"), "turn", prompt.alias("prompt"))
-    path = SL.scratch_path(spark, "prompts")
-    SL.write_prompts(df, "conv_id", "agent", "prompt", "turn", path)
-    back = SL.read_docs(spark, path)
-    part = lambda k: F.regexp_extract("file", k + r"=([^/]+)/", 1)
-    return back.select(part("conv_id").cast("bigint").alias("conv_id"), part("agent").alias("agent"),
-                       part("command").alias("command"), F.regexp_replace("text", r"\n\z", "").alias("prompt"))
-
-
-@register("stack_listing", """SELECT s_name AS stack_name,
-  coalesce(CASE WHEN s_acctbal >= 1000 THEN 'deployed' WHEN s_acctbal < 0 THEN 'failed' END, 'unknown') AS status,
-  'region-' || s_nationkey AS region, CAST(s_suppkey AS VARCHAR) AS acct FROM supplier""")
-def q_stack_listing(spark, sf):
-    """SRC-14: stack listings (JSON arrays per nation and key block) read back; a
-    stack without a status reads as unknown."""
-    s = table(spark, sf, "supplier")
-    st = F.struct(F.col("s_name").alias("stack_name"),
-                  F.when(F.col("s_acctbal") >= 1000, "deployed").when(F.col("s_acctbal") < 0, "failed").alias("status"),
-                  F.concat(F.lit("region-"), F.col("s_nationkey").cast("string")).alias("region"),
-                  F.create_map(F.lit("acct"), F.col("s_suppkey").cast("string")).alias("outputs"))
-    docs = s.groupBy("s_nationkey", F.expr("s_suppkey div 1000").alias("blk")).agg(
-        F.to_json(F.collect_list(st)).alias("value"))
-    path = SL.scratch_path(spark, "stacks")
-    docs.select("value").write.text(path)
-    stacks = SD.read_stacks(spark, path, per_file=False)
-    return stacks.select("stack_name", "status", "region", F.col("outputs")["acct"].alias("acct"))
-
-
-@register("explode_stories", """SELECT o.o_orderkey, CAST(row_number() OVER (PARTITION BY o.o_orderkey
-    ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice) - 1 AS INT) AS pos,
-  l.l_linenumber AS line, l.l_partkey AS part, l.l_quantity AS qty FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
-def q_explode_stories(spark, sf):
-    """SRC-15: per order a JSON document with a nested list of its lines, exploded back
-    with positions (orders without lines keep one empty row)."""
-    li = table(spark, sf, "lineitem")
-    items = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(
-        F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
-                 F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price")))).alias("stories"))
-    o = table(spark, sf, "orders").select("o_orderkey").join(items, "o_orderkey", "left")
-    docs = o.select("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("order"), "stories")).alias("doc"))
-    ex = SD.explode_list(docs, "doc", "$.stories", "struct<line: int, part: bigint, qty: double>", keep=["o_orderkey"])
-    return ex.select("o_orderkey", "pos", "line", "part", "qty")
-
-
-@register("read_documents", """SELECT l.doc_id, CASE WHEN d.lang <> 'fr' THEN d.text || chr(10) ELSE '' END AS text
-  FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id""")
-def q_read_documents(spark, sf):
-    """SRC-16: whole documents read back by name for every labelled document; documents
-    never written (French ones) read as empty text."""
-    d = table(spark, sf, "documents")
-    path = SL.scratch_path(spark, "docs")
-    d.filter(F.col("lang") != "fr").select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"), "text") \
-        .write.partitionBy("name").text(path)
-    wanted = table(spark, sf, "labels").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"))
-    got = SL.read_docs(spark, path).select(F.regexp_extract("file", r"name=([^/]+)/", 1).alias("name"), "text")
-    return wanted.join(got, "name", "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-
-
-@register("append_history", f"""SELECT * FROM ({O.TEST_RESULTS})""")
-def q_append_history(spark, sf):
-    """U-07: results appended to a run-history table in two batches, read back whole."""
-    t = B.test_results(spark, sf)
-    path = SL.scratch_path(spark, "history")
-    _R.append_results(t.filter(F.col("test_name").isin("view", "click")), path)
-    _R.append_results(t.filter(~F.col("test_name").isin("view", "click")), path)
-    return spark.read.parquet(path)
-
-
-# -------------------------------------------------------------------- streaming (ST-*)
-from runledger.streaming import streams as SS  # noqa: E402
-
-# Stream tests replay the events table as 8 files in arbitrary order, one per trigger;
-# the watermark is wide enough that no row is late (the data spans 30 days).
-_STREAM_DELAY = "40 days"
-
-
-def _event_stream(spark, sf):
-    ev = table(spark, sf, "events")
-    path = SL.scratch_path(spark, "event-stream")
-    ev.repartition(8).write.parquet(path)
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-@register("stream_run_log", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
-  FROM events GROUP BY user_id""")
-def q_stream_run_log(spark, sf):
-    """ST-01: run logs picked up as files land (availableNow), permissive, counted per file."""
-    path = _write_run_logs(spark, sf)
-    out = SL.scratch_path(spark, "st01")
-    s = SS.stream_run_log(spark, path, "permissive").select("file", "line_no", "type", "voided")
-    corrupt = F.col("type").isNull()
-    SS.run_available_now(s, out, "append", "st01")
-    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if(corrupt).alias("n_corrupt"))
-
-
-@register("stream_run_log_strict", """SELECT user_id, count(*) AS n_lines FROM events GROUP BY user_id
-  HAVING NOT bool_or(event_type = 'error' AND value > 300)""")
-def q_stream_run_log_strict(spark, sf):
-    """ST-01 (strict): files with a bad line yield nothing."""
-    path = _write_run_logs(spark, sf)
-    out = SL.scratch_path(spark, "st01s")
-    SS.run_available_now(SS.stream_run_log(spark, path, "strict").select("file", "line_no"), out, "append", "st01s")
-    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(F.count(F.lit(1)).alias("n_lines"))
-
-
-@register("assemble_answers", """SELECT conv_id, string_agg(text, '' ORDER BY turn) AS answer, count(*) AS n_chunks
-  FROM conversations WHERE role = 'assistant' GROUP BY conv_id""")
-def q_assemble_answers(spark, sf):
-    """ST-02: streamed answer chunks (assistant turns) concatenated in order."""
-    cv = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
-    return SS.assemble_stream(cv, ["conv_id"], "turn", "text")
-
-
-@register("stream_attempts", ORACLE["attempt_history"])
-def q_stream_attempts(spark, sf):
-    """ST-03: attempt state machine on the event stream (out-of-order files); equals W-05."""
-    out = SL.scratch_path(spark, "st03")
-    SS.run_available_now(SS.stream_attempts(_event_stream(spark, sf), delay=_STREAM_DELAY), out, "update", "st03")
-    return SS.read_versions(spark, out, ["user_id", "run_date"],
-                            ["attempts", "failed_attempts", "final_status", "stop_reason"])
-
-
-@register("stream_latest_state", ORACLE["latest_state"])
-def q_stream_latest_state(spark, sf):
-    """ST-04: latest state per user upserted batch by batch; equals W-07."""
-    out = SL.scratch_path(spark, "st04")
-    s = _event_stream(spark, sf).withColumnRenamed("event_type", "current_phase")
-    SS.run_available_now(s, out, "append", "st04",
-                         SS.latest_batch(["user_id"], ["ts", "event_id"], ["current_phase", "value"]))
-    return latest(spark.read.parquet(out), "user_id", ["ts", "event_id"], ["current_phase", "value"])
-
-
-@register("stream_quota", ORACLE["daily_quota"])
-def q_stream_quota(spark, sf):
-    """ST-05: daily quota on the stream (window + watermark); equals W-08."""
-    lim = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"),
-                                              F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("int"))
-                                              .otherwise(F.lit(3)).alias("lim"))
-    out = SL.scratch_path(spark, "st05")
-    SS.run_available_now(SS.stream_quota(_event_stream(spark, sf), lim, delay=_STREAM_DELAY), out, "update", "st05")
-    return SS.read_versions(spark, out, ["user_id", "run_date"], ["n_requests", "n_allowed", "n_rejected"])
-
-
-@register("stream_alarms", """SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n_failed,
-  'medium' AS severity FROM events WHERE event_type = 'error' GROUP BY 1, 2 HAVING count(*) >= 2""")
-def q_stream_alarms(spark, sf):
-    """ST-06: at least 2 failed attempts by one user within an hour raises an alarm."""
-    out = SL.scratch_path(spark, "st06")
-    SS.run_available_now(SS.stream_alarms(_event_stream(spark, sf), 2, "1 hour", delay=_STREAM_DELAY), out, "update", "st06")
-    v = SS.read_versions(spark, out, ["user_id", "window_start"], ["n_failed", "severity"])
-    return v.select("user_id", "window_start", "n_failed", "severity")
-
-
-@register("stream_rate_alarms", """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n,
-  round(avg(CAST(event_type = 'error' AS DOUBLE)), 6) AS error_rate, quantile_disc(value * 10, 0.99) AS p99_ms,
-  count(*) >= 20 AND avg(CAST(event_type = 'error' AS DOUBLE)) > 0.05 AS error_alarm,
-  count(*) >= 20 AND quantile_disc(value * 10, 0.99) > 3000.0 AS latency_alarm FROM events GROUP BY 1""")
-def q_stream_rate_alarms(spark, sf):
-    """ST-07: daily error share and p99 latency alarms (window widened for sparse data)."""
-    out = SL.scratch_path(spark, "st07")
-    SS.run_available_now(SS.stream_rate_alarms(_event_stream(spark, sf), "1 day", 20, delay=_STREAM_DELAY), out, "update", "st07")
-    v = SS.read_versions(spark, out, ["window_start"], ["n", "error_rate", "p99_ms", "error_alarm", "latency_alarm"])
-    return v.select("window_start", "n", "error_rate", "p99_ms", "error_alarm", "latency_alarm")
-
-
-# ---------------------------------------------------------------- rule variants
-@register("attempt_history_full", f"""WITH a AS (SELECT user_id, CAST(ts AS DATE) AS run_date, ts, event_id,
-    event_type = 'error' AS failed, value > 300 AS run_error, value >= 20 AS resolved FROM events),
-n AS (SELECT *, row_number() OVER (PARTITION BY user_id, run_date ORDER BY ts, event_id) AS attempt FROM a),
-s AS (SELECT *, CASE WHEN run_error THEN 'run_error' WHEN NOT failed THEN 'passed' WHEN attempt = 4 THEN 'max_attempts'
-      WHEN NOT resolved THEN 'no_resolution' END AS stop_reason FROM n WHERE attempt <= 4),
-c AS (SELECT *, min(CASE WHEN stop_reason IS NOT NULL THEN attempt END) OVER (PARTITION BY user_id, run_date) AS cut FROM s)
-SELECT user_id, run_date, count(*) AS attempts, count_if(failed) AS failed_attempts,
-       arg_max(CASE WHEN failed THEN 'failed' ELSE 'passed' END, attempt) AS final_status,
-       coalesce(arg_max(stop_reason, attempt), 'incomplete') AS stop_reason
-FROM c WHERE attempt <= coalesce(cut, 4) GROUP BY user_id, run_date""")
-def q_attempt_history_full(spark, sf):
-    """W-05 with all four stop rules: run error (value > 300), passed, max attempts,
-    no resolution (value < 20 after a failure)."""
-    ev = B.attempt_events(spark, sf).withColumn("run_error", F.col("value") > 300) \
-          .withColumn("resolved", F.col("value") >= 20)
-    return runs.attempts(ev, ["user_id", "run_date"], ["ts", "event_id"], "failed", 4, "run_error", "resolved")
-
-
-@register("budget_context", f"""SELECT doc_id, n_chars // 1000 AS distance,
-  CASE WHEN n_chars // 1000 > 5 THEN {O.head_tail('text', 2000)} ELSE text END AS smart,
-  {O.head_tail('text', 3000)} AS summarized, CAST(length(text) AS INTEGER) AS full_length FROM documents""")
-def q_budget_context(spark, sf):
-    """FN-06: the three context modes; distance stands in as thousands of characters."""
-    d = table(spark, sf, "documents").withColumn("distance", F.expr("n_chars div 1000"))
-    return d.select("doc_id", "distance", T.budget_text("text", "distance", "smart").alias("smart"),
-                    T.budget_text("text", "distance", "summarized").alias("summarized"),
-                    F.length(T.budget_text("text", "distance", "full")).alias("full_length"))
-
-
-@register("ensure_bot_tag", """SELECT conv_id, turn, CASE WHEN starts_with(t, '[ADW-AGENTS]') THEN t ELSE '[ADW-AGENTS] ' || t END AS comment
-  FROM (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN '[ADW-AGENTS] ' || text ELSE text END AS t FROM conversations)""")
-def q_ensure_bot_tag(spark, sf):
-    """FN-19: comments get the bot tag only when they do not already start with it."""
-    cv = table(spark, sf, "conversations")
-    t = F.when(F.col("role") == "assistant", F.concat(F.lit("[ADW-AGENTS] "), F.col("text"))).otherwise(F.col("text"))
-    return cv.select("conv_id", "turn", T.ensure_tag(t).alias("comment"))
-
-
-@register("review_report", f"""WITH r AS (SELECT ri.*, 'document ' || ri.review_issue_number AS issue_description FROM ({O.REVIEW_ISSUES}) ri),
-a AS (SELECT run_id, {", ".join(f"coalesce(string_agg(CASE WHEN issue_severity = '{s}' THEN '- #' || review_issue_number || ': ' || issue_description || {O.NL} END, '' ORDER BY review_issue_number), '') AS l_{s}, count_if(issue_severity = '{s}') AS n_{s}" for s in ("blocker", "tech_debt", "skippable"))} FROM r GROUP BY run_id)
-SELECT run_id, {" || ".join(f"CASE WHEN n_{s} > 0 THEN '## {s} (' || n_{s} || ')' || {O.NL} || l_{s} || {O.NL} ELSE '' END" for s in ("blocker", "tech_debt", "skippable"))}
-  || 'Summary: blocker: ' || n_blocker || ', tech_debt: ' || n_tech_debt || ', skippable: ' || n_skippable AS report FROM a""")
-def q_review_report(spark, sf):
-    """FN-23 (review kind): findings grouped by severity per run, with a summary."""
-    r = B.review_issues(spark, sf).withColumn("issue_description",
-                                             F.concat(F.lit("document "), F.col("review_issue_number").cast("string")))
-    return RD.review_report(r, ["run_id"], "review_issue_number")
-
-
-_OUTPUT_SQL = """CASE WHEN event_type = 'error' THEN 'the tests crashed' ELSE '```json' || chr(10) || '[{"test_name": "a", "passed": '
-  || CASE WHEN value >= 1 THEN 'true' ELSE 'false' END || '}, {"test_name": "b", "passed": ' || CASE WHEN value >= 50 THEN 'true' ELSE 'false' END
-  || '}]' || chr(10) || '```' END"""
-
-
-@register("test_counts_from_output", f"""WITH o AS (SELECT event_id, {_OUTPUT_SQL} AS text, event_type, value FROM events)
-SELECT event_id, CASE WHEN event_type = 'error' THEN 0 ELSE CAST(value >= 1 AS INT) + CAST(value >= 50 AS INT) END AS passed,
-  CASE WHEN event_type = 'error' THEN 0 ELSE 2 - CAST(value >= 1 AS INT) - CAST(value >= 50 AS INT) END AS failed,
-  CASE WHEN event_type = 'error' THEN 0 ELSE 2 END AS total, event_type <> 'error' AS parse_ok,
-  CASE WHEN event_type = 'error' THEN 'unknown' WHEN value < 50 THEN 'failed' ELSE 'passed' END AS status FROM o""")
-def q_test_counts_from_output(spark, sf):
-    """FN-02 + A-01: test results parsed from each run's output; unparseable output
-    counts 0/0/0 as in the source but reports parse_ok = false and status unknown."""
-    ev = table(spark, sf, "events")
-    item = lambda name, cond: F.concat(F.lit('{"test_name": "' + name + '", "passed": '),
-                                       F.when(cond, F.lit("true")).otherwise(F.lit("false")), F.lit("}"))
-    text = F.when(F.col("event_type") == "error", F.lit("the tests crashed")).otherwise(
-        F.concat(F.lit("```json\n["), item("a", F.col("value") >= 1), F.lit(", "), item("b", F.col("value") >= 50), F.lit("]\n```")))
-    p = T.parse_typed(text, "array<struct<test_name:string,passed:boolean>>")
-    rows = ev.select("event_id", p.alias("p")).select("event_id", F.col("p.error").isNull().alias("parse_ok"),
-                                                       F.explode_outer("p.value").alias("t"))
-    rows = rows.select("event_id", "parse_ok", F.col("t.passed").alias("passed"))
-    out = runs.test_counts(rows, ["event_id"], "passed", "parse_ok")
-    return out.select("event_id", F.col("passed").cast("int").alias("passed"), F.col("failed").cast("int").alias("failed"),
-                      F.col("total").cast("int").alias("total"), "parse_ok", "status")
-
-
-_PROC_SQL = """SELECT user_id, CAST(ts AS DATE) AS run_date,
-  CASE WHEN max(value) > 300 THEN 'timeout' WHEN max(value) > 250 THEN 'exception' END AS failure,
-  'worker lost at ' || CAST(max(event_id) AS VARCHAR) AS failure_text,
-  CASE WHEN max(value) > 150 THEN CAST(floor(max(value)) AS INT) % 7 + 1 ELSE 0 END AS exit_code,
-  CASE WHEN count(*) > 6 THEN 'last line ' || count(*) END AS stdout,
-  CASE WHEN min(value) < 0.5 THEN 'warning: low value' END AS stderr FROM events GROUP BY ALL"""
-
-
-def _processes(spark, sf):
-    ev = table(spark, sf, "events")
-    return ev.groupBy("user_id", F.to_date("ts").alias("run_date")).agg(
-        F.when(F.max("value") > 300, "timeout").when(F.max("value") > 250, "exception").alias("failure"),
-        F.concat(F.lit("worker lost at "), F.max("event_id").cast("string")).alias("failure_text"),
-        F.when(F.max("value") > 150, F.pmod(F.floor(F.max("value")).cast("int"), F.lit(7)) + 1).otherwise(F.lit(0))
-        .alias("exit_code"),
-        F.when(F.count(F.lit(1)) > 6, F.concat(F.lit("last line "), F.count(F.lit(1)).cast("string"))).alias("stdout"),
-        F.when(F.min("value") < 0.5, F.lit("warning: low value")).alias("stderr"))
-
-
-@register("classify_process_outcome", f"""WITH r AS ({_RESULT_SQL}),
-l AS (SELECT user_id, run_date, max((ts, event_id)) AS k, arg_max(subtype, (ts, event_id)) AS subtype,
-      arg_max(is_error, (ts, event_id)) AS is_error, arg_max(result, (ts, event_id)) AS result FROM r GROUP BY ALL),
-p AS ({_PROC_SQL}),
-o AS (SELECT p.*, l.k IS NOT NULL AS has, l.subtype, coalesce(l.is_error, false) AS err, coalesce(l.result, '') AS txt,
-      CASE WHEN l.k IS NOT NULL AND l.is_error THEN coalesce(l.result, 'Unknown error') END AS structured
-      FROM p LEFT JOIN l ON l.user_id = p.user_id AND l.run_date = p.run_date),
-m AS (SELECT *, CASE
-  WHEN length(structured) > 0 THEN 'Claude Code error: ' || structured
-  WHEN coalesce(length(stdout) > 0, false) AND NOT coalesce(length(stderr) > 0, false) THEN 'Claude Code error: ' || stdout
-  WHEN coalesce(length(stderr) > 0, false) AND NOT coalesce(length(stdout) > 0, false) THEN 'Claude Code error: ' || stderr
-  WHEN coalesce(length(stdout) > 0, false) AND coalesce(length(stderr) > 0, false)
-    THEN 'Claude Code error: ' || stderr || {O.NL} || 'Stdout: ' || stdout
-  ELSE 'Claude Code error: Command failed with exit code ' || exit_code END AS emsg FROM o)
-SELECT user_id, run_date,
-  CASE WHEN failure = 'timeout' THEN 'Error: Claude Code command timed out after 5 minutes'
-       WHEN failure = 'exception' THEN 'Error executing Claude Code: ' || coalesce(failure_text, '')
-       WHEN exit_code <> 0 THEN {O.truncate('emsg', 800)}
-       WHEN NOT has THEN 'No result message found in Claude Code output'
-       WHEN subtype = 'error_during_execution' THEN 'Error during execution: Agent encountered an error and did not return a result'
-       WHEN err AND length(txt) > 1000 THEN {O.truncate('txt', 800)} ELSE txt END AS output,
-  CASE WHEN failure IN ('timeout', 'exception') OR exit_code <> 0 OR NOT has OR subtype = 'error_during_execution' THEN false
-       ELSE NOT err END AS success,
-  CASE WHEN failure = 'timeout' THEN 'timeout_error' WHEN failure = 'exception' THEN 'execution_error'
-       WHEN exit_code <> 0 THEN 'claude_code_error'
-       WHEN has AND subtype = 'error_during_execution' THEN 'error_during_execution' ELSE 'none' END AS retry_code FROM m""")
-def q_classify_process_outcome(spark, sf):
-    """FN-21 with process status per run: timeouts, launcher exceptions and non-zero
-    exits (FN-20 error text) before the result-based rules."""
-    return ST.classify_outcome(_processes(spark, sf), _results(spark, sf), ["user_id", "run_date"], ["ts", "event_id"],
-                               exit_col="exit_code", stdout_col="stdout", stderr_col="stderr",
-                               failure_col="failure", failure_text_col="failure_text")
+from runledger.plans.queries import (  # noqa: F401  (imported for registration, in this order)
+    config,
+    documents,
+    graph,
+    joins,
+    quality,
+    runs,
+    sources,
+    streaming,
+    text,
+)
+from runledger.plans.queries.registry import ORACLE, QUERIES, register
+
+__all__ = ["ORACLE", "QUERIES", "register"]
