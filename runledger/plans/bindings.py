@@ -35,12 +35,17 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_issues(spark: SparkSession, sf: str) -> DataFrame:
-    """Review findings: toxic -> blocker, else low quality -> tech_debt, else skippable."""
+    """Review findings: toxic -> blocker, else low quality -> tech_debt, else skippable.
+
+    A review run is a source's block of 100 document ids, so a run's findings stay
+    bounded as the corpus grows (sources alone are a fixed, small set).
+    """
     lb = table(spark, sf, "labels")
     docs = table(spark, sf, "documents").select("doc_id", "source")
     sev = (F.when(F.col("toxic") == 1, "blocker").when(F.col("quality") == 0, "tech_debt")
             .otherwise("skippable"))
-    return lb.join(docs, "doc_id").select(F.col("source").alias("run_id"),
+    run = F.concat(F.col("source"), F.lit("/"), F.expr("doc_id div 100").cast("string"))
+    return lb.join(docs, "doc_id").select(run.alias("run_id"),
                                           F.col("doc_id").alias("review_issue_number"),
                                           sev.alias("issue_severity"))
 

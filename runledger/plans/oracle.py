@@ -10,7 +10,7 @@ MESSAGES = """SELECT conv_id AS run_id, turn AS seq,
     CASE WHEN role = 'assistant' THEN 'result' ELSE role END AS type, text AS result
     FROM conversations"""
 
-REVIEW_ISSUES = """SELECT d.source AS run_id, l.doc_id AS review_issue_number,
+REVIEW_ISSUES = """SELECT d.source || '/' || (l.doc_id // 100) AS run_id, l.doc_id AS review_issue_number,
     CASE WHEN l.toxic = 1 THEN 'blocker' WHEN l.quality = 0 THEN 'tech_debt' ELSE 'skippable' END
       AS issue_severity
     FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""

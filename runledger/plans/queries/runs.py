@@ -132,7 +132,7 @@ SELECT run_id, count_if(issue_severity = 'blocker') AS n_blocker, count_if(issue
   count_if(issue_severity NOT IN ('blocker', 'tech_debt', 'skippable')) AS n_out_of_domain, count(*) AS n_issues
 FROM r GROUP BY run_id""")
 def q_severity_counts(spark, sf):
-    """A-02: review findings per severity, per run (document source)."""
+    """A-02: review findings per severity, per review run (a source's block of 100 documents)."""
     return runs.severity_counts(B.review_issues(spark, sf), "run_id")
 
 
