@@ -114,24 +114,27 @@ _KV_LINE_SQL = """CASE p_size % 10 WHEN 0 THEN '# comment ' || p_name WHEN 1 THE
   WHEN 3 THEN key || '=' || value || '=x' ELSE key || ' = ' || value END"""
 
 
-@register("kv_roundtrip", f"""WITH k AS ({O.PART_KEYS}), l AS (SELECT p_brand, p_partkey, {_KV_LINE_SQL} AS line FROM k),
-kv AS (SELECT p_brand, p_partkey, trim(substr(line, 1, strpos(line, '=') - 1)) AS key, trim(substr(line, strpos(line, '=') + 1)) AS value
-  FROM l WHERE strpos(line, '=') > 0 AND NOT starts_with(line, '#'))
-SELECT p_brand AS brand, key, arg_max(value, p_partkey) AS value FROM kv GROUP BY 1, 2""")
+@register("kv_roundtrip", f"""WITH k AS ({O.PART_KEYS}), l AS (SELECT p_brand, p_partkey // 1000 AS block, p_partkey,
+    {_KV_LINE_SQL} AS line FROM k),
+kv AS (SELECT p_brand, block, p_partkey, trim(substr(line, 1, strpos(line, '=') - 1)) AS key,
+    trim(substr(line, strpos(line, '=') + 1)) AS value FROM l WHERE strpos(line, '=') > 0 AND NOT starts_with(line, '#'))
+SELECT p_brand AS brand, block, key, arg_max(value, p_partkey) AS value FROM kv GROUP BY 1, 2, 3""")
 def q_kv_roundtrip(spark, sf):
-    """SRC-05 then SRC-04: one .env file per brand (comments, blanks, lines without '=',
-    'A=b=c', spaced pairs, repeated keys) written and read back; later duplicate wins."""
-    k = B.part_keys(spark, sf)
+    """SRC-05 then SRC-04: one .env file per brand and block of 1000 parts (comments,
+    blanks, lines without '=', 'A=b=c', spaced pairs, repeated keys) written and read
+    back; later duplicate wins. Files stay bounded as the part table grows."""
+    k = B.part_keys(spark, sf).withColumn("block", F.expr("p_partkey div 1000"))
     sz = F.col("p_size") % 10
     key = (F.when(sz == 0, F.concat(F.lit("# comment "), F.col("p_name"))).when(sz == 1, F.lit(""))
             .when(sz == 2, F.col("p_name")).when(sz == 3, F.col("key")).otherwise(F.concat(F.col("key"), F.lit(" "))))
     val = (F.when(sz.isin(0, 1, 2), F.lit(None).cast("string")).when(sz == 3, F.concat(F.col("value"), F.lit("=x")))
             .otherwise(F.concat(F.lit(" "), F.col("value"))))
     path = SL.scratch_path(spark, "kv")
-    SC.write_kv(k.select("p_brand", "p_partkey", key.alias("key"), val.alias("value")), path, ["p_brand"],
-                order_col="p_partkey")
+    SC.write_kv(k.select("p_brand", "block", "p_partkey", key.alias("key"), val.alias("value")), path,
+                ["p_brand", "block"], order_col="p_partkey")
     back = SC.read_kv(spark, path)
-    return back.select(F.url_decode(F.url_decode(F.regexp_extract("file", r"p_brand=([^/]+)/", 1))).alias("brand"), "key", "value")
+    return back.select(F.url_decode(F.url_decode(F.regexp_extract("file", r"p_brand=([^/]+)/", 1))).alias("brand"),
+                       F.regexp_extract("file", r"block=(\d+)/", 1).cast("bigint").alias("block"), "key", "value")
 
 
 _NATION_DOC_SQL = """SELECT n.n_nationkey AS run_id, n.n_name, n.n_regionkey, count(c.c_custkey) AS n_customers
