@@ -187,8 +187,18 @@ def union_suites(unit: DataFrame, e2e: DataFrame) -> DataFrame:
                                                                 allowMissingColumns=True)
 
 
-def append_results(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """U-07: append a batch to the run-history table (Parquet, optional partitioning)."""
+def append_results(df: DataFrame, path: str, partition_cols: Sequence[str] = (), batch_col: str | None = None) -> None:
+    """U-07: append a batch to the run-history table (Parquet, optional partitioning).
+
+    With ``batch_col`` the write is idempotent: the batch's own partition is overwritten
+    (dynamic partition overwrite), so re-running a batch after a failure replaces its
+    rows instead of adding them twice. Without it, a plain append.
+    """
+    if batch_col:
+        cols = [batch_col, *[c for c in partition_cols if c != batch_col]]
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*cols).parquet(path))
+        return
     w = df.write.mode("append")
     if partition_cols:
         w = w.partitionBy(*partition_cols)

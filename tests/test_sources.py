@@ -134,3 +134,18 @@ def test_explode_list_keeps_empty(spark):
     df = spark.createDataFrame([(1, '{"stories": [{"id": "a"}, {"id": "b"}]}'), (2, '{"other": 1}')], "k int, doc string")
     got = [(r.k, r.pos, r.id) for r in SD.explode_list(df, "doc", "$.stories", "struct<id: string>", ["k"]).orderBy("k", "pos").collect()]
     assert got == [(1, 0, "a"), (1, 1, "b"), (2, None, None)]
+
+
+def test_append_history_idempotent_by_batch(spark):
+    from runledger.operators import reconcile as R
+    path = SL.scratch_path(spark, "hist")
+    b1 = spark.createDataFrame([(1, "a", True), (1, "b", False)], "batch long, test string, passed boolean")
+    b2 = spark.createDataFrame([(2, "a", True)], "batch long, test string, passed boolean")
+    R.append_results(b1, path, batch_col="batch")
+    R.append_results(b2, path, batch_col="batch")
+    R.append_results(b1, path, batch_col="batch")  # a replayed batch replaces itself
+    assert spark.read.parquet(path).count() == 3
+    plain = SL.scratch_path(spark, "hist-plain")
+    R.append_results(b2, plain)
+    R.append_results(b2, plain)  # plain append adds
+    assert spark.read.parquet(plain).count() == 2
