@@ -144,3 +144,59 @@ def review_report(issues: DataFrame, run_cols: Sequence[str], order_col: str,
                                                    F.col(f"_l_{s}"), F.lit("\n"))).otherwise(F.lit("")) for s in severities]
     summary = F.concat_ws(", ", *[F.concat(F.lit(f"{s}: "), F.col(f"_n_{s}").cast("string")) for s in severities])
     return agg.select(*run_cols, F.concat(*parts, F.lit("Summary: "), summary).alias("report"))
+
+
+def deploy_report(stacks: DataFrame, run_cols: Sequence[str], environment: str, name_col: str = "stack_name",
+                  status_col: str = "status", outputs_col: str = "outputs") -> DataFrame:
+    """FN-23 (deploy): per run, success (every stack deployed), one line per stack (by
+    name) with its outputs (by key), a health line and the next steps."""
+    run_cols = list(run_cols)
+    outs = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce(outputs_col, F.create_map().cast("map<string,string>")))),
+                                    lambda e: F.concat(F.lit("\n  - "), e["key"], F.lit(": `"), e["value"], F.lit("`"))), "")
+    line = F.concat(F.lit("- **"), F.col(name_col), F.lit("**: "), F.col(status_col), outs)
+    agg = stacks.groupBy(*run_cols).agg(ordered_join(line, F.col(name_col), "\n").alias("_lines"),
+                                        F.bool_and(F.col(status_col) == "deployed").alias("_ok"),
+                                        F.count_if(F.col(status_col) == "deployed").alias("_up"),
+                                        F.count(F.lit(1)).alias("_n"))
+    ok = F.coalesce(F.col("_ok"), F.lit(False))
+    text = F.concat(
+        F.lit("## "), F.when(ok, F.lit("✅ Deployment Successful")).otherwise(F.lit("❌ Deployment Failed")),
+        F.lit("\n\n**ADW ID:** "), F.concat_ws("-", *[F.col(c).cast("string") for c in run_cols]),
+        F.lit(f"\n**Environment:** {environment}\n\n### Deployed Stacks\n"),
+        F.when(F.length("_lines") > 0, F.col("_lines")).otherwise(F.lit("No stacks deployed")),
+        F.lit("\n\n### Health Checks\n```\n"), F.col("_up").cast("string"), F.lit(" of "), F.col("_n").cast("string"),
+        F.lit(" stacks deployed\n```\n\n### Next Steps\n"),
+        F.when(ok, F.lit("- Infrastructure is ready for testing\n- Run `/test_infra` to validate infrastructure"))
+         .otherwise(F.lit("- Review deployment errors and retry\n- Check CloudFormation console for details")),
+        F.lit("\n"))
+    return agg.select(*run_cols, ok.alias("success"), text.alias("report"))
+
+
+def infra_report(checks: DataFrame, run_cols: Sequence[str], order_col: str, error_col: str = "error",
+                 results_col: str = "test_results") -> DataFrame:
+    """FN-23 (infra): per run, stack validation (healthy, or the list of errors in order)
+    and the infrastructure test output (or a warning when there is none)."""
+    run_cols = list(run_cols)
+    agg = checks.groupBy(*run_cols).agg(
+        ordered_join(F.when(F.col(error_col).isNotNull(), F.concat(F.lit("- "), F.col(error_col), F.lit("\n")))
+                     .otherwise(F.lit("")), F.col(order_col)).alias("_errs"),
+        F.count(F.col(error_col)).alias("_n_err"), F.max(results_col).alias("_res"))
+    validation = F.when(F.col("_n_err") == 0, F.lit("✅ All CDK stacks are healthy and deployed\n")) \
+                  .otherwise(F.concat(F.lit("❌ Stack validation failed:\n"), F.col("_errs")))
+    tests = F.when(F.length(F.col("_res")) > 0, F.col("_res")).otherwise(F.lit("⚠️ No infrastructure test results available"))
+    text = F.concat(F.lit("## 🏗️ Infrastructure Test Results\n\n### CDK Stack Validation\n"), validation,
+                    F.lit("\n### Infrastructure Tests\n"), tests)
+    return agg.select(*run_cols, (F.col("_n_err") == 0).alias("healthy"), text.alias("report"))
+
+
+def report(df: DataFrame, kind: str, run_cols: Sequence[str], order_col: str, **kw) -> DataFrame:
+    """FN-23: grouped report text by kind: ``tests``, ``review``, ``deploy`` or ``infra``."""
+    if kind == "tests":
+        return test_report(df, run_cols, order_col)
+    if kind == "review":
+        return review_report(df, run_cols, order_col)
+    if kind == "deploy":
+        return deploy_report(df, run_cols, kw.get("environment", "dev"))
+    if kind == "infra":
+        return infra_report(df, run_cols, order_col)
+    raise ValueError(kind)

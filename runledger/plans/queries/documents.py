@@ -347,3 +347,66 @@ def q_classify_process_outcome(spark, sf):
     return ST.classify_outcome(_processes(spark, sf), _results(spark, sf), ["user_id", "run_date"], ["ts", "event_id"],
                                exit_col="exit_code", stdout_col="stdout", stderr_col="stderr",
                                failure_col="failure", failure_text_col="failure_text")
+
+
+_STACK_RUN_SQL = "'deploy-' || s_nationkey || '-' || (s_suppkey // 100)"
+
+
+@register("deploy_report", f"""WITH s AS (SELECT {_STACK_RUN_SQL} AS run_id, s_name AS stack_name,
+    CASE WHEN s_acctbal >= 0 THEN 'deployed' ELSE 'failed' END AS status,
+    '- **' || s_name || '**: ' || CASE WHEN s_acctbal >= 0 THEN 'deployed' ELSE 'failed' END
+      || {O.NL} || '  - acct: `' || s_suppkey || '`' || {O.NL} || '  - nation: `' || s_nationkey || '`' AS line FROM supplier),
+a AS (SELECT run_id, string_agg(line, {O.NL} ORDER BY stack_name) AS lines, bool_and(status = 'deployed') AS ok,
+      count_if(status = 'deployed') AS up, count(*) AS n FROM s GROUP BY run_id)
+SELECT run_id, ok AS success, '## ' || CASE WHEN ok THEN '✅ Deployment Successful' ELSE '❌ Deployment Failed' END
+  || {O.NL} || {O.NL} || '**ADW ID:** ' || run_id || {O.NL} || '**Environment:** staging' || {O.NL} || {O.NL}
+  || '### Deployed Stacks' || {O.NL} || lines || {O.NL} || {O.NL} || '### Health Checks' || {O.NL} || '```' || {O.NL}
+  || up || ' of ' || n || ' stacks deployed' || {O.NL} || '```' || {O.NL} || {O.NL} || '### Next Steps' || {O.NL}
+  || CASE WHEN ok THEN '- Infrastructure is ready for testing' || {O.NL} || '- Run `/test_infra` to validate infrastructure'
+     ELSE '- Review deployment errors and retry' || {O.NL} || '- Check CloudFormation console for details' END || {O.NL} AS report
+FROM a""")
+def q_deploy_report(spark, sf):
+    """FN-23 (deploy): deployment summary per run of up to 100 supplier stacks, with
+    stack outputs, health line and next steps."""
+    s = table(spark, sf, "supplier")
+    stacks = s.select(F.concat(F.lit("deploy-"), F.col("s_nationkey").cast("string"), F.lit("-"),
+                               F.expr("s_suppkey div 100").cast("string")).alias("run_id"),
+                      F.col("s_name").alias("stack_name"),
+                      F.when(F.col("s_acctbal") >= 0, "deployed").otherwise("failed").alias("status"),
+                      F.create_map(F.lit("acct"), F.col("s_suppkey").cast("string"),
+                                   F.lit("nation"), F.col("s_nationkey").cast("string")).alias("outputs"))
+    return RD.report(stacks, "deploy", ["run_id"], "stack_name", environment="staging")
+
+
+@register("infra_report", f"""WITH o AS (SELECT DISTINCT l_suppkey AS s_suppkey FROM lineitem
+    WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1996-01-08'),
+c AS (SELECT 'deploy-' || s.s_nationkey || '-' || (s.s_suppkey // 100) AS run_id, s.s_name,
+    CASE WHEN o.s_suppkey IS NULL THEN 'Stack ' || s.s_name || ' not found'
+         WHEN s.s_acctbal <= 0 THEN 'Stack ' || s.s_name || ' status is failed' END AS error,
+    o.s_suppkey IS NOT NULL AS seen FROM supplier s LEFT JOIN o ON o.s_suppkey = s.s_suppkey),
+a AS (SELECT run_id, coalesce(string_agg(CASE WHEN error IS NOT NULL THEN '- ' || error || {O.NL} END, '' ORDER BY s_name), '') AS errs,
+      count(error) AS n_err, count_if(seen) AS n_seen, count(*) AS n FROM c GROUP BY run_id)
+SELECT run_id, n_err = 0 AS healthy, '## 🏗️ Infrastructure Test Results' || {O.NL} || {O.NL} || '### CDK Stack Validation' || {O.NL}
+  || CASE WHEN n_err = 0 THEN '✅ All CDK stacks are healthy and deployed' || {O.NL} ELSE '❌ Stack validation failed:' || {O.NL} || errs END
+  || {O.NL} || '### Infrastructure Tests' || {O.NL}
+  || CASE WHEN n_seen > 0 THEN n_seen || ' of ' || n || ' stacks responded' ELSE '⚠️ No infrastructure test results available' END
+  AS report FROM a""")
+def q_infra_report(spark, sf):
+    """FN-23 (infra): stack validation (expected vs observed, J-04) and test output per
+    run of up to 100 stacks."""
+    s = table(spark, sf, "supplier")
+    li = table(spark, sf, "lineitem")
+    seen = (li.filter((F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+                      & (F.col("l_shipdate") < F.lit("1996-01-08").cast("timestamp_ntz")))
+              .select(F.col("l_suppkey").alias("s_suppkey")).distinct().withColumn("seen", F.lit(True)))
+    run = F.concat(F.lit("deploy-"), F.col("s_nationkey").cast("string"), F.lit("-"), F.expr("s_suppkey div 100").cast("string"))
+    c = s.join(seen, "s_suppkey", "left").select(
+        run.alias("run_id"), "s_name",
+        F.when(F.col("seen").isNull(), F.concat(F.lit("Stack "), F.col("s_name"), F.lit(" not found")))
+         .when(F.col("s_acctbal") <= 0, F.concat(F.lit("Stack "), F.col("s_name"), F.lit(" status is failed"))).alias("error"),
+        F.coalesce(F.col("seen"), F.lit(False)).alias("seen"))
+    per_run = c.groupBy("run_id").agg(F.count_if("seen").alias("_s"), F.count(F.lit(1)).alias("_m"))
+    c = c.join(per_run, "run_id").withColumn(
+        "test_results", F.when(F.col("_s") > 0, F.concat(F.col("_s").cast("string"), F.lit(" of "), F.col("_m").cast("string"),
+                                                         F.lit(" stacks responded"))))
+    return RD.report(c, "infra", ["run_id"], "s_name")
