@@ -358,3 +358,15 @@ def q_append_history(spark, sf):
     _R.append_results(t.filter(F.col("test_name").isin("view", "click")), path)
     _R.append_results(t.filter(~F.col("test_name").isin("view", "click")), path)
     return spark.read.parquet(path)
+
+
+@register("run_log_compacted", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
+  FROM events GROUP BY user_id""")
+def q_run_log_compacted(spark, sf):
+    """SRC-01 at scale: the per-user run logs compacted into bucketed Parquet, then
+    counted per file from the compacted table."""
+    path = _write_run_logs(spark, sf)
+    out = SL.scratch_path(spark, "run-logs-parquet")
+    SL.compact_run_logs(spark, path, out, buckets=16)
+    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if("corrupt").alias("n_corrupt"))

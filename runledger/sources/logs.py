@@ -102,3 +102,18 @@ def read_docs(spark: SparkSession, path: str, wanted: DataFrame | None = None, n
         return d
     d = d.withColumn(name_col, F.regexp_extract("file", r"([^/]+)$", 1))
     return wanted.join(d, name_col, "left").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def compact_run_logs(spark: SparkSession, path: str, out: str, buckets: int = 64, mode: str = "permissive") -> None:
+    """Compact many small run-log files into Parquet (one pass, many files per task).
+
+    Rows are partitioned by ``bucket = pmod(xxhash64(file), buckets)``, not one folder
+    per run, so a fleet of small runs does not become a fleet of tiny folders; readers
+    of one run prune to its bucket. Writes are overwrite, so a retried job replaces its
+    own output.
+    """
+    msgs = read_run_log(spark, path, mode)
+    b = F.pmod(F.xxhash64("file"), F.lit(buckets)).cast("int")
+    (msgs.withColumn("bucket", b).repartition("bucket")
+         .sortWithinPartitions("file", "line_no")
+         .write.mode("overwrite").partitionBy("bucket").parquet(out))
