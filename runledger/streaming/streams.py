@@ -42,11 +42,13 @@ def as_wallclock(instant_col) -> "F.Column":
 def run_available_now(stream_df: DataFrame, out_path: str, mode: str = "update", name: str = "q",
                       batch_fn=None) -> dict:
     """Run a stream to the end of its current input (``availableNow``) with an
-    idempotent per-batch sink; returns the summed progress metrics."""
+    idempotent per-batch sink; returns progress metrics and the sink's row schema."""
     spark = stream_df.sparkSession
+    seen = {}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch_fn(batch) if batch_fn else batch
+        seen["schema"] = b.schema
         b.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     q = (stream_df.writeStream.outputMode(mode).foreachBatch(sink)
@@ -57,15 +59,19 @@ def run_available_now(stream_df: DataFrame, out_path: str, mode: str = "update",
     for p in q.recentProgress:
         for s in p.stateOperators or []:
             dropped += s.numRowsDroppedByWatermark or 0
-    return {"rows_dropped_by_watermark": dropped}
+    return {"rows_dropped_by_watermark": dropped, "schema": seen.get("schema")}
 
 
-def read_versions(spark: SparkSession, path: str, keys: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
-    """Latest version per key over all written batches (later batch wins)."""
+def read_versions(spark: SparkSession, path: str, keys: Sequence[str], value_cols: Sequence[str],
+                  schema=None) -> DataFrame:
+    """Latest version per key over all written batches (later batch wins). When no
+    batch was written, an empty frame of ``schema`` (keys and values) is returned."""
     try:
         df = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - nothing written (empty input)
-        return None
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema).select(*keys, *value_cols)
     return latest(df, list(keys), ["batch_id"], list(value_cols)).drop("batch_id")
 
 
