@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.functions import config as C
-from runledger.sources.logs import file_lines
+from runledger.sources.logs import file_lines, whole_files
 
 try:  # YAML documents are parsed inside tasks; gate the import
     import yaml  # noqa: F401
@@ -67,8 +67,7 @@ def read_config_docs(spark: SparkSession, path: str, fmt: str = "json") -> DataF
     JSON is parsed by Spark (as a map of JSON texts); YAML by ``yaml.safe_load`` in an
     Arrow batch per task (``mapInPandas``). Empty files are ignored.
     """
-    raw = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-                .select(F.col("_metadata.file_path").alias("file"), "value"))
+    raw = whole_files(spark, path)
     if fmt == "json":
         # each top-level value as a VARIANT, printed back as exact JSON text
         m = F.from_json(F.col("value"), "map<string,variant>")

@@ -24,8 +24,8 @@ STACK_SCHEMA = ("array<struct<stack_name: string, stack_id: string, status: stri
 
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-                 .select(F.col("_metadata.file_path").alias("file"), "value"))
+    from runledger.sources.logs import whole_files
+    return whole_files(spark, path)
 
 
 def to_state_json(core: Column, extended: Column | None = None) -> Column:

@@ -27,10 +27,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/runledger-io/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Driver-side metadata check through the Hadoop FileSystem of ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value) with one row per file under ``path`` (recursive); a missing path is
+    an empty input, as a missing document or state file is nothing to read."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "file string, value string")
+    return (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+                 .select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
 def file_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
     """(file, line_no, line) for every text file under ``path`` (recursive)."""
-    raw = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-                .select(F.col("_metadata.file_path").alias("file"), "value"))
+    raw = whole_files(spark, path)
     lines = raw.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
     return lines if keep_blank else lines.filter(F.length(F.trim("line")) > 0)
 
@@ -96,8 +111,7 @@ def write_prompts(df: DataFrame, run_col: str, agent_col: str, text_col: str, or
 def read_docs(spark: SparkSession, path: str, wanted: DataFrame | None = None, name_col: str = "name") -> DataFrame:
     """SRC-16: whole documents (one row per file); with ``wanted`` names, a missing
     document gives the empty string."""
-    d = (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-              .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")))
+    d = whole_files(spark, path).withColumnRenamed("value", "text")
     if wanted is None:
         return d
     d = d.withColumn(name_col, F.regexp_extract("file", r"([^/]+)$", 1))

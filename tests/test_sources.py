@@ -149,3 +149,11 @@ def test_append_history_idempotent_by_batch(spark):
     R.append_results(b2, plain)
     R.append_results(b2, plain)  # plain append adds
     assert spark.read.parquet(plain).count() == 2
+
+
+def test_missing_inputs_are_empty(spark):
+    gone = SL.scratch_path(spark, "never-written")
+    assert SD.read_state(spark, gone).count() == 0
+    wanted = spark.createDataFrame([("a.md",)], "name string")
+    assert [r.text for r in SL.read_docs(spark, gone, wanted).collect()] == [""]
+    assert SL.read_run_log(spark, gone).count() == 0
