@@ -5,7 +5,6 @@ import time
 from pyspark.sql import functions as F
 
 from runledger.operators import runs
-from runledger.plans import bindings as B
 from runledger.plans.tables import table
 from runledger.sources import logs as SL
 from runledger.streaming import streams as SS
