@@ -54,19 +54,24 @@ def read_run_log(spark: SparkSession, path: str, mode: str = "strict") -> DataFr
     """SRC-01: one row per message of every JSONL run log under ``path``.
 
     Blank lines are skipped. ``strict`` (the source's rule): one unparseable line voids
-    the whole file; ``permissive`` keeps good lines and flags the bad ones.
+    the whole file; ``permissive`` keeps good lines and flags the bad ones. Each file is
+    one row, so the strict test is an in-row check before the explode (no join).
     """
-    lines = file_lines(spark, path)
-    msg = F.from_json("line", MESSAGE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = lines.select("file", "line_no", msg.alias("m"), "line")
-    bad = F.col("m").isNull() | F.col("m._corrupt_record").isNotNull()
-    parsed = parsed.withColumn("corrupt", bad)
-    if mode == "strict":
-        voided = parsed.filter("corrupt").select("file").distinct()
-        parsed = parsed.join(voided, "file", "left_anti")
-    elif mode != "permissive":
+    if mode not in ("strict", "permissive"):
         raise ValueError(mode)
-    return parsed.select("file", "line_no", "corrupt", "m.*").drop("_corrupt_record")
+    raw = whole_files(spark, path)
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    idx = F.filter(F.transform(F.split("value", "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))),
+                   lambda e: F.length(F.trim(e["line"])) > 0)
+    parsed = F.transform(idx, lambda e: F.struct(e["line_no"].alias("line_no"),
+                                                 F.from_json(e["line"], MESSAGE_SCHEMA, opts).alias("m")))
+    bad = lambda e: e["m"].isNull() | e["m"]["_corrupt_record"].isNotNull()
+    rows = raw.select("file", parsed.alias("ms"))
+    if mode == "strict":
+        rows = rows.filter(~F.exists("ms", bad))
+    return (rows.select("file", F.explode("ms").alias("e"))
+                .select("file", F.col("e.line_no").alias("line_no"), bad(F.col("e")).alias("corrupt"), "e.m.*")
+                .drop("_corrupt_record"))
 
 
 def result_messages(messages: DataFrame) -> DataFrame:
