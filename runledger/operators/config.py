@@ -135,3 +135,59 @@ def fill_defaults(json_col, spec: Mapping[str, object], path: str = "$") -> Colu
                else "double" if isinstance(default, float) else "string")
         fields.append(F.coalesce(raw.try_cast(typ), F.lit(default).cast(typ)).alias(name))
     return F.struct(*fields)
+
+
+# What each listed service turns on, as (service, section, flag).
+SERVICE_NEEDS = (
+    ("Lambda", "compute", "serverless"),
+    ("RDS", "database", "relational"),
+    ("DynamoDB", "database", "nosql"),
+    ("S3", "storage", "objectStorage"),
+    ("S3", "storage", "versioning"),
+    ("CloudFront", "storage", "cdn"),
+    ("Cognito", "auth", "userPool"),
+)
+# Defaults for the settings read from a service entry.
+SERVICE_DEFAULTS = {"runtime": "python3.11", "memory": 512, "timeout": 30,
+                    "engine": "postgres", "instanceClass": "db.t3.micro"}
+NETWORKING_DEFAULTS = {"api": True, "apiType": "REST"}
+
+
+def service_needs(services: DataFrame, project_cols: Sequence[str], service_col: str = "service",
+                  order_cols: Sequence[str] = ("position",)) -> DataFrame:
+    """FN-25 (service-to-need mapping): infrastructure requirements per project from its
+    listed services.
+
+    The fixed mapping is a small constant table joined by service name (broadcast by
+    size) and pivoted with ``max`` per flag; a flag no service sets stays null (absent).
+    Lambda's runtime/memory/timeout and RDS's engine/instanceClass come from the last
+    such service in list order (later entries overwrite), defaulted when missing.
+    Networking always gets its defaults.
+    """
+    from runledger.session import constant_table
+    projects = list(project_cols)
+    needs = constant_table(services.sparkSession, SERVICE_NEEDS, "service string, section string, flag string")
+    flags = (services.select(*projects, F.col(service_col).alias("service")).join(needs, "service")
+                     .groupBy(*projects).pivot("flag", [f for _, _, f in SERVICE_NEEDS])
+                     .agg(F.max(F.lit(True))))
+    order = [F.col(c) for c in order_cols]
+    last = lambda svc, cols: (services.filter(F.col(service_col) == svc)
+                              .groupBy(*projects).agg(F.max(F.struct(*order, *[F.col(c) for c in cols])).alias(f"_{svc}")))
+    lam, rds = last("Lambda", ["runtime", "memory", "timeout"]), last("RDS", ["engine", "instanceClass"])
+    d = SERVICE_DEFAULTS
+    out = (services.select(*projects).distinct().join(flags, projects, "left")
+                   .join(lam, projects, "left").join(rds, projects, "left"))
+    has_l, has_r = F.col("_Lambda").isNotNull(), F.col("_RDS").isNotNull()
+    return out.select(
+        *projects,
+        F.col("serverless").alias("compute_serverless"),
+        F.when(has_l, F.coalesce(F.col("_Lambda.runtime"), F.lit(d["runtime"]))).alias("compute_runtime"),
+        F.when(has_l, F.coalesce(F.col("_Lambda.memory"), F.lit(d["memory"]))).alias("compute_memory"),
+        F.when(has_l, F.coalesce(F.col("_Lambda.timeout"), F.lit(d["timeout"]))).alias("compute_timeout"),
+        F.col("relational").alias("database_relational"),
+        F.when(has_r, F.coalesce(F.col("_RDS.engine"), F.lit(d["engine"]))).alias("database_engine"),
+        F.when(has_r, F.coalesce(F.col("_RDS.instanceClass"), F.lit(d["instanceClass"]))).alias("database_instance_class"),
+        F.col("nosql").alias("database_nosql"), F.col("objectStorage").alias("storage_object"),
+        F.col("versioning").alias("storage_versioning"), F.col("cdn").alias("storage_cdn"),
+        F.col("userPool").alias("auth_user_pool"),
+        F.lit(NETWORKING_DEFAULTS["api"]).alias("networking_api"), F.lit(NETWORKING_DEFAULTS["apiType"]).alias("networking_api_type"))

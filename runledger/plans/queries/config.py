@@ -157,3 +157,49 @@ def q_fill_defaults(spark, sf):
                                            F.col("cfg.memory_mb").alias("memory_mb"), F.col("cfg.timeout_s").alias("timeout_s"),
                                            F.col("cfg.scaling.min").alias("scaling_min"), F.col("cfg.scaling.max").alias("scaling_max"),
                                            F.col("cfg.scaling.enabled").alias("scaling_enabled"))
+
+
+_SERVICES = ("Lambda", "RDS", "DynamoDB", "S3", "CloudFront", "Cognito", "SageMaker")
+_SVC_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_tax", "l_discount")
+_SVC_SQL = f"""SELECT l_orderkey AS project, {", ".join(_SVC_ORDER)},
+  [{", ".join(f"'{x}'" for x in _SERVICES)}][l_linenumber] AS service,
+  CASE WHEN l_returnflag = 'R' THEN 'nodejs18.x' END AS runtime,
+  CASE WHEN l_quantity > 25 THEN CAST(l_quantity * 32 AS BIGINT) END AS memory,
+  CASE WHEN l_discount > 0.05 THEN CAST(60 AS BIGINT) END AS timeout,
+  CASE WHEN l_linestatus = 'O' THEN 'mysql' END AS engine,
+  CASE WHEN l_tax > 0.06 THEN 'db.t3.small' END AS instanceClass FROM lineitem"""
+_ORD = "(" + ", ".join(_SVC_ORDER) + ")"
+
+
+@register("service_needs", f"""WITH s AS ({_SVC_SQL}),
+a AS (SELECT project,
+  max(CASE WHEN service = 'Lambda' THEN true END) AS compute_serverless,
+  CASE WHEN count_if(service = 'Lambda') > 0 THEN coalesce(arg_max_null(CASE WHEN service = 'Lambda' THEN runtime END,
+    CASE WHEN service = 'Lambda' THEN {_ORD} END), 'python3.11') END AS compute_runtime,
+  CASE WHEN count_if(service = 'Lambda') > 0 THEN coalesce(arg_max_null(CASE WHEN service = 'Lambda' THEN memory END,
+    CASE WHEN service = 'Lambda' THEN {_ORD} END), 512) END AS compute_memory,
+  CASE WHEN count_if(service = 'Lambda') > 0 THEN coalesce(arg_max_null(CASE WHEN service = 'Lambda' THEN timeout END,
+    CASE WHEN service = 'Lambda' THEN {_ORD} END), 30) END AS compute_timeout,
+  max(CASE WHEN service = 'RDS' THEN true END) AS database_relational,
+  CASE WHEN count_if(service = 'RDS') > 0 THEN coalesce(arg_max_null(CASE WHEN service = 'RDS' THEN engine END,
+    CASE WHEN service = 'RDS' THEN {_ORD} END), 'postgres') END AS database_engine,
+  CASE WHEN count_if(service = 'RDS') > 0 THEN coalesce(arg_max_null(CASE WHEN service = 'RDS' THEN instanceClass END,
+    CASE WHEN service = 'RDS' THEN {_ORD} END), 'db.t3.micro') END AS database_instance_class,
+  max(CASE WHEN service = 'DynamoDB' THEN true END) AS database_nosql,
+  max(CASE WHEN service = 'S3' THEN true END) AS storage_object,
+  max(CASE WHEN service = 'S3' THEN true END) AS storage_versioning,
+  max(CASE WHEN service = 'CloudFront' THEN true END) AS storage_cdn,
+  max(CASE WHEN service = 'Cognito' THEN true END) AS auth_user_pool FROM s GROUP BY project)
+SELECT *, true AS networking_api, 'REST' AS networking_api_type FROM a""")
+def q_service_needs(spark, sf):
+    """FN-25 (service-to-need mapping): requirements per order (project) whose lines
+    list services; the fixed mapping joins by name and pivots into flags."""
+    li = table(spark, sf, "lineitem")
+    svc = F.element_at(F.array(*[F.lit(x) for x in _SERVICES]), F.col("l_linenumber"))
+    s = li.select(F.col("l_orderkey").alias("project"), *_SVC_ORDER, svc.alias("service"),
+                  F.when(F.col("l_returnflag") == "R", F.lit("nodejs18.x")).alias("runtime"),
+                  F.when(F.col("l_quantity") > 25, (F.col("l_quantity") * 32).cast("bigint")).alias("memory"),
+                  F.when(F.col("l_discount") > 0.05, F.lit(60).cast("bigint")).alias("timeout"),
+                  F.when(F.col("l_linestatus") == "O", F.lit("mysql")).alias("engine"),
+                  F.when(F.col("l_tax") > 0.06, F.lit("db.t3.small")).alias("instanceClass"))
+    return CFG.service_needs(s, ["project"], order_cols=_SVC_ORDER)
