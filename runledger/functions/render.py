@@ -6,6 +6,7 @@ ordered ``collect_list`` whose size is that run's own item count.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,11 +14,59 @@ from pyspark.sql import functions as F
 
 from runledger.functions import config as C
 
-# Report headings and markers.
+# Document texts ({name} marks a filled-in value).
 FAILED_HEADER = "## ❌ Failed Tests"
 PASSED_HEADER = "## ✅ Passed Tests"
 NO_RESULTS = "❌ No test results found"
-ENV_HEADER = "# Auto-generated environment configuration template"
+TEST_SUMMARY = "## Summary\n- **Passed**: {passed}\n- **Failed**: {failed}\n- **Total**: {total}"
+ENV_HEAD = "# Auto-generated environment configuration template\n# ADW ID: {run}\n# Environment: {environment}\n\n"
+PLAN_TEMPLATE = """# Implementation Plan: {title}
+
+**Story ID:** {id}
+**ADW ID:** {run}
+**Sprint:** {sprint}
+**Priority:** {priority}
+**Estimated Hours:** {hours}
+
+## User Story
+{user_story}
+
+## Description
+{description}
+
+## Dependencies
+{dependencies}
+
+## Acceptance Criteria
+{criteria}
+"""
+PLAN_DEFAULTS = {"sprint": "TBD", "priority": "P1", "hours": "TBD", "user_story": "N/A", "description": "N/A",
+                 "dependencies": "None"}
+DEPLOY_TEMPLATE = """## {status}
+
+**ADW ID:** {run}
+**Environment:** {environment}
+
+### Deployed Stacks
+{stacks}
+
+### Health Checks
+```
+{health}
+```
+
+### Next Steps
+{next_steps}
+"""
+DEPLOY_OK = "✅ Deployment Successful"
+DEPLOY_FAILED = "❌ Deployment Failed"
+NO_STACKS = "No stacks deployed"
+NEXT_OK = "- Infrastructure is ready for testing\n- Run `/test_infra` to validate infrastructure"
+NEXT_FAILED = "- Review deployment errors and retry\n- Check CloudFormation console for details"
+INFRA_TEMPLATE = "## 🏗️ Infrastructure Test Results\n\n### CDK Stack Validation\n{validation}\n### Infrastructure Tests\n{tests}"
+INFRA_OK = "✅ All CDK stacks are healthy and deployed\n"
+INFRA_FAILED = "❌ Stack validation failed:\n"
+NO_INFRA_RESULTS = "⚠️ No infrastructure test results available"
 CATEGORY_ORDER = tuple(name for name, _ in C.CATEGORIES) + (C.OTHER_CATEGORY,)
 
 
@@ -25,6 +74,13 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def fill_template(template: str, values: dict) -> Column:
+    """A text template with ``{name}`` slots as one ``concat`` of literals and Columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    cols = [F.lit(p) if i % 2 == 0 else values[p] for i, p in enumerate(parts)]
+    return F.concat(*[c for i, c in enumerate(cols) if i % 2 == 1 or parts[i]])
+
+
 def ordered_join(items: Column, order: Column, sep: str = "") -> Column:
     """Aggregate: join ``items`` of a group in ``order``."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), items.alias("v")))),
@@ -47,18 +103,17 @@ def render_plan(stories: DataFrame, criteria: DataFrame, run_id: str, key: str =
     cl = criteria.groupBy(key).agg(ordered_join(F.concat(F.lit("- [ ] "), F.col("criterion")), F.col("position"), "\n")
                                    .alias("_checklist"))
     s = stories.join(cl, key, "left")
-    deps = F.when(F.size(F.coalesce("dependencies", F.array())) > 0, F.array_join("dependencies", ", ")).otherwise(F.lit("None"))
-    text = F.concat(
-        F.lit("# Implementation Plan: "), F.col("title"),
-        F.lit("\n\n**Story ID:** "), F.col(key),
-        F.lit("\n**ADW ID:** "), F.lit(run_id),
-        F.lit("\n**Sprint:** "), F.coalesce(F.col("sprint").cast("string"), F.lit("TBD")),
-        F.lit("\n**Priority:** "), F.coalesce(F.col("priority"), F.lit("P1")),
-        F.lit("\n**Estimated Hours:** "), F.coalesce(F.col("estimated_hours").cast("string"), F.lit("TBD")),
-        F.lit("\n\n## User Story\n"), F.coalesce(F.col("user_story"), F.lit("N/A")),
-        F.lit("\n\n## Description\n"), F.coalesce(F.col("description"), F.lit("N/A")),
-        F.lit("\n\n## Dependencies\n"), deps,
-        F.lit("\n\n## Acceptance Criteria\n"), F.coalesce(F.col("_checklist"), F.lit("")), F.lit("\n"))
+    deps = F.when(F.size(F.coalesce("dependencies", F.array())) > 0, F.array_join("dependencies", ", ")) \
+            .otherwise(F.lit(PLAN_DEFAULTS["dependencies"]))
+    d = PLAN_DEFAULTS
+    text = fill_template(PLAN_TEMPLATE, {
+        "title": F.col("title"), "id": F.col(key), "run": F.lit(run_id),
+        "sprint": F.coalesce(F.col("sprint").cast("string"), F.lit(d["sprint"])),
+        "priority": F.coalesce(F.col("priority"), F.lit(d["priority"])),
+        "hours": F.coalesce(F.col("estimated_hours").cast("string"), F.lit(d["hours"])),
+        "user_story": F.coalesce(F.col("user_story"), F.lit(d["user_story"])),
+        "description": F.coalesce(F.col("description"), F.lit(d["description"])),
+        "dependencies": deps, "criteria": F.coalesce(F.col("_checklist"), F.lit(""))})
     return s.select(key, F.concat(F.lit("plans/"), F.lower(F.col(key)), F.lit("_plan.md")).alias("plan_file"),
                     text.alias("plan"))
 
@@ -90,8 +145,8 @@ def render_env_template(config: DataFrame, run_cols: Sequence[str], descriptions
                  .agg(ordered_join(F.col("line"), F.col("key"), "\n").alias("_lines")))
     block = F.concat(F.lit("# "), F.col("category"), F.lit("\n\n"), F.col("_lines"), F.lit("\n"))
     body = per_cat.groupBy(*run_cols).agg(ordered_join(block, F.col("rank"), "").alias("_body"))
-    head = F.concat(F.lit(ENV_HEADER + "\n# ADW ID: "), F.concat_ws("-", *[F.col(c).cast("string") for c in run_cols]),
-                    F.lit(f"\n# Environment: {environment}\n\n"))
+    head = fill_template(ENV_HEAD, {"run": F.concat_ws("-", *[F.col(c).cast("string") for c in run_cols]),
+                                    "environment": F.lit(environment)})
     return body.select(*run_cols, F.regexp_replace(F.concat(head, F.col("_body")), r"\n\z", "").alias("template"))
 
 
@@ -122,9 +177,8 @@ def test_report(results: DataFrame, run_cols: Sequence[str], order_col: str) ->
     text = F.concat(
         F.when(F.col("_nf") > 0, F.concat(F.lit("\n" + FAILED_HEADER + "\n\n"), F.col("_f"))).otherwise(F.lit("")),
         F.when(F.col("_np") > 0, F.concat(F.lit(PASSED_HEADER + "\n\n"), F.col("_p"))).otherwise(F.lit("")),
-        F.lit("## Summary\n- **Passed**: "), F.col("_np").cast("string"),
-        F.lit("\n- **Failed**: "), F.col("_nf").cast("string"),
-        F.lit("\n- **Total**: "), F.col("_n").cast("string"))
+        fill_template(TEST_SUMMARY, {"passed": F.col("_np").cast("string"), "failed": F.col("_nf").cast("string"),
+                                     "total": F.col("_n").cast("string")}))
     return agg.select(*run_cols, F.when(F.col("_n") == 0, F.lit(NO_RESULTS)).otherwise(text).alias("report"))
 
 
@@ -159,16 +213,12 @@ def deploy_report(stacks: DataFrame, run_cols: Sequence[str], environment: str,
                                         F.count_if(F.col(status_col) == "deployed").alias("_up"),
                                         F.count(F.lit(1)).alias("_n"))
     ok = F.coalesce(F.col("_ok"), F.lit(False))
-    text = F.concat(
-        F.lit("## "), F.when(ok, F.lit("✅ Deployment Successful")).otherwise(F.lit("❌ Deployment Failed")),
-        F.lit("\n\n**ADW ID:** "), F.concat_ws("-", *[F.col(c).cast("string") for c in run_cols]),
-        F.lit(f"\n**Environment:** {environment}\n\n### Deployed Stacks\n"),
-        F.when(F.length("_lines") > 0, F.col("_lines")).otherwise(F.lit("No stacks deployed")),
-        F.lit("\n\n### Health Checks\n```\n"), F.col("_up").cast("string"), F.lit(" of "), F.col("_n").cast("string"),
-        F.lit(" stacks deployed\n```\n\n### Next Steps\n"),
-        F.when(ok, F.lit("- Infrastructure is ready for testing\n- Run `/test_infra` to validate infrastructure"))
-         .otherwise(F.lit("- Review deployment errors and retry\n- Check CloudFormation console for details")),
-        F.lit("\n"))
+    text = fill_template(DEPLOY_TEMPLATE, {
+        "status": F.when(ok, F.lit(DEPLOY_OK)).otherwise(F.lit(DEPLOY_FAILED)),
+        "run": F.concat_ws("-", *[F.col(c).cast("string") for c in run_cols]), "environment": F.lit(environment),
+        "stacks": F.when(F.length("_lines") > 0, F.col("_lines")).otherwise(F.lit(NO_STACKS)),
+        "health": F.concat(F.col("_up").cast("string"), F.lit(" of "), F.col("_n").cast("string"), F.lit(" stacks deployed")),
+        "next_steps": F.when(ok, F.lit(NEXT_OK)).otherwise(F.lit(NEXT_FAILED))})
     return agg.select(*run_cols, ok.alias("success"), text.alias("report"))
 
 
@@ -181,11 +231,9 @@ def infra_report(checks: DataFrame, run_cols: Sequence[str], order_col: str, err
         ordered_join(F.when(F.col(error_col).isNotNull(), F.concat(F.lit("- "), F.col(error_col), F.lit("\n")))
                      .otherwise(F.lit("")), F.col(order_col)).alias("_errs"),
         F.count(F.col(error_col)).alias("_n_err"), F.max(results_col).alias("_res"))
-    validation = F.when(F.col("_n_err") == 0, F.lit("✅ All CDK stacks are healthy and deployed\n")) \
-                  .otherwise(F.concat(F.lit("❌ Stack validation failed:\n"), F.col("_errs")))
-    tests = F.when(F.length(F.col("_res")) > 0, F.col("_res")).otherwise(F.lit("⚠️ No infrastructure test results available"))
-    text = F.concat(F.lit("## 🏗️ Infrastructure Test Results\n\n### CDK Stack Validation\n"), validation,
-                    F.lit("\n### Infrastructure Tests\n"), tests)
+    validation = F.when(F.col("_n_err") == 0, F.lit(INFRA_OK)).otherwise(F.concat(F.lit(INFRA_FAILED), F.col("_errs")))
+    tests = F.when(F.length(F.col("_res")) > 0, F.col("_res")).otherwise(F.lit(NO_INFRA_RESULTS))
+    text = fill_template(INFRA_TEMPLATE, {"validation": validation, "tests": tests})
     return agg.select(*run_cols, (F.col("_n_err") == 0).alias("healthy"), text.alias("report"))
 
 
