@@ -6,13 +6,13 @@ ordered ``collect_list`` whose size is that run's own item count.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions import config as C
+from runledger.functions.text import fill_template
 
 # Document texts ({name} marks a filled-in value).
 FAILED_HEADER = "## ❌ Failed Tests"
@@ -74,13 +74,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def fill_template(template: str, values: dict) -> Column:
-    """A text template with ``{name}`` slots as one ``concat`` of literals and Columns."""
-    parts = re.split(r"\{(\w+)\}", template)
-    cols = [F.lit(p) if i % 2 == 0 else values[p] for i, p in enumerate(parts)]
-    return F.concat(*[c for i, c in enumerate(cols) if i % 2 == 1 or parts[i]])
-
-
 def ordered_join(items: Column, order: Column, sep: str = "") -> Column:
     """Aggregate: join ``items`` of a group in ``order``."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), items.alias("v")))),

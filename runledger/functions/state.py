@@ -20,6 +20,7 @@ NO_RESULT = "No result message found in Claude Code output"
 EXEC_ERROR = "Error during execution: Agent encountered an error and did not return a result"
 TIMEOUT_TEXT = "Error: Claude Code command timed out after 5 minutes"
 EXCEPTION_PREFIX = "Error executing Claude Code: "
+UNKNOWN_ERROR = "Unknown error"
 RETRY_CODES = ("claude_code_error", "timeout_error", "execution_error", "error_during_execution", "none")
 
 
@@ -95,7 +96,7 @@ def classify_outcome(runs: DataFrame, results: DataFrame, run_cols: Sequence[str
     code = F.when(during, F.lit("error_during_execution")).otherwise(F.lit("none"))
     if exit_col:
         bad_exit = F.coalesce(F.col(exit_col) != 0, F.lit(False))
-        structured = F.when(has & err, F.coalesce(F.col(text_col), F.lit("Unknown error")))
+        structured = F.when(has & err, F.coalesce(F.col(text_col), F.lit(UNKNOWN_ERROR)))
         out_t = F.col(stdout_col) if stdout_col else F.lit(None).cast("string")
         err_t = F.col(stderr_col) if stderr_col else F.lit(None).cast("string")
         output = F.when(bad_exit, error_text(structured, out_t, err_t, F.col(exit_col))).otherwise(output)

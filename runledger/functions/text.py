@@ -6,6 +6,7 @@ leave the JVM. Positions are 1-based character positions as in Spark SQL.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,12 +21,27 @@ FENCE_PATTERN = r"(?s)```(?:json)?\s*\n(.*?)\n```"
 # Prefixes of agent error and output texts.
 ERROR_PREFIX = "Claude Code error: "
 OUTPUT_PREFIX = "Claude Code output: "
+# Messages ({name} marks a filled-in value).
+PARSE_ERROR = "Failed to parse JSON. Text was: {text}..."
+JSONL_SUMMARY = "[JSONL output with {n} messages]"
+NO_COMMAND = "No command selected: {output}"
+INVALID_COMMAND = "Invalid command selected: {output}"
+BOTH_STREAMS = "{stderr}\nStdout: {stdout}"
+EXIT_CODE_TEXT = "Command failed with exit code {code}"
+BRANCH_MARKERS = ("* ", "remotes/origin/")
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def fill_template(template: str, values: dict) -> Column:
+    """A text template with ``{name}`` slots as one ``concat`` of literals and Columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    cols = [F.lit(p) if i % 2 == 0 else values[p] for i, p in enumerate(parts)]
+    return F.concat(*[c for i, c in enumerate(cols) if i % 2 == 1 or parts[i]])
+
+
 def strip(col) -> Column:
     """Trim whitespace of any kind at both ends (``trim`` only removes spaces)."""
     return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
@@ -69,8 +85,7 @@ def parse_typed(col, schema: str, domains: dict[str, Sequence[str]] | None = Non
     """
     text = extract_json(col)
     value = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    err = F.when(value.isNull(), F.concat(F.lit("Failed to parse JSON. Text was: "),
-                                          F.substring(text, 1, 200), F.lit("...")))
+    err = F.when(value.isNull(), fill_template(PARSE_ERROR, {"text": F.substring(text, 1, 200)}))
     for field, allowed in (domains or {}).items():
         dom = F.array(*[F.lit(a) for a in allowed])
         bad = F.exists(value, lambda x: ~F.array_contains(dom, x[field]))
@@ -120,7 +135,7 @@ def summarise_jsonl(col, max_length: int = 500, suffix: str = TRUNCATE_SUFFIX) -
 
     found = F.try_element_at(F.filter(F.transform(lines, pick), lambda x: F.length(x) > 0), F.lit(-1))
     blob = F.when(found.isNotNull(), truncate_text(found, max_length, suffix)).otherwise(
-        F.concat(F.lit("[JSONL output with "), F.size(lines).cast("string"), F.lit(" messages]"), F.lit(suffix)))
+        F.concat(fill_template(JSONL_SUMMARY, {"n": F.size(lines).cast("string")}), F.lit(suffix)))
     return F.when(is_jsonl, blob).otherwise(truncate_text(c, max_length, suffix))
 
 
@@ -162,8 +177,8 @@ def classify_label(col) -> Column:
     m = F.regexp_extract(out, r"(/chore|/bug|/feature|0)", 1)
     cmd = F.when(m != "", m).otherwise(out)
     label = F.when(cmd.isin(*ISSUE_COMMANDS), cmd)
-    error = (F.when(cmd == "0", F.concat(F.lit("No command selected: "), raw))
-              .when(~cmd.isin(*ISSUE_COMMANDS), F.concat(F.lit("Invalid command selected: "), raw)))
+    error = (F.when(cmd == "0", fill_template(NO_COMMAND, {"output": raw}))
+              .when(~cmd.isin(*ISSUE_COMMANDS), fill_template(INVALID_COMMAND, {"output": raw})))
     return F.struct(label.alias("label"), error.alias("error"))
 
 
@@ -175,7 +190,9 @@ def repo_path(url, host="https://github.com/") -> Column:
 
 def parse_branch(col) -> Column:
     """FN-18: struct(branch, issue_number, run_id) from a branch listing line."""
-    b = F.replace(F.replace(_c(col), F.lit("* "), F.lit("")), F.lit("remotes/origin/"), F.lit(""))
+    b = _c(col)
+    for marker in BRANCH_MARKERS:
+        b = F.replace(b, F.lit(marker), F.lit(""))
     num = F.regexp_extract(b, r"issue-(\d+)", 1)
     rid = F.regexp_extract(b, r"-adw-([^-]+)-", 1)
     return F.struct(b.alias("branch"), F.when(num != "", num.cast("long")).alias("issue_number"),
@@ -206,8 +223,8 @@ def error_text(structured, stdout, stderr, exit_code, max_length: int = 800) ->
     msg = (F.when(F.coalesce(F.length(s) > 0, F.lit(False)), F.concat(p, s))
             .when(has_o & ~has_e, F.concat(p, o))
             .when(has_e & ~has_o, F.concat(p, e))
-            .when(has_o & has_e, F.concat(p, e, F.lit("\nStdout: "), o))
-            .otherwise(F.concat(p, F.lit("Command failed with exit code "), _c(exit_code).cast("string"))))
+            .when(has_o & has_e, F.concat(p, fill_template(BOTH_STREAMS, {"stderr": e, "stdout": o})))
+            .otherwise(F.concat(p, fill_template(EXIT_CODE_TEXT, {"code": _c(exit_code).cast("string")}))))
     return truncate_text(msg, max_length)
 
 

@@ -9,10 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions import config as C
+from runledger.functions.text import fill_template
 from runledger.operators.runs import latest
 
 # Layer priorities, lowest first (later layers win).
 LAYER_PRIORITY = {"ports": 0, "local": 1, "base": 2, "environment": 3, "cloud": 4}
+# Validation and schema texts ({name} marks a filled-in value).
+MISSING_FIELD = "Missing required field: {key}"
+TYPE_ERROR = "{key}: Expected {expected}, got {got}"
+PATTERN_ERROR = "{key}: Does not match pattern {pattern}"
+DESCRIPTION = "Configuration value for {key}"
 MAX_SCHEMA_KEYS = 10000
 
 
@@ -42,14 +48,15 @@ def validate(config: DataFrame, schema: DataFrame, run_cols: Sequence[str] = ("r
         raise ValueError("schema too large to validate by key list")
     t = C.json_type("value_json")
     checked = config.join(schema, "key")
-    type_err = (F.when((F.col("type") == "string") & (t != "str"), F.concat(F.col("key"), F.lit(": Expected string, got "), t))
-                 .when((F.col("type") == "integer") & ~t.isin("int", "bool"), F.concat(F.col("key"), F.lit(": Expected integer, got "), t))
-                 .when((F.col("type") == "number") & ~t.isin("int", "float", "bool"), F.concat(F.col("key"), F.lit(": Expected number, got "), t))
-                 .when((F.col("type") == "boolean") & (t != "bool"), F.concat(F.col("key"), F.lit(": Expected boolean, got "), t)))
+    bad_type = (((F.col("type") == "string") & (t != "str"))
+                | ((F.col("type") == "integer") & ~t.isin("int", "bool"))
+                | ((F.col("type") == "number") & ~t.isin("int", "float", "bool"))
+                | ((F.col("type") == "boolean") & (t != "bool")))
+    type_err = F.when(bad_type, fill_template(TYPE_ERROR, {"key": F.col("key"), "expected": F.col("type"), "got": t}))
     s = C.json_string_value("value_json")
     pat_err = F.when(F.col("pattern").isNotNull() & (t == "str")
                      & ~F.regexp(s, F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")"))),
-                     F.concat(F.col("key"), F.lit(": Does not match pattern "), F.col("pattern")))
+                     fill_template(PATTERN_ERROR, {"key": F.col("key"), "pattern": F.col("pattern")}))
     errs = checked.select(*run_cols, "key", F.array(type_err, pat_err).alias("_e")) \
                   .select(*run_cols, "key", F.explode(F.filter("_e", lambda x: x.isNotNull())).alias("error"))
     req = F.array(*[F.lit(k) for k in sorted(required)]) if required else F.array().cast("array<string>")
@@ -58,7 +65,7 @@ def validate(config: DataFrame, schema: DataFrame, run_cols: Sequence[str] = ("r
     present = F.collect_set(F.when(C.truthy("value_json") & F.col("key").isin(*required), F.col("key")))
     missing = (config.groupBy(*run_cols).agg(present.alias("_have"))
                      .select(*run_cols, F.explode(F.array_except(req, "_have")).alias("key"))
-                     .withColumn("error", F.concat(F.lit("Missing required field: "), F.col("key"))))
+                     .withColumn("error", fill_template(MISSING_FIELD, {"key": F.col("key")})))
     return missing.unionByName(errs)
 
 
@@ -80,7 +87,7 @@ def infer_schema(config: DataFrame, run_cols: Sequence[str] = ("run_id",)) -> Da
             .otherwise(F.lit("string")))
     return agg.select("key", typ.alias("type"),
                       F.when(typ == "string", F.col("pattern")).alias("pattern"),
-                      F.concat(F.lit("Configuration value for "), F.col("key")).alias("description"),
+                      fill_template(DESCRIPTION, {"key": F.col("key")}).alias("description"),
                       "required")
 
 

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runledger.functions.text import fill_template
+
 
 # Endpoint policy (endpoint, method, required role); ``*`` is a wildcard
 # path segment at the end, ALL matches any method, {id} stands for one path segment.
@@ -23,6 +25,14 @@ ENDPOINT_POLICY = (
 )
 
 
+# Authorisation reasons, in the order they are checked.
+LACKS_ROLE = "User lacks required role: {role}"
+NOT_FOUND = "Resource not found"
+ADMIN_OVERRIDE = "Admin override"
+NOT_OWNER = "User does not own this resource"
+AUTHORIZED = "Authorized"
+
+
 def required_role(endpoint, method, policy=ENDPOINT_POLICY):
     """Required role of a request as one Column expression (the policy is configuration,
     so no join or shuffle): the path is normalised (numeric segments -> ``{id}``); exact
@@ -56,13 +66,13 @@ def authorise(requests: DataFrame, memberships: DataFrame, resources: DataFrame,
           .join(adm, F.col(user_col) == F.col("_ua"), "left")
           .join(res, F.col(resource_col) == F.col("_rid"), "left"))
     role_txt = F.coalesce(F.col("required_role"), F.lit("None"))
-    reason = (F.when(F.col("_has").isNull(), F.concat(F.lit("User lacks required role: "), role_txt))
-               .when(F.col(resource_col).isNotNull() & F.col("_rid").isNull(), F.lit("Resource not found"))
-               .when(F.col(resource_col).isNotNull() & F.col("_admin").isNotNull(), F.lit("Admin override"))
+    reason = (F.when(F.col("_has").isNull(), fill_template(LACKS_ROLE, {"role": role_txt}))
+               .when(F.col(resource_col).isNotNull() & F.col("_rid").isNull(), F.lit(NOT_FOUND))
+               .when(F.col(resource_col).isNotNull() & F.col("_admin").isNotNull(), F.lit(ADMIN_OVERRIDE))
                .when(F.col(resource_col).isNotNull() & (F.col("_owner") != F.col(user_col)),
-                     F.lit("User does not own this resource"))
-               .otherwise(F.lit("Authorized")))
-    ok = reason.isin("Admin override", "Authorized")
+                     F.lit(NOT_OWNER))
+               .otherwise(F.lit(AUTHORIZED)))
+    ok = reason.isin(ADMIN_OVERRIDE, AUTHORIZED)
     return j.select(*requests.columns, "required_role", ok.alias("authorized"), reason.alias("reason"))
 
 
