@@ -109,8 +109,9 @@ def attempts(df: DataFrame, run_cols: Sequence[str] | str, order_cols: Sequence[
              error_col: str | None = None, resolved_col: str | None = None) -> DataFrame:
     """W-05 (run form): attempts used, failed attempts, final outcome and stop reason.
 
-    The final outcome is the last kept attempt. A run whose data ends before any stop
-    gets stop reason ``incomplete``.
+    The final outcome is the last kept attempt; a run error is ``error``, never passed
+    (even with zero failures counted). A run whose data ends before any stop gets stop
+    reason ``incomplete``.
     """
     run_cols = _cols(run_cols)
     rows = attempt_rows(df, run_cols, order_cols, failed_col, max_attempts, error_col, resolved_col)
@@ -119,7 +120,8 @@ def attempts(df: DataFrame, run_cols: Sequence[str] | str, order_cols: Sequence[
                 .agg(F.count(F.lit(1)).alias("attempts"),
                      F.count_if(F.col(failed_col)).alias("failed_attempts"), last)
                 .select(*run_cols, "attempts", "failed_attempts",
-                        F.when(F.col("_last.failed"), "failed").otherwise("passed").alias("final_status"),
+                        F.when(F.col("_last.stop_reason") == "run_error", "error")
+                         .when(F.col("_last.failed"), "failed").otherwise("passed").alias("final_status"),
                         F.coalesce(F.col("_last.stop_reason"), F.lit("incomplete")).alias("stop_reason")))
 
 

@@ -224,7 +224,7 @@ s AS (SELECT *, CASE WHEN run_error THEN 'run_error' WHEN NOT failed THEN 'passe
       WHEN NOT resolved THEN 'no_resolution' END AS stop_reason FROM n WHERE attempt <= 4),
 c AS (SELECT *, min(CASE WHEN stop_reason IS NOT NULL THEN attempt END) OVER (PARTITION BY user_id, run_date) AS cut FROM s)
 SELECT user_id, run_date, count(*) AS attempts, count_if(failed) AS failed_attempts,
-       arg_max(CASE WHEN failed THEN 'failed' ELSE 'passed' END, attempt) AS final_status,
+       arg_max(CASE WHEN stop_reason = 'run_error' THEN 'error' WHEN failed THEN 'failed' ELSE 'passed' END, attempt) AS final_status,
        coalesce(arg_max(stop_reason, attempt), 'incomplete') AS stop_reason
 FROM c WHERE attempt <= coalesce(cut, 4) GROUP BY user_id, run_date""")
 def q_attempt_history_full(spark, sf):

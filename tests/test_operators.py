@@ -74,6 +74,8 @@ def test_attempt_stop_rules(spark):
     assert got[3] == (4, 4, "failed", "max_attempts")
     full = {r.run: r.stop_reason for r in runs.attempts(df, "run", ["seq"], "failed", 4, "err", "resolved").collect()}
     assert full[5] == "run_error" and full[4] == "no_resolution"
+    status = {r.run: r.final_status for r in runs.attempts(df, "run", ["seq"], "failed", 4, "err", "resolved").collect()}
+    assert status[5] == "error"  # a run error is never reported as passed
 
 
 def test_attempts_model_random(spark):
