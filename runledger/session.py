@@ -54,7 +54,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for iterative operators")
         path = tempfile.mkdtemp(prefix="runledger-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
