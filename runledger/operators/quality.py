@@ -151,26 +151,32 @@ def domain_violations(df: DataFrame, entity: str, rules: Sequence[tuple[str, str
 
 
 def required(c: Column) -> Column:
+    """A-17 rule: violated when the value is missing or empty."""
     return c.isNull() | (F.length(c.cast("string")) == 0)
 
 
 def max_length(c: Column, n: int) -> Column:
+    """A-17 rule: violated when longer than ``n`` characters."""
     return F.length(c) > n
 
 
 def min_value(c: Column, v) -> Column:
+    """A-17 rule: violated below ``v``."""
     return c < v
 
 
 def max_value(c: Column, v) -> Column:
+    """A-17 rule: violated above ``v``."""
     return c > v
 
 
 def matches(c: Column, pattern: str) -> Column:
+    """A-17 rule: violated when the value does not match ``pattern``."""
     return ~c.rlike(pattern)
 
 
 def enum(c: Column, values: Sequence[str]) -> Column:
+    """A-17 rule: violated outside the allowed values."""
     return ~c.isin(*values)
 
 

@@ -54,6 +54,7 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
 
 
 def routing_rules(spark) -> DataFrame:
+    """J-01: the fixed routing table as a small constant relation."""
     from runledger.session import constant_table
     return constant_table(spark, ROUTING_RULES, "command string, model_set string, model string")
 

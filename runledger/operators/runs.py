@@ -282,6 +282,7 @@ BACKEND_PORT_BASE, FRONTEND_PORT_BASE = 9100, 9200
 
 
 def ports(id_col: Column, n: int = 15) -> tuple[Column, Column]:
+    """FN-13: backend and frontend port of a run id's slot."""
     b = stable_bucket(id_col, n)
     return (F.lit(BACKEND_PORT_BASE) + b).alias("backend_port"), (F.lit(FRONTEND_PORT_BASE) + b).alias("frontend_port")
 

@@ -24,6 +24,7 @@ DEFAULT_CONF = {
 
 def get_spark(app: str = "runledger", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with the library defaults (AQE, skew joins, UTC, UI off) plus ``extra``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
