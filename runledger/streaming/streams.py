@@ -185,8 +185,10 @@ def latest_batch(keys: Sequence[str], order_cols: Sequence[str], value_cols: Seq
 
 def stream_quota(events: DataFrame, limits: DataFrame, user_col: str = "user_id", delay: str = "1 day") -> DataFrame:
     """ST-05: requests per user and day on a stream, allowed up to the user's limit
-    (null = unlimited); rows later than the 1-day watermark are dropped (counted in
-    the query progress)."""
+    (null = unlimited). Rows later than the watermark are dropped; the query progress
+    counts them as Spark sees them at the stateful operator, i.e. after map-side partial
+    aggregation (one per late user/day group and batch), returned by
+    ``run_available_now`` as ``rows_dropped_by_watermark``."""
     ev = events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay).join(limits, user_col, "left")
     agg = ev.groupBy(user_col, F.window("event_time", "1 day").alias("w")).agg(
         F.count(F.lit(1)).alias("n_requests"), F.max("lim").alias("lim"))
