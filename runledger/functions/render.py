@@ -6,6 +6,7 @@ ordered ``collect_list`` whose size is that run's own item count.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -241,3 +242,17 @@ def report(df: DataFrame, kind: str, run_cols: Sequence[str], order_col: str, **
     if kind == "infra":
         return infra_report(df, run_cols, order_col)
     raise ValueError(kind)
+
+
+def render(df: DataFrame, template: str, **kw) -> DataFrame:
+    """FN-22: render a document per record. ``template`` is ``plan`` (kw: criteria,
+    run_id), ``env`` (kw: run_cols, descriptions, environment) or a text with
+    ``{{ name }}`` slots filled from the columns of the same name (slots without a column
+    stay as they are)."""
+    if template == "plan":
+        return render_plan(df, kw["criteria"], kw.get("run_id", ""), kw.get("key", "id"))
+    if template == "env":
+        return render_env_template(df, kw["run_cols"], kw.get("descriptions"), kw.get("environment", "dev"))
+    names = sorted(n for n in set(re.findall(r"\{\{ (\w+) \}\}", template)) if n in df.columns)
+    variables = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n).cast("string"))])
+    return df.withColumn("rendered", render_vars(F.lit(template), variables))

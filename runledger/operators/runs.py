@@ -313,3 +313,19 @@ def ordered_positions(df: DataFrame, key_cols: Sequence[str] | str, order_cols:
     return (s.join(offsets, ["_pid", *keys])
              .withColumn(position_col, F.col("_mid") - F.col("_first") + 1 + F.col("_before"))
              .drop("_pid", "_mid", "_first", "_before"))
+
+
+def latest_mention(comments: DataFrame, keyword: str, run_cols: Sequence[str] | str = "number",
+                   body_col: str = "body", order_cols: Sequence[str] = ("created_at", "id")) -> DataFrame:
+    """W-03: the newest comment per issue that is not bot-tagged and contains ``keyword``
+    (ties broken by the id); issues without one are absent."""
+    from runledger.operators.filters import human_mentions
+    hits = human_mentions(comments, keyword, body_col)
+    return latest(hits, run_cols, list(order_cols), [c for c in comments.columns
+                                                    if c not in _cols(run_cols) and c not in order_cols])
+
+
+def ordered_comments(df: DataFrame, key_cols: Sequence[str] | str, ts_col: str, tie_cols: Sequence[str]) -> DataFrame:
+    """W-04: position of each comment in its issue, missing timestamps first, then the
+    tie key (skew-safe, see :func:`ordered_positions`)."""
+    return ordered_positions(df, key_cols, [F.col(ts_col).asc_nulls_first(), *[F.col(c) for c in tie_cols]])

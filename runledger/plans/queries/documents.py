@@ -169,10 +169,10 @@ def q_spec_paths(spark, sf):
 def q_render_vars(spark, sf):
     """FN-22: ``{{ var }}`` placeholders filled from a per-row map; unknown ones stay."""
     o = table(spark, sf, "orders")
-    tpl = F.lit("Order {{ id }} for customer {{ customer }} is {{ status }} ({{ missing }})")
-    vars_ = F.create_map(F.lit("id"), F.col("o_orderkey").cast("string"), F.lit("customer"), F.col("o_custkey").cast("string"),
-                         F.lit("status"), F.col("o_orderstatus"))
-    return o.select("o_orderkey", RD.render_vars(tpl, vars_).alias("text"))
+    rec = o.select("o_orderkey", F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"),
+                   F.col("o_orderstatus").alias("status"))
+    tpl = "Order {{ id }} for customer {{ customer }} is {{ status }} ({{ missing }})"
+    return RD.render(rec, tpl).select("o_orderkey", F.col("rendered").alias("text"))
 
 
 @register("render_plans", f"""WITH s AS (SELECT 'ORD-' || o_orderkey AS id, 'Ship order ' || o_orderkey AS title,

@@ -66,11 +66,10 @@ h AS (SELECT * FROM c WHERE NOT contains(body, '[ADW-AGENTS]') AND contains(body
 SELECT conv_id, max(turn) AS turn, arg_max(body, turn) AS body FROM h GROUP BY conv_id""")
 def q_latest_mention(spark, sf):
     """W-03 + FL-03: newest non-bot comment containing a keyword, per conversation."""
-    from runledger.operators import filters as FL
     cv = table(spark, sf, "conversations")
     c = cv.select("conv_id", "turn", F.when(F.col("role") == "assistant", F.concat(F.lit("[ADW-AGENTS] "), F.col("text")))
                   .otherwise(F.col("text")).alias("body"))
-    return runs.latest(FL.human_mentions(c, "de", "body"), "conv_id", ["turn"], ["body"])
+    return runs.latest_mention(c, "de", "conv_id", "body", ["turn"])
 
 
 @register("ordered_comments", """SELECT user_id, event_id,
@@ -78,7 +77,7 @@ def q_latest_mention(spark, sf):
 def q_ordered_comments(spark, sf):
     """W-04: position of each event in its user's thread, missing timestamps first."""
     ev = table(spark, sf, "events").select("user_id", "event_id", "ts")
-    return runs.ordered_positions(ev, "user_id", [F.col("ts").asc_nulls_first(), F.col("event_id")]) \
+    return runs.ordered_comments(ev, "user_id", "ts", ["event_id"]) \
                .select("user_id", "event_id", F.col("position").cast("bigint").alias("position"))
 
 

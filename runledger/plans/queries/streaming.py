@@ -70,9 +70,8 @@ def q_stream_latest_state(spark, sf):
     """ST-04: latest state per user upserted batch by batch; equals W-07."""
     out = SL.scratch_path(spark, "st04")
     s = _event_stream(spark, sf).withColumnRenamed("event_type", "current_phase")
-    SS.run_available_now(s, out, "append", "st04",
-                         SS.latest_batch(["user_id"], ["ts", "event_id"], ["current_phase", "value"]))
-    return latest(spark.read.parquet(out), "user_id", ["ts", "event_id"], ["current_phase", "value"])
+    SS.stream_latest(s, out, ["user_id"], ["ts", "event_id"], ["current_phase", "value"], "st04")
+    return SS.read_latest(spark, out, ["user_id"], ["ts", "event_id"], ["current_phase", "value"])
 
 
 @register("stream_quota", ORACLE["daily_quota"])

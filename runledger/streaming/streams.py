@@ -227,3 +227,17 @@ def stream_rate_alarms(events: DataFrame, width: str = "1 day", min_count: int =
     return agg.select(as_wallclock(F.col("w.start")).alias("window_start"), "n", F.round("error_rate", 6).alias("error_rate"), "p99_ms",
                       (enough & (F.col("error_rate") > ERROR_RATE_LIMIT)).alias("error_alarm"),
                       (enough & (F.col("p99_ms") > P99_LIMIT_MS["api"])).alias("latency_alarm"))
+
+
+def stream_latest(stream_df: DataFrame, out_path: str, keys: Sequence[str], order_cols: Sequence[str],
+                  value_cols: Sequence[str], name: str = "latest") -> dict:
+    """ST-04: latest state per key from a stream: each micro-batch's latest rows are
+    written as one version (idempotent), so :func:`read_latest` equals W-07 whatever the
+    arrival order. Runs to the end of the current input; returns the run metrics."""
+    return run_available_now(stream_df, out_path, "append", name, latest_batch(keys, order_cols, value_cols))
+
+
+def read_latest(spark: SparkSession, out_path: str, keys: Sequence[str], order_cols: Sequence[str],
+                value_cols: Sequence[str]) -> DataFrame:
+    """ST-04: the upserted table: last writer wins per key over every written version."""
+    return latest(spark.read.parquet(out_path), list(keys), list(order_cols), list(value_cols))
