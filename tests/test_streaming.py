@@ -83,3 +83,18 @@ def test_alarms_stream_in_order_equals_batch(spark):
                   .groupBy("user_id", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n_failed"))
                   .filter(F.col("n_failed") >= 2).select("user_id", F.col("w.start").cast("timestamp_ntz"), "n_failed"))
     assert got == {tuple(r) for r in b.collect()}
+
+
+def test_rate_alarms_stream_in_order_equals_batch(spark):
+    batch_src, stream = _in_order_stream(spark)
+    out = SL.scratch_path(spark, "st07-order")
+    SS.run_available_now(SS.stream_rate_alarms(stream, "1 day", 20), out, "update", "st07o")
+    got = {tuple(r) for r in SS.read_versions(spark, out, ["window_start"],
+                                               ["n", "error_rate", "p99_ms", "error_alarm", "latency_alarm"]).collect()}
+    b = (batch_src.groupBy(F.window("ts", "1 day").alias("w"))
+                  .agg(F.count(F.lit(1)).alias("n"),
+                       F.round(F.avg((F.col("event_type") == "error").cast("double")), 6).alias("error_rate"),
+                       F.percentile_approx(F.col("value") * 10, 0.99, 100000).alias("p99_ms")))
+    want = {(r.w.start, r.n, r.error_rate, r.p99_ms, r.n >= 20 and r.error_rate > 0.05, r.n >= 20 and r.p99_ms > 3000.0)
+            for r in b.collect()}
+    assert got == want
