@@ -11,16 +11,27 @@ import os
 import sys
 
 
+def _lines(f: str):
+    if f.endswith(".zstd"):  # Spark 4 compresses event logs with zstd by default
+        import io
+
+        import zstandard
+        with open(f, "rb") as fh:
+            yield from io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(fh), encoding="utf-8")
+    else:
+        with open(f, encoding="utf-8") as fh:
+            yield from fh
+
+
 def events(path: str):
     files = sorted(glob.glob(os.path.join(path, "**", "*"), recursive=True)) if os.path.isdir(path) else [path]
     for f in files:
-        if os.path.isfile(f) and not f.endswith(".crc"):
-            with open(f) as fh:
-                for line in fh:
-                    try:
-                        yield json.loads(line)
-                    except ValueError:
-                        continue
+        if os.path.isfile(f) and not f.endswith(".crc") and "appstatus" not in os.path.basename(f):
+            for line in _lines(f):
+                try:
+                    yield json.loads(line)
+                except ValueError:
+                    continue
 
 
 def main() -> None:
