@@ -36,7 +36,7 @@ SELECT p_partkey, key, {O.contains_any('key', _SENS['generic'])} AS sensitive,
   CASE WHEN {O.contains_any('key', _SENS['parameter'])} THEN 'SecureString' ELSE 'String' END AS param_type
 FROM k""")
 def q_config_key_report(spark, sf):
-    """FN-10/11/12/16 and SRC-08 typing: sensitivity under the three lists, masks,
+    """FN-10, FN-11, FN-12, FN-16 and SRC-08 typing: sensitivity under the three lists, masks,
     category, parameter path and type for config keys built from part names."""
     k = B.part_keys(spark, sf)
     return k.select("p_partkey", "key",
