@@ -28,12 +28,13 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def extract_workflow(text, allowed: Sequence[str] = WORKFLOWS) -> Column:
+def extract_workflow(text, allowed: Sequence[str] | None = None) -> Column:
     """FN-09: struct(workflow_command, run_id, model_set) from classifier output.
 
     The command loses every ``/``; only allowed commands are kept, otherwise all
     fields are empty with model set ``base``. A missing model set is ``base``.
     """
+    allowed = WORKFLOWS if allowed is None else allowed
     j = extract_json(text)
     cmd = F.replace(F.coalesce(F.get_json_object(j, "$.adw_slash_command"), F.lit("")), F.lit("/"), F.lit(""))
     ok = (F.length(cmd) > 0) & cmd.isin(*allowed)

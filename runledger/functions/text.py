@@ -200,7 +200,7 @@ def parse_branch(col) -> Column:
 
 
 def tag_message(run_id, agent, text, session=None) -> Column:
-    """FN-19: ``[ADW-AGENTS] id_agent[_session]: text``."""
+    """FN-19: the bot tag (``BOT_TAG``), then ``id_agent[_session]: text``."""
     who = F.concat_ws("_", _c(run_id), _c(agent), *( [_c(session)] if session is not None else []))
     return F.concat(F.lit(BOT_TAG + " "), who, F.lit(": "), _c(text))
 

@@ -26,8 +26,10 @@ def blockers(df: DataFrame, sev_col: str = "issue_severity", severity: str = "bl
     return df.filter(F.col(sev_col) == severity)
 
 
-def human_mentions(df: DataFrame, keyword: str, body_col: str = "body", tag: str = BOT_TAG) -> DataFrame:
-    """FL-03: drop bot-tagged text, keep text containing the keyword (case-sensitive)."""
+def human_mentions(df: DataFrame, keyword: str, body_col: str = "body", tag: str | None = None) -> DataFrame:
+    """FL-03: drop bot-tagged text (``BOT_TAG`` unless ``tag``), keep text containing the
+    keyword (case-sensitive)."""
+    tag = BOT_TAG if tag is None else tag
     b = F.col(body_col)
     return df.filter(~b.contains(tag) & b.contains(keyword))
 
