@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from runledger.functions import text as T
-from runledger.operators import filters as FL
 from runledger.operators import runs
 from runledger.plans import bindings as B
 from runledger.plans import oracle as O

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from runledger.operators.runs import latest
 from runledger.plans.queries import quality as _quality, runs as _runs  # noqa: F401  (their oracles are reused)
 from runledger.plans.queries.registry import ORACLE, register
 from runledger.plans.queries.sources import _user_of_file, _write_run_logs
