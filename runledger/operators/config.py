@@ -43,7 +43,8 @@ def validate(config: DataFrame, schema: DataFrame, run_cols: Sequence[str] = ("r
     stay below ``MAX_SCHEMA_KEYS``.
     """
     run_cols = list(run_cols)
-    required = [r["key"] for r in schema.filter(F.col("required")).select("key").distinct().collect()]
+    keys = schema.filter(F.col("required")).select("key").distinct().limit(MAX_SCHEMA_KEYS + 1)
+    required = [r["key"] for r in keys.collect()]  # bounded: at most MAX_SCHEMA_KEYS + 1 names
     if len(required) > MAX_SCHEMA_KEYS:
         raise ValueError("schema too large to validate by key list")
     t = C.json_type("value_json")
