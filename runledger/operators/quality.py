@@ -196,6 +196,13 @@ def retention(df: DataFrame, date_col: str, kind: str, as_of: str, policy: Mappi
     return df.withColumn("age_days", age).withColumn("retention", cls.otherwise(F.lit("keep")))
 
 
+def session_retention(df: DataFrame, expires_col: str, as_of: str) -> DataFrame:
+    """A-20 (sessions): a session expires at its own timestamp, not by age; ``as_of`` is
+    a wall-clock timestamp parameter."""
+    at = F.lit(as_of).cast("timestamp_ntz")
+    return df.withColumn("retention", F.when(F.col(expires_col) <= at, F.lit("expire")).otherwise(F.lit("keep")))
+
+
 def overdue(df: DataFrame, kind_col: str, last_col: str, as_of: str, policy: Mapping = ROTATION_POLICY) -> DataFrame:
     """A-21: days since the last rotation against the kind's period; never-rotated kinds
     are never overdue."""

@@ -350,3 +350,12 @@ def q_top_files_per_context(spark, sf):
     pri = F.when(F.col("p_type") == "ECONOMY", 1).when(F.col("p_type") == "STANDARD", 2).otherwise(3)
     return Q.top_k_per_group(p, ["p_brand"], [pri, F.col("p_name"), F.col("p_partkey")], 10).select(
         "p_brand", "p_partkey", "p_name", "rank")
+
+
+@register("retention_sessions", """SELECT event_id, ts + INTERVAL 1 DAY AS expires_at,
+  CASE WHEN ts + INTERVAL 1 DAY <= TIMESTAMP '2024-01-15 12:00:00' THEN 'expire' ELSE 'keep' END AS retention FROM events""")
+def q_retention_sessions(spark, sf):
+    """A-20 (sessions): each event opens a session that expires one day later; classes as
+    of 2024-01-15 12:00."""
+    ev = table(spark, sf, "events").select("event_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("expires_at"))
+    return Q.session_retention(ev, "expires_at", "2024-01-15 12:00:00")
