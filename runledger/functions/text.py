@@ -233,6 +233,11 @@ def minimal_payload(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]))
 
 
+def cap_text(col, n: int = 2000) -> Column:
+    """FN-26: responses capped at ``n`` characters."""
+    return F.substring(_c(col), 1, n)
+
+
 def chunk_text(df: DataFrame, text_col: str, size: int = 5000, overlap: float = 0.0,
                keep: Sequence[str] = ()) -> DataFrame:
     """FN-26: fixed-size chunks with optional overlap, one row per chunk (whole text)."""

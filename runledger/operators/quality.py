@@ -220,6 +220,17 @@ def sprint_load(df: DataFrame, sprint_col: str, points_col: str, velocity) -> Da
               .withColumn("overloaded", F.col("points") > F.col("velocity"))
 
 
+def quota_limit(plan, limits: Mapping = DAILY_QUOTA) -> Column:
+    """W-08: daily request limit of a plan (free, standard, admin); null = unlimited, and an
+    unknown plan gets the smallest listed limit."""
+    p = F.col(plan) if isinstance(plan, str) else plan
+    finite = [v for v in limits.values() if v is not None]
+    out = F.when(F.lit(False), F.lit(None).cast("int"))
+    for name, v in limits.items():
+        out = out.when(p == name, F.lit(v).cast("int"))
+    return out.otherwise(F.lit(min(finite)).cast("int"))
+
+
 def quota(df: DataFrame, run_cols: Sequence[str], limit_col: str) -> DataFrame:
     """W-08 (summary): the first ``limit`` requests of a user-day pass, the rest are
     rejected. Counting is enough for the split (min(n, limit)), so it aggregates

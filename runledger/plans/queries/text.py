@@ -252,3 +252,11 @@ def q_ensure_bot_tag(spark, sf):
     cv = table(spark, sf, "conversations")
     t = F.when(F.col("role") == "assistant", F.concat(F.lit("[ADW-AGENTS] "), F.col("text"))).otherwise(F.col("text"))
     return cv.select("conv_id", "turn", T.ensure_tag(t).alias("comment"))
+
+
+@register("capped_responses", """SELECT conv_id, turn, substring(text, 1, 2000) AS response, length(text) > 2000 AS capped
+  FROM conversations WHERE role = 'assistant'""")
+def q_capped_responses(spark, sf):
+    """FN-26: assistant responses capped at 2000 characters, with a flag where cut."""
+    cv = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    return cv.select("conv_id", "turn", T.cap_text("text", 2000).alias("response"), (F.length("text") > 2000).alias("capped"))

@@ -102,3 +102,8 @@ def test_rls_and_cls(spark):
     seen = {r.uid: r.email for r in S.cls(users, 10, "user", "uid", ["email"], ["pw"]).collect()}
     assert seen == {10: "a@x", 11: None}
     assert "pw" not in S.cls(users, 10, "admin", "uid", ["email"], ["pw"]).columns
+
+
+def test_quota_limit_by_plan(spark):
+    df = spark.createDataFrame([("free",), ("standard",), ("admin",), ("other",)], "plan string")
+    assert [r[0] for r in df.select(Q.quota_limit("plan")).collect()] == [100, 10000, None, 100]
