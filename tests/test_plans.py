@@ -53,3 +53,25 @@ STATIC = [n for n in sorted(QUERIES) if not n.startswith(("stream_", "run_log",
 def test_no_cross_products(spark, name):
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+@pytest.mark.parametrize("name", ["tail_error", "top_files_per_context"])
+def test_first_k_limits_rows_before_the_shuffle(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_thread_positions_use_range_partitioning(spark):
+    p = plan(QUERIES["ordered_comments"](spark, SF_SMALL))
+    assert "rangepartitioning" in p
+    assert "RowFrame" not in p or "row_number" not in p  # no per-thread row_number window
+
+
+def test_fk_keys_are_counted_before_the_anti_join(spark):
+    p = plan(QUERIES["fk_violations"](spark, SF_SMALL))
+    first_anti = p.find("LeftAnti")
+    assert first_anti > 0 and p.find("HashAggregate", first_anti) > first_anti
+
+
+def test_latest_state_has_one_shuffle(spark):
+    assert plan(QUERIES["latest_state"](spark, SF_SMALL)).count("Exchange") == 1
