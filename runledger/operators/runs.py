@@ -202,17 +202,25 @@ def suite_summary(unit: DataFrame, e2e: DataFrame, run_cols: Sequence[str] | str
               .withColumn("overall_status", F.when(failures > 0, "failed").otherwise("passed"))
 
 
-def health(df: DataFrame, group_cols: Sequence[str] | str, ok_col: str) -> DataFrame:
+def health(df: DataFrame, group_cols: Sequence[str] | str, ok_col: str, expected: DataFrame | None = None) -> DataFrame:
     """A-04: all-healthy flag per group; an empty group is unhealthy.
 
-    Counts only: per-item messages are rows (``health_messages``), not one joined string,
-    so a group of any size stays distributed.
+    With ``expected`` (the groups that should exist), a group without any item is
+    reported with zero counts and ``all_healthy = false``. Counts only: per-item
+    messages are rows (``health_messages``), not one joined string, so a group of any
+    size stays distributed.
     """
     group_cols = _cols(group_cols)
-    return df.groupBy(*group_cols).agg(
+    agg = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count_if(~F.col(ok_col)).alias("n_unhealthy"),
         F.coalesce(F.bool_and(F.col(ok_col)) & (F.count(F.lit(1)) > 0), F.lit(False)).alias("all_healthy"))
+    if expected is None:
+        return agg
+    return (expected.select(*group_cols).distinct().join(agg, group_cols, "left")
+                    .select(*group_cols, F.coalesce("n_items", F.lit(0)).alias("n_items"),
+                            F.coalesce("n_unhealthy", F.lit(0)).alias("n_unhealthy"),
+                            F.coalesce("all_healthy", F.lit(False)).alias("all_healthy")))
 
 
 def health_messages(df: DataFrame, group_cols: Sequence[str] | str, ok_col: str,

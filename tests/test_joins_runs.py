@@ -85,3 +85,10 @@ def test_tail_error_last_five_newest_first(spark):
     got = runs.tail_error(df, "run", "seq", n=5).collect()
     assert [(r.seq, r.error_text) for r in got] == [(4, "it failed here")]  # seq 0 is outside the last five
     assert runs.last_result(df.withColumn("type", F.lit("result")).withColumnRenamed("text", "result"), "run").collect()[0].seq == 6
+
+
+def test_health_empty_group_is_unhealthy(spark):
+    items = spark.createDataFrame([("a", True)], "g string, ok boolean")
+    expected = spark.createDataFrame([("a",), ("b",)], "g string")
+    got = {r.g: (r.n_items, r.all_healthy) for r in runs.health(items, "g", "ok", expected).collect()}
+    assert got == {"a": (1, True), "b": (0, False)}
