@@ -5,13 +5,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from runledger.plans import catalog
 from runledger.plans.tables import TABLES
 from tools.check_oracle import digest
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = dict(catalog.QUERIES)
+ORACLE = dict(catalog.ORACLE)
 
 
 @pytest.fixture(scope="module")
