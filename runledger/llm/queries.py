@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runledger.plans.tables import table
 
-from . import mixing, preference, sharding
+from . import mixing, packing, preference, search, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,23 @@ FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.k = x.k AND d.iden
 def op10_mixing(spark, sf_dir):
     """Every document's words in the weighted mix."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op1_topk", """
+WITH ok AS (SELECT vec_id, max([CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+            GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([coalesce(z[1], 0) * coalesce(z[2], 0) FOR z IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+      FROM ok q, ok c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op1_topk(spark, sf_dir):
+    """The 5 highest integer inner products of every 50th vector with all others."""
+    e = table(spark, sf_dir, "embeddings")
+    return search.top_k(e, e.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@register("op5_packing")
+def op5_packing(spark, sf_dir):
+    """Every document's token pieces with their places in sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
