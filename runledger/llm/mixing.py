@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from .common import SEPARATORS, Scratch, word_count
 
 KEY_BITS = 60
-ROWS_PER_RANGE = 65536  # aim of rows in one key range of a source; sizes the range, drops nothing
 
 
 def hash_key(col: Column) -> Column:
@@ -55,7 +54,7 @@ def plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float)
     t = t.join(per_source.select(F.col("source").alias("s2"), "n"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     budget = F.floor(F.col("target") + 0.5).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.lit(ROWS_PER_RANGE)))).cast("int")
+    bits = F.ceil(F.log2(F.col("n").cast("double")) / 2).cast("int")  # about sqrt(n) ranges of sqrt(n) rows
     t = (t.withColumn("epochs", epochs).withColumn("rest", budget - F.col("epochs") * F.col("source_size"))
          .withColumn("range_bits", bits))
     # prefix sums over key ranges; the range that holds the cut
