@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runledger.plans.tables import table
 
-from . import mixing, packing, preference, search, sharding
+from . import line_dedup, mixing, packing, preference, search, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,10 @@ def op1_topk(spark, sf_dir):
 def op5_packing(spark, sf_dir):
     """Every document's token pieces with their places in sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op7_line_dedup")
+def op7_line_dedup(spark, sf_dir):
+    """Every document's text without the lines that repeat, exactly or nearly, across the corpus."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), "text")
