@@ -20,7 +20,13 @@ def word_count(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text in order; an empty array for null, empty or blank text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda w: w != F.lit(""))
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SEPARATORS, -1))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 class Scratch:

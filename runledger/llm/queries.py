@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runledger.plans.tables import table
 
-from . import line_dedup, mixing, packing, preference, search, sharding
+from . import line_dedup, mixing, ngram_join, packing, preference, search, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,19 @@ def op7_line_dedup(spark, sf_dir):
     """Every document's text without the lines that repeat, exactly or nearly, across the corpus."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), "text")
+
+
+@register("op8_ngram_jaccard", r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS t
+      FROM (SELECT doc_id, w, CAST(unnest(range(1, greatest(len(w) - 3, 2))) AS BIGINT) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.i >= 75 * (x.n + y.n - p.i)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY ALL""")
+def op8_ngram_jaccard(spark, sf_dir):
+    """Every document's number of 5-word shingles and its component of near duplicates."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
