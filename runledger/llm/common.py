@@ -24,6 +24,14 @@ def words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SEPARATORS, -1))
 
 
+BROADCAST_ROWS = 200_000  # rows of a few longs that may go to every executor; more are shuffled
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Mark a narrow, written table for broadcast if its count allows, else leave the join to shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also where the body uses it inside a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
