@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,12 @@ class Scratch:
         for name in names:
             path = hadoop(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
+        self.release()
+
+    def release(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of plans that are no longer referenced."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
