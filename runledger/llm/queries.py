@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runledger.plans.tables import table
 
-from . import line_dedup, mixing, ngram_join, packing, preference, search, sharding
+from . import langid, line_dedup, mixing, ngram_join, packing, preference, quality, search, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -131,3 +131,20 @@ FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY ALL""")
 def op8_ngram_jaccard(spark, sf_dir):
     """Every document's number of 5-word shingles and its component of near duplicates."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op3_langid")
+def op3_langid(spark, sf_dir):
+    """The predicted language of every document, learned from those whose crc32 mod 3 is not 1."""
+    d = table(spark, sf_dir, "documents")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    vocab = langid.vocabulary()
+    langs, probs = langid.train(d.where(~held), vocab)
+    return langid.predict(d, langs, probs, vocab).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@register("op4_quality")
+def op4_quality(spark, sf_dir):
+    """Every document's base counts and the verdict of base rules and line labels."""
+    d = table(spark, sf_dir, "documents")
+    return quality.judge(d, quality.train(d, table(spark, sf_dir, "labels")))
