@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runledger.plans.tables import table
 
-from . import langid, line_dedup, mixing, ngram_join, packing, preference, quality, search, sharding
+from . import extraction, langid, line_dedup, mixing, ngram_join, packing, preference, quality, search, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -148,3 +148,10 @@ def op4_quality(spark, sf_dir):
     """Every document's base counts and the verdict of base rules and line labels."""
     d = table(spark, sf_dir, "documents")
     return quality.judge(d, quality.train(d, table(spark, sf_dir, "labels")))
+
+
+@register("op6_extraction")
+def op6_extraction(spark, sf_dir):
+    """The main text of every page."""
+    p = table(spark, sf_dir, "pages")
+    return extraction.extract(p, extraction.train(p)).select("page_id", "url", "text", "n_chars")
