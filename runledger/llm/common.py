@@ -25,7 +25,7 @@ def words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SEPARATORS, -1))
 
 
-BROADCAST_ROWS = 200_000  # rows of a few longs that may go to every executor; more are shuffled
+BROADCAST_ROWS = 600_000  # rows of one or two longs (some 50 MB as a hash table) that may go to every executor; more are shuffled
 
 
 def small(df: DataFrame) -> DataFrame:
