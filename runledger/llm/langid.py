@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, hash_sample
 
 TRAIN_DOCS = 1500      # sample documents per language, by hash of the id (a bound of the fit only)
 ROUNDS = 3             # EM rounds
@@ -146,9 +146,8 @@ def train(df: DataFrame, vocab: list[str], id_col: str = "doc_id", text_col: str
     round returns only languages x pieces sums.
     """
     scratch = Scratch(df.sparkSession, "langid")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     rows = df.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).where("lang is not null and t is not null")
-    pick = rows.select("id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("id", "lang").distinct()
+    pick = hash_sample(rows.select("id", "lang"), "lang", "id", TRAIN_DOCS).distinct()
     sample = rows.join(F.broadcast(pick), ["id", "lang"]).select("lang", "t")  # TRAIN_DOCS rows per language
     pieces = Pieces(vocab)
 
