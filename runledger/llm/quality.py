@@ -13,10 +13,10 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, hash_sample
 
 TRAIN_DOCS = 1500     # labelled documents per class that fit the CRF, by hash of the id (a bound of the fit only)
 TRAIN_LINES = 200     # lines of one such document that enter the fit, from its start
@@ -186,8 +186,7 @@ class Crf:
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Crf:
     """Fit the CRF on at most TRAIN_DOCS labelled documents per class; only their line features reach the driver."""
     one = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("int").alias("y"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("__id"), "__id")
-    pick = one.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("__id", "y")
+    pick = hash_sample(one, "y", "__id", TRAIN_DOCS)
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("t")).join(F.broadcast(pick), "__id").select("y", "t")  # 2 * TRAIN_DOCS rows
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
