@@ -130,7 +130,7 @@ def materialise(df: DataFrame, text_col: str = "text", **kw) -> DataFrame:
     chunks = F.split(F.regexp_replace(F.col(text_col), f"^{SEPARATORS}", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     first_words = F.regexp_replace(F.concat_ws("", F.slice(chunks, 1, F.col("mix_words").cast("int"))), f"{SEPARATORS}$", "")
     copies = F.col("mix_epochs").cast("int") + F.when(F.col("mix_words") > 0, 1).otherwise(0)
-    out = mixed.where(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
+    out = mixed.where((copies > 0) & (F.col("mix_size") > 0)).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
     partial = (F.col("__copy") > F.col("mix_epochs")) & (F.col("mix_words") < F.col("mix_size"))
     out = out.withColumn(text_col, F.when(partial, first_words).otherwise(F.col(text_col)))
     if "n_chars" in df.columns:
