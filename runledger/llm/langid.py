@@ -157,7 +157,8 @@ def train(df: DataFrame, vocab: list[str], id_col: str = "doc_id", text_col: str
                 c: Counter = Counter()
                 for t in part["t"]:
                     c.update(letter_words(t))
-                yield pd.DataFrame({"lang": lang, "w": list(c), "n": list(c.values())})
+                if c:
+                    yield pd.DataFrame({"lang": lang, "w": list(c), "n": list(c.values())})
 
     counts = scratch.table(sample.mapInPandas(count, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "words")
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
@@ -170,7 +171,8 @@ def train(df: DataFrame, vocab: list[str], id_col: str = "doc_id", text_col: str
                 for lang, part in b.groupby("lang"):
                     e = expected_counts(part["w"].tolist(), part["n"].to_numpy(float), probs[at[lang]], pieces)
                     ids = np.flatnonzero(e)
-                    yield pd.DataFrame({"lang": lang, "piece": ids, "e": e[ids]})
+                    if len(ids):
+                        yield pd.DataFrame({"lang": lang, "piece": ids, "e": e[ids]})
 
         return counts.mapInPandas(run, "lang string, piece int, e double").groupBy("lang", "piece").agg(F.sum(F.round("e", 6)).alias("e"))
 
