@@ -19,7 +19,6 @@ MISSING_FIELD = "Missing required field: {key}"
 TYPE_ERROR = "{key}: Expected {expected}, got {got}"
 PATTERN_ERROR = "{key}: Does not match pattern {pattern}"
 DESCRIPTION = "Configuration value for {key}"
-MAX_SCHEMA_KEYS = 10000
 
 
 def overlay(layers: DataFrame, keys: Sequence[str] = ("key",), priority_col: str = "priority",
@@ -32,22 +31,22 @@ def overlay(layers: DataFrame, keys: Sequence[str] = ("key",), priority_col: str
     return latest(layers, list(keys), [priority_col, seq_col], ["value", "layer"])
 
 
-def validate(config: DataFrame, schema: DataFrame, run_cols: Sequence[str] = ("run_id",)) -> DataFrame:
+def validate(config: DataFrame, schema: DataFrame, run_cols: Sequence[str] = ("run_id",),
+             runs: DataFrame | None = None) -> DataFrame:
     """J-03: violations of config rows (run, key, value_json) against schema rows
     (key, type, pattern, required). Keys outside the schema are skipped.
 
     Required: the key is missing or its value is falsy (0, false, "" count as missing).
     Type: ``bool`` passes an integer or number check (Python subclass rule).
     Pattern: only for string values, anchored at the start only.
-    The schema is configuration metadata; its required-key list is read once and must
-    stay below ``MAX_SCHEMA_KEYS``.
+    ``runs`` lists the runs to report on, so that one without any config row misses every
+    required key; without it, the runs are those of ``config``. The schema's required keys
+    stay in the plan as one array; nothing is read while the plan is built.
     """
     run_cols = list(run_cols)
-    keys = schema.filter(F.col("required")).select("key").distinct().limit(MAX_SCHEMA_KEYS + 1)
-    required = [r["key"] for r in keys.collect()]  # bounded: at most MAX_SCHEMA_KEYS + 1 names
-    if len(required) > MAX_SCHEMA_KEYS:
-        raise ValueError("schema too large to validate by key list")
-    t = C.json_type("value_json")
+    config = config.withColumn("_t", C.json_type("value_json")).withColumn("_truthy", C.truthy("value_json"))
+    req = schema.filter(F.col("required")).agg(F.sort_array(F.collect_set("key"))).scalar()
+    t = F.col("_t")
     checked = config.join(schema, "key")
     bad_type = (((F.col("type") == "string") & (t != "str"))
                 | ((F.col("type") == "integer") & ~t.isin("int", "bool"))
@@ -60,13 +59,14 @@ def validate(config: DataFrame, schema: DataFrame, run_cols: Sequence[str] = ("r
                      fill_template(PATTERN_ERROR, {"key": F.col("key"), "pattern": F.col("pattern")}))
     errs = checked.select(*run_cols, "key", F.array(type_err, pat_err).alias("_e")) \
                   .select(*run_cols, "key", F.explode(F.filter("_e", lambda x: x.isNotNull())).alias("error"))
-    req = F.array(*[F.lit(k) for k in sorted(required)]) if required else F.array().cast("array<string>")
     # one shuffle per run: the set of required keys present with a truthy value
     # (bounded by the schema size); runs without any still appear with an empty set
-    present = F.collect_set(F.when(C.truthy("value_json") & F.col("key").isin(*required), F.col("key")))
-    missing = (config.groupBy(*run_cols).agg(present.alias("_have"))
-                     .select(*run_cols, F.explode(F.array_except(req, "_have")).alias("key"))
-                     .withColumn("error", fill_template(MISSING_FIELD, {"key": F.col("key")})))
+    have = config.select(*run_cols, F.when(F.col("_truthy") & F.array_contains(req, F.col("key")), F.col("key")).alias("key"))
+    if runs is not None:
+        have = have.unionByName(runs.select(*run_cols, F.lit(None).cast("string").alias("key")))
+    missing = (have.groupBy(*run_cols).agg(F.collect_set("key").alias("_have"))
+                   .select(*run_cols, F.explode(F.array_except(req, "_have")).alias("key"))
+                   .withColumn("error", fill_template(MISSING_FIELD, {"key": F.col("key")})))
     return missing.unionByName(errs)
 
 

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from runledger.operators.runs import with_percentile
+
 # Stated targets.
 SUCCESS_RATE_TARGET = 0.95
 ROLLBACK_RATE_TARGET = 0.10
@@ -63,31 +65,38 @@ def rate_metrics(df: DataFrame, group_cols: Sequence[str], success_col: str, rol
               .withColumn("meets_rollback", F.col("rollback_rate") <= rollback_target)
 
 
-def latency_gate(df: DataFrame, group_cols: Sequence[str], value_col: str, target, accuracy: int = 100000) -> DataFrame:
-    """A-09: p95 per group against a target (``percentile_approx``: bounded memory,
-    exact below ``accuracy`` rows per group)."""
+def latency_gate(df: DataFrame, group_cols: Sequence[str], value_col: str, target) -> DataFrame:
+    """A-09: exact p95 per group against a target; a group without values has no p95 and
+    does not pass."""
     t = F.lit(target) if not isinstance(target, Column) else target
-    agg = df.groupBy(*group_cols).agg(F.percentile_approx(value_col, 0.95, accuracy).alias("p95"),
-                                      F.first(t, ignorenulls=True).alias("target"))
-    return agg.withColumn("passed", F.col("p95") <= F.col("target"))
+    agg = df.groupBy(*group_cols).agg(F.first(t, ignorenulls=True).alias("target"))
+    out = with_percentile(agg, df, list(group_cols), value_col, 0.95, "p95")
+    return out.select(*group_cols, "p95", "target",
+                      F.coalesce(F.col("p95") <= F.col("target"), F.lit(False)).alias("passed"))
 
 
 def evaluate_gates(measured: DataFrame, targets: DataFrame, run_cols: Sequence[str], environment: str) -> DataFrame:
     """A-10: each gate compares a measured metric to its target with its operator; a run
     passes when every applicable required or critical gate passes. Gates marked
-    production-only apply only in production."""
-    j = measured.join(targets, "metric")
-    ok = None
+    production-only apply only in production. Every run of ``measured`` is held against
+    every applicable gate: one that was not measured, or whose value is null, fails.
+
+    Of repeated measurements of a metric the greatest counts. Passed gates are counted per
+    run and compared with the number of gates, so runs x gates is never built.
+    """
+    gates = targets.filter(~F.col("production_only") | F.lit(environment == "production"))
+    counts = F.col("required") | F.col("critical")
+    total = gates.agg(F.count(F.lit(1))).scalar()
+    needed = gates.agg(F.count_if(counts)).scalar()
+    one = measured.groupBy(*run_cols, "metric").agg(F.max("value").alias("value"))
+    ok = F.lit(None).cast("boolean")
     for op, fn in _OPS.items():
-        c = F.when(F.col("op") == op, fn(F.col("value"), F.col("target")))
-        ok = c if ok is None else F.coalesce(ok, c)
-    applies = ~F.col("production_only") | F.lit(environment == "production")
-    gated = j.withColumn("gate_passed", ok).filter(applies)
-    counts = (F.col("required") | F.col("critical"))
-    return gated.groupBy(*run_cols).agg(
-        F.count(F.lit(1)).alias("n_gates"),
-        F.count_if(~F.col("gate_passed")).alias("n_failed"),
-        F.coalesce(F.bool_and(F.when(counts, F.col("gate_passed"))), F.lit(True)).alias("passed"))
+        ok = F.coalesce(ok, F.when(F.col("op") == op, fn(F.col("value"), F.col("target"))))
+    ok = F.coalesce(ok, F.lit(False))
+    per = one.join(gates, "metric", "left").groupBy(*run_cols).agg(
+        F.count_if(ok).alias("_ok"), F.count_if(ok & counts).alias("_needed"))
+    return per.select(*run_cols, total.alias("n_gates"), (total - F.col("_ok")).alias("n_failed"),
+                      (F.col("_needed") == needed).alias("passed"))
 
 
 def cost_rollup(usage: DataFrame, prices: DataFrame, key: str, qty_col: str, price_col: str,

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from runledger.session import cut_lineage
+
 # Retry limits per loop kind (unit tests, E2E tests, review, infra tests).
 MAX_ATTEMPTS = {"unit": 4, "e2e": 2, "review": 3, "infra": 2}
 # Retry delays in seconds; beyond the list each delay grows by 2.
@@ -257,20 +259,65 @@ def phase_matrix(df: DataFrame, run_cols: Sequence[str] | str, phase_col: str,
     return df.groupBy(*run_cols).agg(*aggs)
 
 
-def run_kpis(df: DataFrame, group_cols: Sequence[str] | str, cost_col: str, duration_col: str,
-             error_col: str, accuracy: int = 100000) -> DataFrame:
-    """A-07: cost (exact decimal sum), duration average and p95, error rate per group.
+def exact_percentile(df: DataFrame, group_cols: Sequence[str] | str, value_col: str, q: float,
+                     out_col: str) -> DataFrame:
+    """The smallest value whose rank reaches ``q`` of a group's non-null rows, exact at
+    every size: values are counted first (map-side), then ranked by prefix sums of the
+    counts over range partitions, so a hot group is never held or sorted in one task."""
+    g = _cols(group_cols)
+    v = F.col(value_col)
+    counts = df.filter(v.isNotNull()).groupBy(*g, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = cut_lineage(counts.repartitionByRange(n, *g, "_v").withColumn("_pid", F.spark_partition_id()))
+    sums = part.groupBy(*g, "_pid").agg(F.sum("_c").alias("_s"))
+    w = Window.partitionBy(*g).orderBy("_pid")
+    whole = Window.partitionBy(*g)
+    base = sums.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_pid").alias("_p"),
+                       (F.sum("_s").over(w) - F.col("_s")).alias("_before"), F.sum("_s").over(whole).alias("_all"))
+    need = F.ceil(F.col("_all") * F.lit(q))
+    # only the partition in which the rank falls is sorted
+    s_in = base.join(sums.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)], F.col("_pid").alias("_q"), "_s"),
+                     _all_equal([(f"_g{i}", f"_h{i}") for i in range(len(g))] + [("_p", "_q")]))
+    at = s_in.filter((F.col("_before") < need) & (F.col("_before") + F.col("_s") >= need))
+    rows = part.join(at.drop("_s", "_q", *[f"_h{i}" for i in range(len(g))]),
+                     _all_equal([(c, f"_g{i}") for i, c in enumerate(g)] + [("_pid", "_p")]))
+    run = F.col("_before") + F.sum("_c").over(Window.partitionBy(*g).orderBy("_v"))
+    return rows.withColumn("_run", run).filter(F.col("_run") >= need).groupBy(*g).agg(F.min("_v").alias(out_col))
+
+
+def _all_equal(pairs: Sequence[tuple[str, str]]) -> Column:
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
+
+
+def with_percentile(agg: DataFrame, df: DataFrame, group_cols: Sequence[str] | str, value_col: str, q: float,
+                    out_col: str) -> DataFrame:
+    """``agg`` (one row per group) with the group's exact percentile; null where a group has no value."""
+    g = _cols(group_cols)
+    pct = exact_percentile(df, g, value_col, q, out_col).withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(g)})
+    return agg.join(pct, _all_equal([(c, f"_k{i}") for i, c in enumerate(g)]), "left").drop(*[f"_k{i}" for i in range(len(g))])
 
-    p95 uses ``percentile_approx`` (a bounded sketch with partial aggregation); it is
-    the exact order statistic whenever a group has fewer rows than ``accuracy``.
-    """
+
+def run_kpis(df: DataFrame, group_cols: Sequence[str] | str, cost_col: str, duration_col: str,
+             error_col: str, api_duration_col: str | None = None, turns_col: str | None = None) -> DataFrame:
+    """A-07: cost (exact decimal sum), wall time average and exact p95, error rate per group, and where
+    their columns are named, API time (average) and turns (total)."""
     group_cols = _cols(group_cols)
-    return df.groupBy(*group_cols).agg(
+    more = []
+    if api_duration_col:
+        more.append(F.round(F.avg(api_duration_col), 4).alias("avg_api_duration"))
+    if turns_col:
+        more.append(F.sum(F.col(turns_col).cast("long")).alias("n_turns"))
+    agg = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n_runs"),
         F.sum(F.col(cost_col).cast("decimal(18,2)")).cast("double").alias("total_cost"),
         F.round(F.avg(duration_col), 4).alias("avg_duration"),
-        F.percentile_approx(duration_col, 0.95, accuracy).alias("p95_duration"),
-        F.round(F.avg(F.col(error_col).cast("double")), 6).alias("error_rate"))
+        F.round(F.avg(F.col(error_col).cast("double")), 6).alias("error_rate"), *more)
+    out = with_percentile(agg, df, group_cols, duration_col, 0.95, "p95_duration")
+    return out.select(*group_cols, "n_runs", "total_cost", "avg_duration", "p95_duration", "error_rate",
+                      *[c for c in ("avg_api_duration", "n_turns") if c in out.columns])
 
 
 def stable_bucket(id_col: Column, n: int = 15) -> Column:
@@ -306,21 +353,26 @@ def ordered_positions(df: DataFrame, key_cols: Sequence[str] | str, order_cols:
     """W-04 at scale: 1-based position of each row inside its key, in ``order_cols`` order
     (a total order), without putting a hot key in one task.
 
-    Rows are range-partitioned on (key, order) so a hot key spans many partitions and
-    sorted inside them; a row's position is its offset inside its partition plus the
-    number of rows of the same key in earlier partitions. That second part comes from a
-    small table of (partition, key) counts (one row per key per partition it touches).
+    Rows are range-partitioned on (key, order), so a hot key spans many partitions, and
+    written once to the checkpoint folder with their partition number and sequence. Row
+    and (partition, key) counts are both read from that one frame: range bounds are
+    sampled, so evaluating the partitioning twice could cut the rows differently. A
+    position is the offset inside the partition plus the key's rows in earlier ones.
     """
     keys = _cols(key_cols)
     n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
-           .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    s = cut_lineage(df.repartitionByRange(n, *keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
+                      .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     counts = s.groupBy("_pid", *keys).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (s.join(offsets, ["_pid", *keys])
+    offsets = offsets.withColumnsRenamed({c: f"_o_{c}" for c in ["_pid", *keys]})
+    same = F.col("_pid") == F.col("_o__pid")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    return (s.join(offsets, same)
              .withColumn(position_col, F.col("_mid") - F.col("_first") + 1 + F.col("_before"))
-             .drop("_pid", "_mid", "_first", "_before"))
+             .select(*df.columns, position_col))
 
 
 def latest_mention(comments: DataFrame, keyword: str, run_cols: Sequence[str] | str = "number",

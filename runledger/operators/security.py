@@ -55,7 +55,8 @@ def required_role(endpoint, method, policy=ENDPOINT_POLICY):
 def authorise(requests: DataFrame, memberships: DataFrame, resources: DataFrame, policy=ENDPOINT_POLICY,
               user_col: str = "user_id", resource_col: str = "resource_id") -> DataFrame:
     """J-13: decision and reason, checked in order: required role missing; resource not
-    found; admin override; not the owner; authorised."""
+    found; admin override; not the owner (a resource without an owner is nobody's);
+    authorised."""
     r = requests.withColumn("required_role", required_role("endpoint", "method", policy))
     has = memberships.select(F.col("user_id").alias("_u"), F.col("role").alias("_r")).distinct() \
                      .withColumn("_has", F.lit(True))
@@ -69,7 +70,7 @@ def authorise(requests: DataFrame, memberships: DataFrame, resources: DataFrame,
     reason = (F.when(F.col("_has").isNull(), fill_template(LACKS_ROLE, {"role": role_txt}))
                .when(F.col(resource_col).isNotNull() & F.col("_rid").isNull(), F.lit(NOT_FOUND))
                .when(F.col(resource_col).isNotNull() & F.col("_admin").isNotNull(), F.lit(ADMIN_OVERRIDE))
-               .when(F.col(resource_col).isNotNull() & (F.col("_owner") != F.col(user_col)),
+               .when(F.col(resource_col).isNotNull() & ~F.col("_owner").eqNullSafe(F.col(user_col)),
                      F.lit(NOT_OWNER))
                .otherwise(F.lit(AUTHORIZED)))
     ok = reason.isin(ADMIN_OVERRIDE, AUTHORIZED)

@@ -61,7 +61,7 @@ e AS (SELECT run_id, key, CASE
     WHEN type = 'boolean' AND t <> 'bool' THEN key || ': Expected boolean, got ' || t END AS error FROM j
   UNION ALL SELECT run_id, key, key || ': Does not match pattern ' || pattern FROM j
     WHERE pattern IS NOT NULL AND t = 'str' AND NOT regexp_matches(sv, '^(?:' || pattern || ')')),
-r AS (SELECT DISTINCT c.run_id, s.key FROM (SELECT DISTINCT run_id FROM c) c, s WHERE s.required),
+r AS (SELECT DISTINCT c.run_id, s.key FROM (SELECT run_id FROM c UNION SELECT s_suppkey + 1000000000 FROM supplier) c, s WHERE s.required),
 m AS (SELECT r.run_id, r.key, 'Missing required field: ' || r.key AS error FROM r
   WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.run_id = r.run_id AND c.key = r.key AND {O.truthy('c.value_json')}))
 SELECT run_id, key, error FROM e WHERE error IS NOT NULL UNION ALL SELECT * FROM m"""
@@ -69,8 +69,11 @@ SELECT run_id, key, error FROM e WHERE error IS NOT NULL UNION ALL SELECT * FROM
 
 @register("config_validate", _VAL_SQL)
 def q_config_validate(spark, sf):
-    """J-03: required / type / pattern violations of per-customer configs."""
-    return CFG.validate(B.config_values(spark, sf), B.config_schema(spark))
+    """J-03: required / type / pattern violations of per-customer configs; suppliers' runs
+    have no config at all and miss every required key."""
+    values = B.config_values(spark, sf)
+    bare = table(spark, sf, "supplier").select((F.col("s_suppkey") + 1000000000).alias("run_id"))
+    return CFG.validate(values, B.config_schema(spark), runs=values.select("run_id").unionByName(bare))
 
 
 @register("config_infer_schema", f"""WITH c AS ({O.CONFIG_VALUES}),

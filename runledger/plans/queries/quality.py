@@ -59,16 +59,18 @@ def _policy_sql(ep: str, m: str) -> str:
 m AS ({_MEMBERS_SQL}),
 j AS (SELECT r.*, EXISTS (SELECT 1 FROM m WHERE m.user_id = r.user_id AND m.role = r.required_role) AS has,
   EXISTS (SELECT 1 FROM m WHERE m.user_id = r.user_id AND m.role = 'admin') AS adm,
-  o.o_orderkey AS rid, o.o_custkey AS owner FROM r LEFT JOIN orders o ON o.o_orderkey = r.resource_id),
+  o.o_orderkey AS rid, CASE WHEN o.o_orderkey % 11 <> 0 THEN o.o_custkey END AS owner FROM r LEFT JOIN orders o ON o.o_orderkey = r.resource_id),
 d AS (SELECT *, CASE WHEN NOT has THEN 'User lacks required role: ' || coalesce(required_role, 'None')
   WHEN resource_id IS NOT NULL AND rid IS NULL THEN 'Resource not found'
   WHEN resource_id IS NOT NULL AND adm THEN 'Admin override'
-  WHEN resource_id IS NOT NULL AND owner <> user_id THEN 'User does not own this resource' ELSE 'Authorized' END AS reason FROM j)
+  WHEN resource_id IS NOT NULL AND owner IS DISTINCT FROM user_id THEN 'User does not own this resource' ELSE 'Authorized' END AS reason FROM j)
 SELECT event_id, user_id, method, endpoint, resource_id, required_role,
   reason IN ('Admin override', 'Authorized') AS authorized, reason FROM d""")
 def q_authorise_requests(spark, sf):
-    """J-13: decision per request (events) from roles (customer segments) and resources (orders)."""
-    res = table(spark, sf, "orders").select(F.col("o_orderkey").alias("resource_id"), F.col("o_custkey").alias("owner_id"))
+    """J-13: decision per request (events) from roles (customer segments) and resources (orders,
+    some without an owner)."""
+    owner = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey"))
+    res = table(spark, sf, "orders").select(F.col("o_orderkey").alias("resource_id"), owner.alias("owner_id"))
     return S.authorise(_requests(spark, sf), _members(spark, sf), res)
 
 
@@ -159,30 +161,34 @@ def q_latency_gate(spark, sf):
 _GATES = [("orders", ">=", 5.0, True, False, False), ("avg_price", "<=", 200000.0, False, True, False),
           ("urgent_share", "<=", 0.3, True, False, True), ("open_orders", ">=", 1.0, False, False, False)]
 _MEASURED_SQL = """SELECT o_custkey AS run_id, 'orders' AS metric, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1
-  UNION ALL SELECT o_custkey, 'avg_price', avg(o_totalprice) FROM orders GROUP BY 1
-  UNION ALL SELECT o_custkey, 'urgent_share', avg(CAST(o_orderpriority = '1-URGENT' AS DOUBLE)) FROM orders GROUP BY 1
+  UNION ALL SELECT o_custkey, 'avg_price', CASE WHEN o_custkey % 10 <> 7 THEN avg(o_totalprice) END FROM orders GROUP BY 1
+  UNION ALL SELECT o_custkey, 'urgent_share', avg(CAST(o_orderpriority = '1-URGENT' AS DOUBLE)) FROM orders WHERE o_custkey % 10 <> 3 GROUP BY 1
   UNION ALL SELECT o_custkey, 'open_orders', CAST(count_if(o_orderstatus = 'O') AS DOUBLE) FROM orders GROUP BY 1"""
 
 
 def _gate_sql(env: str) -> str:
     vals = ", ".join(f"('{m}', '{op}', {t}, {str(r).lower()}, {str(c).lower()}, {str(p).lower()})" for m, op, t, r, c, p in _GATES)
     return f"""WITH m AS ({_MEASURED_SQL}), t AS (SELECT * FROM (VALUES {vals}) AS t(metric, op, target, required, critical, production_only)),
-g AS (SELECT m.run_id, t.required OR t.critical AS counts, CASE t.op WHEN '>=' THEN m.value >= t.target
+r AS (SELECT DISTINCT run_id FROM m),
+g AS (SELECT r.run_id, t.required OR t.critical AS counts, coalesce(CASE t.op WHEN '>=' THEN m.value >= t.target
   WHEN '<=' THEN m.value <= t.target WHEN '>' THEN m.value > t.target WHEN '<' THEN m.value < t.target
-  WHEN '==' THEN m.value = t.target END AS ok FROM m JOIN t ON m.metric = t.metric
+  WHEN '==' THEN m.value = t.target END, false) AS ok FROM r CROSS JOIN t LEFT JOIN m ON m.metric = t.metric AND m.run_id = r.run_id
   WHERE NOT t.production_only OR {str(env == 'production').lower()})
 SELECT run_id, count(*) AS n_gates, count_if(NOT ok) AS n_failed,
   coalesce(bool_and(CASE WHEN counts THEN ok END), true) AS passed FROM g GROUP BY run_id"""
 
 
 def _measured(spark, sf):
+    """Four metrics per customer; some runs miss a required metric, some have a null one."""
     o = table(spark, sf, "orders")
     per = o.groupBy(F.col("o_custkey").alias("run_id")).agg(
         F.count(F.lit(1)).cast("double").alias("orders"), F.avg("o_totalprice").alias("avg_price"),
         F.avg((F.col("o_orderpriority") == "1-URGENT").cast("double")).alias("urgent_share"),
         F.count_if(F.col("o_orderstatus") == "O").cast("double").alias("open_orders"))
-    return per.select("run_id", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+    per = per.withColumn("avg_price", F.when(F.col("run_id") % 10 != 7, F.col("avg_price")))
+    rows = per.select("run_id", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                                                    for m in ("orders", "avg_price", "urgent_share", "open_orders")])))
+    return rows.filter((F.col("metric") != "urgent_share") | (F.col("run_id") % 10 != 3))
 
 
 for _env in ("staging", "production"):

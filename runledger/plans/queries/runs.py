@@ -71,13 +71,13 @@ def q_latest_mention(spark, sf):
     return runs.latest_mention(c, "de", "conv_id", "body", ["turn"])
 
 
-@register("ordered_comments", """SELECT user_id, event_id,
+@register("ordered_comments", """SELECT user_id, event_id, event_type, value,
   row_number() OVER (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id) AS position FROM events""")
 def q_ordered_comments(spark, sf):
     """W-04: position of each event in its user's thread, missing timestamps first."""
-    ev = table(spark, sf, "events").select("user_id", "event_id", "ts")
+    ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
     return runs.ordered_comments(ev, "user_id", "ts", ["event_id"]) \
-               .select("user_id", "event_id", F.col("position").cast("bigint").alias("position"))
+               .select("user_id", "event_id", "event_type", "value", F.col("position").cast("bigint").alias("position"))
 
 
 _BACKOFF_SQL = """WITH r AS (SELECT user_id, CAST(ts AS DATE) AS run_date, count(*) AS attempts FROM events GROUP BY ALL),

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.functions import config as C
 from runledger.sources.logs import file_lines, whole_files
 
-try:  # YAML documents are parsed inside tasks; gate the import
-    import yaml  # noqa: F401
-    HAVE_YAML = True
-except ImportError:  # pragma: no cover
-    HAVE_YAML = False
-
 
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-04: ``.env`` files: trimmed lines, blanks and ``#`` lines dropped, split on the
@@ -46,26 +40,38 @@ def write_kv(df: DataFrame, path: str, group_cols=(), key_col: str = "key", valu
     (w.partitionBy(*g) if g else w).text(path)
 
 
-def _yaml_top_level(batches):
-    import json
+def _quoted(c: Column) -> Column:
+    """A string as JSON text."""
+    arr = F.to_json(F.array(c))
+    return F.substring(arr, F.lit(2), F.length(arr) - 2)
+
+
+def _scalar_json(c: Column) -> Column:
+    """A plain YAML scalar as JSON: numbers, booleans and null as they are, the rest a string."""
+    t = F.trim(F.regexp_replace(c, r"\s+#.*$", ""))
+    inner = F.regexp_replace(t, r"""^(["'])(.*)\1$""", "$2")
+    return (F.when(t.rlike(r"^(~|null|Null|NULL)?$"), F.lit("null"))
+             .when(F.lower(t).isin("true", "false"), F.lower(t))
+             .when(t.rlike(r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), t)
+             .otherwise(_quoted(inner)))
+
 
-    import pandas as pd
-    import yaml
-    for pdf in batches:
-        rows = []
-        for f, text in zip(pdf["file"], pdf["value"]):
-            doc = yaml.safe_load(text) if text and text.strip() else None
-            if isinstance(doc, dict):  # empty file or non-mapping: ignored
-                for k, v in doc.items():
-                    rows.append((f, str(k), json.dumps(v, default=str)))
-        yield pd.DataFrame(rows, columns=["file", "key", "value_json"])
+def _block_json(block: Column) -> Column:
+    """An indented block of one level: a mapping of scalars or a list of scalars."""
+    keys = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]+([^\s#:-][^:\n]*):[ \t]*([^\n]*)$"), F.lit(1))
+    vals = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]+([^\s#:-][^:\n]*):[ \t]*([^\n]*)$"), F.lit(2))
+    items = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]*-[ \t]+([^\n]*)$"), F.lit(1))
+    pairs = F.zip_with(keys, vals, lambda k, v: F.concat(_quoted(F.trim(k)), F.lit(":"), _scalar_json(v)))
+    return (F.when(F.size(items) > 0, F.concat(F.lit("["), F.array_join(F.transform(items, _scalar_json), ","), F.lit("]")))
+             .otherwise(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))))
 
 
 def read_config_docs(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """SRC-06: top-level keys of structured config files as (file, key, value_json).
 
-    JSON is parsed by Spark (as a map of JSON texts); YAML by ``yaml.safe_load`` in an
-    Arrow batch per task (``mapInPandas``). Empty files are ignored.
+    JSON is parsed by Spark (as a map of JSON texts). YAML is read for what configuration
+    files hold: top-level ``key: scalar`` lines and one indented level (a mapping or a list
+    of scalars), with Column functions; comments and empty files are ignored.
     """
     raw = whole_files(spark, path)
     if fmt == "json":
@@ -75,9 +81,12 @@ def read_config_docs(spark: SparkSession, path: str, fmt: str = "json") -> DataF
                    .select("file", F.explode(m).alias("key", "_v"))
                    .select("file", "key", F.coalesce(F.to_json("_v"), F.lit("null")).alias("value_json")))
     if fmt == "yaml":
-        if not HAVE_YAML:
-            raise RuntimeError("PyYAML is not installed")
-        return raw.mapInPandas(_yaml_top_level, "file string, key string, value_json string")
+        entry = r"(?m)^([^\s#:-][^:\n]*):[ \t]*([^\n]*)((?:\n(?:[ \t]+[^\n]*|-[ \t][^\n]*|[ \t]*(?=\n)))*)"
+        key, scalar, block = (F.regexp_extract_all("value", F.lit(entry), F.lit(i)) for i in (1, 2, 3))
+        rows = raw.select("file", F.inline(F.arrays_zip(key.alias("key"), scalar.alias("scalar"), block.alias("block"))))
+        nested = (F.trim("scalar") == "") & (F.regexp_replace("block", r"\s", "") != "")
+        return rows.select("file", F.trim("key").alias("key"),
+                           F.when(nested, _block_json(F.col("block"))).otherwise(_scalar_json(F.col("scalar"))).alias("value_json"))
     raise ValueError(fmt)
 
 

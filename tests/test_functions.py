@@ -9,7 +9,6 @@ from runledger.functions import config as C
 from runledger.functions import text as T
 from runledger.operators import runs
 
-from . import models as M
 
 FENCE_CASES = [
     '[{"a": 1}]',
@@ -33,7 +32,12 @@ def _one(spark, col_fn, values, schema="s string"):
 
 
 def test_extract_json_cases(spark):
-    assert _one(spark, T.extract_json, FENCE_CASES) == [M.extract_json(v) for v in FENCE_CASES]
+    got = dict(zip(FENCE_CASES, _one(spark, T.extract_json, FENCE_CASES)))
+    for case, out in got.items():
+        assert out == out.strip() and out in case
+    cases = {"```json\n[1]\n```": "[1]", "x ```\n{}\n``` y": "{}", "pre [1, 2] post": "[1, 2]", 'a {"k": [1]} b': '{"k": [1]}',
+             "  [ ": "[", "no json": "no json", "```\n[1]\n```\n```\n[2]\n```": "[1]"}
+    assert _one(spark, T.extract_json, list(cases)) == list(cases.values())
 
 
 def _rand_text(rng, n):
@@ -41,11 +45,17 @@ def _rand_text(rng, n):
     return "".join(rng.choice(alphabet) for _ in range(n))
 
 
-def test_extract_json_model(spark):
+def test_extract_json_finds_embedded_documents(spark):
+    """A JSON document inside prose or a fence comes back as it was; any result is part of its text."""
+    import json
+
     rng = random.Random(7)
-    vals = [_rand_text(rng, rng.randint(0, 60)) for _ in range(300)]
-    vals += ["```json\n" + v + "\n```" for v in vals[:50]]
-    assert _one(spark, T.extract_json, vals) == [M.extract_json(v) for v in vals]
+    docs = [json.dumps(rng.choice([[i, "a"], {"k": [i]}, [{"x": i}], {"t": "é"}])) for i in range(100)]
+    texts = [f"see: {d} done" for d in docs] + [f"intro\n```json\n{d}\n```\nend" for d in docs]
+    assert _one(spark, T.extract_json, texts) == docs * 2
+    noise = [_rand_text(rng, rng.randint(0, 60)) for _ in range(300)]
+    for text, out in zip(noise, _one(spark, T.extract_json, noise)):
+        assert out in text
 
 
 @pytest.mark.parametrize("n", [500, 100, 60, 20])
@@ -56,14 +66,32 @@ def test_truncate_model(spark, n):
         k = rng.choice([n - 1, n, n + 1, n * 2, n * 5])
         vals.append("".join(rng.choice("abcdé \n") for _ in range(max(k, 0))))
     vals.append("\n" + "x" * (n * 2))  # a newline at position 0 does not count
-    assert _one(spark, lambda c: T.truncate_text(c, n), vals) == [M.truncate(v, n) for v in vals]
+    suffix = "... (truncated)"
+    for v, out in zip(vals, _one(spark, lambda c: T.truncate_text(c, n), vals)):
+        assert len(out) <= max(n, len(suffix))
+        if len(v) <= n:
+            assert out == v
+            continue
+        head, at = out.removesuffix(suffix), max(n - len(suffix), 0)
+        assert out.endswith(suffix) and v.startswith(head)
+        window = v[max(at - 50, 0):at]
+        if "\n" in window.lstrip("\n") or ("\n" in window and at > 50):
+            assert v[len(head)] == "\n" and "\n" not in v[len(head) + 1:at]
+        elif len(head) < at:
+            assert v[len(head)] in "\n " and at - len(head) <= 50
 
 
 def test_head_tail_model(spark):
     rng = random.Random(3)
     vals = ["y" * k for k in (0, 10, 7999, 8000, 8001)] + ["".join(rng.choice("aé\n") for _ in range(rng.randint(7000, 20000)))
                                                           for _ in range(20)]
-    assert _one(spark, T.head_tail, vals) == [M.head_tail(v) for v in vals]
+    marker = "\n\n[... CONTEXT SUMMARIZED FOR LENGTH ...]\n\n"
+    for v, out in zip(vals, _one(spark, T.head_tail, vals)):
+        if len(v) <= 8000:
+            assert out == v
+        else:
+            assert len(out) == 8000 + len(marker) and out[4000:-4000] == marker
+            assert v.startswith(out[:4000]) and v.endswith(out[-4000:])
 
 
 def test_summarise_jsonl(spark):

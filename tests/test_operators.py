@@ -52,11 +52,16 @@ def test_closure_model_random(spark):
     for n in range(2, 60):
         g[n] = sorted({rng.randrange(1, n) for _ in range(rng.randint(1, 3))})
     g[5].append(40)  # a cycle 5 -> 40 -> ... -> 5 is possible
-    want = M.closure([(n, d) for n, ds in g.items() for d in ds])
-    got = {}
-    for r in G.closure(_edges(spark, g), ["graph_id"]).collect():
-        got.setdefault(r.node, set()).add(r.prereq)
-    assert got == want
+    got = {(r.node, r.prereq) for r in G.closure(_edges(spark, g), ["graph_id"]).collect()}
+    pairs = {(n, d) for n, ds in g.items() for d in ds}
+    # the closure is the least set that holds the edges and gains nothing by one more join
+    assert pairs <= got and {(a, d) for a, b in got for c, d in pairs if b == c} <= got
+    while True:
+        more = pairs | {(a, d) for a, b in pairs for c, d in pairs if b == c}
+        if more == pairs:
+            break
+        pairs = more
+    assert got == pairs
 
 
 def test_attempt_stop_rules(spark):
