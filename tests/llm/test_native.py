@@ -93,7 +93,7 @@ def brute_lines(rows, q=line_dedup.Q):
     occ, sets = [], {}
     for d, t in rows:
         for p, line in enumerate((t or "").split("\n")):
-            key = line.strip(" \t\r\x0b\x0c").lower()
+            key = line.strip(" \t\r\x0b\x0c")
             if key:
                 occ.append((d, p, key))
                 sets.setdefault(key, frozenset(m.group(1) for m in windows.finditer(key)))
@@ -126,7 +126,7 @@ def test_line_dedup_equals_brute_force(spark, odd_rows):
     shared = [sentence(900 + i, 30) for i in range(6)]
     rows = [(r[0], r[1]) for r in odd_rows if r[0] not in (4, None)]  # ids repeat nowhere here
     for i in range(120):
-        rows.append((100 + i, "\n".join([sentence(i, 12), shared[i % 6], vary(shared[(i + 1) % 6], i), "", "All Rights  reserved." if i % 2 else "all rights  RESERVED. "])))
+        rows.append((100 + i, "\n".join([sentence(i, 12), shared[i % 6], vary(shared[(i + 1) % 6], i), "", "All Rights  reserved." if i % 2 else " All Rights  reserved. "])))
     df = documents(spark, rows).withColumnRenamed("lang", "h")
     out = line_dedup.dedup_lines(df)
     want = brute_lines(rows)
