@@ -39,7 +39,7 @@ def hash_sample(rows: DataFrame, group: str, key: str, k: int) -> DataFrame:
     Counts bound the hash first, so that some 4k candidates of a group, not the group, meet in one task.
     """
     sizes = rows.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
-    hashed = rows.withColumn("__h", F.xxhash64(key)).join(sizes, F.col(group) == F.col("__g"))
+    hashed = rows.withColumn("__h", F.xxhash64(key)).join(small(sizes), F.col(group) == F.col("__g"))
     near = hashed.where((F.col("__h") / F.lit(2.0 ** 64) + 0.5) * F.col("__n") <= 4 * k)
     order = Window.partitionBy(group).orderBy("__h", key)
     return near.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= k).select(*rows.columns)
