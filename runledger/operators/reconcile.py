@@ -1,8 +1,6 @@
 """Lookups, reconciliation and upserts (J-01, J-02, J-04..06, J-11, J-12, U-02..05, U-07).
 
 Joins are equi joins; Catalyst/AQE pick broadcast or sort-merge from size estimates.
-``broadcast_if_small`` adds an explicit hint only when the optimizer's own size
-estimate of a side is under a bound, so nothing that grows with the data is hinted.
 """
 
 from __future__ import annotations
@@ -36,21 +34,6 @@ ROUTING_RULES = (
     ("/track_agentic_kpis", "base", "sonnet"), ("/track_agentic_kpis", "heavy", "sonnet"),
 )
 DEFAULT_MODEL = "sonnet"
-BROADCAST_LIMIT_BYTES = 64 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (no job runs)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimate is below ``limit``; else leave the join
-    to the planner (sort-merge, or AQE's runtime conversion)."""
-    try:
-        return F.broadcast(df) if estimated_bytes(df) <= limit else df
-    except Exception:  # noqa: BLE001 - estimate unavailable: never hint
-        return df
 
 
 def routing_rules(spark) -> DataFrame:
@@ -64,9 +47,8 @@ def route(df: DataFrame, rules: DataFrame, command_col: str = "command", set_col
     """J-01: model for (command, model set); else the command's base model; else default.
     A missing model set means ``base``."""
     ms = F.coalesce(F.col(set_col), F.lit("base"))
-    r = broadcast_if_small(rules)
-    exact = r.select(F.col("command").alias("_c1"), F.col("model_set").alias("_s1"), F.col("model").alias("_m1"))
-    base = r.filter(F.col("model_set") == "base").select(F.col("command").alias("_c2"), F.col("model").alias("_m2"))
+    exact = rules.select(F.col("command").alias("_c1"), F.col("model_set").alias("_s1"), F.col("model").alias("_m1"))
+    base = rules.filter(F.col("model_set") == "base").select(F.col("command").alias("_c2"), F.col("model").alias("_m2"))
     out = (df.withColumn("_ms", ms)
              .join(exact, (F.col(command_col) == F.col("_c1")) & (F.col("_ms") == F.col("_s1")), "left")
              .join(base, F.col(command_col) == F.col("_c2"), "left"))

@@ -59,9 +59,8 @@ def q_assemble_answers(spark, sf):
 def q_stream_attempts(spark, sf):
     """ST-03: attempt state machine on the event stream (out-of-order files); equals W-05."""
     out = SL.scratch_path(spark, "st03")
-    SS.run_available_now(SS.stream_attempts(_event_stream(spark, sf), delay=_STREAM_DELAY), out, "update", "st03")
-    return SS.read_versions(spark, out, ["user_id", "run_date"],
-                            ["attempts", "failed_attempts", "final_status", "stop_reason"])
+    SS.run_available_now(SS.stream_attempts(_event_stream(spark, sf)), out, "append", "st03", SS.first_attempts())
+    return SS.read_attempts(spark, out)
 
 
 @register("stream_latest_state", ORACLE["latest_state"])

@@ -9,16 +9,12 @@ version per key. Checkpoints live under the shared checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
-from itertools import groupby, islice
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from runledger.operators.runs import MAX_ATTEMPTS, latest
-from runledger.sources.logs import MESSAGE_SCHEMA, scratch_path
+from runledger.operators.runs import MAX_ATTEMPTS, attempts, latest
+from runledger.sources.logs import MESSAGE_SCHEMA, path_exists
 
 
 def _epoch():
@@ -42,7 +38,11 @@ def as_wallclock(instant_col) -> "F.Column":
 def run_available_now(stream_df: DataFrame, out_path: str, mode: str = "update", name: str = "q",
                       batch_fn=None) -> dict:
     """Run a stream to the end of its current input (``availableNow``) with an
-    idempotent per-batch sink; returns progress metrics and the sink's row schema."""
+    idempotent per-batch sink; returns progress metrics and the sink's row schema.
+
+    The stream's checkpoint lies beside the sink, so a second call with the same sink
+    resumes after the batches already written instead of numbering them anew.
+    """
     spark = stream_df.sparkSession
     seen = {}
 
@@ -52,7 +52,7 @@ def run_available_now(stream_df: DataFrame, out_path: str, mode: str = "update",
         b.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     q = (stream_df.writeStream.outputMode(mode).foreachBatch(sink)
-                  .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
+                  .option("checkpointLocation", f"{out_path.rstrip('/')}-checkpoint")
                   .trigger(availableNow=True).start())
     q.awaitTermination()
     dropped = 0
@@ -66,13 +66,9 @@ def read_versions(spark: SparkSession, path: str, keys: Sequence[str], value_col
                   schema=None) -> DataFrame:
     """Latest version per key over all written batches (later batch wins). When no
     batch was written, an empty frame of ``schema`` (keys and values) is returned."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written (empty input)
-        if schema is None:
-            raise
+    if schema is not None and not path_exists(spark, path):
         return spark.createDataFrame([], schema).select(*keys, *value_cols)
-    return latest(df, list(keys), ["batch_id"], list(value_cols)).drop("batch_id")
+    return latest(spark.read.parquet(path), list(keys), ["batch_id"], list(value_cols)).drop("batch_id")
 
 
 def stream_run_log(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
@@ -101,77 +97,26 @@ def assemble_stream(chunks: DataFrame, key_cols: Sequence[str], seq_col: str, te
                                          F.count(F.lit(1)).alias("n_chunks"))
 
 
-ATTEMPT_OUT = ("user_id long, run_date date, attempts long, failed_attempts long, final_status string, "
-               "stop_reason string")
-ATTEMPT_STATE = "rows array<struct<day: long, ts: long, event_id: long, failed: boolean>>"
-EPOCH_DATE = date(1970, 1, 1)
-
-
-def _summarise(rows: list, max_attempts: int) -> tuple:
-    """W-05 on one day's rows, ordered, at most ``max_attempts`` of them."""
-    n = failed = 0
-    final, reason = None, "incomplete"
-    for i, (_, _, _, f) in enumerate(rows, start=1):
-        n, failed, final = i, failed + int(f), ("failed" if f else "passed")
-        if not f:
-            reason = "passed"
-            break
-        if i == max_attempts:
-            reason = "max_attempts"
-            break
-    return n, failed, final, reason
-
-
-def _attempt_fn(max_attempts: int, grace_ms: int):
-    day_ms = 24 * 3600 * 1000
-    day_us = day_ms * 1000
-
-    def fn(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        kept = [tuple(r) for r in state.get[0]] if state.exists else []
-        touched = set()
-        for pdf in batches:
-            ts = (pd.to_datetime(pdf["ts"]).astype("int64") // 1000).tolist()
-            new = [(t // day_us, t, e, bool(f)) for t, e, f in
-                   zip(ts, pdf["event_id"].astype("int64").tolist(), pdf["failed"].tolist())]
-            touched.update(r[0] for r in new)
-            merged, kept = sorted(set(kept + new)), []
-            for _, grp in groupby(merged, key=lambda r: r[0]):
-                kept.extend(islice(grp, max_attempts))  # only the first k attempts can matter
-        # days whose end is more than ``grace`` behind the watermark are final: evict them
-        wm = state.getCurrentWatermarkMs()
-        kept = [r for r in kept if (r[0] + 1) * day_ms + grace_ms > wm]
-        if not kept:
-            state.remove()
-            return
-        state.update(([(int(d), int(t), int(e), bool(f)) for d, t, e, f in kept],))
-        state.setTimeoutTimestamp(max((max(r[0] for r in kept) + 1) * day_ms + grace_ms, wm + 1))
-        out = {c: [] for c in ("user_id", "run_date", "attempts", "failed_attempts", "final_status", "stop_reason")}
-        for day, grp in groupby(kept, key=lambda r: r[0]):
-            if day not in touched:
-                continue
-            n, failed, final, reason = _summarise(list(grp), max_attempts)
-            for c, v in zip(out, (key[0], EPOCH_DATE + timedelta(days=int(day)), n, failed, final, reason)):
-                out[c].append(v)
-        yield pd.DataFrame(out)
-    return fn
+def stream_attempts(events: DataFrame) -> DataFrame:
+    """ST-03: the rows of the W-05 attempt rules on a stream of events."""
+    return events.select("user_id", F.to_date("ts").alias("run_date"), "ts", "event_id",
+                         (F.col("event_type") == "error").alias("failed"))
 
 
-def stream_attempts(events: DataFrame, max_attempts: int = MAX_ATTEMPTS["unit"], delay: str = "1 day",
-                    grace_ms: int = 24 * 3600 * 1000) -> DataFrame:
-    """ST-03: the W-05 attempt state machine per (user, day) run on a stream.
+def first_attempts(max_attempts: int = MAX_ATTEMPTS["unit"]):
+    """ST-03: per micro-batch the first ``max_attempts`` rows of every (user, day), the only
+    ones of the batch that can count. The first k of all rows are the first k of these,
+    whatever the arrival order, so no state is kept between batches."""
+    def fn(batch: DataFrame) -> DataFrame:
+        w = Window.partitionBy("user_id", "run_date").orderBy("ts", "event_id")
+        return batch.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_attempts).drop("_r")
+    return fn
 
-    Grouped by user (one Python call per user and batch, days handled vectorised).
-    State keeps only the ``max_attempts`` earliest rows of each open day, so the answer
-    equals the batch operator whatever the arrival order and state stays bounded; a
-    day is evicted once the watermark passes its end plus ``grace_ms``.
-    """
-    ev = (events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay)
-                .select("user_id", "ts", "event_time", "event_id", (F.col("event_type") == "error").alias("failed")))
-    return ev.groupBy("user_id").applyInPandasWithState(
-        _attempt_fn(max_attempts, grace_ms), ATTEMPT_OUT, ATTEMPT_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+
+def read_attempts(spark: SparkSession, out_path: str, max_attempts: int = MAX_ATTEMPTS["unit"]) -> DataFrame:
+    """ST-03: attempts, outcome and stop reason per (user, day) over every written version."""
+    rows = spark.read.parquet(out_path).drop("batch_id")
+    return attempts(rows, ["user_id", "run_date"], ["ts", "event_id"], "failed", max_attempts)
 
 
 def latest_batch(keys: Sequence[str], order_cols: Sequence[str], value_cols: Sequence[str]):
@@ -189,9 +134,9 @@ def stream_quota(events: DataFrame, limits: DataFrame, user_col: str = "user_id"
     counts them as Spark sees them at the stateful operator, i.e. after map-side partial
     aggregation (one per late user/day group and batch), returned by
     ``run_available_now`` as ``rows_dropped_by_watermark``."""
-    ev = events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay).join(limits, user_col, "left")
-    agg = ev.groupBy(user_col, F.window("event_time", "1 day").alias("w")).agg(
-        F.count(F.lit(1)).alias("n_requests"), F.max("lim").alias("lim"))
+    ev = events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay)
+    agg = ev.groupBy(user_col, F.window("event_time", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n_requests"))
+    agg = agg.join(limits.groupBy(user_col).agg(F.max("lim").alias("lim")), user_col, "left")  # counts, not events
     allowed = F.when(F.col("lim").isNull(), F.col("n_requests")).otherwise(F.least("n_requests", "lim"))
     return agg.select(user_col, F.to_date(as_wallclock(F.col("w.start"))).alias("run_date"), "n_requests",
                       allowed.cast("bigint").alias("n_allowed"), (F.col("n_requests") - allowed).cast("bigint").alias("n_rejected"))
@@ -216,13 +161,13 @@ P99_LIMIT_MS = {"api": 3000.0, "fast": 500.0}
 
 def stream_rate_alarms(events: DataFrame, width: str = "1 day", min_count: int = 20,
                        delay: str | None = None) -> DataFrame:
-    """ST-07: per window, error share > 5% and p99 latency against its limit, only for
+    """ST-07: per window, error share > 5% and exact p99 latency against its limit, only for
     windows with at least ``min_count`` rows (tiny windows alarm on one error)."""
     ev = events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay or width)
     agg = ev.groupBy(F.window("event_time", width).alias("w")).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg((F.col("event_type") == "error").cast("double")).alias("error_rate"),
-        F.percentile_approx(F.col("value") * 10, 0.99, 100000).alias("p99_ms"))
+        F.expr("percentile_disc(0.99) WITHIN GROUP (ORDER BY value * 10)").alias("p99_ms"))
     enough = F.col("n") >= min_count
     return agg.select(as_wallclock(F.col("w.start")).alias("window_start"), "n", F.round("error_rate", 6).alias("error_rate"), "p99_ms",
                       (enough & (F.col("error_rate") > ERROR_RATE_LIMIT)).alias("error_alarm"),
