@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, hash_sample
 
-TRAIN_DOCS = 1500     # labelled documents per class that fit the CRF, by hash of the id (a bound of the fit only)
-TRAIN_LINES = 200     # lines of one such document that enter the fit, from its start
+TRAIN_DOCS = 1000     # labelled documents per class that fit the CRF, by hash of the id (a bound of the fit only)
+TRAIN_LINES = 64      # lines of one such document that enter the fit, from its start
 MIN_WORDS = 10
 MAX_REPEAT = 20       # percent of words in repeated 5-word windows
 MIN_CONTENT = 0.5     # content words over all words of a kept document
@@ -98,9 +98,9 @@ def analyse(text: str | None) -> tuple[tuple[int, int, int, int, int], np.ndarra
 
 
 def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Scores (documents, lines, 2) padded with 0, and the lengths."""
+    """Line features (documents, lines, FEATURES) padded with 0, and the lengths."""
     n = np.array([len(s) for s in seqs])
-    out = np.zeros((len(seqs), int(n.max(initial=0)), seqs[0].shape[1] if seqs else 2))
+    out = np.zeros((len(seqs), int(n.max(initial=0)), seqs[0].shape[1] if seqs else 2), dtype=np.float32)
     for i, s in enumerate(seqs):
         out[i, :len(s)] = s
     return out, n
