@@ -231,3 +231,15 @@ def q_attempt_history_full(spark, sf):
     ev = B.attempt_events(spark, sf).withColumn("run_error", F.col("value") > 300) \
           .withColumn("resolved", F.col("value") >= 20)
     return runs.attempts(ev, ["user_id", "run_date"], ["ts", "event_id"], "failed", 4, "run_error", "resolved")
+
+
+@register("run_kpis_by_agent", """SELECT event_type AS agent, CAST(user_id % 3 AS INTEGER) AS model, count(*) AS n_runs,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_cost, round(avg(value), 4) AS avg_duration, quantile_disc(value, 0.95) AS p95_duration,
+  round(avg(CAST(value > 200 AS DOUBLE)), 6) AS error_rate, round(avg(value * 0.5), 4) AS avg_api_duration,
+  CAST(sum(1 + event_id % 7) AS BIGINT) AS n_turns FROM events GROUP BY 1, 2""")
+def q_run_kpis_by_agent(spark, sf):
+    """A-07: cost, wall and API time, turns and error rate per agent and model (event type and user stand in)."""
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("agent"), (F.col("user_id") % 3).cast("int").alias("model"), "value",
+        (F.col("value") > 200).alias("is_error"), (F.col("value") * 0.5).alias("api"), (1 + F.col("event_id") % 7).alias("turns"))
+    return runs.run_kpis(ev, ["agent", "model"], "value", "value", "is_error", "api", "turns")

@@ -103,3 +103,21 @@ def q_stream_rate_alarms(spark, sf):
     SS.run_available_now(SS.stream_rate_alarms(_event_stream(spark, sf), "1 day", 20, delay=_STREAM_DELAY), out, "update", "st07")
     v = SS.read_versions(spark, out, ["window_start"], ["n", "error_rate", "p99_ms", "error_alarm", "latency_alarm"])
     return v.select("window_start", "n", "error_rate", "p99_ms", "error_alarm", "latency_alarm")
+
+
+@register("stream_service_alarms", """WITH a AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n,
+  avg(CAST(event_type = 'error' AND value > 100 AS DOUBLE)) AS se, avg(CAST(value > 200 AS DOUBLE)) AS th,
+  avg(CAST(event_type = 'error' AND value < 5 AS DOUBLE)) AS ie, max(value / 300) AS cap, quantile_disc(value * 4, 0.99) AS p99_ms
+  FROM events GROUP BY 1)
+SELECT window_start, n, round(cap, 6) AS capacity_used, p99_ms, se > 0.01 AS server_error_alarm, th > 0.02 AS throttle_alarm,
+  ie > 0.01 AS invocation_error_alarm, cap > 0.80 AS capacity_alarm, p99_ms > 500.0 AS fast_latency_alarm FROM a""")
+def q_stream_service_alarms(spark, sf):
+    """ST-07: daily 5xx, throttle and invocation-error shares, used capacity and the fast p99 limit
+    (event values stand in for status, load and latency)."""
+    out = SL.scratch_path(spark, "st07s")
+    err, v = F.col("event_type") == "error", F.col("value")
+    s = SS.stream_service_alarms(_event_stream(spark, sf), {"server_error": err & (v > 100), "throttle": v > 200, "invocation_error": err & (v < 5)},
+                                 v, F.lit(300.0), v * 4, "1 day", _STREAM_DELAY)
+    SS.run_available_now(s, out, "update", "st07s")
+    cols = ["n", "capacity_used", "p99_ms", "server_error_alarm", "throttle_alarm", "invocation_error_alarm", "capacity_alarm", "fast_latency_alarm"]
+    return SS.read_versions(spark, out, ["window_start"], cols).select("window_start", *cols)

@@ -8,9 +8,9 @@ version per key. Checkpoints live under the shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runledger.operators.runs import MAX_ATTEMPTS, attempts, latest
@@ -153,9 +153,10 @@ def stream_alarms(events: DataFrame, n: int, width: str = "1 hour", user_col: st
                                                      F.lit("medium").alias("severity"))
 
 
-# Rate alarm thresholds (error share, 5xx share) and p99 latency limits.
+# Rate alarm thresholds (share of rows), used capacity and p99 latency limits.
 ERROR_RATE_LIMIT = 0.05
-SERVER_ERROR_RATE_LIMIT = 0.01
+SHARE_LIMITS = {"server_error": 0.01, "throttle": 0.02, "invocation_error": 0.01}
+CAPACITY_LIMIT = 0.80
 P99_LIMIT_MS = {"api": 3000.0, "fast": 500.0}
 
 
@@ -174,6 +175,23 @@ def stream_rate_alarms(events: DataFrame, width: str = "1 day", min_count: int =
                       (enough & (F.col("p99_ms") > P99_LIMIT_MS["api"])).alias("latency_alarm"))
 
 
+def stream_service_alarms(events: DataFrame, flags: Mapping[str, Column], used: Column, capacity: Column,
+                          latency_ms: Column, width: str = "5 minutes", delay: str | None = None) -> DataFrame:
+    """ST-07: per window the share of every flagged condition of ``SHARE_LIMITS`` against its
+    limit, the greatest used share of capacity against 80%, and p99 against the fast limit."""
+    ev = events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", delay or width)
+    shares = [F.avg(flags[k].cast("double")).alias(k) for k in SHARE_LIMITS]
+    ev = ev.withColumn("_latency", latency_ms)
+    agg = ev.groupBy(F.window("event_time", width).alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), *shares, F.max(used / capacity).alias("capacity_used"),
+        F.expr("percentile_disc(0.99) WITHIN GROUP (ORDER BY _latency)").alias("p99_ms"))
+    return agg.select(
+        as_wallclock(F.col("w.start")).alias("window_start"), "n", F.round("capacity_used", 6).alias("capacity_used"), "p99_ms",
+        *[(F.col(k) > limit).alias(f"{k}_alarm") for k, limit in SHARE_LIMITS.items()],
+        (F.col("capacity_used") > CAPACITY_LIMIT).alias("capacity_alarm"),
+        (F.col("p99_ms") > P99_LIMIT_MS["fast"]).alias("fast_latency_alarm"))
+
+
 def stream_latest(stream_df: DataFrame, out_path: str, keys: Sequence[str], order_cols: Sequence[str],
                   value_cols: Sequence[str], name: str = "latest") -> dict:
     """ST-04: latest state per key from a stream: each micro-batch's latest rows are
