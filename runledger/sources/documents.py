@@ -44,8 +44,8 @@ def _docs(spark: SparkSession, path: str, per_file: bool) -> DataFrame:
     """One document per file (``per_file``) or one per line (JSON Lines)."""
     if per_file:
         return _whole(spark, path)
-    from runledger.sources.logs import file_lines
-    return file_lines(spark, path).select("file", F.col("line").alias("value"))
+    from runledger.sources.logs import text_lines
+    return text_lines(spark, path).select("file", F.col("line").alias("value"))
 
 
 def read_state(spark: SparkSession, path: str, per_file: bool = True) -> DataFrame:

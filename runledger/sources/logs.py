@@ -50,6 +50,16 @@ def file_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> Data
     return lines if keep_blank else lines.filter(F.length(F.trim("line")) > 0)
 
 
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line) for every non-blank line under ``path`` (recursive), where lines stand on
+    their own: files are split among tasks, so no file has to fit one row."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "file string, line string")
+    return (spark.read.text(path, recursiveFileLookup=True)
+                 .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+                 .filter(F.length(F.trim("line")) > 0))
+
+
 def read_run_log(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
     """SRC-01: one row per message of every JSONL run log under ``path``.
 
@@ -91,11 +101,11 @@ def write_json_array(df: DataFrame, group_cols: Sequence[str], order_col: str, m
 
 
 def read_exec_log(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-03: ``timestamp - LEVEL - message`` lines; other lines keep nulls."""
-    lines = file_lines(spark, path)
+    """SRC-03: ``timestamp - LEVEL - message`` lines; other lines keep nulls. Lines stand on
+    their own, so large log files are split among tasks."""
+    lines = text_lines(spark, path)
     ts = F.regexp_extract("line", EXEC_LINE, 1)
-    return lines.select("file", "line_no",
-                        F.when(ts != "", F.to_timestamp_ntz(ts, F.lit("yyyy-MM-dd HH:mm:ss"))).alias("ts"),
+    return lines.select("file", F.when(ts != "", F.to_timestamp_ntz(ts, F.lit("yyyy-MM-dd HH:mm:ss"))).alias("ts"),
                         F.when(ts != "", F.regexp_extract("line", EXEC_LINE, 2)).alias("level"),
                         F.when(ts != "", F.regexp_extract("line", EXEC_LINE, 3)).otherwise(F.col("line")).alias("message"))
 
