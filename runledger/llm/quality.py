@@ -193,14 +193,14 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = [analyse(t)[1][:TRAIN_LINES].astype(np.int8) for t in b["t"]]
-            yield pd.DataFrame({"y": b["y"], "x": [v.tobytes() for v in x]})
+            yield pd.DataFrame({"sample": 0, "y": b["y"], "x": [v.tobytes() for v in x]})
 
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
         sample = sample.sort_values(["y", "x"])  # the same sums whatever order the rows come in
         model = Crf.fit([np.frombuffer(x, np.int8).reshape(-1, FEATURES).astype(np.float32) for x in sample["x"]], sample["y"].tolist())
         return pd.DataFrame({"w": [model.w.tolist()], "trans": [model.trans.tolist()]})
 
-    got = rows.mapInPandas(features, "y int, x binary").groupBy(F.lit(0)).applyInPandas(fit, "w array<array<double>>, trans array<array<double>>").collect()
+    got = rows.mapInPandas(features, "sample int, y int, x binary").groupBy("sample").applyInPandas(fit, "w array<array<double>>, trans array<array<double>>").collect()
     if not got:
         return Crf.fit([], [])
     return Crf(np.array(got[0]["w"]), np.array(got[0]["trans"]))
