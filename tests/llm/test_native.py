@@ -151,6 +151,46 @@ def test_line_dedup_of_repeated_and_missing_ids(spark, odd_rows):
     assert texts[(4, first)] == 2 and texts[(5, "")] == 1 and texts[(None, "some words without an id")] == 1
 
 
+def all_windows(line, q=line_dedup.Q):
+    return frozenset(line[i:i + q] for i in range(max(1, len(line) - q + 1)))
+
+
+def whole_brute_lines(rows):
+    """As brute_lines, from the windows at every character."""
+    occ = [(d, p, line.strip(" \t\r\x0b\x0c")) for d, t in rows for p, line in enumerate(t.split("\n")) if line.strip(" \t\r\x0b\x0c")]
+    sets = {k: all_windows(k) for _, _, k in occ}
+    parent = {k: k for k in sets}
+
+    def find(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    keys = list(sets)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            both = len(sets[a] & sets[b])
+            if both >= 0.75 * (len(sets[a]) + len(sets[b]) - both):
+                parent[find(a)] = find(b)
+    seen, gone = set(), Counter()
+    for d, _, k in sorted(occ):
+        gone[d] += find(k) in seen
+        seen.add(find(k))
+    return gone
+
+
+def test_line_dedup_reads_every_character(spark):
+    thai = "ภาษาไทยเขียนติดกันโดยไม่มีช่องว่างระหว่างคำ"
+    pairs = [("2024-05-17", "2024-05-18"), ("https://a.org/x", "https://b.org/y"), ("ORDER-000123", "ORDER-000124"),
+             (thai, thai[:8] + "".join(reversed(thai[8:]))), ("𝒳𝒴𝒵" * 5 + "a", "𝒳𝒴𝒵" * 5 + "bcdefghijklm")]
+    near = [("x" + sentence(70, 9) + " the end", sentence(70, 9) + " the end"), (thai * 2, "ก" + (thai * 2)[1:])]
+    rows = [(10 * i + j, line) for i, pair in enumerate(pairs + near) for j, line in enumerate(pair)]
+    want = whole_brute_lines(rows)
+    assert sum(want.values()) == len(near) + 1  # the text twice is also near to itself once
+    got = {x.doc_id: x for x in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert {d: x["__n_dropped"] for d, x in got.items()} == {d: want[d] for d, _ in rows}
+
+
 @pytest.mark.parametrize("op", [mixing, preference, line_dedup])
 def test_native_operators_use_no_python_workers(op):
     import inspect
