@@ -191,6 +191,32 @@ def test_line_dedup_reads_every_character(spark):
     assert {d: x["__n_dropped"] for d, x in got.items()} == {d: want[d] for d, _ in rows}
 
 
+def drifting(families=2, each=300, passages=90):
+    """Lines of families in which every line changes two neighbouring words of an earlier one, and lines that share half their text."""
+    import random
+    r = random.Random(4)
+    lines = []
+    for f in range(families):
+        family = [sentence(5000 + f, 24).split()]
+        for i in range(each - 1):
+            w = list(r.choice(family[-6:]))
+            k = r.randrange(23)
+            w[k:k + 2] = sentence(9000 + 1000 * f + i, 2).split()
+            family.append(w)
+        lines += [" ".join(w) for w in family]
+    shared = sentence(77, 16)
+    return lines + [f"{shared} {sentence(20000 + i, 8)}" for i in range(passages)]
+
+
+@pytest.mark.parametrize("hot", [line_dedup.HOT, 20])
+def test_line_dedup_follows_drifting_families(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rows = list(enumerate(drifting()))
+    want = whole_brute_lines(rows)
+    got = sum(x["__n_dropped"] for x in line_dedup.dedup_lines(documents(spark, rows)).collect())
+    assert 0.99 * sum(want.values()) <= got <= sum(want.values())
+
+
 @pytest.mark.parametrize("op", [mixing, preference, line_dedup])
 def test_native_operators_use_no_python_workers(op):
     import inspect
