@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from runledger.llm import line_dedup, mixing, preference
+from runledger.llm import line_dedup, mixing, ngram_join, preference
 
 from .conftest import documents, sentence
 
@@ -217,6 +217,18 @@ def test_line_dedup_follows_drifting_families(spark, monkeypatch, hot):
     assert 0.99 * sum(want.values()) <= got <= sum(want.values())
 
 
+def test_lines_and_copies_go_row_by_row(spark):
+    s = [sentence(300 + i, 15) for i in range(12)]
+    rows = [(1, s[0]), (7, "\n".join([s[1], s[0]])), (7, "\n".join([s[2], s[3]])), (None, "\n".join([s[4], s[0]])),
+            (None, "\n".join([s[5], s[6]])), (None, s[7]), (None, s[7])]
+    got = Counter((x.doc_id, x.text) for x in line_dedup.dedup_lines(documents(spark, rows)).collect())
+    assert got == Counter([(1, s[0]), (7, s[1]), (7, rows[2][1]), (None, s[4]), (None, rows[4][1]), (None, s[7]), (None, "")])
+
+    rows = [(3, s[0]), (7, s[0]), (7, s[8]), (9, s[9]), (9, s[9]), (None, s[0]), (None, s[10]), (None, s[10]), (None, s[11]), (None, None), (None, None)]
+    got = Counter((x.doc_id, x.text) for x in ngram_join.keep_first(documents(spark, rows)).collect())
+    assert got == Counter([(3, s[0]), (7, s[8]), (9, s[9]), (None, s[10]), (None, s[11]), (None, None), (None, None)])
+
+
 @pytest.mark.parametrize("op", [mixing, preference, line_dedup])
 def test_native_operators_use_no_python_workers(op):
     import inspect
