@@ -20,17 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 200       # given pages that join the training, by hash of the id (a bound of the fit only)
-SAMPLE_BLOCKS = 150      # blocks of one such page that join
 MADE_PAGES = 3000        # generated training pages
 TAGS, WORDS, NUMBERS = 256, 32, 6
 INPUT = TAGS + WORDS + NUMBERS
 HIDDEN = 32
 EPOCHS, BATCH, RATE = 8, 32, 0.01
+BATCH_BLOCKS = 20000     # padded blocks of one batch; longer pages make smaller batches
 
 # tags that never carry text, tags that hold raw text, tags inside a line of text (fixed by HTML)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
+RAW = frozenset("script style noscript template svg iframe".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img "
+                   "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup "
+                   "msup mtable mtd mtext mtr munder munderover semantics".split())
 # an opening tag of the right side ends an open tag of the left side
 ENDED_BY = {"p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()),
             "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]),
@@ -38,6 +40,7 @@ ENDED_BY = {"p": frozenset("address article aside blockquote details div dl fiel
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_OPEN_VALUE = re.compile(r"=\s*[^\s\"'>]+\Z")  # a slash at its end belongs to the value
 _SPACE = re.compile(r"\s+")
 
 
@@ -106,6 +109,8 @@ def blocks(page: str) -> list[tuple[tuple, str, float]]:
                     break
                 if name not in INLINE and name not in ENDED_BY:
                     break
+        if tag in RAW and m.group(3).endswith("/") and not _OPEN_VALUE.search(m.group(3)):
+            continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
             at = close.end() if close else end
@@ -133,8 +138,8 @@ def features(seq: list[tuple[tuple, str, float]]) -> np.ndarray:
             memo[path] = np.minimum(v, 2.0)
         x[i, :TAGS] = memo[path]
         words = text.split()
-        for w in words[:30]:
-            x[i, TAGS + _slot("w", w.lower(), WORDS)] += 1 / min(30, len(words))
+        for w in words:
+            x[i, TAGS + _slot("w", w.lower(), WORDS)] += 1 / len(words)
         x[i, -NUMBERS:] = (min(1.5, np.log1p(len(words)) / 4), linked, text[-1] in ".!?", i / len(seq), 1 - (i + 1) / len(seq), len(words) < 4)
     return x
 
@@ -207,7 +212,12 @@ class BiLstm:
         step, r = 0, random.Random(5)
         for _ in range(epochs):
             order = sorted(range(len(pages)), key=lambda i: (len(pages[i][1]), r.random()))
-            batches = [order[i:i + BATCH] for i in range(0, len(order), BATCH)]
+            batches: list[list[int]] = []
+            for i in order:
+                if batches and len(batches[-1]) < BATCH and (len(batches[-1]) + 1) * len(pages[i][1]) <= BATCH_BLOCKS:
+                    batches[-1].append(i)
+                else:
+                    batches.append([i])
             r.shuffle(batches)
             for batch in batches:
                 x, live = pad([pages[i][0] for i in batch])
@@ -344,15 +354,15 @@ def train(pages: DataFrame | None = None, id_col: str = "page_id", html_col: str
 
         def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                seqs = [blocks(h)[:SAMPLE_BLOCKS] for h in b["html"]]
-                yield pd.DataFrame({"x": [features(s).tobytes() for s in seqs], "y": [own_labels(s).tobytes() for s in seqs]})
+                seqs = [blocks(h) for h in b["html"]]
+                yield pd.DataFrame({"x": [zlib.compress(features(s).tobytes(), 1) for s in seqs], "y": [own_labels(s).tobytes() for s in seqs]})
 
         keys = pick.select(F.xxhash64("id").alias("o"), "id").orderBy("o", "id").limit(SAMPLE_PAGES).select("id").distinct()
         got = pick.join(F.broadcast(keys), "id").mapInPandas(parse, "x binary, y binary").orderBy("y", "x").limit(SAMPLE_PAGES).collect()
         for row in got:
             y = np.frombuffer(row["y"], np.float32)
             if len(y):
-                data.append((np.frombuffer(row["x"], np.float32).reshape(-1, INPUT), y))
+                data.append((np.frombuffer(zlib.decompress(row["x"]), np.float32).reshape(-1, INPUT), y))
     return BiLstm().fit(data)
 
 

@@ -148,6 +148,20 @@ def test_blocks_of_broken_markup():
     assert extraction.blocks("") == [] and extraction.blocks("<div") == [] and extraction.blocks("<script>never ends") == []
 
 
+def test_raw_elements_that_close_themselves_and_long_blocks():
+    def texts(page):
+        return [t for _, t, _ in extraction.blocks(page)]
+
+    assert texts('<p>one</p><svg class="x" /><p>two</p><svg><text>no</text></svg><p>three</p><iframe src="a?b=c"/><p>four') == ["one", "two", "three", "four"]
+    assert texts("<p>one</p><svg class=x/>no</svg><p>two") == ["one", "two"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be<math/> so</p>") == ["Let x=1 be so"]
+    assert texts("<p>a</p><object data=f><p>fallback</p></object><p>b") == ["a", "fallback", "b"]
+    head = " ".join(f"w{i}" for i in range(30))
+    one, two = (extraction.features([((), f"{head} {tail}", 0.0)]) for tail in ("alpha " * 40, "omega " * 40))
+    assert extraction._slot("w", "alpha", extraction.WORDS) != extraction._slot("w", "omega", extraction.WORDS) and not np.array_equal(one, two)
+    assert np.isclose(one[0, extraction.TAGS:extraction.TAGS + extraction.WORDS].sum(), 1)
+
+
 def test_extraction_of_unseen_layouts_and_given_pages(spark):
     import html
 
