@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from runledger.plans.tables import table
 
-from . import extraction, langid, line_dedup, mixing, ngram_join, packing, preference, quality, search, sharding
+from . import collocations, extraction, langid, line_dedup, mixing, negatives, ngram_join, packing, preference, quality, search, sharding, warc
+from .common import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,3 +156,64 @@ def op6_extraction(spark, sf_dir):
     """The main text of every page."""
     p = table(spark, sf_dir, "pages")
     return extraction.extract(p, extraction.train(p)).select("page_id", "url", "text", "n_chars")
+
+
+@register("op11_negatives", """
+WITH ok AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+q AS (SELECT *, row_number() OVER () AS akey FROM (SELECT DISTINCT * FROM ok WHERE vec_id % 100 = 0)),
+s AS (SELECT q.akey, q.vec_id AS anchor_id, c.vec_id AS id, q.label = c.label AS same,
+             CAST(list_sum([coalesce(z[1], 0) * coalesce(z[2], 0) FOR z IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+      FROM q, ok c WHERE c.vec_id <> q.vec_id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY akey ORDER BY score DESC, id) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.akey, p.place ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+             s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+      FROM p JOIN s USING (akey) WHERE NOT s.same AND 80 * CAST(p.score AS HUGEINT) <= 100 * CAST(s.score AS HUGEINT) AND s.score <= p.score)
+SELECT * FROM n WHERE rank <= 5""")
+def op11_negatives(spark, sf_dir):
+    """For every 100th vector and its 5 nearest of the same label, the 5 hardest rows of other labels."""
+    e = table(spark, sf_dir, "embeddings")
+    e = e.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(e, e.where(F.col("vec_id") % 100 == 0))
+
+
+@register("op12_collocations", r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda w: w <> '') AS w FROM t),
+g AS (SELECT lang, m, w[i:i + m - 1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS m))),
+f AS (SELECT lang, m, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+longer AS (SELECT lang, g, max(f) AS most FROM (SELECT lang, g[1:2] AS g, f FROM c WHERE m = 3 UNION ALL SELECT lang, g[2:3], f FROM c WHERE m = 3) GROUP BY ALL),
+k AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, g) WHERE m = 3 OR most IS NULL OR 100 * most < 50 * f),
+cuts AS (SELECT k.*, unnest(range(1, m)) AS cut FROM k),
+s AS (SELECT x.lang, x.g, x.f AS a, x.cut, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * x.f * x.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+      FROM cuts x JOIN f l ON l.lang = x.lang AND l.g = x.g[1:x.cut] JOIN f r ON r.lang = x.lang AND r.g = x.g[x.cut + 1:x.m]),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS o FROM s) WHERE o = 1),
+o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM b),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT z.lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000""")
+def op12_collocations(spark, sf_dir):
+    """The 2000 strongest phrases of 2 or 3 words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_warc", r"""
+WITH d AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS largest FROM d),
+b AS (SELECT *, array_to_string([lpad(bin(CAST('0x' || substr(hex, 2 * i - 1, 2) AS INTEGER)), 8, '0') FOR i IN range(1, 21)], '') AS bits FROM h)
+SELECT page_id, payload_bytes,
+       array_to_string(['ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST('0b' || substr(bits, 5 * i + 1, 5) AS INTEGER) + 1] FOR i IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to FROM b""")
+def op13_warc(spark, sf_dir):
+    """Every page written to WARC archives and read back, equal payloads stored once."""
+    path = f"{Scratch(spark, 'warc').root}/archives"
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    got = warc.read_archives(spark, path).where("record_type IN ('response', 'revisit')")
+    return got.select(warc.page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      warc.page_id("refers_to").alias("refers_to"))
