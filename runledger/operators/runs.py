@@ -262,25 +262,30 @@ def phase_matrix(df: DataFrame, run_cols: Sequence[str] | str, phase_col: str,
 def exact_percentile(df: DataFrame, group_cols: Sequence[str] | str, value_col: str, q: float,
                      out_col: str) -> DataFrame:
     """The smallest value whose rank reaches ``q`` of a group's non-null rows, exact at
-    every size: values are counted first (map-side), then ranked by prefix sums of the
-    counts over range partitions, so a hot group is never held or sorted in one task."""
+    every size: values are counted first (map-side), then ranked (:func:`percentile_of_counts`)."""
     g = _cols(group_cols)
-    v = F.col(value_col)
-    counts = df.filter(v.isNotNull()).groupBy(*g, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = cut_lineage(counts.repartitionByRange(n, *g, "_v").withColumn("_pid", F.spark_partition_id()))
+    counts = df.groupBy(*g, F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return percentile_of_counts(counts, g, "_v", "_c", q, out_col)
+
+
+def percentile_of_counts(counts: DataFrame, group_cols: Sequence[str] | str, value_col: str, count_col: str,
+                         q: float, out_col: str) -> DataFrame:
+    """The percentile of counted values (one row per group and value, nulls left out): ranks come
+    from prefix sums of the counts over range partitions, so a hot group is never held or
+    sorted in one task."""
+    g = _cols(group_cols)
+    rows = counts.filter(F.col(value_col).isNotNull()).select(*g, F.col(value_col).alias("_v"), F.col(count_col).alias("_c"))
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = cut_lineage(rows.repartitionByRange(n, *g, "_v").withColumn("_pid", F.spark_partition_id()))
     sums = part.groupBy(*g, "_pid").agg(F.sum("_c").alias("_s"))
     w = Window.partitionBy(*g).orderBy("_pid")
     whole = Window.partitionBy(*g)
-    base = sums.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_pid").alias("_p"),
+    base = sums.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_pid").alias("_p"), "_s",
                        (F.sum("_s").over(w) - F.col("_s")).alias("_before"), F.sum("_s").over(whole).alias("_all"))
     need = F.ceil(F.col("_all") * F.lit(q))
     # only the partition in which the rank falls is sorted
-    s_in = base.join(sums.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(g)], F.col("_pid").alias("_q"), "_s"),
-                     _all_equal([(f"_g{i}", f"_h{i}") for i in range(len(g))] + [("_p", "_q")]))
-    at = s_in.filter((F.col("_before") < need) & (F.col("_before") + F.col("_s") >= need))
-    rows = part.join(at.drop("_s", "_q", *[f"_h{i}" for i in range(len(g))]),
-                     _all_equal([(c, f"_g{i}") for i, c in enumerate(g)] + [("_pid", "_p")]))
+    at = base.filter((F.col("_before") < need) & (F.col("_before") + F.col("_s") >= need)).drop("_s")
+    rows = part.join(at, _all_equal([(c, f"_g{i}") for i, c in enumerate(g)] + [("_pid", "_p")]))
     run = F.col("_before") + F.sum("_c").over(Window.partitionBy(*g).orderBy("_v"))
     return rows.withColumn("_run", run).filter(F.col("_run") >= need).groupBy(*g).agg(F.min("_v").alias(out_col))
 
@@ -295,9 +300,13 @@ def _all_equal(pairs: Sequence[tuple[str, str]]) -> Column:
 def with_percentile(agg: DataFrame, df: DataFrame, group_cols: Sequence[str] | str, value_col: str, q: float,
                     out_col: str) -> DataFrame:
     """``agg`` (one row per group) with the group's exact percentile; null where a group has no value."""
-    g = _cols(group_cols)
-    pct = exact_percentile(df, g, value_col, q, out_col).withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(g)})
-    return agg.join(pct, _all_equal([(c, f"_k{i}") for i, c in enumerate(g)]), "left").drop(*[f"_k{i}" for i in range(len(g))])
+    return attach(agg, exact_percentile(df, group_cols, value_col, q, out_col), _cols(group_cols))
+
+
+def attach(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Left join on ``cols`` where null equals null, without repeating them."""
+    other = right.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(cols)})
+    return left.join(other, _all_equal([(c, f"_k{i}") for i, c in enumerate(cols)]), "left").drop(*[f"_k{i}" for i in range(len(cols))])
 
 
 def run_kpis(df: DataFrame, group_cols: Sequence[str] | str, cost_col: str, duration_col: str,

@@ -10,9 +10,10 @@ from runledger.plans.queries.sources import _user_of_file, _write_run_logs
 from runledger.plans.tables import table
 from runledger.sources import logs as SL
 from runledger.streaming import streams as SS
+from runledger.streaming.versions import Versions
 
 
-# Stream tests replay the events table as 8 files in arbitrary order, one per trigger;
+# Stream tests replay the events table as about 8 files in arbitrary order, one per trigger;
 # the watermark is wide enough that no row is late (the data spans 30 days).
 _STREAM_DELAY = "40 days"
 
@@ -20,7 +21,8 @@ _STREAM_DELAY = "40 days"
 def _event_stream(spark, sf):
     ev = table(spark, sf, "events")
     path = SL.scratch_path(spark, "event-stream")
-    ev.repartition(8).write.parquet(path)
+    # files are cut by rows as they are written: no shuffle of the table
+    ev.write.option("maxRecordsPerFile", max(1, -(-ev.count() // 8))).parquet(path)
     return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -68,7 +70,7 @@ def q_stream_latest_state(spark, sf):
     """ST-04: latest state per user upserted batch by batch; equals W-07."""
     out = SL.scratch_path(spark, "st04")
     s = _event_stream(spark, sf).withColumnRenamed("event_type", "current_phase")
-    SS.stream_latest(s, out, ["user_id"], ["ts", "event_id"], ["current_phase", "value"], "st04")
+    SS.stream_latest(s, out, ["user_id"], ["ts", "event_id"], ["current_phase", "value"], "st04", fold_every=3)
     return SS.read_latest(spark, out, ["user_id"], ["ts", "event_id"], ["current_phase", "value"])
 
 
@@ -79,7 +81,8 @@ def q_stream_quota(spark, sf):
                                               F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("int"))
                                               .otherwise(F.lit(3)).alias("lim"))
     out = SL.scratch_path(spark, "st05")
-    SS.run_available_now(SS.stream_quota(_event_stream(spark, sf), lim, delay=_STREAM_DELAY), out, "update", "st05")
+    SS.run_available_now(SS.stream_quota(_event_stream(spark, sf), lim, delay=_STREAM_DELAY), out, "update", "st05",
+                         versions=Versions(spark, out, ["user_id", "run_date"]))
     return SS.read_versions(spark, out, ["user_id", "run_date"], ["n_requests", "n_allowed", "n_rejected"])
 
 
@@ -100,9 +103,9 @@ def q_stream_alarms(spark, sf):
 def q_stream_rate_alarms(spark, sf):
     """ST-07: daily error share and p99 latency alarms (window widened for sparse data)."""
     out = SL.scratch_path(spark, "st07")
-    SS.run_available_now(SS.stream_rate_alarms(_event_stream(spark, sf), "1 day", 20, delay=_STREAM_DELAY), out, "update", "st07")
-    v = SS.read_versions(spark, out, ["window_start"], ["n", "error_rate", "p99_ms", "error_alarm", "latency_alarm"])
-    return v.select("window_start", "n", "error_rate", "p99_ms", "error_alarm", "latency_alarm")
+    sink = Versions(spark, out, SS.WINDOW_KEYS, fold_every=3)
+    SS.run_available_now(SS.stream_rate_alarms(_event_stream(spark, sf), "1 day", _STREAM_DELAY), out, "update", "st07", versions=sink)
+    return SS.read_rate_alarms(spark, out, 20)
 
 
 @register("stream_service_alarms", """WITH a AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n,
@@ -118,6 +121,5 @@ def q_stream_service_alarms(spark, sf):
     err, v = F.col("event_type") == "error", F.col("value")
     s = SS.stream_service_alarms(_event_stream(spark, sf), {"server_error": err & (v > 100), "throttle": v > 200, "invocation_error": err & (v < 5)},
                                  v, F.lit(300.0), v * 4, "1 day", _STREAM_DELAY)
-    SS.run_available_now(s, out, "update", "st07s")
-    cols = ["n", "capacity_used", "p99_ms", "server_error_alarm", "throttle_alarm", "invocation_error_alarm", "capacity_alarm", "fast_latency_alarm"]
-    return SS.read_versions(spark, out, ["window_start"], cols).select("window_start", *cols)
+    SS.run_available_now(s, out, "update", "st07s", versions=Versions(spark, out, SS.WINDOW_KEYS, fold_every=3))
+    return SS.read_service_alarms(spark, out)
