@@ -384,6 +384,22 @@ def ordered_positions(df: DataFrame, key_cols: Sequence[str] | str, order_cols:
              .select(*df.columns, position_col))
 
 
+def running_total(df: DataFrame, key_cols: Sequence[str] | str, order_cols: Sequence[str], value: Column,
+                  out_col: str, n_partitions: int | None = None) -> DataFrame:
+    """Sum of ``value`` (a long, not null) over the rows of the same key that come before, in
+    ``order_cols`` order (a total order); a hot key spans many tasks, as in :func:`ordered_positions`."""
+    keys = _cols(key_cols)
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = cut_lineage(df.withColumn("_w", value.cast("long")).repartitionByRange(n, *keys, *order_cols)
+                      .withColumn("_pid", F.spark_partition_id()))
+    sums = s.groupBy("_pid", *keys).agg(F.sum("_w").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_pid", *keys, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_shift"))
+    here = F.sum("_w").over(Window.partitionBy("_pid", *keys).orderBy(*order_cols)) - F.col("_w")  # keys of one partition
+    return attach(s.withColumn("_here", here), offsets, ["_pid", *keys]).withColumn(out_col, F.col("_here") + F.col("_shift")) \
+        .select(*df.columns, out_col)
+
+
 def latest_mention(comments: DataFrame, keyword: str, run_cols: Sequence[str] | str = "number",
                    body_col: str = "body", order_cols: Sequence[str] = ("created_at", "id")) -> DataFrame:
     """W-03: the newest comment per issue that is not bot-tagged and contains ``keyword``

@@ -32,7 +32,7 @@ SELECT p_partkey, key, {O.contains_any('key', _SENS['generic'])} AS sensitive,
   CASE WHEN {O.contains_any('key', _SENS['generic'])} THEN 'your-secret-value-here' ELSE value END AS template_value,
   CASE WHEN {O.contains_any('key', _SENS['display'])} THEN '***HIDDEN***' ELSE value END AS display_value,
   {_CAT_SQL} AS category,
-  '/sdaw/run/dev/' || replace(key, '_', '/') AS param_name,
+  '/runs/dev/' || replace(key, '_', '/') AS param_name,
   CASE WHEN {O.contains_any('key', _SENS['parameter'])} THEN 'SecureString' ELSE 'String' END AS param_type
 FROM k""")
 def q_config_key_report(spark, sf):
@@ -46,7 +46,7 @@ def q_config_key_report(spark, sf):
                     C.mask_value("key", "value", "template").alias("template_value"),
                     C.mask_value("key", "value", "display").alias("display_value"),
                     C.categorise("key").alias("category"),
-                    C.key_to_path("key", "/sdaw/run/dev").alias("param_name"),
+                    C.key_to_path("key", "/runs/dev").alias("param_name"),
                     C.param_type("key").alias("param_type"))
 
 

@@ -43,6 +43,8 @@ def _write_run_logs(spark, sf):
 
 def _user_of_file():
     return F.regexp_extract("file", r"user_id=(\d+)/", 1).cast("bigint")
+
+
 _LOG_EVENTS_SQL = """SELECT user_id, event_type, value, json_extract_string(props, '$.k') AS k,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS line_no,
   count(*) OVER (PARTITION BY user_id) AS n_messages,
@@ -51,7 +53,7 @@ _LOG_EVENTS_SQL = """SELECT user_id, event_type, value, json_extract_string(prop
 
 @register("run_log_results", f"""WITH e AS ({_LOG_EVENTS_SQL})
 SELECT user_id, any_value(n_messages) AS n_messages, max(line_no) AS line_no, arg_max(event_type || ' ' || k, line_no) AS result,
-  arg_max(event_type = 'error', line_no) AS is_error, arg_max(CAST(value * 1000 AS BIGINT), line_no) AS duration_ms
+  arg_max(event_type = 'error', line_no) AS is_error, arg_max(CAST(trunc(value * 1000) AS BIGINT), line_no) AS duration_ms
 FROM e WHERE NOT voided AND event_type <> 'view' GROUP BY user_id""")
 def q_run_log_results(spark, sf):
     """SRC-01 (strict): JSONL run logs written per user, read back; a file with one bad
@@ -64,28 +66,51 @@ def q_run_log_results(spark, sf):
                     "result", "is_error", "duration_ms")
 
 
-@register("run_log_permissive", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
-  FROM events GROUP BY user_id""")
+_MESSAGES_SQL = f"""SELECT user_id, line_no, voided, event_type = 'error' AND value > 300 AS corrupt,
+  CASE WHEN event_type = 'view' THEN 'assistant' WHEN NOT (event_type = 'error' AND value > 300) THEN 'result' END AS type,
+  CASE WHEN event_type = 'view' THEN 'viewed ' || k END AS text,
+  CASE WHEN event_type <> 'view' AND NOT (event_type = 'error' AND value > 300) THEN event_type || ' ' || k END AS result,
+  CASE WHEN event_type <> 'view' AND NOT (event_type = 'error' AND value > 300) THEN CAST(trunc(value * 1000) AS BIGINT) END AS duration_ms
+  FROM ({_LOG_EVENTS_SQL})"""
+
+
+def _messages(msgs, user):
+    return msgs.select(user.alias("user_id"), F.col("line_no").cast("bigint").alias("line_no"), "corrupt", "type",
+                       F.col("message.content")[0]["text"].alias("text"), "result", "duration_ms")
+
+
+_PERMISSIVE_SQL = f"SELECT user_id, line_no, corrupt, type, text, result, duration_ms FROM ({_MESSAGES_SQL})"
+
+
+@register("run_log_permissive", _PERMISSIVE_SQL)
 def q_run_log_permissive(spark, sf):
-    """SRC-01 (permissive): every line kept, bad ones flagged."""
-    path = _write_run_logs(spark, sf)
-    msgs = SL.read_run_log(spark, path, "permissive")
-    return msgs.groupBy(_user_of_file().alias("user_id")).agg(F.count(F.lit(1)).alias("n_lines"),
-                                                            F.count_if("corrupt").alias("n_corrupt"))
+    """SRC-01 (permissive): run logs written as an export (few fragment files) and read back: every
+    message with its line, bad lines flagged."""
+    path = SL.scratch_path(spark, "run-log-export")
+    SL.write_run_logs(_run_log_lines(spark, sf), "user_id", ["ts", "event_id"], "value", path)
+    return _messages(SL.read_run_log_export(spark, path, "permissive"), F.col("user_id"))
+
+
+@register("run_log_strict", f"SELECT user_id, line_no, corrupt, type, text, result, duration_ms FROM ({_MESSAGES_SQL}) WHERE NOT voided")
+def q_run_log_strict(spark, sf):
+    """SRC-01 (strict): every message of the per-user log files without a bad line."""
+    return _messages(SL.read_run_log(spark, _write_run_logs(spark, sf), "strict"), _user_of_file())
 
 
-@register("json_array_export", """SELECT conv_id, count(*) AS n_messages, min(turn) AS first_turn, max(turn) AS last_turn
-  FROM conversations GROUP BY conv_id""")
+_TURN_JSON = """'{"turn":' || turn || ',"role":' || to_json(role) || ',"text":' || to_json(text) || '}'"""
+
+
+@register("json_array_export", f"""WITH m AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS line_no, {_TURN_JSON} AS m,
+  count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
+SELECT conv_id, line_no, CASE WHEN line_no = 0 THEN '[' ELSE ',' END || m AS line FROM m
+UNION ALL SELECT conv_id, n, ']' FROM m GROUP BY conv_id, n""")
 def q_json_array_export(spark, sf):
-    """SRC-02: each conversation's messages written as one JSON array file, read back."""
+    """SRC-02: each conversation's messages written as one JSON array over fragment files; the exported
+    text read back line by line."""
     path = SL.scratch_path(spark, "json-arrays")
-    cv = table(spark, sf, "conversations")
     msg = F.to_json(F.struct("turn", "role", "text"))
-    SL.write_json_array(cv.withColumn("msg", msg), ["conv_id"], "turn", "msg", path)
-    back = SL.file_lines(spark, path).select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"),
-                                             F.from_json("line", "array<struct<turn: bigint, role: string, text: string>>").alias("a"))
-    return back.select("conv_id", F.size("a").cast("bigint").alias("n_messages"),
-                       F.col("a")[0]["turn"].alias("first_turn"), F.element_at("a", -1)["turn"].alias("last_turn"))
+    SL.write_json_array(table(spark, sf, "conversations").withColumn("msg", msg), ["conv_id"], "turn", "msg", path)
+    return SL.read_fragments(spark, path)
 
 
 _LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END"
@@ -120,9 +145,9 @@ kv AS (SELECT p_brand, block, p_partkey, trim(substr(line, 1, strpos(line, '=')
     trim(substr(line, strpos(line, '=') + 1)) AS value FROM l WHERE strpos(line, '=') > 0 AND NOT starts_with(line, '#'))
 SELECT p_brand AS brand, block, key, arg_max(value, p_partkey) AS value FROM kv GROUP BY 1, 2, 3""")
 def q_kv_roundtrip(spark, sf):
-    """SRC-05 then SRC-04: one .env file per brand and block of 1000 parts (comments,
-    blanks, lines without '=', 'A=b=c', spaced pairs, repeated keys) written and read
-    back; later duplicate wins. Files stay bounded as the part table grows."""
+    """SRC-05 then SRC-04: the settings of every brand and block of 1000 parts (comments,
+    blanks, lines without '=', 'A=b=c', spaced pairs, repeated keys) written as fragments and
+    read back; later duplicate wins."""
     k = B.part_keys(spark, sf).withColumn("block", F.expr("p_partkey div 1000"))
     sz = F.col("p_size") % 10
     key = (F.when(sz == 0, F.concat(F.lit("# comment "), F.col("p_name"))).when(sz == 1, F.lit(""))
@@ -132,9 +157,7 @@ def q_kv_roundtrip(spark, sf):
     path = SL.scratch_path(spark, "kv")
     SC.write_kv(k.select("p_brand", "block", "p_partkey", key.alias("key"), val.alias("value")), path,
                 ["p_brand", "block"], order_col="p_partkey")
-    back = SC.read_kv(spark, path)
-    return back.select(F.url_decode(F.url_decode(F.regexp_extract("file", r"p_brand=([^/]+)/", 1))).alias("brand"),
-                       F.regexp_extract("file", r"block=(\d+)/", 1).cast("bigint").alias("block"), "key", "value")
+    return SC.read_kv_export(spark, path).select(F.col("p_brand").alias("brand"), "block", "key", "value")
 
 
 _NATION_DOC_SQL = """SELECT n.n_nationkey AS run_id, n.n_name, n.n_regionkey, count(c.c_custkey) AS n_customers
@@ -190,25 +213,25 @@ register("config_docs_json", _CFG_DOCS_SQL)(_config_docs_query("json"))
 register("config_docs_yaml", _CFG_DOCS_SQL)(_config_docs_query("yaml"))
 
 
-@register("params_under_prefix", f"""WITH k AS ({O.PART_KEYS}), p AS (SELECT '/sdaw/run/dev/' || replace(key, '_', '/') AS name, value FROM k)
-SELECT name, value, replace(replace(name, '/sdaw/run/dev/RED/', ''), '/', '_') AS key FROM p
-  WHERE starts_with(name, '/sdaw/run/dev/RED/')""")
+@register("params_under_prefix", f"""WITH k AS ({O.PART_KEYS}), p AS (SELECT '/runs/dev/' || replace(key, '_', '/') AS name, value FROM k)
+SELECT name, value, replace(replace(name, '/runs/dev/RED/', ''), '/', '_') AS key FROM p
+  WHERE starts_with(name, '/runs/dev/RED/')""")
 def q_params_under_prefix(spark, sf):
     """SRC-07: parameters under a prefix (all pages), keys rebuilt from the paths."""
     k = B.part_keys(spark, sf)
-    p = k.select(C.key_to_path(F.col("key"), "/sdaw/run/dev").alias("name"), "value")
-    return SC.params_under(p, "/sdaw/run/dev/RED")
+    p = k.select(C.key_to_path(F.col("key"), "/runs/dev").alias("name"), "value")
+    return SC.params_under(p, "/runs/dev/RED")
 
 
 @register("params_to_write", f"""WITH k AS ({O.PART_KEYS})
-SELECT DISTINCT '/sdaw/run/dev/' || replace(key, '_', '/') AS name, value,
+SELECT DISTINCT '/runs/dev/' || replace(key, '_', '/') AS name, value,
   CASE WHEN {O.contains_any('key', _SENS['parameter'])} THEN 'SecureString' ELSE 'String' END AS type FROM k
-  WHERE '/sdaw/run/dev/' || replace(key, '_', '/') NOT IN (SELECT '/sdaw/run/dev/' || replace(key, '_', '/') FROM k WHERE p_size < 10)""")
+  WHERE '/runs/dev/' || replace(key, '_', '/') NOT IN (SELECT '/runs/dev/' || replace(key, '_', '/') FROM k WHERE p_size < 10)""")
 def q_params_to_write(spark, sf):
     """SRC-08: parameters to write without overwrite: names that exist are skipped."""
     k = B.part_keys(spark, sf)
-    existing = SC.to_params(k.filter(F.col("p_size") < 10), "/sdaw/run/dev")
-    return SC.to_params(k, "/sdaw/run/dev", existing, overwrite=False).distinct()
+    existing = SC.to_params(k.filter(F.col("p_size") < 10), "/runs/dev")
+    return SC.to_params(k, "/runs/dev", existing, overwrite=False).distinct()
 
 
 @register("state_roundtrip", """SELECT 'r' || o_orderkey AS adw_id, CAST(o_orderkey AS VARCHAR) AS issue_number,
@@ -287,22 +310,21 @@ def q_open_issues(spark, sf):
     CASE WHEN role <> 'assistant' THEN '/' || role || ' ' || text ELSE text END AS prompt, role FROM conversations WHERE role <> 'assistant')
 SELECT conv_id, agent, role AS command, arg_max(prompt, turn) AS prompt FROM p GROUP BY 1, 2, 3""")
 def q_prompt_store(spark, sf):
-    """SRC-13: prompts starting with /command stored per run/agent/command (last wins),
-    read back from the partitioned folders."""
+    """SRC-13: prompts starting with /command stored per run/agent/command (last wins) in a
+    container of a few files, read back by name."""
     cv = table(spark, sf, "conversations")
     prompt = F.when(F.col("role") != "assistant", F.concat(F.lit("/"), F.col("role"), F.lit(" "), F.col("text"))).otherwise(F.col("text"))
     df = cv.select("conv_id", F.when(F.col("turn") < 4, "planner").otherwise("builder").alias("agent"), "turn", prompt.alias("prompt"))
     path = SL.scratch_path(spark, "prompts")
     SL.write_prompts(df, "conv_id", "agent", "prompt", "turn", path)
-    back = SL.read_docs(spark, path)
-    part = lambda k: F.regexp_extract("file", k + r"=([^/]+)/", 1)
-    return back.select(part("conv_id").cast("bigint").alias("conv_id"), part("agent").alias("agent"),
-                       part("command").alias("command"), F.regexp_replace("text", r"\n\z", "").alias("prompt"))
+    back = SL.read_prompts(spark, path)
+    return back.select(F.col("run").cast("bigint").alias("conv_id"), "agent", "command", "prompt")
 
 
 @register("stack_listing", """SELECT s_name AS stack_name,
   coalesce(CASE WHEN s_acctbal >= 1000 THEN 'deployed' WHEN s_acctbal < 0 THEN 'failed' END, 'unknown') AS status,
-  'region-' || s_nationkey AS region, CAST(s_suppkey AS VARCHAR) AS acct FROM supplier""")
+  'region-' || s_nationkey AS region, key, CASE key WHEN 'acct' THEN CAST(s_suppkey AS VARCHAR) ELSE s_name || '.example.com' END AS output
+  FROM supplier, (SELECT unnest(['acct', 'host']) AS key)""")
 def q_stack_listing(spark, sf):
     """SRC-14: stack listings (JSON arrays per nation and key block) read back; a
     stack without a status reads as unknown."""
@@ -310,13 +332,14 @@ def q_stack_listing(spark, sf):
     st = F.struct(F.col("s_name").alias("stack_name"),
                   F.when(F.col("s_acctbal") >= 1000, "deployed").when(F.col("s_acctbal") < 0, "failed").alias("status"),
                   F.concat(F.lit("region-"), F.col("s_nationkey").cast("string")).alias("region"),
-                  F.create_map(F.lit("acct"), F.col("s_suppkey").cast("string")).alias("outputs"))
+                  F.create_map(F.lit("acct"), F.col("s_suppkey").cast("string"),
+                               F.lit("host"), F.concat("s_name", F.lit(".example.com"))).alias("outputs"))
     docs = s.groupBy("s_nationkey", F.expr("s_suppkey div 1000").alias("blk")).agg(
         F.to_json(F.collect_list(st)).alias("value"))
     path = SL.scratch_path(spark, "stacks")
     docs.select("value").write.text(path)
     stacks = SD.read_stacks(spark, path, per_file=False)
-    return stacks.select("stack_name", "status", "region", F.col("outputs")["acct"].alias("acct"))
+    return stacks.select("stack_name", "status", "region", F.explode("outputs").alias("key", "output"))
 
 
 @register("explode_stories", """SELECT o.o_orderkey, CAST(row_number() OVER (PARTITION BY o.o_orderkey
@@ -336,18 +359,16 @@ def q_explode_stories(spark, sf):
     return ex.select("o_orderkey", "pos", "line", "part", "qty")
 
 
-@register("read_documents", """SELECT l.doc_id, CASE WHEN d.lang <> 'fr' THEN d.text || chr(10) ELSE '' END AS text
-  FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id""")
+@register("read_documents", """SELECT doc_id || '.md' AS name, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT doc_id || '.draft.md', '' FROM labels""")
 def q_read_documents(spark, sf):
-    """SRC-16: whole documents read back by name for every labelled document; documents
-    never written (French ones) read as empty text."""
-    d = table(spark, sf, "documents")
+    """SRC-16: every document written to a container of a few files and read back whole by its name;
+    names without a document (drafts of the labelled ones) read as empty text."""
+    d = table(spark, sf, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"), "text")
     path = SL.scratch_path(spark, "docs")
-    d.filter(F.col("lang") != "fr").select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"), "text") \
-        .write.partitionBy("name").text(path)
-    wanted = table(spark, sf, "labels").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"))
-    got = SL.read_docs(spark, path).select(F.regexp_extract("file", r"name=([^/]+)/", 1).alias("name"), "text")
-    return wanted.join(got, "name", "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    SL.write_container(d, path)
+    drafts = table(spark, sf, "labels").select(F.concat(F.col("doc_id").cast("string"), F.lit(".draft.md")).alias("name"))
+    return SL.read_container(spark, path, d.select("name").unionByName(drafts))
 
 
 @register("append_history", f"""SELECT * FROM ({O.TEST_RESULTS})""")
@@ -360,13 +381,11 @@ def q_append_history(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("run_log_compacted", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
-  FROM events GROUP BY user_id""")
+@register("run_log_compacted", _PERMISSIVE_SQL)
 def q_run_log_compacted(spark, sf):
-    """SRC-01 at scale: the per-user run logs compacted into bucketed Parquet, then
-    counted per file from the compacted table."""
+    """SRC-01 at scale: the per-user log files compacted into Parquet ranged by file and line, then
+    every message read from the compacted table."""
     path = _write_run_logs(spark, sf)
     out = SL.scratch_path(spark, "run-logs-parquet")
-    SL.compact_run_logs(spark, path, out, buckets=16)
-    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if("corrupt").alias("n_corrupt"))
+    SL.compact_run_logs(spark, path, out)
+    return _messages(spark.read.parquet(out), _user_of_file())

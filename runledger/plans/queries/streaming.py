@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from runledger.plans.queries import quality as _quality, runs as _runs  # noqa: F401  (their oracles are reused)
 from runledger.plans.queries.registry import ORACLE, register
-from runledger.plans.queries.sources import _user_of_file, _write_run_logs
+from runledger.plans.queries.sources import _messages, _user_of_file, _write_run_logs
 from runledger.plans.tables import table
 from runledger.sources import logs as SL
 from runledger.streaming import streams as SS
@@ -26,35 +26,34 @@ def _event_stream(spark, sf):
     return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-@register("stream_run_log", """SELECT user_id, count(*) AS n_lines, count_if(event_type = 'error' AND value > 300) AS n_corrupt
-  FROM events GROUP BY user_id""")
+@register("stream_run_log", ORACLE["run_log_permissive"])
 def q_stream_run_log(spark, sf):
-    """ST-01: run logs picked up as files land (availableNow), permissive, counted per file."""
-    path = _write_run_logs(spark, sf)
+    """ST-01: the messages of run logs picked up as files land (availableNow), permissive."""
     out = SL.scratch_path(spark, "st01")
-    s = SS.stream_run_log(spark, path, "permissive").select("file", "line_no", "type", "voided")
-    corrupt = F.col("type").isNull()
-    SS.run_available_now(s, out, "append", "st01")
-    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count_if(corrupt).alias("n_corrupt"))
+    SS.run_available_now(SS.stream_run_log(spark, _write_run_logs(spark, sf)), out, "append", "st01", SS.message_batch("permissive"))
+    return _messages(spark.read.parquet(out), _user_of_file())
 
 
-@register("stream_run_log_strict", """SELECT user_id, count(*) AS n_lines FROM events GROUP BY user_id
-  HAVING NOT bool_or(event_type = 'error' AND value > 300)""")
+@register("stream_run_log_strict", ORACLE["run_log_strict"])
 def q_stream_run_log_strict(spark, sf):
     """ST-01 (strict): files with a bad line yield nothing."""
-    path = _write_run_logs(spark, sf)
     out = SL.scratch_path(spark, "st01s")
-    SS.run_available_now(SS.stream_run_log(spark, path, "strict").select("file", "line_no"), out, "append", "st01s")
-    return spark.read.parquet(out).groupBy(_user_of_file().alias("user_id")).agg(F.count(F.lit(1)).alias("n_lines"))
+    SS.run_available_now(SS.stream_run_log(spark, _write_run_logs(spark, sf)), out, "append", "st01s", SS.message_batch("strict"))
+    return _messages(spark.read.parquet(out), _user_of_file())
 
 
-@register("assemble_answers", """SELECT conv_id, string_agg(text, '' ORDER BY turn) AS answer, count(*) AS n_chunks
-  FROM conversations WHERE role = 'assistant' GROUP BY conv_id""")
+_ANSWER_PART = 400  # characters of an answer part here, so that answers have several
+
+
+@register("assemble_answers", f"""WITH c AS (SELECT conv_id, turn, text,
+    sum(coalesce(length(text), 0)) OVER (PARTITION BY conv_id ORDER BY turn) - coalesce(length(text), 0) AS before
+  FROM conversations WHERE role = 'assistant')
+SELECT conv_id, CAST(before // {_ANSWER_PART} AS BIGINT) AS part, string_agg(text, '' ORDER BY turn) AS answer, count(*) AS n_chunks
+  FROM c GROUP BY 1, 2""")
 def q_assemble_answers(spark, sf):
-    """ST-02: streamed answer chunks (assistant turns) concatenated in order."""
+    """ST-02: streamed answer chunks (assistant turns) concatenated in order, in numbered parts."""
     cv = table(spark, sf, "conversations").filter(F.col("role") == "assistant")
-    return SS.assemble_stream(cv, ["conv_id"], "turn", "text")
+    return SS.assemble_stream(cv, ["conv_id"], "turn", "text", _ANSWER_PART)
 
 
 @register("stream_attempts", ORACLE["attempt_history"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults that matter at scale: AQE re-plans joins and coalesces partitions at
 # runtime, skew-join splitting handles hot keys, UTC keeps date arithmetic stable.
@@ -65,6 +66,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 200_000  # rows of a few narrow columns (some 30 MB) that may go to every executor
+
+
+def broadcast_small(written: DataFrame) -> DataFrame:
+    """Mark a narrow, already written frame for broadcast if its count allows; else joins shuffle."""
+    return F.broadcast(written) if written.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else written
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Driver-side metadata check through the Hadoop FileSystem of ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"

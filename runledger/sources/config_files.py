@@ -6,38 +6,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.functions import config as C
+from runledger.sources.exports import read_fragments, write_fragments
 from runledger.sources.logs import file_lines, whole_files
 
 
+def parse_kv(lines: DataFrame, keys=("file",)) -> DataFrame:
+    """Settings of numbered ``.env`` lines (keys..., line_no, line): trimmed, blanks and ``#`` lines
+    dropped, split on the first ``=`` (both sides trimmed), lines without ``=`` dropped; of a repeated
+    setting the later one wins."""
+    lines = lines.withColumn("line", F.trim("line"))
+    kv = (lines.filter(~F.col("line").startswith("#") & F.col("line").contains("="))
+               .select(*keys, "line_no", F.split("line", "=", 2).alias("p"))
+               .select(*keys, "line_no", F.trim(F.col("p")[0]).alias("key"), F.trim(F.col("p")[1]).alias("value")))
+    last = kv.groupBy(*keys, "key").agg(F.max(F.struct("line_no", "value")).alias("_b"))
+    return last.select(*keys, "key", F.col("_b.value").alias("value"), F.col("_b.line_no").alias("line_no"))
+
+
 def read_kv(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-04: ``.env`` files: trimmed lines, blanks and ``#`` lines dropped, split on the
-    first ``=`` (both sides trimmed), lines without ``=`` dropped; the later duplicate
-    in a file wins. Returns (file, key, value, line_no).
+    """SRC-04: settings of every ``.env`` file under ``path``: (file, key, value, line_no).
 
     Spark's file index skips hidden names (leading ``.`` or ``_``), explicit paths
     included, so fleet ``.env`` files must be stored under visible names (for example
     ``<run>/dotenv``) to be read here.
     """
-    lines = file_lines(spark, path).withColumn("line", F.trim("line"))
-    kv = (lines.filter(~F.col("line").startswith("#") & F.col("line").contains("="))
-               .select("file", "line_no", F.split("line", "=", 2).alias("p"))
-               .select("file", "line_no", F.trim(F.col("p")[0]).alias("key"), F.trim(F.col("p")[1]).alias("value")))
-    last = kv.groupBy("file", "key").agg(F.max(F.struct("line_no", "value")).alias("_b"))
-    return last.select("file", "key", F.col("_b.value").alias("value"), F.col("_b.line_no").alias("line_no"))
+    return parse_kv(file_lines(spark, path))
 
 
 def write_kv(df: DataFrame, path: str, group_cols=(), key_col: str = "key", value_col: str = "value",
              order_col: str | None = None) -> None:
-    """SRC-05: ``key=value`` lines joined by newlines, one file per group (``group_cols``
-    become folders). Spark's text writer ends every record with a line separator, so
-    a file ends in one newline (readers skip blank lines)."""
-    order = F.col(order_col) if order_col else F.col(key_col)
-    arr = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.concat_ws("=", key_col, value_col).alias("l"))))
-    body = F.array_join(F.transform(arr, lambda x: x["l"]), "\n")
-    g = list(group_cols)
-    out = (df.groupBy(*g).agg(body.alias("value")) if g else df.agg(body.alias("value")))
-    w = out.write.mode("overwrite")
-    (w.partitionBy(*g) if g else w).text(path)
+    """SRC-05: ``key=value`` lines of every group (or of the whole table) in order, as fragments: no
+    group is gathered into one value. A null key or value is left out of its line."""
+    write_fragments(df, list(group_cols), [order_col or key_col], F.concat_ws("=", key_col, value_col), path)
+
+
+def read_kv_export(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-04 on a :func:`write_kv` export: (group..., key, value, line_no)."""
+    lines = read_fragments(spark, path)
+    return parse_kv(lines, tuple(c for c in lines.columns if c not in ("line_no", "line")))
 
 
 def _quoted(c: Column) -> Column:

@@ -1,8 +1,8 @@
 """Run-log and execution-log sources and sinks (SRC-01, SRC-02, SRC-03, SRC-13, SRC-16).
 
-Log files are read whole (``wholetext``): one record per file keeps the exact line
-order, which "last result line" and "one bad line voids the file" depend on, and packs
-many small files per task (``openCostInBytes``). Lines are then exploded in place.
+Log files are read split. Line order, which "last result line" depends on, comes from the place of each
+line's split in its file (``lines.py``); "one bad line voids the file" is an aggregated flag per file. Text
+exports are written as numbered fragments (``exports.py``), documents as containers (``containers.py``).
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.session import checkpoint_dir
+from runledger.session import checkpoint_dir, path_exists
+from runledger.sources.containers import read_container, write_container
+from runledger.sources.exports import read_fragments, write_fragments
+from runledger.sources.lines import number_lines, split_lines
 
 # Message fields of a run-log line (assistant text and the result line).
 MESSAGE_SCHEMA = ("type string, subtype string, is_error boolean, duration_ms bigint, duration_api_ms bigint, "
@@ -27,13 +30,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/runledger-io/{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Driver-side metadata check through the Hadoop FileSystem of ``path``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, value) with one row per file under ``path`` (recursive); a missing path is
     an empty input, as a missing document or state file is nothing to read."""
@@ -44,10 +40,8 @@ def whole_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
-    """(file, line_no, line) for every text file under ``path`` (recursive)."""
-    raw = whole_files(spark, path)
-    lines = raw.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    return lines if keep_blank else lines.filter(F.length(F.trim("line")) > 0)
+    """(file, line_no, line) for every text file under ``path`` (recursive), files split among tasks."""
+    return number_lines(split_lines(spark, path), keep_blank)
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -60,28 +54,41 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
                  .filter(F.length(F.trim("line")) > 0))
 
 
-def read_run_log(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
-    """SRC-01: one row per message of every JSONL run log under ``path``.
+def parse_messages(lines: DataFrame, mode: str = "strict") -> DataFrame:
+    """SRC-01: messages of numbered run-log lines (file, line_no, line).
 
-    Blank lines are skipped. ``strict`` (the source's rule): one unparseable line voids
-    the whole file; ``permissive`` keeps good lines and flags the bad ones. Each file is
-    one row, so the strict test is an in-row check before the explode (no join).
+    ``strict`` (the source's rule): one unparseable line voids the whole file; ``permissive`` keeps good
+    lines and flags the bad ones. The flag is aggregated per file (one row per file and map task), and
+    the lines of voided files leave by an anti join, so no file is gathered.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(mode)
-    raw = whole_files(spark, path)
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    idx = F.filter(F.transform(F.split("value", "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))),
-                   lambda e: F.length(F.trim(e["line"])) > 0)
-    parsed = F.transform(idx, lambda e: F.struct(e["line_no"].alias("line_no"),
-                                                 F.from_json(e["line"], MESSAGE_SCHEMA, opts).alias("m")))
-    bad = lambda e: e["m"].isNull() | e["m"]["_corrupt_record"].isNotNull()
-    rows = raw.select("file", parsed.alias("ms"))
+    m = F.from_json("line", MESSAGE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = lines.select("file", "line_no", m.alias("m"))
+    rows = rows.select("file", "line_no", (F.col("m").isNull() | F.col("m._corrupt_record").isNotNull()).alias("corrupt"), "m.*").drop("_corrupt_record")
     if mode == "strict":
-        rows = rows.filter(~F.exists("ms", bad))
-    return (rows.select("file", F.explode("ms").alias("e"))
-                .select("file", F.col("e.line_no").alias("line_no"), bad(F.col("e")).alias("corrupt"), "e.m.*")
-                .drop("_corrupt_record"))
+        rows = rows.join(rows.filter("corrupt").select("file").distinct(), "file", "left_anti")
+    return rows
+
+
+def read_run_log(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
+    """SRC-01: one row per message of every JSONL run log under ``path``, blank lines skipped
+    (:func:`parse_messages`)."""
+    return parse_messages(file_lines(spark, path), mode)
+
+
+def write_run_logs(df: DataFrame, run_col: str, order_cols: Sequence[str], line_col: str, path: str) -> None:
+    """SRC-01: run logs as an export: few fragment files and a manifest instead of one file per run."""
+    write_fragments(df, [run_col], order_cols, F.col(line_col), path)
+
+
+def read_run_log_export(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
+    """SRC-01: messages of a :func:`write_run_logs` export; the run stands in place of the file, so one
+    bad line voids its run."""
+    lines = read_fragments(spark, path)
+    run = lines.columns[0]
+    lines = lines.select(F.col(run).alias("file"), "line_no", "line").filter(F.length(F.trim("line")) > 0)
+    return parse_messages(lines, mode).withColumnRenamed("file", run)
 
 
 def result_messages(messages: DataFrame) -> DataFrame:
@@ -93,11 +100,9 @@ def result_messages(messages: DataFrame) -> DataFrame:
 
 
 def write_json_array(df: DataFrame, group_cols: Sequence[str], order_col: str, msg_col: str, path: str) -> None:
-    """SRC-02: every group's messages as one JSON array text file per group."""
-    arr = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(msg_col).alias("m"))))
-    out = df.groupBy(*group_cols).agg(F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: x["m"]), ","),
-                                               F.lit("]")).alias("value"))
-    out.select(*group_cols, "value").write.mode("overwrite").partitionBy(*group_cols).text(path)
+    """SRC-02: every group's messages (JSON texts) as one JSON array, in fragments: a group of any size
+    is never gathered into one value."""
+    write_fragments(df, group_cols, [order_col], F.col(msg_col), path, as_array=True)
 
 
 def read_exec_log(spark: SparkSession, path: str) -> DataFrame:
@@ -110,19 +115,27 @@ def read_exec_log(spark: SparkSession, path: str) -> DataFrame:
                         F.when(ts != "", F.regexp_extract("line", EXEC_LINE, 3)).otherwise(F.col("line")).alias("message"))
 
 
+PROMPT_NAME = "/"  # separates run, agent and command in a prompt's name
+
+
 def write_prompts(df: DataFrame, run_col: str, agent_col: str, text_col: str, order_col: str, path: str) -> DataFrame:
-    """SRC-13: keep texts that start with ``/word``; one prompt per (run, agent, command),
-    the last one wins; stored partitioned by run, agent and command. Returns what was
-    written."""
+    """SRC-13: keep texts that start with ``/word``; one prompt per (run, agent, command), the last one
+    wins; stored in a container under the name ``run/agent/command``. Returns what was written."""
     cmd = F.regexp_extract(F.col(text_col), r"^/(\w+)", 1)
     p = df.select(run_col, agent_col, order_col, text_col, cmd.alias("command")).filter(F.col("command") != "")
     keys = [run_col, agent_col, "command"]
     last = p.groupBy(*keys).agg(F.max(F.struct(order_col, text_col)).alias("_b")) \
             .select(*keys, F.col("_b." + text_col).alias("prompt"))
-    last.write.mode("overwrite").partitionBy(*keys).text(path)
+    write_container(last.withColumn("_name", F.concat_ws(PROMPT_NAME, *keys)), path, "_name", "prompt")
     return last
 
 
+def read_prompts(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-13: (run, agent, command, prompt) of a prompt container."""
+    name = F.split("name", PROMPT_NAME)
+    return read_container(spark, path).select(name[0].alias("run"), name[1].alias("agent"), name[2].alias("command"), F.col("text").alias("prompt"))
+
+
 def read_docs(spark: SparkSession, path: str, wanted: DataFrame | None = None, name_col: str = "name") -> DataFrame:
     """SRC-16: whole documents (one row per file); with ``wanted`` names, a missing
     document gives the empty string."""
@@ -133,16 +146,12 @@ def read_docs(spark: SparkSession, path: str, wanted: DataFrame | None = None, n
     return wanted.join(d, name_col, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
-def compact_run_logs(spark: SparkSession, path: str, out: str, buckets: int = 64, mode: str = "permissive") -> None:
-    """Compact many small run-log files into Parquet (one pass, many files per task).
+def compact_run_logs(spark: SparkSession, path: str, out: str, mode: str = "permissive") -> None:
+    """Compact run-log files into Parquet ranged by (file, line_no).
 
-    Rows are partitioned by ``bucket = pmod(xxhash64(file), buckets)``, not one folder
-    per run, so a fleet of small runs does not become a fleet of tiny folders; readers
-    of one run prune to its bucket. Writes are overwrite, so a retried job replaces its
-    own output.
+    The ranges follow the data: many small files share one, a large file spans several, and a reader
+    of one file skips the row groups of others by their bounds. Writes are overwrite, so a retried job
+    replaces its own output.
     """
     msgs = read_run_log(spark, path, mode)
-    b = F.pmod(F.xxhash64("file"), F.lit(buckets)).cast("int")
-    (msgs.withColumn("bucket", b).repartition("bucket")
-         .sortWithinPartitions("file", "line_no")
-         .write.mode("overwrite").partitionBy("bucket").parquet(out))
+    msgs.repartitionByRange("file", "line_no").sortWithinPartitions("file", "line_no").write.mode("overwrite").parquet(out)

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from runledger.operators.runs import MAX_ATTEMPTS, attach, attempts, latest, percentile_of_counts
-from runledger.sources.logs import MESSAGE_SCHEMA, path_exists
+from runledger.operators.runs import MAX_ATTEMPTS, attach, attempts, latest, percentile_of_counts, running_total
+from runledger.sources.lines import number_lines, stream_lines
+from runledger.sources.logs import parse_messages
 from runledger.streaming.versions import Versions
 
 
@@ -114,30 +115,34 @@ def read_versions(spark: SparkSession, path: str, keys: Sequence[str], value_col
     return v.read().select(*keys, *value_cols)
 
 
-def stream_run_log(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
-    """ST-01: run-log messages from files as they land (whole files only).
+def stream_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """ST-01: the lines of run logs as files land, each with its file and split; files are split among
+    tasks. :func:`message_batch` makes messages of a micro-batch."""
+    return stream_lines(spark, path)
 
-    Each file arrives as one row, so strictness is an in-row test: a file with any bad
-    line yields no messages, with no join or shuffle.
+
+def message_batch(mode: str = "strict"):
+    """ST-01: per micro-batch the messages of its files (:func:`parse_messages`). A file lands and is
+    read whole within one batch, so its lines are numbered and one bad line voids it there."""
+    def fn(batch: DataFrame) -> DataFrame:
+        return parse_messages(number_lines(batch), mode)
+    return fn
+
+
+def assemble_stream(chunks: DataFrame, key_cols: Sequence[str], seq_col: str, text_col: str,
+                    part_chars: int = 1 << 20) -> DataFrame:
+    """ST-02: a streamed answer concatenated in sequence order, per key, in numbered parts.
+
+    A chunk belongs to the part in which it begins, counting ``part_chars`` characters a part, so a part
+    holds at most that many and one chunk more; the parts of a key in order are its answer. Characters
+    before a chunk come from prefix sums over range partitions, so no answer is gathered into one value.
     """
-    raw = (spark.readStream.option("wholetext", True).option("recursiveFileLookup", True).format("text").load(path)
-                .select(F.col("_metadata.file_path").alias("file"), "value"))
-    lines = F.filter(F.split("value", "\n"), lambda x: F.length(F.trim(x)) > 0)
-    parsed = F.transform(lines, lambda x: F.from_json(x, MESSAGE_SCHEMA,
-                                                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
-    bad = F.exists(parsed, lambda m: m.isNull() | m["_corrupt_record"].isNotNull())
-    rows = raw.select("file", parsed.alias("ms"), bad.alias("voided"))
-    if mode == "strict":
-        rows = rows.filter(~F.col("voided"))
-    return rows.select("file", "voided", F.posexplode("ms").alias("line_no", "m")).select(
-        "file", "line_no", "voided", "m.*").drop("_corrupt_record")
-
-
-def assemble_stream(chunks: DataFrame, key_cols: Sequence[str], seq_col: str, text_col: str) -> DataFrame:
-    """ST-02: a streamed answer concatenated in sequence order, per key (batch)."""
+    keys = list(key_cols)
+    at = running_total(chunks, keys, [seq_col], F.coalesce(F.length(text_col), F.lit(0)), "_before")
+    part = F.floor(F.col("_before") / part_chars).alias("part")
     arr = F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"), F.col(text_col).alias("t"))))
-    return chunks.groupBy(*key_cols).agg(F.array_join(F.transform(arr, lambda x: x["t"]), "").alias("answer"),
-                                         F.count(F.lit(1)).alias("n_chunks"))
+    return at.groupBy(*keys, part).agg(F.array_join(F.transform(arr, lambda x: x["t"]), "").alias("answer"),
+                                       F.count(F.lit(1)).alias("n_chunks"))
 
 
 def stream_attempts(events: DataFrame) -> DataFrame:
