@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from .common import small
 
 ARCHIVE_BYTES = 16 << 20  # record bytes after which a task starts its next archive
+HEADER_BYTES = 1 << 20    # longest header that is looked for
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 END = b"\r\n\r\n"
+MANDATORY = {"warc-record-id", "content-length", "warc-date", "warc-type"}
 
 RECORD_SCHEMA = ("file string, offset long, length long, kind string, record_type string, record_id string, target_uri string, "
                  "payload_bytes long, payload_digest string, refers_to string, reason string, payload binary")
@@ -72,7 +74,7 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int] | str:
     """(fields, block, end) of the record that starts at ``at``, or why there is no valid one."""
     if not START.match(buf, at) or buf[at:at + 1] == b"\x1f":
         return "no version line"
-    stop = buf.find(END, at)
+    stop = buf.find(END, at, at + HEADER_BYTES)
     if stop < 0:
         return "no end of header"
     fields = {}
@@ -80,10 +82,15 @@ def parse_record(buf: bytes, at: int) -> tuple[dict, bytes, int] | str:
         name, colon, value = line.partition(b":")
         if not colon:
             return "header line without colon"
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    size = fields.get("content-length", "")
+        key = name.strip().lower().decode("latin-1")
+        if key in fields and key != "warc-concurrent-to":
+            return "header field repeated"
+        fields[key] = value.strip().decode("utf-8", "replace")
+    if not MANDATORY <= fields.keys():
+        return "mandatory field missing"
+    size = fields["content-length"]
     if not re.fullmatch(r"\d{1,18}", size, re.ASCII):
-        return "no content length"
+        return "content length is no number"
     body, end = stop + 4, stop + 4 + int(size)
     if buf[end:end + 4] != END:
         return "record end not where its length says"
