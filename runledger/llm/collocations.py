@@ -25,6 +25,7 @@ from .common import Scratch
 ROUTE = 1 << 19        # suffixes of a group, about
 HOT_WORDS = 1 << 16    # most words that are routed by their next words too
 BITS = 26              # log2 of the bits of the table of frequent words (8 MB)
+SLICE = 1 << 20        # words whose suffixes are counted together before they are sent
 CHUNK = 1 << 20        # text bytes that are split into words together
 # Bytes: A-Z to lower case, piece ends to \n, tab to space.
 _MAP = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -61,13 +62,14 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, seed) or 1 for w in words], dtype=np.uint64).view(np.int64)
 
 
-def suffixes(ids: np.ndarray, frequent: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def suffixes(ids: np.ndarray, frequent: np.ndarray, depth: int, starts: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct suffixes of at least two words (n x depth word numbers, 0 after the end) and their counts.
 
-    A suffix ends at a piece end, before a word that is not ``frequent``, or after ``depth`` words.
+    A suffix starts at one of the first ``starts`` words (all, if None) and ends at a piece end, before a
+    word that is not ``frequent``, or after ``depth`` words.
     """
     ok = np.concatenate([frequent[ids], np.zeros(depth, bool)])
-    at = np.flatnonzero(ok[:len(ids)] & ok[1:len(ids) + 1])
+    at = np.flatnonzero(ok[:len(ids)][:starts] & ok[1:len(ids) + 1][:starts])
     longer = np.concatenate([ids, np.zeros(depth, ids.dtype)])
     cols, live = [], np.ones(len(at), bool)
     for j in range(depth):
@@ -181,10 +183,11 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, max_words: int = 3, least:
                 h = np.concatenate([[0, 0], word_hashes(lang, list(ids)[2:])]).astype(np.int64)
                 bit = table[h >> 6 & (1 << BITS - 6) - 1] >> (h & 63) & 1
                 known = bit.astype(bool) & (h != 0)
-                codes, n = suffixes(seq, known, max_words)
-                w = h[codes]
-                yield pa.record_batch([pa.array(routes(w, hot, n_routes)), *(pa.array(np.ascontiguousarray(w[:, j])) for j in range(max_words)),
-                                       pa.array(n.astype(np.int64))], names=["route", *names, "f"])
+                for at in range(0, len(seq), SLICE):
+                    codes, n = suffixes(seq[at:at + SLICE + max_words], known, max_words, SLICE)
+                    w = h[codes]
+                    yield pa.record_batch([pa.array(routes(w, hot, n_routes)), *(pa.array(np.ascontiguousarray(w[:, j])) for j in range(max_words)),
+                                           pa.array(n.astype(np.int64))], names=["route", *names, "f"])
 
     columns = ", ".join(f"{x} long" for x in names)
 
