@@ -151,12 +151,16 @@ def head_tail(col, max_length: int = 8000) -> Column:
         F.concat(F.substring(c, 1, half), F.lit(SUMMARY_MARKER), tail))
 
 
+# Fixed value: steps back within which the smart budget keeps a document whole.
+NEAR_STEPS = 5
+
+
 def budget_text(text, distance, mode: str = "smart") -> Column:
     """FN-06: context budget. smart: head/tail to 2000 when more than 5 steps back;
     summarized: always head/tail to 3000; full: unchanged."""
     t, d = _c(text), _c(distance)
     if mode == "smart":
-        return F.when(d > 5, head_tail(t, 2000)).otherwise(t)
+        return F.when(d > NEAR_STEPS, head_tail(t, 2000)).otherwise(t)
     if mode == "summarized":
         return head_tail(t, 3000)
     if mode == "full":

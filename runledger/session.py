@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +62,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
+    """``df`` written once as a table under the shared checkpoint folder and read from there: a lost
+    executor costs its tasks only, and later plans see the table's real size (a checkpoint carries its
+    plan's estimate on, which iterative joins multiply beyond any use). The table goes when the
+    application ends."""
+    spark = df.sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/runledger-cuts-{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    table = f"{root}/{uuid.uuid4().hex}"
+    df.write.parquet(table)
+    return spark.read.schema(df.schema).parquet(table)
+
+
+def cut_in_place(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint for frames whose partitions and row order later steps rely on; never a
+    local checkpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runledger.operators.runs import attach
-from runledger.session import cut_lineage
+from runledger.session import cut_in_place
 from runledger.sources.lines import number_lines, split_lines
 
 _IN_TASK = (1 << 33) - 1  # the part of monotonically_increasing_id that counts rows within a task
@@ -38,7 +38,7 @@ def write_fragments(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
             first.select(*g, *o, F.lit(1).alias("_end"), F.lit("]").alias("value")))
     rows = rows.select(*g, "_end", *o, F.posexplode(F.split("value", "\n")).alias("_part", "value"))
     keys = [*g, "_end", *o, "_part"]
-    placed = cut_lineage(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = cut_in_place(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
                          .select(*g, "value", F.spark_partition_id().alias("fragment"), F.monotonically_increasing_id().alias("_at")))
     placed.select("value").write.mode("overwrite").option("lineSep", "\n").text(path)
     first_line = F.min(F.col("_at").bitwiseAND(F.lit(_IN_TASK)))

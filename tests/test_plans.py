@@ -63,8 +63,8 @@ def test_first_k_limits_rows_before_the_shuffle(spark, name):
 
 def test_thread_positions_use_range_partitioning(spark):
     p = plan(QUERIES["ordered_comments"](spark, SF_SMALL))
-    assert "rangepartitioning" not in p  # cut once into a checkpointed frame that both sides read
-    assert p.count("Scan ExistingRDD") >= 2 and "row_number" not in p  # no per-thread row_number window
+    assert "rangepartitioning" not in p  # cut once into a written table that both sides read
+    assert p.count("Scan parquet") >= 2 and "row_number" not in p  # no per-thread row_number window
 
 
 def test_fk_keys_are_counted_before_the_anti_join(spark):
