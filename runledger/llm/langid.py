@@ -21,7 +21,6 @@ from .common import Scratch, hash_sample
 
 TRAIN_DOCS = 1500      # sample documents per language, by hash of the id (a bound of the fit only)
 ROUNDS = 3             # EM rounds
-MAX_PIECE = 8          # characters of a piece
 SMOOTH = 0.05          # expected count added to every piece
 CACHE_WORDS = 200_000  # remembered words per worker; a full cache starts anew
 VOCABULARY = "piece_bpe_32k.model"
@@ -39,7 +38,7 @@ def vocabulary(path: str | None = None) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(VOCABULARY))
     found = {sp.id_to_piece(i).lower() for i in range(sp.get_piece_size())}
-    return ["", *sorted(p for p in found if 0 < len(p) <= MAX_PIECE and p.lstrip("▁").isalpha() and p.rfind("▁") < 1)]
+    return ["", *sorted(p for p in found if p and p.lstrip("▁").isalpha() and p.rfind("▁") < 1)]
 
 
 class Pieces:
@@ -47,6 +46,7 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)
+        self.longest = max(map(len, pieces))
         self.tables = {}
         for n in sorted({len(p) for p in pieces if p}):
             ids = np.array([i for i, p in enumerate(pieces) if len(p) == n])
@@ -61,7 +61,7 @@ class Pieces:
         """{length: ids (words, starts)} for words of one length; -1 where no piece; single characters always have one."""
         out = {}
         h = np.zeros(codes.shape, dtype=np.uint64)
-        for n in range(1, min(MAX_PIECE, codes.shape[1]) + 1):
+        for n in range(1, min(self.longest, codes.shape[1]) + 1):
             h = (h[:, :codes.shape[1] - n + 1] + codes[:, n - 1:]) * _BASE
             if n in self.tables:
                 keys, ids = self.tables[n]
@@ -99,7 +99,7 @@ def word_scores(words: list[str], probs: np.ndarray, pieces: Pieces) -> np.ndarr
                 if k <= j:
                     s += a[-k] * table[got[:, j - k]]
             a.append(s)
-            a = a[-MAX_PIECE:]
+            a = a[-pieces.longest:]
             if n > _SCALED:
                 scale += np.log(s)
                 a = [x / s for x in a]
@@ -114,29 +114,32 @@ def expected_counts(words: list[str], counts: np.ndarray, p: np.ndarray, pieces:
     for idx, codes in _by_length(words):
         ids = pieces.find(codes)
         n, c = codes.shape[1], counts[idx]
-        if n > _SCALED:  # such words are too few to matter for a fit
-            continue
-        a = np.zeros((n + 1, len(idx)))
-        b = np.zeros((n + 1, len(idx)))
-        a[0] = b[n] = 1
+        # fall[j] is the log of the forward sum up to j; the backward sums are kept relative to it, so
+        # that long words do not underflow
+        fall, b = np.zeros((n + 1, len(idx))), np.zeros((n + 1, len(idx)))
+        b[n] = 1
         for j in range(1, n + 1):
+            total = np.zeros(len(idx))
             for k, got in ids.items():
                 if k <= j:
-                    a[j] += a[j - k] * table[got[:, j - k]]
+                    total += np.exp(fall[j - k] - fall[j - 1]) * table[got[:, j - k]]
+            fall[j] = fall[j - 1] + np.log(total)
         for j in range(n - 1, -1, -1):
             for k, got in ids.items():
                 if j + k <= n:
-                    b[j] += table[got[:, j]] * b[j + k]
+                    b[j] += table[got[:, j]] * b[j + k] * np.exp(fall[j] - fall[j + k])
         for k, got in ids.items():
             for j in range(n - k + 1):
-                use = a[j] * table[got[:, j]] * b[j + k] / a[n] * c
+                use = table[got[:, j]] * b[j + k] * np.exp(fall[j] - fall[j + k]) * c
                 hit = got[:, j] >= 0
                 out += np.bincount(got[hit, j], weights=use[hit], minlength=pieces.size)
     return out
 
 
 def letter_words(text: str) -> list[str]:
-    return _RUN.findall(text.lower())
+    runs = _RUN.findall(text.lower())
+    # the pattern also takes numerals such as a half or a superscript two, which are no letters
+    return runs if "".join(runs).isalpha() else [x for r in runs for x in "".join(c if c.isalpha() else " " for c in r).split()]
 
 
 def train(df: DataFrame, vocab: list[str], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:

@@ -13,6 +13,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,15 +236,14 @@ def judge(df: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep(df: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text the rules keep, all columns unchanged."""
-    types = df.schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of ``df`` whose text the rules keep, all columns unchanged: the columns stay Arrow
+    arrays of which a mask keeps rows, so no value is converted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             good = []
-            for t in b[text_col]:
+            for t in b.column(text_col).to_pylist():
                 (n, _, _, _, rep), x, counts = analyse(t)
                 good.append(n >= MIN_WORDS and 100 * rep <= MAX_REPEAT * n and float(counts @ model.decode([x])[0]) >= MIN_CONTENT * n)
-            yield b[np.array(good, dtype=bool)]
+            yield b.filter(pa.array(good, pa.bool_()))
 
-    return df.mapInPandas(run, types)
+    return df.mapInArrow(run, df.schema)

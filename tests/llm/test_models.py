@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.01"
 def segmentations(word, vocab):
     if not word:
         yield []
-    for n in range(1, min(langid.MAX_PIECE, len(word)) + 1):
+    for n in range(1, len(word) + 1):
         head = word[:n]
         i = vocab.get(head, 0 if n == 1 else None)
         if i is not None:
@@ -44,6 +44,35 @@ def test_forward_sum_equals_all_segmentations():
     for p, s in weights:
         np.add.at(want, s, 2 * p / sum(w for w, _ in weights))
     assert np.allclose(short, want)
+    long = langid.expected_counts(["abc" * 500, "b"], np.array([3.0, 0.0]), probs[0], langid.Pieces(pieces))
+    assert np.isclose(sum(n * max(1, len(p)) for n, p in zip(long, pieces)), 3 * 1501)  # every character in one piece
+
+
+def test_words_are_runs_of_letters():
+    assert langid.letter_words("½ ² Ⅳ 12_3") == []
+    assert langid.letter_words("Ab½cd été_x日本 ①ǅ") == ["ab", "cd", "été", "x日本", "ǆ"]
+
+
+def test_vocabulary_is_whole():
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(langid.VOCABULARY))
+    letters = {p for i in range(sp.get_piece_size()) for p in [sp.id_to_piece(i).lower()] if p.lstrip("▁").isalpha() and "▁" not in p[1:]}
+    assert set(langid.vocabulary()) == {"", *letters} and max(map(len, letters)) == 16
+
+
+def test_kept_rows_come_back_unchanged(spark):
+    import datetime as dt
+
+    good = "\n".join(sentence(i, 30) for i in range(4))
+    rows = [(2 ** 53 + 3, good, 2 ** 53 + 1, {"a": [1, None]}, dt.datetime(2024, 1, 1), None), (None, good, None, None, None, 1.5),
+            (2 ** 62 + 1, good, 2 ** 60 + 1, {}, None, None), (4, "short", 1, None, None, None), (5, None, 1, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long, m map<string,array<int>>, at timestamp_ntz, x double")
+    model = quality.Crf(np.zeros((quality.FEATURES, 2)) + [[0, 1]], np.zeros((2, 2)))  # everything is content
+    got = quality.keep(df, model)
+    assert got.schema == df.schema
+    assert [tuple(r) for r in got.collect()] == rows[:3]
 
 
 def test_langid_held_out_accuracy_and_odd_rows(spark, odd_rows):

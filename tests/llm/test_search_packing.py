@@ -67,7 +67,6 @@ def test_packing_round_trip(spark, odd_rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
     rows = [r for r in odd_rows] + [(100 + i, sentence(i, 5 + 17 * i % 400)) for i in range(150)] + [(300, "a <|endoftext|> b"), (301, "\x85  x  \r\n\ty ")]
     df = documents(spark, rows).withColumnRenamed("lang", "length")
     got = packing.pack(df, with_ids=True, pieces_per_task=60).collect()
