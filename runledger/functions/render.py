@@ -165,12 +165,12 @@ def test_report(results: DataFrame, run_cols: Sequence[str], order_col: str) ->
                      test_json(F.col("test_name"), F.col("passed"), F.col("execution_command"),
                                F.col("test_purpose"), F.col("error")), F.lit("\n```\n\n"))
     agg = results.groupBy(*run_cols).agg(
-        ordered_join(F.when(~F.col("passed"), block).otherwise(F.lit("")), F.col(order_col)).alias("_f"),
-        ordered_join(F.when(F.col("passed"), block).otherwise(F.lit("")), F.col(order_col)).alias("_p"),
+        F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), "passed", block.alias("t")))).alias("_all"),
         F.count_if(F.col("passed")).alias("_np"), F.count_if(~F.col("passed")).alias("_nf"), F.count(F.lit(1)).alias("_n"))
+    failed, passed = (F.array_join(F.filter("_all", keep)["t"], "") for keep in (lambda x: ~x["passed"], lambda x: x["passed"]))
     text = F.concat(
-        F.when(F.col("_nf") > 0, F.concat(F.lit("\n" + FAILED_HEADER + "\n\n"), F.col("_f"))).otherwise(F.lit("")),
-        F.when(F.col("_np") > 0, F.concat(F.lit(PASSED_HEADER + "\n\n"), F.col("_p"))).otherwise(F.lit("")),
+        F.when(F.col("_nf") > 0, F.concat(F.lit("\n" + FAILED_HEADER + "\n\n"), failed)).otherwise(F.lit("")),
+        F.when(F.col("_np") > 0, F.concat(F.lit(PASSED_HEADER + "\n\n"), passed)).otherwise(F.lit("")),
         fill_template(TEST_SUMMARY, {"passed": F.col("_np").cast("string"), "failed": F.col("_nf").cast("string"),
                                      "total": F.col("_n").cast("string")}))
     return agg.select(*run_cols, F.when(F.col("_n") == 0, F.lit(NO_RESULTS)).otherwise(text).alias("report"))
@@ -182,14 +182,14 @@ def review_report(issues: DataFrame, run_cols: Sequence[str], order_col: str,
     listing its findings, then a summary line with the counts."""
     run_cols = list(run_cols)
     line = F.concat(F.lit("- #"), F.col("review_issue_number").cast("string"), F.lit(": "), F.col("issue_description"))
-    aggs = []
-    for s in severities:
-        aggs.append(ordered_join(F.when(F.col("issue_severity") == s, F.concat(line, F.lit("\n"))).otherwise(F.lit("")),
-                                 F.col(order_col)).alias(f"_l_{s}"))
-        aggs.append(F.count_if(F.col("issue_severity") == s).alias(f"_n_{s}"))
-    agg = issues.groupBy(*run_cols).agg(*aggs)
+    agg = issues.groupBy(*run_cols).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("issue_severity").alias("s"), F.concat(line, F.lit("\n")).alias("t")))).alias("_all"),
+        *[F.count_if(F.col("issue_severity") == s).alias(f"_n_{s}") for s in severities])
+    def found(severity: str) -> Column:
+        return F.array_join(F.filter("_all", lambda x: x["s"] == severity)["t"], "")
+
     parts = [F.when(F.col(f"_n_{s}") > 0, F.concat(F.lit(f"## {s} ("), F.col(f"_n_{s}").cast("string"), F.lit(")\n"),
-                                                   F.col(f"_l_{s}"), F.lit("\n"))).otherwise(F.lit("")) for s in severities]
+                                                   found(s), F.lit("\n"))).otherwise(F.lit("")) for s in severities]
     summary = F.concat_ws(", ", *[F.concat(F.lit(f"{s}: "), F.col(f"_n_{s}").cast("string")) for s in severities])
     return agg.select(*run_cols, F.concat(*parts, F.lit("Summary: "), summary).alias("report"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runledger.operators.runs import with_percentile
+from runledger.operators.skew import enrich
 
 # Stated targets.
 SUCCESS_RATE_TARGET = 0.95
@@ -75,11 +76,13 @@ def latency_gate(df: DataFrame, group_cols: Sequence[str], value_col: str, targe
                       F.coalesce(F.col("p95") <= F.col("target"), F.lit(False)).alias("passed"))
 
 
-def evaluate_gates(measured: DataFrame, targets: DataFrame, run_cols: Sequence[str], environment: str) -> DataFrame:
+def evaluate_gates(measured: DataFrame, targets: DataFrame, run_cols: Sequence[str], environment: str,
+                   runs: DataFrame | None = None) -> DataFrame:
     """A-10: each gate compares a measured metric to its target with its operator; a run
     passes when every applicable required or critical gate passes. Gates marked
-    production-only apply only in production. Every run of ``measured`` is held against
-    every applicable gate: one that was not measured, or whose value is null, fails.
+    production-only apply only in production. Every run of ``measured``, and of ``runs`` where
+    given (the runs that should have been measured), is held against every applicable gate: one
+    that was not measured, or whose value is null, fails.
 
     Of repeated measurements of a metric the greatest counts. Passed gates are counted per
     run and compared with the number of gates, so runs x gates is never built.
@@ -88,6 +91,9 @@ def evaluate_gates(measured: DataFrame, targets: DataFrame, run_cols: Sequence[s
     counts = F.col("required") | F.col("critical")
     total = gates.agg(F.count(F.lit(1))).scalar()
     needed = gates.agg(F.count_if(counts)).scalar()
+    if runs is not None:  # a row of no metric makes a run known
+        unmeasured = runs.select(*run_cols, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"))
+        measured = measured.select(*run_cols, "metric", "value").unionByName(unmeasured)
     one = measured.groupBy(*run_cols, "metric").agg(F.max("value").alias("value"))
     ok = F.lit(None).cast("boolean")
     for op, fn in _OPS.items():
@@ -250,6 +256,16 @@ def quota(df: DataFrame, run_cols: Sequence[str], limit_col: str) -> DataFrame:
                       (F.col("n_requests") - allowed).alias("n_rejected"))
 
 
+def quota_of(requests: DataFrame, limits: DataFrame, run_cols: Sequence[str], key: str, limit_col: str = "lim") -> DataFrame:
+    """W-08 from the limits table (one row per ``key`` counts: the greatest): requests are counted
+    per ``run_cols`` first, so a user's limit is joined to its days, not to its requests."""
+    counts = requests.groupBy(*run_cols).agg(F.count(F.lit(1)).alias("n_requests"))
+    one = limits.groupBy(key).agg(F.max(limit_col).alias("_lim"))
+    allowed = F.when(F.col("_lim").isNull(), F.col("n_requests")).otherwise(F.least("n_requests", "_lim"))
+    return enrich(counts, one, [key]).select(*run_cols, "n_requests", allowed.alias("n_allowed"),
+                                             (F.col("n_requests") - allowed).alias("n_rejected"))
+
+
 def quota_rows(df: DataFrame, run_cols: Sequence[str], order_cols: Sequence[str], limit_col: str) -> DataFrame:
     """W-08 (row form): each request marked allowed or rejected in arrival order."""
     w = Window.partitionBy(*run_cols).orderBy(*order_cols)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.text import fill_template
+from runledger.operators.skew import enrich
 
 
 # Endpoint policy (endpoint, method, required role); ``*`` is a wildcard
@@ -56,20 +57,19 @@ def authorise(requests: DataFrame, memberships: DataFrame, resources: DataFrame,
               user_col: str = "user_id", resource_col: str = "resource_id") -> DataFrame:
     """J-13: decision and reason, checked in order: required role missing; resource not
     found; admin override; not the owner (a resource without an owner is nobody's);
-    authorised."""
+    authorised. A user or resource with very many requests is dealt over salts
+    (:func:`skew.enrich`)."""
     r = requests.withColumn("required_role", required_role("endpoint", "method", policy))
-    has = memberships.select(F.col("user_id").alias("_u"), F.col("role").alias("_r")).distinct() \
-                     .withColumn("_has", F.lit(True))
-    adm = memberships.filter(F.col("role") == "admin").select(F.col("user_id").alias("_ua")).distinct() \
-                     .withColumn("_admin", F.lit(True))
-    res = resources.select(F.col("resource_id").alias("_rid"), F.col("owner_id").alias("_owner"))
-    j = (r.join(has, (F.col(user_col) == F.col("_u")) & (F.col("required_role") == F.col("_r")), "left")
-          .join(adm, F.col(user_col) == F.col("_ua"), "left")
-          .join(res, F.col(resource_col) == F.col("_rid"), "left"))
+    # one row per user with the few roles there are, so a user's requests are joined once
+    roles = memberships.groupBy(F.col("user_id").alias(user_col)).agg(F.collect_set("role").alias("_roles"))
+    res = resources.select(F.col("resource_id").alias(resource_col), F.lit(True).alias("_found"), F.col("owner_id").alias("_owner"))
+    j = enrich(enrich(r, roles, [user_col]), res, [resource_col])
+    has = F.coalesce(F.array_contains("_roles", F.col("required_role")), F.lit(False))
+    admin = F.coalesce(F.array_contains("_roles", F.lit("admin")), F.lit(False))
     role_txt = F.coalesce(F.col("required_role"), F.lit("None"))
-    reason = (F.when(F.col("_has").isNull(), fill_template(LACKS_ROLE, {"role": role_txt}))
-               .when(F.col(resource_col).isNotNull() & F.col("_rid").isNull(), F.lit(NOT_FOUND))
-               .when(F.col(resource_col).isNotNull() & F.col("_admin").isNotNull(), F.lit(ADMIN_OVERRIDE))
+    reason = (F.when(~has, fill_template(LACKS_ROLE, {"role": role_txt}))
+               .when(F.col(resource_col).isNotNull() & F.col("_found").isNull(), F.lit(NOT_FOUND))
+               .when(F.col(resource_col).isNotNull() & admin, F.lit(ADMIN_OVERRIDE))
                .when(F.col(resource_col).isNotNull() & ~F.col("_owner").eqNullSafe(F.col(user_col)),
                      F.lit(NOT_OWNER))
                .otherwise(F.lit(AUTHORIZED)))

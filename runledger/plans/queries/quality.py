@@ -169,7 +169,7 @@ _MEASURED_SQL = """SELECT o_custkey AS run_id, 'orders' AS metric, CAST(count(*)
 def _gate_sql(env: str) -> str:
     vals = ", ".join(f"('{m}', '{op}', {t}, {str(r).lower()}, {str(c).lower()}, {str(p).lower()})" for m, op, t, r, c, p in _GATES)
     return f"""WITH m AS ({_MEASURED_SQL}), t AS (SELECT * FROM (VALUES {vals}) AS t(metric, op, target, required, critical, production_only)),
-r AS (SELECT DISTINCT run_id FROM m),
+r AS (SELECT c_custkey AS run_id FROM customer UNION SELECT run_id FROM m),
 g AS (SELECT r.run_id, t.required OR t.critical AS counts, coalesce(CASE t.op WHEN '>=' THEN m.value >= t.target
   WHEN '<=' THEN m.value <= t.target WHEN '>' THEN m.value > t.target WHEN '<' THEN m.value < t.target
   WHEN '==' THEN m.value = t.target END, false) AS ok FROM r CROSS JOIN t LEFT JOIN m ON m.metric = t.metric AND m.run_id = r.run_id
@@ -197,8 +197,9 @@ for _env in ("staging", "production"):
             from runledger.session import constant_table
             t = constant_table(spark, _GATES, "metric string, op string, target double, required boolean, "
                                               "critical boolean, production_only boolean")
-            return Q.evaluate_gates(_measured(spark, sf), t, ["run_id"], env)
-        q.__doc__ = f"A-10: gate evaluation per customer run in {env}."
+            runs = table(spark, sf, "customer").select(F.col("c_custkey").alias("run_id"))
+            return Q.evaluate_gates(_measured(spark, sf), t, ["run_id"], env, runs)
+        q.__doc__ = f"A-10: gate evaluation per customer run in {env}; customers without orders fail every gate."
         return q
     register(f"evaluate_gates_{_env}", _gate_sql(_env))(_mkg(_env))
 
@@ -342,7 +343,7 @@ def q_daily_quota(spark, sf):
     lim = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"),
                                               F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("int"))
                                               .otherwise(F.lit(3)).alias("lim"))
-    return Q.quota(ev.join(lim, "user_id", "left"), ["user_id", "run_date"], "lim").select(
+    return Q.quota_of(ev, lim, ["user_id", "run_date"], "user_id").select(
         "user_id", "run_date", "n_requests", F.col("n_allowed").cast("bigint").alias("n_allowed"),
         F.col("n_rejected").cast("bigint").alias("n_rejected"))
 

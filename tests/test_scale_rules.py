@@ -49,6 +49,40 @@ def test_unmeasured_or_null_gate_fails(spark):
     assert got == {1: (2, 0, True), 2: (2, 1, False), 3: (2, 1, False), 4: (2, 2, False)}
 
 
+def test_run_without_measurements_fails_every_gate(spark):
+    targets = spark.createDataFrame([("a", ">=", 1.0, True, False, False), ("b", ">=", 1.0, False, False, False)],
+                                    "metric string, op string, target double, required boolean, critical boolean, production_only boolean")
+    measured = spark.createDataFrame([(1, "a", 2.0, "x"), (9, "b", 2.0, "x")], "run int, metric string, value double, note string")
+    runs_ = spark.createDataFrame([(1,), (2,), (2,)], "run int")
+    got = {r.run: (r.n_gates, r.n_failed, r.passed) for r in Q.evaluate_gates(measured, targets, ["run"], "staging", runs_).collect()}
+    assert got == {1: (2, 1, True), 2: (2, 2, False), 9: (2, 1, False)}
+
+
+def test_a_user_with_half_of_all_requests_fills_no_task(spark):
+    """The hot user's rows and the rows without a user are dealt over the tasks; nothing is lost or doubled."""
+    from runledger.operators import skew
+    n = 400_000
+    user = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 5000)
+    df = spark.range(n).select("id", user.cast("long").alias("user_id"))
+    lookup = spark.range(0, 5000, 3).select(F.col("id").alias("user_id"), (F.col("id") * 10).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = skew.enrich(df, lookup, ["user_id"], parts=16, hot_rows=1000)
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        plain = [r[0] for r in df.join(lookup, "user_id", "left").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(plain) > n / 2 and max(sizes) < 2 * n / len(sizes)
+    want = df.join(lookup, "user_id", "left")
+    assert out.select("id", "user_id", "v").exceptAll(want.select("id", "user_id", "v")).isEmpty() and out.count() == n
+    hot = skew.hot_keys(df, ["user_id"], 16, 1000)
+    assert {r.user_id for r in hot.collect()} == {7, None}
+    for how in ("inner", "left_semi", "left_anti"):
+        assert skew.enrich(df, lookup, ["user_id"], how, parts=16, hot_rows=1000).count() == df.join(lookup, "user_id", how).count()
+
+
 def test_run_without_config_misses_every_required_key(spark):
     schema = spark.createDataFrame([("A", "string", None, True), ("B", "integer", None, True), ("C", "string", None, False)],
                                    "key string, type string, pattern string, required boolean")
