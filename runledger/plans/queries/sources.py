@@ -175,7 +175,8 @@ _CFG_DOCS_SQL = f"""WITH n AS ({_NATION_DOC_SQL}),
 kv AS (SELECT run_id, 'nation' AS key, CAST(to_json(n_name) AS VARCHAR) AS value_json, 'base' AS layer FROM n
   UNION ALL SELECT run_id, 'region', CAST(n_regionkey AS VARCHAR), 'base' FROM n
   UNION ALL SELECT run_id, 'debug', 'false', 'base' FROM n
-  UNION ALL SELECT run_id, 'limits', '{{"max":10}}', 'base' FROM n
+  UNION ALL SELECT run_id, 'limits', '{{"max":10,"steps":[1,{{"at":2,"by":"xy"}}],"tiers":[{{"name":"low","top":5}},{{"name":"high"}}]}}', 'base' FROM n
+  UNION ALL SELECT run_id, 'note', '"two:lines\\n-oftext\\n"', 'base' FROM n
   UNION ALL SELECT run_id, 'debug', 'true', 'dev' FROM n WHERE n_regionkey <> 0
   UNION ALL SELECT run_id, 'customers', CAST(n_customers AS VARCHAR), 'dev' FROM n WHERE n_regionkey <> 0)
 SELECT run_id, key, arg_max(value_json, CASE layer WHEN 'dev' THEN 1 ELSE 0 END) AS value,
@@ -188,12 +189,14 @@ def _config_docs_query(fmt):
         if fmt == "json":
             base = F.concat(F.lit('{"nation": '), F.to_json(F.array("n_name")).substr(F.lit(2), F.length(F.to_json(F.array("n_name"))) - 2),
                             F.lit(', "region": '), F.col("n_regionkey").cast("string"),
-                            F.lit(', "debug": false, "limits": {"max": 10}}'))
+                            F.lit(', "debug": false, "limits": {"max": 10, "steps": [1, {"at": 2, "by": "x y"}], '
+                                   '"tiers": [{"name": "low", "top": 5}, {"name": "high"}]}, "note": "two: lines\\n- of text\\n"}'))
             env = F.when(F.col("n_regionkey") != 0, F.concat(F.lit('{"debug": true, "customers": '),
                                                              F.col("n_customers").cast("string"), F.lit("}"))).otherwise(F.lit(""))
         else:
             base = F.concat(F.lit("nation: "), F.col("n_name"), F.lit("\nregion: "), F.col("n_regionkey").cast("string"),
-                            F.lit("\ndebug: false\nlimits:\n  max: 10\n"))
+                            F.lit("\ndebug: off  # until dev\nlimits:\n  max: 10\n  steps: [1, {at: 2, by: 'x y'}]\n"
+                                   "  tiers:\n  - name: low\n    top: 5\n  -\n    name: high\nnote: |\n  two: lines\n  - of text\n"))
             env = F.when(F.col("n_regionkey") != 0, F.concat(F.lit("debug: true\ncustomers: "),
                                                              F.col("n_customers").cast("string"), F.lit("\n"))).otherwise(F.lit(""))
         files = d.select("run_id", F.lit("base").alias("layer"), base.alias("value")).unionByName(

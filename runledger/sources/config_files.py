@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.functions import config as C
 from runledger.sources.exports import read_fragments, write_fragments
 from runledger.sources.logs import file_lines, whole_files
+from runledger.sources.yaml_fold import parsed_lines, yaml_json
 
 
 def parse_kv(lines: DataFrame, keys=("file",)) -> DataFrame:
@@ -45,54 +46,28 @@ def read_kv_export(spark: SparkSession, path: str) -> DataFrame:
     return parse_kv(lines, tuple(c for c in lines.columns if c not in ("line_no", "line")))
 
 
-def _quoted(c: Column) -> Column:
-    """A string as JSON text."""
-    arr = F.to_json(F.array(c))
-    return F.substring(arr, F.lit(2), F.length(arr) - 2)
-
-
-def _scalar_json(c: Column) -> Column:
-    """A plain YAML scalar as JSON: numbers, booleans and null as they are, the rest a string."""
-    t = F.trim(F.regexp_replace(c, r"\s+#.*$", ""))
-    inner = F.regexp_replace(t, r"""^(["'])(.*)\1$""", "$2")
-    return (F.when(t.rlike(r"^(~|null|Null|NULL)?$"), F.lit("null"))
-             .when(F.lower(t).isin("true", "false"), F.lower(t))
-             .when(t.rlike(r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), t)
-             .otherwise(_quoted(inner)))
-
-
-def _block_json(block: Column) -> Column:
-    """An indented block of one level: a mapping of scalars or a list of scalars."""
-    keys = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]+([^\s#:-][^:\n]*):[ \t]*([^\n]*)$"), F.lit(1))
-    vals = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]+([^\s#:-][^:\n]*):[ \t]*([^\n]*)$"), F.lit(2))
-    items = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]*-[ \t]+([^\n]*)$"), F.lit(1))
-    pairs = F.zip_with(keys, vals, lambda k, v: F.concat(_quoted(F.trim(k)), F.lit(":"), _scalar_json(v)))
-    return (F.when(F.size(items) > 0, F.concat(F.lit("["), F.array_join(F.transform(items, _scalar_json), ","), F.lit("]")))
-             .otherwise(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))))
-
-
-def read_config_docs(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def read_config_docs(spark: SparkSession, path: str, fmt: str = "json", refused: str = "error") -> DataFrame:
     """SRC-06: top-level keys of structured config files as (file, key, value_json).
 
-    JSON is parsed by Spark (as a map of JSON texts). YAML is read for what configuration
-    files hold: top-level ``key: scalar`` lines and one indented level (a mapping or a list
-    of scalars), with Column functions; comments and empty files are ignored.
+    JSON is parsed by Spark (as a map of JSON texts), YAML by a fold over a document's lines
+    (``yaml_fold.py``) into JSON first. Empty files hold no keys. A document that cannot be read, or is
+    no mapping, ends the job with its name (``refused="error"``) or is a row with a null key (``"rows"``).
     """
-    raw = whole_files(spark, path)
-    if fmt == "json":
-        # each top-level value as a VARIANT, printed back as exact JSON text
-        m = F.from_json(F.col("value"), "map<string,variant>")
-        return (raw.filter(F.length(F.trim("value")) > 0)
-                   .select("file", F.explode(m).alias("key", "_v"))
-                   .select("file", "key", F.coalesce(F.to_json("_v"), F.lit("null")).alias("value_json")))
+    if fmt not in ("json", "yaml") or refused not in ("error", "rows"):
+        raise ValueError((fmt, refused))
+    raw = whole_files(spark, path).filter(F.col("value").rlike(r"\S"))
     if fmt == "yaml":
-        entry = r"(?m)^([^\s#:-][^:\n]*):[ \t]*([^\n]*)((?:\n(?:[ \t]+[^\n]*|-[ \t][^\n]*|[ \t]*(?=\n)))*)"
-        key, scalar, block = (F.regexp_extract_all("value", F.lit(entry), F.lit(i)) for i in (1, 2, 3))
-        rows = raw.select("file", F.inline(F.arrays_zip(key.alias("key"), scalar.alias("scalar"), block.alias("block"))))
-        nested = (F.trim("scalar") == "") & (F.regexp_replace("block", r"\s", "") != "")
-        return rows.select("file", F.trim("key").alias("key"),
-                           F.when(nested, _block_json(F.col("block"))).otherwise(_scalar_json(F.col("scalar"))).alias("value_json"))
-    raise ValueError(fmt)
+        raw = raw.select("file", parsed_lines(F.col("value")).alias("lines")).select("file", yaml_json(F.col("lines")).alias("value"))
+    # each top-level value as a VARIANT, printed back as exact JSON text
+    docs = raw.select("file", F.from_json(F.col("value"), "map<string,variant>").alias("m"))
+    if refused == "error":
+        stop = F.raise_error(F.concat(F.lit(f"no readable {fmt} mapping: "), F.col("file"))).cast("map<string,variant>")
+        rows = docs.select("file", F.explode(F.when(F.col("m").isNull(), stop).otherwise(F.col("m"))).alias("key", "_v"))
+    else:
+        known = docs.filter("m IS NOT NULL").select("file", F.explode("m").alias("key", "_v"))
+        rows = known.unionByName(docs.filter("m IS NULL").select("file"), allowMissingColumns=True)
+    value = F.when(F.col("key").isNotNull(), F.coalesce(F.to_json("_v"), F.lit("null")))
+    return rows.select("file", "key", value.alias("value_json"))
 
 
 def layered(docs: DataFrame, priority: dict, keys=("run_id", "key")) -> DataFrame:
