@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from runledger.operators import quality as Q
+from runledger.operators import rulescan as RS
 from runledger.operators import security as S
 from runledger.plans import bindings as B
 from runledger.plans.queries.registry import register
@@ -289,6 +290,21 @@ def q_secret_scan(spark, sf):
     return Q.secret_scan(table(spark, sf, "documents"), "doc_id", "text")
 
 
+_SECRET_RULES_SQL = """SELECT * FROM (VALUES
+  ('token', '(?i)token[ \\t]*[:=][ \\t]*"[^"\\n]{8,}"'), ('secret', '(?i)secret[ \\t]*[:=][ \\t]*"[^"\\n]{8,}"'),
+  ('password', '(?i)password[ \\t]*[:=][ \\t]*"[^"\\n]{8,}"'), ('api_key', '(?i)api[_-]?key[ \\t]*[:=][ \\t]*"[^"\\n]{8,}"'),
+  ('private_key', '-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----'), ('bearer', '(?i)bearer [0-9a-z._~+/-]{16,}')) AS t(rule, pattern)"""
+
+
+@register("secret_hits", f"""WITH r AS ({_SECRET_RULES_SQL}), d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line, unnest(ls) AS t FROM d)
+SELECT doc_id, rule, CAST(line AS INTEGER) AS line, unnest(regexp_extract_all(t, pattern)) AS match FROM l, r""")
+def q_secret_hits(spark, sf):
+    """A-18: every hard-coded secret with its rule and line (many rules in one pass)."""
+    hits = RS.scan(table(spark, sf, "documents"), RS.secret_rules(spark), "text", ("doc_id",))
+    return hits.select("doc_id", "rule", "line", "match")
+
+
 @register("retention_orders", """SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') AS INTEGER) AS age_days,
   CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') > 365 THEN 'expire'
        WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1999-01-01') > 90 THEN 'cold' ELSE 'keep' END AS retention
