@@ -73,6 +73,19 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
         self.release()
 
+    def within(self, name: str) -> Scratch:
+        """Tables of a step, below this one's folder."""
+        inner = Scratch(self.spark, name)
+        inner.root = f"{self.root}/{name}"
+        return inner
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but those that a returned result reads."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        there = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        self.drop(*[n for n in there if n not in names])
+
     def release(self) -> None:
         """Let Spark's cleaner remove the shuffle files of plans that are no longer referenced."""
         gc.collect()
