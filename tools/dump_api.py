@@ -14,7 +14,7 @@ sys.path.insert(0, ROOT)
 MODULES = ["runledger.session", "runledger.functions.text", "runledger.functions.config", "runledger.functions.state",
            "runledger.functions.render", "runledger.operators.runs", "runledger.operators.config",
            "runledger.operators.reconcile", "runledger.operators.graph", "runledger.operators.security",
-           "runledger.operators.quality", "runledger.operators.filters", "runledger.operators.reach", "runledger.operators.skew",
+           "runledger.operators.quality", "runledger.operators.filters", "runledger.operators.reach", "runledger.operators.rulescan", "runledger.operators.skew",
            "runledger.sources.lines", "runledger.sources.exports", "runledger.sources.containers", "runledger.sources.logs",
            "runledger.sources.config_files", "runledger.sources.yaml_fold", "runledger.sources.documents",
            "runledger.streaming.versions", "runledger.streaming.streams"]
