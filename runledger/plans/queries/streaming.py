@@ -30,7 +30,7 @@ def _event_stream(spark, sf):
 def q_stream_run_log(spark, sf):
     """ST-01: the messages of run logs picked up as files land (availableNow), permissive."""
     out = SL.scratch_path(spark, "st01")
-    SS.run_available_now(SS.stream_run_log(spark, _write_run_logs(spark, sf)), out, "append", "st01", SS.message_batch("permissive"))
+    SS.run_available_now(SS.stream_run_log(spark, _write_run_logs(spark, sf), packed=True), out, "append", "st01", SS.message_batch("permissive"))
     return _messages(spark.read.parquet(out), _user_of_file())
 
 
@@ -38,7 +38,7 @@ def q_stream_run_log(spark, sf):
 def q_stream_run_log_strict(spark, sf):
     """ST-01 (strict): files with a bad line yield nothing."""
     out = SL.scratch_path(spark, "st01s")
-    SS.run_available_now(SS.stream_run_log(spark, _write_run_logs(spark, sf)), out, "append", "st01s", SS.message_batch("strict"))
+    SS.run_available_now(SS.stream_run_log(spark, _write_run_logs(spark, sf), packed=True), out, "append", "st01s", SS.message_batch("strict"))
     return _messages(spark.read.parquet(out), _user_of_file())
 
 

@@ -115,10 +115,10 @@ def read_versions(spark: SparkSession, path: str, keys: Sequence[str], value_col
     return v.read().select(*keys, *value_cols)
 
 
-def stream_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """ST-01: the lines of run logs as files land, each with its file and split; files are split among
-    tasks. :func:`message_batch` makes messages of a micro-batch."""
-    return stream_lines(spark, path)
+def stream_run_log(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
+    """ST-01: the lines of run logs as files (or packs of logs) land, each with its file and split; files
+    are split among tasks. :func:`message_batch` makes messages of a micro-batch."""
+    return stream_lines(spark, path, packed)
 
 
 def message_batch(mode: str = "strict"):

@@ -134,3 +134,44 @@ def test_container_files_follow_buckets_and_lookups_open_few(spark):
     assert {r.text for r in gone.collect()} == {""}
     containers.write_container(df.limit(0), path + "-none")
     assert containers.read_container(spark, path + "-none").count() == 0
+
+
+def test_packed_logs_read_as_files_of_their_own(spark, small_splits):
+    """300 logs in as many files as there are tasks, one of them longer than a split and one with a bad line."""
+    logs = {f"run={i}/a.jsonl": _log(2000) if i == 7 else _log(6, {4} if i == 9 else ()) for i in range(300)}
+    rows = [(name, k, x) for name, text in logs.items() for k, x in enumerate(text.rstrip("\n").split("\n"))]
+    root, path = _write(spark, "plain", {k: v for k, v in logs.items() if int(k[4:].split("/")[0]) < 20}), SL.scratch_path(spark, "packs")
+    SL.pack_run_logs(spark.createDataFrame(rows, "name string, at int, line string"), "name", ["at"], "line", path)
+    packs = split_lines(spark, path).select("file", "block").distinct().collect()
+    assert len({r.file for r in packs}) <= 8 and len(packs) > 50
+    name = F.regexp_extract("file", r"(run=\d+/a\.jsonl)$", 1).alias("name")
+    for mode in ("strict", "permissive"):
+        got = {tuple(r) for r in SL.read_run_log(spark, path, mode, packed=True).select(name, "line_no", "corrupt", "result").collect()}
+        want = {tuple(r) for r in SL.read_run_log(spark, root, mode).select(name, "line_no", "corrupt", "result").collect()}
+        assert {r for r in got if int(r[0][4:].split("/")[0]) < 20} == want
+        assert len({r[0] for r in got}) == (299 if mode == "strict" else 300)
+        out = SL.scratch_path(spark, "st01p")
+        SS.run_available_now(SS.stream_run_log(spark, path, packed=True), out, "append", "st01p", SS.message_batch(mode))
+        assert {tuple(r) for r in spark.read.parquet(out).select(name, "line_no", "corrupt", "result").collect()} == got
+
+
+def test_run_log_queries_write_few_files(spark, tmp_path):
+    """Logs of 500 users, some rows without one: files follow the tasks, and rows without a user are kept."""
+    from runledger.plans.queries import sources as Q
+    ev = spark.range(2000).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"),
+                                  F.when(F.col("id") % 500 > 0, F.col("id") % 500).alias("user_id"), F.lit("click").alias("event_type"),
+                                  F.lit(2.5).alias("value"), F.lit('{"k": 1}').alias("props"))
+    ev.write.parquet(f"{tmp_path}/events.parquet")
+    path = Q._write_run_logs(spark, str(tmp_path))
+    assert spark.read.text(path, recursiveFileLookup=True).select("_metadata.file_path").distinct().count() <= 8
+    got = Q.q_run_log_strict(spark, str(tmp_path)).groupBy("user_id").agg(F.max("line_no").alias("last")).collect()
+    assert {(r.user_id, r.last) for r in got} == {(i or None, 3) for i in range(500)}
+
+
+def test_packed_lines_with_breaks_and_names_that_cannot_be_packed(spark):
+    df = spark.createDataFrame([("a", 1, '{"type": "result",\t"result": "x"}\n{"type": "result"}'), ("b", 1, None)], "name string, at int, line string")
+    path = SL.scratch_path(spark, "packs")
+    SL.pack_run_logs(df, "name", ["at"], "line", path)
+    assert [(r.file[-2:], r.line_no, r.result) for r in SL.read_run_log(spark, path, packed=True).orderBy("line_no").collect()] == [("/a", 0, "x"), ("/a", 1, None)]
+    with pytest.raises(Exception, match="tab or a line break"):
+        SL.pack_run_logs(df.withColumn("name", F.lit("a\tb")), "name", ["at"], "line", SL.scratch_path(spark, "packs"))
