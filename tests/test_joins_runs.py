@@ -92,3 +92,18 @@ def test_health_empty_group_is_unhealthy(spark):
     expected = spark.createDataFrame([("a",), ("b",)], "g string")
     got = {r.g: (r.n_items, r.all_healthy) for r in runs.health(items, "g", "ok", expected).collect()}
     assert got == {"a": (1, True), "b": (0, False)}
+
+
+def test_nodes_with_the_same_documents_share_one_body(spark, monkeypatch):
+    """400 nodes far behind the same documents (one of them twice): sections are gathered for one node."""
+    made, cut = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: (made.append(cut(df)), made[-1])[1])
+    nodes = spark.range(100, 502).select(F.lit("g").alias("graph_id"), F.col("id").alias("node"))
+    pairs = nodes.filter("node < 500").crossJoin(spark.createDataFrame([(1,), (2,), (3,), (4,)], "prereq long")).union(
+        spark.createDataFrame([("g", 500, 3), ("g", None, 2)], "graph_id string, node long, prereq long"))
+    docs = spark.createDataFrame([("g", 1, "T1", "brief"), ("g", 2, "T2", "two"), ("g", 3, "T3", "a"), ("g", 3, "T3", "b")], "graph_id string, node long, title string, text string")
+    got = {r.node: (r.n_docs, r.context.split("(File 1)\n\n")[1]) for r in G.assemble_context(nodes, pairs, docs, ["graph_id"]).collect()}
+    both = "\n\n# T3 (File 3)\n\na\n\n# T3 (File 3)\n\nb"
+    assert all(got[n] == (3, "brief\n\n\n# T2 (File 2)\n\ntwo" + both) for n in range(100, 500))
+    assert got[500] == (2, "brief\n" + both) and got[501] == (0, "brief\n")
+    assert [d.count() for d in made if "_refs" in d.columns and "_first" in d.columns] == [2]
