@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.operators.runs import attach, ordered_positions
-from runledger.session import cut_lineage
+from runledger.session import broadcast_small, cut_lineage
 
 BLOCK_NODES = 50_000  # nodes whose levels one task works out together
+SIG_WORDS = 16     # 64-bit words of a node's signature
+SIG_LEVELS = 32    # deeper nodes have no signature and are answered by the closure of the exits
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -65,7 +67,7 @@ def tour(tree: DataFrame, g: Sequence[str]) -> tuple[DataFrame, DataFrame]:
 
 
 class ReachIndex(NamedTuple):
-    """``labels`` (graph..., node, low, high, depth, exit) and ``hops`` (graph..., exit, at), see :func:`reach_index`."""
+    """``labels`` (graph..., node, low, high, depth, exit, sig), ``hops`` (graph..., exit, at, to, sig), see :func:`reach_index`."""
 
     graph_cols: list[str]
     labels: DataFrame
@@ -80,7 +82,8 @@ def reach_index(edges: DataFrame, graph_cols: Sequence[str] = (), node: str = "n
 
     Forests need n labels and nothing else, at any depth. Edges that the spanning forest leaves out
     start at ``exit`` nodes; every node knows the nearest one at or above it, and ``hops`` holds where the
-    edges of an exit, and of the exits reachable from it, lead: the closure of the exits only. Cycles
+    edges of an exit lead and the nearest exit there. No pair is made beforehand: a question goes from exit
+    to exit, and only where the signature (:func:`signatures`) of the node it comes to may hold what is asked for. Cycles
     are cut by leaving edges to the hops; a node on a cycle is a prerequisite of itself, as in the closure.
     """
     g = list(graph_cols)
@@ -89,7 +92,8 @@ def reach_index(edges: DataFrame, graph_cols: Sequence[str] = (), node: str = "n
     e = cut_lineage(edges.select(*g, F.col(node).alias("node"), F.col(dep).alias("prereq")).distinct())
     tree = e.groupBy(*g, "node").agg(F.min("prereq").alias("parent"))
     labels, stuck = tour(tree, g)
-    if not stuck.isEmpty():  # every cycle has an edge to a node that is not smaller: those leave the forest
+    cyclic = not stuck.isEmpty()
+    if cyclic:  # every cycle has an edge to a node that is not smaller: those leave the forest
         tree = cut_lineage(tree.join(stuck.withColumn("_s", F.lit(True)), [*g, "node"], "left").filter(
             F.col("_s").isNull() | (F.col("node") > F.col("parent"))).drop("_s"))
         labels, _ = tour(tree, g)
@@ -115,38 +119,103 @@ def reach_index(edges: DataFrame, graph_cols: Sequence[str] = (), node: str = "n
     near = at.join(exits.select(*g, F.col("node").alias("to"), F.lit(True).alias("_x")), [*g, "to"], "left").select(
         *g, "node", F.when(F.col("_x"), F.col("to")).alias("exit"))
     near = cut_lineage(near)
-    # exits reached from an exit: where its edges lead, and the exits above it
-    leads = near.select(*g, F.col("node").alias("prereq"), F.col("exit").alias("_x"))
+    labels = labels.join(near, [*g, "node"])
+    levels = block_levels(labels.select(*g, "node"), e.withColumnRenamed("prereq", "dep"), g, labels=None if cyclic else labels)
+    labels = cut_lineage(labels.join(signatures(e, cut_lineage(levels), g), [*g, "node"], "left"))
+    # where the edges of an exit lead, the tree's too
     above = tree.select(*g, "node", F.col("parent").alias("prereq")).join(exits, [*g, "node"], "left_semi")
-    links = rest.unionByName(above).join(leads.filter("_x IS NOT NULL"), [*g, "prereq"]).select(*g, "node", F.col("_x").alias("depends_on")).distinct()
-    from runledger.operators.graph import closure
-    reached = closure(links, g).select(*g, "node", F.col("prereq").alias("_via")) if not links.isEmpty() else None
-    own = rest.select(*g, F.col("node").alias("exit"), "prereq")
-    hops = own if reached is None else own.unionByName(
-        reached.join(rest.select(*g, F.col("node").alias("_via"), "prereq"), [*g, "_via"]).select(*g, F.col("node").alias("exit"), "prereq"))
-    hops = hops.distinct().join(labels.select(*g, F.col("node").alias("prereq"), F.col("high").alias("at")), [*g, "prereq"]).select(*g, "exit", "at")
-    return ReachIndex(g, cut_lineage(labels.join(near, [*g, "node"])), cut_lineage(hops.distinct()))
+    lands = labels.select(*g, F.col("node").alias("prereq"), F.col("high").alias("at"), F.col("exit").alias("to"), "sig")
+    hops = rest.unionByName(above).join(lands, [*g, "prereq"]).select(*g, F.col("node").alias("exit"), "at", "to", "sig")
+    return ReachIndex(g, labels, cut_lineage(hops))
+
+
+def _sig_bits(c: Column) -> list[Column]:
+    """The two places of a node in a signature."""
+    return [F.pmod(F.xxhash64(c, F.lit(k)), F.lit(64 * SIG_WORDS)).cast("int") for k in range(2)]
+
+
+def _may_lead(sig: Column, prereq: Column) -> Column:
+    """False only where ``prereq`` is no prerequisite of the node with this signature."""
+    held = [F.getbit(F.get(sig, F.shiftright(b, 6)), b.bitwiseAND(F.lit(63))) == 1 for b in _sig_bits(prereq)]
+    return sig.isNull() | (held[0] & held[1])
+
+
+def signatures(e: DataFrame, levels: DataFrame, g: Sequence[str]) -> DataFrame:
+    """(graph..., node, sig) of the nodes of the first levels: a bit set with two bits of each transitive
+    prerequisite, of one size whatever their number. A level is made from its edges and the levels below."""
+    g, words = list(g), [f"_w{i}" for i in range(SIG_WORDS)]
+    first = levels.filter(F.col("level") <= SIG_LEVELS)
+    up = cut_lineage(e.join(first, [*g, "node"]).repartitionByRange("level").sortWithinPartitions("level"))
+    parts = [cut_lineage(first.filter("level = 1").select(*g, "node", *[F.lit(0).cast("long").alias(w) for w in words]))]
+    low, high = _sig_bits(F.col("prereq"))
+
+    def word(i: int) -> Column:
+        own = [F.when(F.shiftright(b, 6) == i, F.call_function("shiftleft", F.lit(1).cast("long"), b.bitwiseAND(F.lit(63)))).otherwise(0) for b in (low, high)]
+        return F.bit_or(F.col(words[i]).bitwiseOR(own[0]).bitwiseOR(own[1])).alias(words[i])
+
+    for k in range(2, (first.agg(F.max("level")).first()[0] or 1) + 1):
+        below = _union(parts).withColumnRenamed("node", "prereq")
+        made = up.filter(F.col("level") == k).join(below, [*g, "prereq"]).groupBy(*g, "node").agg(*[word(i) for i in range(SIG_WORDS)])
+        parts.append(cut_lineage(made))
+    return _union(parts).select(*g, "node", F.array(*words).alias("sig"))
 
 
 def is_prerequisite(pairs: DataFrame, index: ReachIndex, node: str = "node", prereq: str = "prereq", out_col: str = "is_prereq") -> DataFrame:
     """J-07: ``pairs`` with whether ``prereq`` is a transitive prerequisite of ``node``; false where either
-    is not in the graph. The answer takes rows in the number of pairs (times the hops of a node's exit
-    where the graph is no forest)."""
+    is not in the graph. The answer takes rows in the number of pairs; where the graph is no forest, the
+    few that signatures leave open go on by hops."""
     g = index.graph_cols
     if g == [ONE_GRAPH] and ONE_GRAPH not in pairs.columns:
         return is_prerequisite(pairs.withColumn(ONE_GRAPH, F.lit(0)), index, node, prereq, out_col).drop(ONE_GRAPH)
     asked = pairs.select(*g, F.col(node).alias("_n"), F.col(prereq).alias("_p")).distinct()
-    n = index.labels.select(*g, F.col("node").alias("_n"), F.col("high").alias("_at"), F.col("exit").alias("_exit"))
+    sig = [] if index.hops is None else [F.col("sig").alias("_sig")]
+    n = index.labels.select(*g, F.col("node").alias("_n"), F.col("high").alias("_at"), F.col("exit").alias("_exit"), *sig)
     p = index.labels.select(*g, F.col("node").alias("_p"), F.col("low").alias("_low"), F.col("high").alias("_high"))
-    known = asked.join(n, [*g, "_n"]).join(p, [*g, "_p"])
-    yes = known.filter((F.col("_n") != F.col("_p")) & (F.col("_at") > F.col("_low")) & (F.col("_at") <= F.col("_high"))).select(*g, "_n", "_p")
-    if index.hops is not None:
-        hop = known.join(index.hops.withColumnRenamed("exit", "_exit"), [*g, "_exit"]).filter((F.col("at") > F.col("_low")) & (F.col("at") <= F.col("_high")))
-        yes = yes.union(hop.select(*g, "_n", "_p")).distinct()
+    known = asked.join(n, [*g, "_n"])
+    if sig:
+        known = known.filter(_may_lead(F.col("_sig"), F.col("_p"))).withColumn("_sig", F.col("_sig").isNotNull()).withColumnRenamed("_sig", "_signed")
+    by_tree = (F.col("_n") != F.col("_p")) & (F.col("_at") > F.col("_low")) & (F.col("_at") <= F.col("_high"))
+    known = known.join(p, [*g, "_p"]).withColumn("_hit", by_tree)
+    if sig:
+        known = cut_lineage(known)
+    yes = known.filter("_hit").select(*g, "_n", "_p")
+    if sig:
+        yes = yes.union(_by_hops(known.filter("NOT _hit AND _exit IS NOT NULL").select(*g, "_n", "_p", "_low", "_high", "_exit", "_signed"), index)).distinct()
     yes = yes.withColumn("_yes", F.lit(True)).withColumnsRenamed({"_n": node, "_p": prereq})
     return pairs.join(yes, [*g, node, prereq], "left").withColumn(out_col, F.coalesce("_yes", F.lit(False))).select(*pairs.columns, out_col)
 
 
+def _by_hops(open_: DataFrame, index: ReachIndex) -> DataFrame:
+    """(graph..., _n, _p) of the open pairs (graph..., _n, _p, _low, _high, _exit, _signed) that hops from their exit answer.
+
+    A round takes every pair of a signed node one hop on from the exits it has come to and drops ways
+    whose signature does not hold the prerequisite, and pairs that are answered. A hop leads to a lower
+    level, so there are at most SIG_LEVELS rounds. Deep nodes, and those on or behind a cycle, are not
+    signed: theirs are answered by the closure of the exits."""
+    g = index.graph_cols
+    hops = index.hops.withColumnsRenamed({"exit": "_exit", "at": "_at", "to": "_to", "sig": "_sig"})
+    pair, hit = [*g, "_n", "_p"], (F.col("_at") > F.col("_low")) & (F.col("_at") <= F.col("_high"))
+    yes, deep, open_ = [open_.select(*pair).limit(0)], open_.filter("NOT _signed"), open_.filter("_signed").drop("_signed")
+    while not open_.isEmpty():
+        moved = broadcast_small(open_).join(hops, [*g, "_exit"]).withColumn("_hit", hit)
+        moved = moved.filter(F.col("_hit") | (F.col("_to").isNotNull() & _may_lead(F.col("_sig"), F.col("_p"))))
+        moved = cut_lineage(moved.select(*pair, "_low", "_high", F.col("_to").alias("_exit"), "_hit").distinct())
+        found = cut_lineage(moved.filter("_hit").select(*pair).distinct())
+        yes.append(found)
+        open_ = cut_lineage(moved.filter("NOT _hit").drop("_hit").join(broadcast_small(found), pair, "left_anti"))
+    if deep.isEmpty():
+        return _union(yes)
+    # all exits reachable from an exit, and where their edges lead
+    from runledger.operators.graph import closure
+    links = index.hops.filter("to IS NOT NULL").select(*g, F.col("exit").alias("node"), F.col("to").alias("depends_on")).distinct()
+    ends = hops.select(*g, "_exit", "_at")
+    if not links.isEmpty():
+        via = closure(links, g).select(*g, F.col("node").alias("_exit"), F.col("prereq").alias("_via"))
+        ends = ends.unionByName(via.join(ends.withColumnRenamed("_exit", "_via"), [*g, "_via"]).select(*g, "_exit", "_at"))
+    yes.append(deep.join(cut_lineage(ends.distinct()), [*g, "_exit"]).filter(hit).select(*pair))
+    return _union(yes)
+
+
 def prerequisite_counts(index: ReachIndex) -> DataFrame:
     """J-07: (graph..., node, n_prereqs) of a forest, straight from the labels."""
     if index.hops is not None:
@@ -154,17 +223,18 @@ def prerequisite_counts(index: ReachIndex) -> DataFrame:
     return index.labels.select(*index.graph_cols, "node", F.col("depth").alias("n_prereqs"))
 
 
-def block_levels(n: DataFrame, e: DataFrame, g: Sequence[str], block_nodes: int | None = None) -> DataFrame:
+def block_levels(n: DataFrame, e: DataFrame, g: Sequence[str], block_nodes: int | None = None, labels: DataFrame | None = None) -> DataFrame:
     """J-10: (graph..., node, level) of the nodes that are ever ready, in any graph.
 
     Nodes are cut into blocks along the tour of a spanning forest, so that long ways stay within a block.
     A round works out, in one task per block, every level that follows from the levels known so far,
     and passes the new levels on to the other blocks; rounds follow the blocks that a way crosses, not
     its length. A block holds ``block_nodes`` nodes and the edges between them; edges from other blocks
-    arrive as one count and one greatest level per node.
+    arrive as one count and one greatest level per node. ``labels``: the tour's, where it is at hand.
     """
     g, size = list(g), block_nodes or BLOCK_NODES
-    labels, _ = tour(e.groupBy(*g, "node").agg(F.min("dep").alias("parent")), g)
+    if labels is None:
+        labels, _ = tour(e.groupBy(*g, "node").agg(F.min("dep").alias("parent")), g)
     block = F.floor((F.col("high") - 1) / size).alias("block")
     known = n.join(labels.select(*g, "node", block), [*g, "node"], "left")
     lone = known.filter("block IS NULL").join(e, [*g, "node"], "left_anti").select(*g, "node", F.lit(1).alias("level"))

@@ -120,3 +120,14 @@ def test_deep_ladder_takes_few_rounds(spark, monkeypatch):
 
 def _pairs(i, a, b):
     return i.select(a.alias("node"), b.alias("depends_on"))
+
+
+def test_two_prerequisites_are_answered_without_the_closure(spark, monkeypatch):
+    """Nodes with edges to a half and a third: every node is an exit, and no pair is made beforehand."""
+    monkeypatch.setattr(G, "closure", lambda *a, **k: pytest.fail("the closure was made"))
+    edges = [(i, j) for i in range(1, 400) for j in {i // 2, i // 3}]
+    index = R.reach_index(spark.createDataFrame(edges, "node long, depends_on long"))
+    assert index.hops.count() <= 2 * len(edges)
+    asked = spark.range(400).toDF("node").crossJoin(spark.range(0, 400, 3).toDF("prereq"))
+    got = {tuple(r) for r in R.is_prerequisite(asked, index).filter("is_prereq").select("node", "prereq").collect()}
+    assert got == {(a, b) for a, b in _closure(edges) if b % 3 == 0}
