@@ -1,7 +1,9 @@
 """Golden cases for lookups, reconciliation, context assembly and run aggregates."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from runledger.functions import text as T
 from runledger.operators import graph as G
 from runledger.operators import reconcile as R
 from runledger.operators import runs
@@ -107,3 +109,33 @@ def test_nodes_with_the_same_documents_share_one_body(spark, monkeypatch):
     assert all(got[n] == (3, "brief\n\n\n# T2 (File 2)\n\ntwo" + both) for n in range(100, 500))
     assert got[500] == (2, "brief\n" + both) and got[501] == (0, "brief\n")
     assert [d.count() for d in made if "_refs" in d.columns and "_first" in d.columns] == [2]
+
+
+def _contexts_by_hand(pairs, docs, brief_node=1):
+    want = {}
+    for node, refs in pairs.items():
+        parts = sorted((p, f"\n\n# {t} (File {p})\n\n{x if node - p <= 5 or len(x) <= 2000 else x[:1000] + T.SUMMARY_MARKER + x[-1000:]}")
+                       for p in refs if p != brief_node for q, t, x in docs if q == p)
+        want[node] = (len(parts), "".join(x for _, x in parts))
+    return want
+
+
+@pytest.mark.parametrize("block,light", [(4096, 4 << 20), (64, 0), (1, 4 << 20)])
+def test_sections_go_to_a_block_of_nodes_once(spark, monkeypatch, block, light):
+    """A tree of 300 nodes, some documents long, one number twice, references repeated: contexts as by hand from shared sections."""
+    made, cut = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: (made.append(cut(df)), made[-1])[1])
+    monkeypatch.setattr(G, "BLOCK_REFS", block)
+    monkeypatch.setattr(G, "LIGHT_TEXT", light)
+    up = {n: [n >> k for k in range(1, n.bit_length())] for n in range(2, 301)}
+    up[299] += up[299][-3:]
+    docs = [(n, f"T{n}", f"text {n} " + "xy" * (1500 if n % 5 == 0 else n % 7)) for n in range(1, 301) if n % 11] + [(4, "T4", "a second one"), (9, "T9", "nine again")]
+    nodes = spark.createDataFrame([(n,) for n in range(1, 301)], "node long")
+    pairs = spark.createDataFrame([(n, p) for n, ps in up.items() for p in ps], "node long, prereq long")
+    frame = spark.createDataFrame(docs, "node long, title string, text string")
+    got = {r.node: (r.n_docs, r.context.split("(File 1)\n\n", 1)[1]) for r in G.assemble_context(nodes, pairs, frame).collect()}
+    brief = next(x for n, _, x in docs if n == 1)
+    assert got == {n: (k, f"{brief}\n{body}") for n, (k, body) in ({1: (0, "")} | _contexts_by_hand(up, docs)).items()}
+    [refs] = [d for d in made if "_place" in d.columns]
+    sent, blocks = refs.select("_block", "_place").distinct().count(), refs.select("_block").distinct().count()
+    assert refs.count() > 3 * sent if block == 4096 else blocks > 10
